@@ -66,6 +66,17 @@ def clean_items(
     return items.withColumn("content_publish_year", F.coalesce(year, mean))
 
 
+def distinct_items(items: DataFrame, domain: DomainConfig) -> DataFrame:
+    """Catalogue rows that encode differently, each once; tags are no feature.
+
+    The category list is put in order first, as only its set of categories is encoded.
+    """
+    cats = F.array_sort(F.array_distinct(X.category_list(F.col(domain.multi_hot))))
+    return (
+        items.drop("tag_names").withColumn(domain.multi_hot, F.array_join(cats, ",")).distinct()
+    )
+
+
 def active_items(items: DataFrame) -> DataFrame:
     """Active status and a tag text with at least one word character."""
     return items.where(

@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from tastegrid.config import DomainConfig
 from tastegrid.functions import text as X
 
-MAX_VOCABULARY = 20_000
+MAX_VOCABULARY = 4_000
 
 VOCAB_SCHEMA = "kind string, source string, value string, ordinal int"
 STATS_SCHEMA = "source string, mean double, sd double"

@@ -1,9 +1,8 @@
 """Watch log x users x items -> labelled interactions.
 
 The full-row distinct of the joined set equals the join of the distinct inputs, as
-the joined rows keep every column of all three. So the distinct runs on the four log
-columns only, before any feature column is attached, and the labelled rows stay
-narrow until the last step.
+the joined rows keep every column of all three. So the distinct of the log runs on its
+four columns, before any user or item column is attached.
 """
 
 from __future__ import annotations
@@ -15,9 +14,9 @@ from pyspark.sql import functions as F
 
 from tastegrid.config import LOG_COLUMNS, DomainConfig
 from tastegrid.functions import text as X
+from tastegrid.operators.joins import splittable_join
 
-HOT_GROUP_ROWS = 1_000_000
-SPREAD = 4096
+ENCODED = ("idx", "val", "usable")
 
 
 def distinct_views(log: DataFrame) -> DataFrame:
@@ -30,48 +29,18 @@ def distinct_views(log: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def with_group_count(
-    rows: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    out: str,
-    weight: Column | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """Add the row count (or summed weight) of each key group to its rows.
+def with_group_count(rows: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Add the row count of each key group to its rows; rows with a null key get none.
 
     A window would put a whole group into one task. Here the count is a two-phase
-    aggregate. Groups of at least ``hot_rows`` rows, of which there can be at most
-    rows/hot_rows, are broadcast; their rows take the count from there and spread
-    over ``spread_by``, so that no task of the join with the other groups gets them.
-    Rows with a null key get no count.
+    aggregate, joined back so that a group holding most rows can be split.
     """
     keys = list(keys)
-    weight = F.lit(1) if weight is None else weight
     keyed = rows
     for k in keys:
         keyed = keyed.where(F.col(k).isNotNull())
-    counts = keyed.groupBy(*keys).agg(
-        F.sum(weight.cast("bigint")).alias("_n"), F.count(F.lit(1)).alias("_rows")
-    )
-    hot = counts.where(F.col("_rows") >= hot_rows).select(*keys, F.col("_n").alias("_hot"))
-    cold = counts.where(F.col("_rows") < hot_rows).select(
-        *keys, F.lit(0).cast("bigint").alias("_salt"), F.col("_n").alias("_cold")
-    )
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    salt = F.when(
-        F.col("_hot").isNotNull() | any_null,
-        F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)) + 1,
-    ).otherwise(0)
-    return (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", salt.cast("bigint"))
-        .join(cold, [*keys, "_salt"], "left")
-        .withColumn(out, F.coalesce("_hot", "_cold"))
-        .drop("_hot", "_cold", "_salt")
-    )
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+    return splittable_join(rows, counts, keys, "left")
 
 
 def label(domain: DomainConfig) -> Column:
@@ -85,88 +54,45 @@ def label(domain: DomainConfig) -> Column:
 
 
 def labelled_views(
-    log: DataFrame,
-    users: DataFrame,
-    items: DataFrame,
-    domain: DomainConfig,
-    hot_rows: int = HOT_GROUP_ROWS,
+    log: DataFrame, users: DataFrame, items: DataFrame, domain: DomainConfig
 ) -> DataFrame:
-    """Narrow labelled rows: the four log columns, item duration, share, count, label.
+    """Joined distinct rows with watched share, watch count and label.
 
-    ``users`` and ``items`` must be free of repeated rows. A username or content id
-    may still occur in several different rows; the count weighs each view by the
-    number of joined rows it stands for.
+    ``users`` (by username) and ``items`` (by content_id, with content_duration) carry
+    any further columns and must be free of repeated rows.
     """
-    user_keys = users.groupBy("username").agg(F.count(F.lit(1)).alias("_users"))
-    item_keys = items.groupBy("content_id", "content_duration").agg(
-        F.count(F.lit(1)).alias("_items")
-    )
-    views = (
-        distinct_views(log)
-        .join(item_keys, "content_id")
-        .join(user_keys, "username")
-    )
-    counted = with_group_count(
-        views,
-        ["profile_id", "content_id"],
-        ["username", "duration"],
-        "watch_count",
-        weight=F.col("_users") * F.col("_items"),
-        hot_rows=hot_rows,
-    ).drop("_users", "_items")
+    joined = distinct_views(log).join(items, "content_id").join(users, "username")
+    counted = with_group_count(joined, ["profile_id", "content_id"], "watch_count")
     share = X.no_nan(F.col("duration")) / F.col("content_duration")
     return counted.withColumn("share", X.no_nan(share)).withColumn("label", label(domain))
 
 
 def training_rows(
-    log: DataFrame,
-    users: DataFrame,
-    items: DataFrame,
-    domain: DomainConfig,
-    hot_rows: int = HOT_GROUP_ROWS,
+    log: DataFrame, users: DataFrame, items: DataFrame, domain: DomainConfig
 ) -> DataFrame:
-    """Labelled rows with every user and item column, duration logged where configured.
-
-    ``users`` is keyed by username; ``items`` by content_id and holds
-    ``content_duration``. Both may carry any encoded layout.
-    """
-    users, items = users.distinct(), items.distinct()
-    rows = (
-        labelled_views(log, users, items, domain, hot_rows)
-        .join(users, "username")
-        .join(items, ["content_id", "content_duration"])
-        .drop("share", "watch_count")
-    )
+    """The training set: ids, user and item columns, label; duration logged if configured."""
+    rows = labelled_views(log, users, items, domain).drop("duration", "share", "watch_count")
     if domain.log_duration:
         rows = rows.withColumn("content_duration", F.log("content_duration"))
     return rows
 
 
 def sparse_training_rows(
-    log: DataFrame,
-    users: DataFrame,
-    items: DataFrame,
-    user_width: int,
-    domain: DomainConfig,
-    hot_rows: int = HOT_GROUP_ROWS,
+    log: DataFrame, users: DataFrame, items: DataFrame, user_width: int, domain: DomainConfig
 ) -> DataFrame:
     """Training matrix rows: ids, label, row_key and one sparse feature vector.
 
-    ``row_key`` hashes the distinct view, so it tells rows apart after the watched
-    duration has gone; the split and the batches are drawn from it.
+    ``users`` and ``items`` are sparse-encoded. ``row_key`` hashes the distinct view, so
+    it tells rows apart after the watched duration has gone; the split and the batches
+    are drawn from it. Rows with text in a numeric feature leave after the count.
     """
-    users = users.distinct().select(
-        "username", F.col("idx").alias("_uidx"), F.col("val").alias("_uval"),
-        F.col("usable").alias("_uok"),
-    )
-    items = items.distinct().select(
-        "content_id", "content_duration", F.col("idx").alias("_iidx"),
-        F.col("val").alias("_ival"), F.col("usable").alias("_iok"),
+    users = users.select("username", *[F.col(c).alias(f"_u{c}") for c in ENCODED])
+    items = items.select(
+        "content_id", "content_duration", *[F.col(c).alias(f"_i{c}") for c in ENCODED]
     )
     return (
-        labelled_views(log, users, items, domain, hot_rows)
-        .join(users.where("_uok"), "username")
-        .join(items.where("_iok"), ["content_id", "content_duration"])
+        labelled_views(log, users, items, domain)
+        .where(F.col("_uusable") & F.col("_iusable"))
         .select(
             "username", "content_id", "profile_id", "label",
             F.xxhash64(*LOG_COLUMNS, "_uidx", "_uval", "_iidx", "_ival").alias("row_key"),
