@@ -5,7 +5,7 @@ against a block of items and emits the best ``n`` per profile row. Two plans giv
 same rows:
 
 * ``broadcast``: the encoded items fit the checked limit and travel once per executor;
-  the profiles are not shuffled at all.
+  of the profiles only their own short rows are shuffled, to spread the work.
 * ``grid``: profiles and items are cut into bounded tiles, each side is repeated along
   the other's tiles, and each pair of tiles meets in one task.
 """
@@ -25,8 +25,10 @@ from tastegrid.operators import network as N
 
 MAX_ITEM_BYTES = 512 * 1024 * 1024
 TILE_PROFILES = 50_000
-BLOCK_CELLS = 400_000
-SCORE_PLACES = 8
+PIECE_ITEMS = 4096
+PIECE_PROFILES = 64
+DENSE_CELLS = 2_000_000
+SCORE_PLACES = 7
 
 PAIR_SCHEMA = (
     "profile_id bigint, username string, content_id string, item_ord bigint, score double"
@@ -52,15 +54,16 @@ def score_rows(
     shared = rows.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [batch.column(c) for c in keep]
-            joint, deep, shallow = N.scores(
-                dense_block(batch.column("idx"), batch.column("val"), width), shared.value, net
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(joint), pa.array(deep), pa.array(shallow)],
-                names=[*keep, "score", "score_deep", "score_shallow"],
-            )
+        rows = max(1, DENSE_CELLS // width)
+        for whole in batches:
+            for start in range(0, whole.num_rows, rows):
+                batch = whole.slice(start, rows)
+                block = dense_block(batch.column("idx"), batch.column("val"), width)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in keep],
+                     *[pa.array(p) for p in N.scores(block, shared.value, net)]],
+                    names=[*keep, "score", "score_deep", "score_shallow"],
+                )
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                      for f in rows.select(*keep).schema.fields)
@@ -86,128 +89,216 @@ class ItemBlock:
             dense_block(table["idx"], table["val"], width),
         )
 
+    def piece(self, start: int, end: int) -> ItemBlock:
+        return ItemBlock(self.content_id[start:end], self.item_ord[start:end], self.x[start:end])
+
+
+@dataclass
+class _Side:
+    """One side's share of the pair sums of one branch; users and items look alike.
+
+    For a column of the value part z = A + C t, where t is the pair's projection (already
+    centred if it enters normalised), so the sums over such columns of out*z and z*z are
+    polynomials in t whose coefficients belong to one side. Padding columns are constant.
+    """
+
+    projection: np.ndarray  # rows x half
+    units: np.ndarray       # units of the value-part columns on this side
+    linear: np.ndarray      # out * C
+    mixed: np.ndarray       # 2 A C
+    squared: np.ndarray     # C * C
+    top: np.ndarray         # sum of out * z where z is constant in t
+    square: np.ndarray      # sum of z * z where z is constant in t
+    largest: float          # bound of |A| and of |C|
+
 
 class PairScorer:
     """Joint scores of profile rows against one item block.
 
-    The first projection of a pair is the sum of the two sides' projections, and its
-    variance follows from theirs and one matrix product. In a single-layer network a
-    column that is 0 in a pair stays 0, so only the columns used by either side are
-    visited and no dense pair row is built. Deeper networks score dense pair blocks.
+    The projection of a pair is the sum of the two sides' projections. In a single-layer
+    network a column that is 0 in a pair stays 0, and the value-part columns add up to
+    matrix products of the sides; only the masked columns are visited one by one. No
+    dense pair row is built. Deeper networks score dense pair blocks.
     """
 
     def __init__(self, items: ItemBlock, user_width: int, weights: N.Weights, net: NetworkConfig):
         self.items, self.user_width, self.w, self.net = items, user_width, weights, net
-        width = user_width + items.x.shape[1]
-        self.half = width // 2
+        self.half = (user_width + items.x.shape[1]) // 2
         self.simple = (
             max(net.deep_layers, net.shallow_layers) == 1 and not net.gated and not net.batch_norm
         )
-        self.projected = {
-            b: items.x @ weights[f"{b}.0.w"][:, user_width:].T for b, _ in N.branches(net)
-        }
-        rows, cols = np.nonzero(items.x)
+        if not self.simple:
+            return
+        self.sides = {b: self._side(items.x, user_width, b) for b, _ in N.branches(net)}
+        # Masked columns of each item: slot k holds the k-th one, value 0 where there is none.
+        cols = np.arange(items.x.shape[1]) + user_width
+        masked = cols[(cols >= self.half) & (cols < 2 * self.half)] - user_width
+        rows, at = np.nonzero(items.x[:, masked])
         place = np.arange(len(rows)) - np.searchsorted(rows, rows)
         slots = int(place.max()) + 1 if len(rows) else 0
-        self.item_cols = np.zeros((slots, len(items.x)), dtype=np.int64)
-        self.item_vals = np.zeros((slots, len(items.x)))
-        self.item_cols[place, rows] = cols + user_width
-        self.item_vals[place, rows] = items.x[rows, cols]
+        self.slot_cols = np.full((slots, len(items.x)), self.half, dtype=np.int64)
+        self.slot_vals = np.zeros((slots, len(items.x)))
+        self.slot_cols[place, rows] = masked[at] + user_width
+        self.slot_vals[place, rows] = items.x[rows, masked[at]]
+
+    def _side(self, x: np.ndarray, first_column: int, branch: str) -> _Side:
+        w, net, half = self.w, self.net, self.half
+        at, cols = f"{branch}.0", np.arange(x.shape[1]) + first_column
+        projection = x @ w[f"{at}.w"][:, cols].T
+        plain, gain = w[f"{at}.b"] + 1.0, np.ones(half)
+        if net.normalise_cross:
+            projection = projection - projection.mean(1, keepdims=True)
+            gain = w[f"{at}.ln_g"]
+        value = cols < half
+        units, out = cols[value], w[f"{branch}.fc_w"]
+        shift = plain[units] + (w[f"{at}.ln_b"][units] if net.normalise_cross else 0.0)
+        a, c = x[:, value] * shift, x[:, value] * gain[units]
+        pad = cols >= 2 * half
+        z = np.clip(x[:, pad] * plain[cols[pad]], -net.clip, net.clip)
+        return _Side(
+            projection, units, c * out[units], 2 * a * c, c * c,
+            a @ out[units] + z @ out[cols[pad]], (a * a).sum(1) + (z * z).sum(1),
+            float(max(np.abs(a).max(initial=0.0), np.abs(c).max(initial=0.0))),
+        )
 
     def __call__(self, users: np.ndarray) -> np.ndarray:
+        logits = None
         if self.simple:
-            deep, shallow = (self._simple_branch(users, b) for b, _ in N.branches(self.net))
-            joint = N.sigmoid((deep + shallow) * 0.5)
-        else:
+            logits = [self._simple_branch(users, b) for b, _ in N.branches(self.net)]
+        if not self.simple or any(x is None for x in logits):
             n_items = len(self.items.x)
-            pairs = np.hstack(
-                [np.repeat(users, n_items, axis=0), np.tile(self.items.x, (len(users), 1))]
-            )
-            joint = N.scores(pairs, self.w, self.net)[0].reshape(len(users), n_items)
+            joint = np.vstack([
+                N.scores(np.hstack([np.tile(u, (n_items, 1)), self.items.x]), self.w, self.net)[0]
+                for u in users
+            ])
+        else:
+            joint = N.sigmoid((logits[0] + logits[1]) * 0.5)
         return np.round(joint, SCORE_PLACES)
 
-    def _simple_branch(self, users: np.ndarray, branch: str) -> np.ndarray:
+    def _simple_branch(self, users: np.ndarray, branch: str) -> np.ndarray | None:
         w, net, half = self.w, self.net, self.half
-        at = f"{branch}.0"
-        hu = users @ w[f"{at}.w"][:, : self.user_width].T
-        hv = self.projected[branch]
-        mean = hu.mean(1)[:, None] + hv.mean(1)[None, :]
-        cu, cv = hu - hu.mean(1)[:, None], hv - hv.mean(1)[:, None]
-        var = (cu**2).mean(1)[:, None] + (cv**2).mean(1)[None, :] + 2.0 * (cu @ cv.T) / half
+        at, out = f"{branch}.0", w[f"{branch}.fc_w"]
+        u, v = self._side(users, 0, branch), self.sides[branch]
+        tu, tv = u.projection, v.projection
+        cu, cv = tu - tu.mean(1, keepdims=True), tv - tv.mean(1, keepdims=True)
+        var = (cu**2).mean(1)[:, None] + (cv**2).mean(1) + (cu @ cv.T) * (2.0 / half)
         inv_sd = 1.0 / np.sqrt(np.maximum(var, 0.0) + N.LN_EPS)
-        top = np.zeros_like(mean)
-        square = np.zeros_like(mean)
-
-        def visit(x, h, unit, column, second, padded):
-            """Add the columns' part of the output product and of the squared length."""
-            normed = (h - mean) * inv_sd * w[f"{at}.ln_g"][unit] + w[f"{at}.ln_b"][unit]
-            first = normed if net.normalise_cross else h
-            cross = np.where(second, first * np.maximum(normed, 0.0), first)
-            cross = np.where(padded, 0.0, cross)
-            z = np.clip(x * (1.0 + w[f"{at}.b"][column] + cross), -net.clip, net.clip)
-            np.add(top, z * w[f"{branch}.fc_w"][column], out=top)
-            np.add(square, z * z, out=square)
-
-        for c in np.flatnonzero((users != 0).any(axis=0)):
-            unit = c % half if c < 2 * half else 0
-            visit(users[:, c][:, None], hu[:, unit][:, None] + hv[:, unit][None, :],
-                  unit, c, half <= c < 2 * half, c >= 2 * half)
-        each = np.arange(len(hv))
-        for cols, vals in zip(self.item_cols, self.item_vals, strict=True):
-            unit = np.where(cols < 2 * half, cols % half, 0)
-            visit(vals[None, :], hu[:, unit] + hv[each, unit][None, :],
-                  unit, cols, (cols >= half) & (cols < 2 * half), cols >= 2 * half)
+        rate = inv_sd if net.normalise_cross else 1.0
+
+        reach = np.sqrt(half) if net.normalise_cross else np.abs(tu).max() + np.abs(tv).max()
+        if max(u.largest, v.largest) * (1.0 + reach) > net.clip:
+            return None  # a value-part column might be clipped
+        if (users[:, half:2 * half] != 0).any():
+            return None  # masked columns on the user side
+
+        def linear(pu: np.ndarray, pv: np.ndarray) -> np.ndarray:
+            return (
+                (pu * tu[:, u.units]).sum(1)[:, None] + (pv * tv[:, v.units]).sum(1)
+                + np.hstack([pu, tu[:, v.units]]) @ np.hstack([tv[:, u.units], pv]).T
+            )
+
+        pu, pv, tu_v, tv_u = u.squared, v.squared, tu[:, v.units], tv[:, u.units]
+        quadratic = (
+            (pu * tu[:, u.units] ** 2).sum(1)[:, None] + (pv * tv[:, v.units] ** 2).sum(1)
+            + np.hstack([pu, 2 * pu * tu[:, u.units], tu_v, tu_v**2])
+            @ np.hstack([tv_u**2, tv_u, 2 * pv * tv[:, v.units], pv]).T
+        )
+        top = u.top[:, None] + v.top + rate * linear(u.linear, v.linear)
+        square = u.square[:, None] + v.square + rate * (
+            linear(u.mixed, v.mixed) + rate * quadratic
+        )
+
+        # Masked columns: z = x (1 + b + value * relu(normed)).
+        gain, offset = w[f"{at}.ln_g"], w[f"{at}.ln_b"]
+        each, normed, z = np.arange(len(tv)), np.empty(len(tv)), np.empty(len(tv))
+        for cols, vals in zip(self.slot_cols, self.slot_vals, strict=True):
+            unit = cols - half
+            item_part, g, o = (cv[each, unit] * gain[unit], gain[unit], offset[unit])
+            plain, weight, raw = vals * (w[f"{at}.b"][cols] + 1.0), out[cols], tv[each, unit]
+            for p in range(len(users)):
+                np.add(item_part, (cu[p] * gain)[unit], out=normed)
+                normed *= inv_sd[p]
+                normed += o
+                value = normed if net.normalise_cross else raw + tu[p][unit]
+                np.maximum(normed, 0.0, out=z)
+                z *= value
+                z *= vals
+                z += plain
+                np.maximum(z, -net.clip, out=z)
+                np.minimum(z, net.clip, out=z)
+                top[p] += z * weight
+                z *= z
+                square[p] += z
         return top / (np.sqrt(square) + N.NORM_EPS) + w[f"{branch}.fc_b"][0]
 
 
-def best_positions(scores: np.ndarray, n: int) -> np.ndarray:
-    """Positions of the ``n`` largest, descending; equal scores keep their order."""
-    if n < len(scores):
-        limit = np.partition(scores, len(scores) - n)[len(scores) - n]
-        above = np.flatnonzero(scores > limit)
-        at = np.flatnonzero(scores == limit)[: n - len(above)]
-        chosen = np.sort(np.concatenate([above, at]))
-    else:
-        chosen = np.arange(len(scores))
-    return chosen[np.argsort(-scores[chosen], kind="stable")]
-
-
-def _best_items(
-    batch: pa.RecordBatch | pa.Table, scorer: PairScorer, n: int
-) -> Iterator[pa.RecordBatch]:
-    items = scorer.items
-    rows = max(1, BLOCK_CELLS // max(1, len(items.x) * (1 if scorer.simple else items.x.shape[1])))
-    users = dense_block(batch.column("idx"), batch.column("val"), scorer.user_width)
-    pid, name = batch.column("profile_id").to_numpy(zero_copy_only=False), batch.column("username")
-    names = np.asarray(name.to_pylist(), dtype=object)
-    for start in range(0, len(users), rows):
-        block = scorer(users[start:start + rows])
-        best = [best_positions(np.where(np.isnan(s), -np.inf, s), n) for s in block]
-        which = np.repeat(np.arange(len(block)), [len(b) for b in best])
-        at = np.concatenate(best) if best else np.zeros(0, dtype=int)
-        score = block[which, at]
+def largest(scores: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the ``n`` largest, ascending; of equal scores the first ones count."""
+    if n >= len(scores):
+        return np.arange(len(scores))
+    limit = np.partition(scores, len(scores) - n)[len(scores) - n]
+    above = np.flatnonzero(scores > limit)
+    at = np.flatnonzero(scores == limit)[: n - len(above)]
+    return np.sort(np.concatenate([above, at]))
+
+
+def _scorers(items: ItemBlock, user_width: int, weights: N.Weights, net: NetworkConfig):
+    """The block in pieces whose working arrays stay in the processor's cache."""
+    cuts = range(0, len(items.x), PIECE_ITEMS)
+    return [
+        (start, PairScorer(items.piece(start, start + PIECE_ITEMS), user_width, weights, net))
+        for start in cuts
+    ]
+
+
+def _best_items(batch, items: ItemBlock, scorers, n: int) -> Iterator[pa.RecordBatch]:
+    width = scorers[0][1].user_width if scorers else 0
+    users = dense_block(batch.column("idx"), batch.column("val"), width)
+    pid = batch.column("profile_id").to_numpy(zero_copy_only=False)
+    names = np.asarray(batch.column("username").to_pylist(), dtype=object)
+    for first in range(0, len(users) if scorers else 0, PIECE_PROFILES):
+        rows = users[first:first + PIECE_PROFILES]
+        kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in rows]
+        for start, scorer in scorers:
+            for p, scores in enumerate(scorer(rows)):
+                scores = np.where(np.isnan(scores), -np.inf, scores)
+                chosen = largest(scores, n)
+                kept[p].append((chosen + start, scores[chosen]))
+        best_at, best_score = [], []
+        for pieces in kept:
+            at = np.concatenate([a for a, _ in pieces])
+            scores = np.concatenate([s for _, s in pieces])
+            chosen = largest(scores, n)
+            best_at.append(at[chosen])
+            best_score.append(scores[chosen])
+        which = first + np.repeat(np.arange(len(rows)), [len(a) for a in best_at])
+        at, score = np.concatenate(best_at), np.concatenate(best_score)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(pid[start + which]), pa.array(names[start + which], pa.string()),
+                pa.array(pid[which]), pa.array(names[which], pa.string()),
                 pa.array(items.content_id[at], pa.string()), pa.array(items.item_ord[at]),
-                pa.array(score, mask=np.isnan(score)),
+                pa.array(score, mask=np.isneginf(score)),
             ],
-            names=["profile_id", "username", "content_id", "item_ord", "score"],
+            schema=_PAIR_ARROW,
         )
 
 
-def _broadcast_plan(profiles, items, weights, net, user_width, item_width, n) -> DataFrame:
+def _broadcast_plan(
+    profiles, items, weights, net, user_width, item_width, n, tasks
+) -> DataFrame:
     block = ItemBlock.from_arrow(items.toArrow(), item_width)
     context = profiles.sparkSession.sparkContext
     shared = context.broadcast((block, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, weights = shared.value
-        scorer = PairScorer(block, user_width, weights, net)
+        scorers = _scorers(block, user_width, weights, net)
         for batch in batches:
-            yield from _best_items(batch, scorer, n)
+            yield from _best_items(batch, block, scorers, n)
 
-    return profiles.mapInArrow(run, PAIR_SCHEMA)
+    # Profiles are few bytes and much work, so their number of tasks must not follow bytes.
+    tasks = tasks or 4 * context.defaultParallelism
+    return profiles.repartition(tasks, "profile_id", "username").mapInArrow(run, PAIR_SCHEMA)
 
 
 def _grid_plan(
@@ -219,8 +310,10 @@ def _grid_plan(
         if not left.num_rows or not right.num_rows:
             return pa.Table.from_batches([], schema=_PAIR_ARROW)
         block = ItemBlock.from_arrow(right, item_width)
-        scorer = PairScorer(block, user_width, shared.value, net)
-        return pa.Table.from_batches(list(_best_items(left.combine_chunks(), scorer, n)))
+        scorers = _scorers(block, user_width, shared.value, net)
+        return pa.Table.from_batches(
+            list(_best_items(left.combine_chunks(), block, scorers, n)), schema=_PAIR_ARROW
+        )
 
     spread_profiles = profiles.withColumn(
         "tile", F.pmod(F.xxhash64("profile_id", "username"), F.lit(tiles))
@@ -251,6 +344,7 @@ def best_pairs(
     n: int = TOP_N,
     max_item_bytes: int = MAX_ITEM_BYTES,
     tile_profiles: int = TILE_PROFILES,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The best ``n`` items per (profile_id, username) row.
 
@@ -264,7 +358,7 @@ def best_pairs(
         raise ValueError(f"model width {width}, features {user_width} + {item_width}")
     size = items.count() * width * 16
     if size <= max_item_bytes:
-        return _broadcast_plan(profiles, items, weights, net, user_width, item_width, n)
+        return _broadcast_plan(profiles, items, weights, net, user_width, item_width, n, tasks)
     blocks = -(-size // max_item_bytes)
     tiles = -(-profiles.count() // tile_profiles)
     return _grid_plan(

@@ -264,7 +264,7 @@ FROM profiles p JOIN user_x u ON p.username = u.username CROSS JOIN item_x i""")
         *network("pairs", domain.network, sum(widths(domain)),
                  "profile_id, content_id, item_ord"),
         ("best", """
-SELECT profile_id, content_id, max(round(score, 8)) AS score, min(item_ord) AS item_ord
+SELECT profile_id, content_id, max(round(score, 7)) AS score, min(item_ord) AS item_ord
 FROM scored GROUP BY profile_id, content_id"""),
         ("ranked", f"""
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id
