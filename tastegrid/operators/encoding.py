@@ -56,11 +56,11 @@ def item_spec(domain: DomainConfig) -> FeatureSpec:
     )
 
 
-def vocabulary(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """(kind, source, value, ordinal): sorted distinct values per column, null last.
+def categories(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """(kind, source, value): the distinct values of every categorical column.
 
     One scan for all columns; the distinct combines before its shuffle, so only the
-    distinct values travel. The numbering window runs over the vocabulary itself.
+    distinct values travel.
     """
     def entry(kind: str, source: str, value: Column) -> Column:
         return F.struct(
@@ -74,13 +74,13 @@ def vocabulary(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
     entries = [F.array(entry("one_hot", c, F.col(c).cast("string"))) for c in spec.one_hot]
     entries += [entries_of_list(c) for c in spec.multi_hot]
+    return df.select(F.explode(F.concat(*entries)).alias("e")).select("e.*").distinct()
+
+
+def vocabulary(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """(kind, source, value, ordinal): categories in order of their value, null last."""
     order = Window.partitionBy("kind", "source").orderBy(F.col("value").asc_nulls_last())
-    return (
-        df.select(F.explode(F.concat(*entries)).alias("e"))
-        .select("e.*")
-        .distinct()
-        .withColumn("ordinal", F.row_number().over(order) - 1)
-    )
+    return categories(df, spec).withColumn("ordinal", F.row_number().over(order) - 1)
 
 
 def statistics(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -107,12 +107,26 @@ class Encoder:
     # -- fitting and tables -------------------------------------------------
 
     @classmethod
-    def from_tables(
-        cls, spec: FeatureSpec, vocab: DataFrame, stats: DataFrame | None,
-        max_vocabulary: int = MAX_VOCABULARY,
+    def fit(
+        cls, df: DataFrame, spec: FeatureSpec, max_vocabulary: int = MAX_VOCABULARY
     ) -> Encoder:
-        rows = vocab.limit(max_vocabulary + 1).collect()
-        if len(rows) > max_vocabulary:
+        """One job brings the categories and the statistics."""
+        state = categories(df, spec).select(
+            "kind", "source", "value",
+            F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("sd"),
+        )
+        if spec.scaled:
+            state = state.unionByName(statistics(df, spec).select(
+                F.lit("scaled").alias("kind"), "source", F.lit(None).cast("string").alias("value"),
+                "mean", "sd",
+            ))
+        return cls._from_rows(spec, state, max_vocabulary)
+
+    @classmethod
+    def _from_rows(cls, spec: FeatureSpec, state: DataFrame, max_vocabulary: int) -> Encoder:
+        most = max_vocabulary + len(spec.scaled)
+        rows = state.limit(most + 1).collect()
+        if len(rows) > most:
             raise ValueError(
                 f"more than {max_vocabulary} categories in {spec.one_hot + spec.multi_hot}: "
                 "the model width follows the vocabulary; raise max_vocabulary or drop a column"
@@ -121,17 +135,11 @@ class Encoder:
             **{("one_hot", c): [] for c in spec.one_hot},
             **{("multi_hot", c): [] for c in spec.multi_hot},
         }
-        for row in sorted(rows, key=lambda r: (r.kind, r.source, r.ordinal)):
-            values[row.kind, row.source].append(row.value)
-        fitted = {r.source: (r.mean, r.sd) for r in stats.collect()} if stats is not None else {}
-        return cls(spec, values, fitted)
-
-    @classmethod
-    def fit(
-        cls, df: DataFrame, spec: FeatureSpec, max_vocabulary: int = MAX_VOCABULARY
-    ) -> Encoder:
-        stats = statistics(df, spec) if spec.scaled else None
-        return cls.from_tables(spec, vocabulary(df, spec), stats, max_vocabulary)
+        stats = {r.source: (r.mean, r.sd) for r in rows if r.kind == "scaled"}
+        for row in sorted(rows, key=lambda r: (r.value is None, r.value)):
+            if row.kind != "scaled":
+                values[row.kind, row.source].append(row.value)
+        return cls(spec, values, stats)
 
     def vocab_table(self, spark: SparkSession) -> DataFrame:
         rows = [(k, s, v, i) for (k, s), vs in self.values.items() for i, v in enumerate(vs)]
@@ -145,13 +153,18 @@ class Encoder:
         self.stats_table(spark).write.mode("overwrite").parquet(f"{path}/stats")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, spec: FeatureSpec) -> Encoder:
+    def load(
+        cls, spark: SparkSession, path: str, spec: FeatureSpec,
+        max_vocabulary: int = MAX_VOCABULARY,
+    ) -> Encoder:
         from tastegrid.sources.tables import require_table
 
-        return cls.from_tables(
+        vocab = require_table(spark, f"{path}/vocab", "fitted vocabulary").drop("ordinal")
+        stats = require_table(spark, f"{path}/stats", "fitted statistics")
+        return cls._from_rows(
             spec,
-            require_table(spark, f"{path}/vocab", "fitted vocabulary"),
-            require_table(spark, f"{path}/stats", "fitted statistics"),
+            vocab.unionByName(stats.withColumn("kind", F.lit("scaled")), allowMissingColumns=True),
+            max_vocabulary,
         )
 
     # -- layout -------------------------------------------------------------

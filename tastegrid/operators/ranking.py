@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tastegrid.config import DEFAULT_RULE, TOP_N
 from tastegrid.functions import text as X
+from tastegrid.operators.joins import splittable_join
 
 META_COLUMNS = ("content_name", "tag_names", "type_id")
 
@@ -70,7 +71,7 @@ def profile_usernames(profile_rows: DataFrame) -> DataFrame:
 def with_meta(ranked: DataFrame, meta: DataFrame) -> DataFrame:
     """Metadata as text: a missing value reads ``None``, an unknown content is empty."""
     found = meta.withColumn("_found", F.lit(True))
-    joined = ranked.join(found, "content_id", "left")
+    joined = splittable_join(ranked, found, ["content_id"], "left")
 
     def shown(c: str) -> Column:
         return F.when(F.col("_found"), X.text_or_none(F.col(c))).otherwise(F.lit("")).alias(c)

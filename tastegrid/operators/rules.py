@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tastegrid.config import DEFAULT_RULE
 from tastegrid.functions import text as X
+from tastegrid.operators.joins import splittable_join
 
-MAX_BROADCAST_RULES = 100_000
+MAX_ARRAY_RULES = 1_000
 
 
 def tag_map(tags: DataFrame, order: str | None = None) -> DataFrame:
@@ -39,10 +40,11 @@ def rule_map(rules: DataFrame) -> DataFrame:
 
 def item_tags(items: DataFrame, tag_names: DataFrame) -> DataFrame:
     """(content_id, tag): the tag ids as text of each item; an unknown name reads ``None``."""
-    return (
-        items.select("content_id", F.explode(X.tag_name_set(F.col("tag_names"))).alias("tag_name"))
-        .join(tag_names, "tag_name", "left")
-        .select("content_id", X.text_or_none(F.col("tag_id")).alias("tag"))
+    names = items.select(
+        "content_id", F.explode(X.tag_name_set(F.col("tag_names"))).alias("tag_name")
+    )
+    return splittable_join(names, tag_names, ["tag_name"], "left").select(
+        "content_id", X.text_or_none(F.col("tag_id")).alias("tag")
     )
 
 
@@ -70,12 +72,12 @@ def contains_all(outer: Column, inner: Column) -> Column:
 def assign_rules(items: DataFrame, tag_names: DataFrame, rules: DataFrame) -> DataFrame:
     """(content_id, rule_id) by containment test of every rule in table order.
 
-    The rule table is counted first. Up to ``MAX_BROADCAST_RULES`` it travels as one
+    The rule table is counted first. Up to ``MAX_ARRAY_RULES`` it travels as one
     ordered array and each item keeps its first match, with no row per (item, rule);
     beyond that the division plan takes over.
     """
     ordered = rule_map(rules)
-    if ordered.limit(MAX_BROADCAST_RULES + 1).count() > MAX_BROADCAST_RULES:
+    if ordered.limit(MAX_ARRAY_RULES + 1).count() > MAX_ARRAY_RULES:
         return assign_rules_by_division(items, tag_names, rules)
     rule_array = ordered.agg(
         F.array_sort(F.collect_list(F.struct("rule_ord", "rule_id", "rule_tags")))
@@ -96,14 +98,21 @@ def assign_rules_by_division(
 ) -> DataFrame:
     """(content_id, rule_id) with both sides taken apart into tags and joined on one.
 
-    Each rule is anchored at the tag that the fewest items carry, so a tag that most
-    items share meets only rules made of nothing rarer. Candidates are checked for
-    containment and reduced to the first rule before they leave their task.
+    Of rules with the same tag set only the first can ever win, so the others leave. Each
+    rule is anchored at the tag that the fewest items carry: a tag that most items share
+    meets only rules made of nothing rarer. Candidates are checked for containment and
+    reduced to the first rule before they leave their task.
     """
     tags = item_tags(items, tag_names).distinct()
     frequency = tags.groupBy("tag").agg(F.count(F.lit(1)).alias("_f"))
-    anchors = (
+    first_of_set = (
         rule_map(rules)
+        .groupBy(F.array_sort("rule_tags").alias("rule_tags"))
+        .agg(F.min(F.struct("rule_ord", "rule_id")).alias("m"))
+        .select("m.*", "rule_tags")
+    )
+    anchors = (
+        first_of_set
         .select("rule_ord", "rule_id", "rule_tags", F.explode("rule_tags").alias("tag"))
         .join(frequency, "tag")
         .groupBy("rule_ord")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tastegrid.config import TOP_N, NetworkConfig
 from tastegrid.operators import network as N
 
-MAX_ITEM_BYTES = 512 * 1024 * 1024
+MAX_ITEM_BYTES = 128 * 1024 * 1024
 TILE_PROFILES = 50_000
 PIECE_ITEMS = 4096
 PIECE_PROFILES = 64

@@ -177,6 +177,7 @@ def batched_table(rows: DataFrame, steps: int, seed: int) -> DataFrame:
     (
         rows.select("idx", "val", F.col("label").cast("double").alias("label"),
                     batch.alias("batch"))
+        .hint("rebalance", "batch")  # few, even files per batch
         .write.partitionBy("batch").parquet(path)
     )
     return spark.read.parquet(path)

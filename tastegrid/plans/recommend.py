@@ -9,6 +9,7 @@ from tastegrid.config import DEFAULT_RULE, TOP_N, DomainConfig
 from tastegrid.operators import ranking as R
 from tastegrid.operators import rules as G
 from tastegrid.operators import scoring as S
+from tastegrid.operators.joins import splittable_join
 from tastegrid.operators.network import Weights
 from tastegrid.plans.feature_build import Features
 
@@ -17,11 +18,7 @@ def item_info(
     items: DataFrame, catalogue: DataFrame, tags: DataFrame, rules: DataFrame,
     order: str = "item_ord", tag_order: str | None = None,
 ) -> DataFrame:
-    """(content_id, metadata as text, rule_id) per scored item, rules judged on that text.
-
-    Worth storing as a table first: joined from there, a content recommended to most
-    profiles can be split by adaptive execution.
-    """
+    """(content_id, metadata as text, rule_id) per scored item, rules judged on that text."""
     shown = R.with_meta(
         items.select("content_id").distinct(), R.content_meta(catalogue, order)
     )
@@ -30,7 +27,7 @@ def item_info(
 
 def with_info(ranked: DataFrame, info: DataFrame) -> DataFrame:
     """Ranked rows with the metadata and rule of their item."""
-    return ranked.join(info, "content_id").select(
+    return splittable_join(ranked, info, ["content_id"]).select(
         *ranked.columns, *R.META_COLUMNS,
         F.coalesce("rule_id", F.lit(DEFAULT_RULE)).cast("bigint").alias("rule_id"),
     )
