@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -34,3 +35,13 @@ def build_if_absent(
     if refresh or not table_exists(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """(rule_ord, LIST_TAGS_ID, RULE_ID); the order is that of the stored rows."""
+    from tastegrid.operators.positions import read_with_positions
+
+    return read_with_positions(spark, path, ["LIST_TAGS_ID", "RULE_ID"]).select(
+        F.col("position").cast("int").alias("rule_ord"), "LIST_TAGS_ID",
+        F.col("RULE_ID").cast("bigint").alias("RULE_ID"),
+    )
