@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.config import TOP_N, NetworkConfig
 from tastegrid.operators import network as N
+from tastegrid.session import ship_package
 
 MAX_ITEM_BYTES = 128 * 1024 * 1024
 TILE_PROFILES = 50_000
@@ -51,6 +52,7 @@ def score_rows(
     rows: DataFrame, weights: N.Weights, net: NetworkConfig, width: int, keep: list[str]
 ) -> DataFrame:
     """``keep`` columns plus score, score_deep, score_shallow of each feature row."""
+    ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,6 +353,7 @@ def best_pairs(
     ``profiles``: profile_id, username, idx, val. ``items``: content_id, item_ord, idx,
     val, one row per content. The number of items is counted to choose the plan.
     """
+    ship_package(profiles.sparkSession)
     profiles = profiles.select("profile_id", "username", "idx", "val")
     items = items.select("content_id", "item_ord", "idx", "val")
     width = weights["deep.fc_w"].shape[0]

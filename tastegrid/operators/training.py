@@ -24,7 +24,7 @@ from tastegrid.config import DomainConfig
 from tastegrid.operators import evaluation as E
 from tastegrid.operators import network as N
 from tastegrid.operators.scoring import dense_block, score_rows
-from tastegrid.session import checkpoint_dir
+from tastegrid.session import checkpoint_dir, ship_package
 
 STEPS_PER_EPOCH = 32
 BUCKETS = 32
@@ -106,6 +106,7 @@ def gradient_sums(
     batch statistics are those of a block.
     """
     net, block_rows = domain.network, domain.batch_rows
+    ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(w)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

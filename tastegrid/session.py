@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,20 @@ def build_session(app: str = "tastegrid", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_tastegrid_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tastegrid-")) / "tastegrid.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tastegrid_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)

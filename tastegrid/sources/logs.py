@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.config import LOG_COLUMNS
+from tastegrid.session import ship_package
 
 REPORT_SCHEMA = "path string, status string, signature string"
 # Column types of the log as read here.
@@ -26,6 +27,7 @@ def inspect_log_files(spark: SparkSession, folder: str, suffix: str = "*.parquet
     ``status`` is ``ok``, ``missing <columns>`` or ``unreadable``; ``signature`` lists the
     stored types of the needed columns.
     """
+    ship_package(spark)
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(folder)
         .select("path")
