@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from tastegrid.config import DOMAINS
 from tastegrid.plans import jobs
 from tastegrid.session import build_session
 
+INPUTS = ("log", "users", "catalogue", "tags", "rules")
+
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tastegrid", description=__doc__)
@@ -15,6 +18,8 @@ def main() -> None:
     parser.add_argument("domain", nargs="?", choices=list(DOMAINS), default="all")
     parser.add_argument("--root", required=True, help="folder of the inputs")
     parser.add_argument("--work", help="folder of the results (default ROOT/work)")
+    for name in INPUTS:
+        parser.add_argument(f"--{name}", help="this input, where it lies elsewhere")
     parser.add_argument("--as-of-year", type=int, help="year for unreadable birthdays")
     parser.add_argument("--refresh", action="store_true", help="rebuild stored tables")
     parser.add_argument("--top-n", type=int, default=200)
@@ -22,7 +27,9 @@ def main() -> None:
     options = parser.parse_args()
 
     spark = build_session(f"tastegrid-{options.job}-{options.domain}", options.master)
-    layout, domain = jobs.Layout.under(options.root, options.work), DOMAINS[options.domain]
+    elsewhere = {n: getattr(options, n) for n in INPUTS if getattr(options, n)}
+    layout = replace(jobs.Layout.under(options.root, options.work), **elsewhere)
+    domain = DOMAINS[options.domain]
     if options.job == "compact":
         print(jobs.compact_log(spark, layout))
     elif options.job == "train":

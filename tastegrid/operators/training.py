@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -201,8 +201,8 @@ class Model:
 
 
 HISTORY_SCHEMA = (
-    "round int, epoch int, train_loss double, train_precision double, train_recall double, "
-    "train_f1 double, val_loss double, accuracy double, precision double, recall double, "
+    "round int, epoch int, train_loss double, train_accuracy double, train_precision double, "
+    "train_recall double, train_f1 double, train_auc double, val_loss double, accuracy double, precision double, recall double, "
     "f1 double, auc double"
 )
 
@@ -236,12 +236,16 @@ def train(
     earlier_loss: float = math.inf,
     seed: int = 42,
     weights: N.Weights | None = None,
+    train_auc: bool = False,
+    on_best: Callable[[Model], None] | None = None,
 ) -> tuple[Model | None, list[tuple]]:
     """Train on ``split`` (row_key, label, idx, val, split) and return the best model.
 
     Rounds continue the same weights and optimiser. Each has its own patience, and a
-    model is kept only if it also beats the loss saved before the round began. The
-    second value is the history, one tuple per epoch (``HISTORY_SCHEMA``).
+    model is kept only if it also beats the loss saved before the round began; ``on_best``
+    is called with it at once. The second value is the history, one tuple per epoch
+    (``HISTORY_SCHEMA``). Training metrics come from the gradient pass itself, except for
+    the ROC area, which ``train_auc`` buys with one more pass.
     """
     width = len(feature_names)
     w = weights if weights is not None else N.init_weights(width, domain.network, seed)
@@ -268,14 +272,17 @@ def train(
                 if grad is not None:
                     w = optimiser.update(w, grad)
                     totals += sums
-            n, loss, tp, fp, fn, _ = totals
+            n, loss, tp, fp, fn, tn = totals
             precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
             v = validate(val_rows, w, domain, width, pos_weight)
+            area = math.nan
+            if train_auc:
+                area = validate(train_rows, w, domain, width, pos_weight)["auc"]
             optimiser.epoch += 1
             history.append((
-                round_no + 1, epoch + 1, _ratio(loss, n), precision, recall,
-                _ratio(2 * tp, 2 * tp + fp + fn), v["loss"], v["accuracy"], v["precision"],
-                v["recall"], v["f1"], v["auc"],
+                round_no + 1, epoch + 1, _ratio(loss, n), _ratio(tp + tn, n), precision, recall,
+                _ratio(2 * tp, 2 * tp + fp + fn), area, v["loss"], v["accuracy"],
+                v["precision"], v["recall"], v["f1"], v["auc"],
             ))
             if v["loss"] < best_in_round:
                 best_in_round, waited = v["loss"], 0
@@ -284,6 +291,8 @@ def train(
                     state |= {f"second.{k}": a for k, a in optimiser.second.items()}
                     best = Model(dict(w), list(feature_names), v["loss"], round_no + 1,
                                  epoch + 1, state)
+                    if on_best is not None:
+                        on_best(best)
             else:
                 waited += 1
                 if waited >= domain.patience:

@@ -42,8 +42,8 @@ class Layout:
         """The usual names below one folder."""
         root = root.rstrip("/")
         return cls(
-            f"{root}/duration", f"{root}/month_mytv_info.parquet", f"{root}/mytv_vmp_content",
-            f"{root}/tags", f"{root}/rule_info.parquet", work or f"{root}/work",
+            f"{root}/log", f"{root}/users.parquet", f"{root}/catalogue", f"{root}/tags",
+            f"{root}/rules.parquet", work or f"{root}/work",
         )
 
     def of(self, domain: DomainConfig, name: str) -> str:
@@ -119,9 +119,10 @@ def train_domain(
     earlier = math.inf
     if tables.table_exists(spark, f"{model_path}/meta"):
         earlier = spark.read.parquet(f"{model_path}/meta").first().loss
-    model, history = fit_model(matrix, names, domain, earlier_loss=earlier, **options)
-    if model is not None:
-        T.save_model(spark, model, model_path)
+    _, history = fit_model(
+        matrix, names, domain, earlier_loss=earlier,
+        on_best=lambda model: T.save_model(spark, model, model_path), **options,
+    )
     spark.createDataFrame(history, T.HISTORY_SCHEMA).write.mode("append").parquet(
         layout.of(domain, "history")
     )
@@ -142,6 +143,7 @@ def recommend_domain(
     features = _stored(spark, feature_build.apply_features(
         tables.read_table(spark, layout.users), catalogue, user_encoder, item_encoder, domain,
         as_of_year or date.today().year, num_users, num_items,
+        item_encoder.stats.get("content_publish_year", (None,))[0],
     ), layout, domain, "score")
     info_path, result_path = (layout.of(domain, p) for p in ("item_info", "results"))
     recommend.item_info(

@@ -15,7 +15,7 @@ def layout(spark, sf_dir, tmp_path_factory):
     A.watch_log_dense(spark, sf_dir).coalesce(2).write.parquet(layout.log)
     A.users(spark, sf_dir).coalesce(1).write.parquet(layout.users)
     A.rules(spark).orderBy("rule_ord").drop("rule_ord").coalesce(1).write.parquet(layout.rules)
-    folder = root / "mytv_vmp_content" / "deep"
+    folder = root / "catalogue" / "deep"
     folder.mkdir(parents=True)
     rows = [r.asDict() for r in A.catalogue(spark, sf_dir).drop("item_ord").collect()]
     (folder / "content_clip_20.json").write_text(json.dumps(rows[:100]))

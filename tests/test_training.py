@@ -11,6 +11,7 @@ from tastegrid.plans.fit_model import fit_model
 
 WIDTH = 8
 NAMES = [f"f{i}" for i in range(WIDTH)]
+HISTORY = [c.split()[0] for c in T.HISTORY_SCHEMA.split(", ")]
 
 
 @pytest.fixture(scope="module")
@@ -30,11 +31,15 @@ def domain(name, **changes):
 @pytest.mark.parametrize("name", ["movie", "all"])
 def test_training_learns_a_planted_signal(matrix, name):
     config = domain(name, learning_rate=0.05)
-    model, history = fit_model(matrix, NAMES, config, rounds=1, epochs=4, steps=4)
-    losses = [h[6] for h in history]
+    kept = []
+    model, history = fit_model(matrix, NAMES, config, rounds=1, epochs=4, steps=4,
+                               train_auc=name == "movie", on_best=kept.append)
+    losses = [h[HISTORY.index("val_loss")] for h in history]
     assert len(history) == 4 and losses[-1] < losses[0]
     assert history[-1][-1] > 0.75  # validation AUC
-    assert model.loss == min(losses)
+    assert model.loss == min(losses) and kept[-1] is model
+    if name == "movie":
+        assert history[-1][HISTORY.index("train_auc")] > 0.75
 
 
 def test_gradient_does_not_depend_on_partitions(spark, matrix):
