@@ -47,13 +47,14 @@ def join_diagnostics(log: DataFrame, users: DataFrame, items: DataFrame) -> Data
                       F.count_distinct("content_id").alias("contents_after_items")),
         distinct_rows.agg(F.count(F.lit(1)).alias("rows_after_distinct")),
     ]
-    columns = []
-    for part in parts:
-        found = part.select(F.struct(*part.columns)).scalar()
-        columns += [
-            F.coalesce(found[c], F.lit(0)).cast("bigint").alias(c) for c in part.columns
-        ]
-    return log.sparkSession.range(1).select(*columns)
+    found = F.struct(*[
+        part.select(F.struct(*part.columns)).scalar().alias(f"p{i}")
+        for i, part in enumerate(parts)
+    ])
+    return log.sparkSession.range(1).select(F.inline(F.array(found))).select(*[
+        F.coalesce(F.col(f"p{i}.{c}"), F.lit(0)).cast("bigint").alias(c)
+        for i, part in enumerate(parts) for c in part.columns
+    ])
 
 
 def content_overlap(log: DataFrame, items: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tastegrid.operators.joins import with_scalar
+
 THRESHOLD = 0.5
 AUC_FAN = 32
 
@@ -67,11 +69,11 @@ def roc_auc(scored: DataFrame, score: str = "score") -> DataFrame:
         F.sequence(F.lit(1), F.lit(AUC_FAN - 1)), lambda k: F.get("_cuts", k * AUC_FAN - 1)
     )
     ranged = (
-        by_score.withColumn("_cuts", cuts)
-        .withColumn("_coarse", below(every))
-        .withColumn("r", F.col("_coarse") * AUC_FAN + below(
-            F.slice("_cuts", F.col("_coarse") * AUC_FAN + 1, F.lit(AUC_FAN - 1))))
-        .drop("_cuts", "_coarse")
+        with_scalar(by_score, "_cuts", cuts)
+        .withColumn("_from", below(every) * AUC_FAN)
+        .withColumn("r", F.col("_from") + below(
+            F.slice("_cuts", F.col("_from") + 1, F.lit(AUC_FAN - 1))))
+        .drop("_cuts", "_from")
     )
     within = Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
@@ -108,15 +110,10 @@ def balanced_weights(rows: DataFrame) -> DataFrame:
             F.greatest(F.count("label") - F.sum("label"), F.lit(1)).cast("double").alias("neg"),
         )
     ).scalar()
-    return (
-        rows.withColumn("_t", totals)
-        .withColumn(
-            "weight",
-            F.when(F.col("label") == 1, F.col("_t.neg") / (F.col("_t.pos") + F.col("_t.neg")))
-            .otherwise(F.col("_t.pos") / (F.col("_t.pos") + F.col("_t.neg"))),
-        )
-        .drop("_t")
-    )
+    other = F.when(F.col("label") == 1, F.col("_t.neg")).otherwise(F.col("_t.pos"))
+    return with_scalar(rows, "_t", totals).withColumn(
+        "weight", other / (F.col("_t.pos") + F.col("_t.neg"))
+    ).drop("_t")
 
 
 def tri_bce(scored: DataFrame, weight: Column | None = None) -> DataFrame:

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def with_scalar(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a scalar subquery as a column that is planned once, however often it is used."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def splittable_join(
     rows: DataFrame, aggregated: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
