@@ -175,12 +175,12 @@ def batched_table(rows: DataFrame, steps: int, seed: int) -> DataFrame:
     spark = rows.sparkSession
     path = f"{checkpoint_dir(spark)}/batches-{uuid.uuid4().hex}"
     batch = F.pmod(F.xxhash64(F.lit(seed), "row_key"), F.lit(steps)).cast("int")
-    (
-        rows.select("idx", "val", F.col("label").cast("double").alias("label"),
-                    batch.alias("batch"))
-        .hint("rebalance", "batch")  # few, even files per batch
-        .write.partitionBy("batch").parquet(path)
+    batched = rows.select(
+        "idx", "val", F.col("label").cast("double").alias("label"), batch.alias("batch")
     )
+    if steps > 1:
+        batched = batched.hint("rebalance", "batch")  # few, even files per batch
+    batched.write.partitionBy("batch").parquet(path)
     return spark.read.parquet(path)
 
 
