@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegrid.llm import decontamination, language_id, topk, url_filter
+from tastegrid.llm import (
+    bpe,
+    decontamination,
+    language_id,
+    sharding,
+    topk,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
+SHARDS = 40
+RANK_FILE = "byte_bpe_50k.tiktoken"
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
@@ -23,6 +34,14 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
+def op2_minimax_shards(spark: SparkSession, d: str) -> DataFrame:
+    found = sharding.shard_documents(table(spark, d, "documents"), SHARDS)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     model = language_id.train(docs.where(~language_id.held_out(4, 2)))
@@ -43,13 +62,42 @@ def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.tracked_urls(pages), URL_RULES)
 
 
+def vocabulary(path: str | None = None) -> bpe.Vocabulary:
+    return bpe.Vocabulary.read(
+        path or public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
+    )
+
+
+def op8_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    coded = bpe.encode_decode(table(spark, d, "documents"), vocabulary())
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    held_out = language_id.held_out(3, 1)
+    model = toxicity.train(
+        docs.where(~held_out), table(spark, d, "labels").where(~held_out)
+    )
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
+
+
 def op10_bit_sliced_topk(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
 QUERIES: dict[str, Query] = {
+    "op2_minimax_shards": op2_minimax_shards,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_url_filter": op6_url_filter,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_bit_sliced_topk": op10_bit_sliced_topk,
 }
