@@ -18,10 +18,13 @@ FACTORS = 4
 STEM = 4
 #: At most so many training rows of each label, those with the smallest hashed ids.
 SAMPLE_ROWS = 5_000
-EPOCHS = 6
+EPOCHS = 12
 BATCH_ROWS = 64
-RATE = 0.1
+RATE = 0.3
 DECAY = 1e-4
+#: Terms are learnt if their shares of the two labels' texts differ by this factor, and by so
+#: many standard errors.
+MIN_RATIO, MIN_ERRORS = 2.5, 2.5
 TOXIC = 0.7
 
 
@@ -81,6 +84,9 @@ def fit(rows: list[tuple[np.ndarray, int]], seed: int = 0) -> Model:
     bias = 0.0
     weights = np.zeros(BUCKETS)
     factors = rng.normal(0, 0.01, (BUCKETS, FACTORS))
+    telling = _telling(rows, labels)
+    rows = [(found[telling[found]], label) for found, label in rows]
+    factors[~telling] = 0
     if len(set(labels.tolist())) < 2:
         rate = (labels.sum() + 0.5) / (len(labels) + 1)
         return Model(float(np.log(rate / (1 - rate))), weights, np.zeros_like(factors))
@@ -96,6 +102,10 @@ def fit(rows: list[tuple[np.ndarray, int]], seed: int = 0) -> Model:
             score, sums = raw_scores(Model(bias, weights, factors), found, counts)
             chance = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
             slope = (chance - labels[chosen]) * importance[chosen] / len(chosen)
+            seen_b += slope.sum() ** 2
+            bias -= RATE * slope.sum() / np.sqrt(seen_b)
+            if not len(found):
+                continue
             each = np.repeat(slope, counts)
             used, at = np.unique(found, return_inverse=True)
             step_w = np.bincount(at, each) + DECAY * weights[used] / len(chosen)
@@ -107,11 +117,26 @@ def fit(rows: list[tuple[np.ndarray, int]], seed: int = 0) -> Model:
             seen_v[used] += step_v**2
             weights[used] -= RATE * step_w / np.sqrt(seen_w[used])
             factors[used] -= 0.1 * RATE * step_v / np.sqrt(seen_v[used])
-            seen_b += slope.sum() ** 2
-            bias -= RATE * slope.sum() / np.sqrt(seen_b)
     return Model(bias, weights.astype(np.float32), factors.astype(np.float32))
 
 
+def _telling(rows: list[tuple[np.ndarray, int]], labels: np.ndarray) -> np.ndarray:
+    """Which terms are much commoner with one label than with the other."""
+    share, error = [], 0.0
+    for label in (0, 1):
+        n = max(int((labels == label).sum()), 1)
+        texts = np.bincount(
+            np.concatenate([[0][:0], *[f for f, own in rows if own == label]]).astype(np.int64),
+            minlength=BUCKETS,
+        )
+        part = (texts + 0.5) / (n + 1)
+        share.append(part)
+        error = error + part * (1 - part) / n
+    ratio = share[1] / share[0]
+    apart = np.abs(share[1] - share[0]) >= MIN_ERRORS * np.sqrt(error)
+    return apart & ((ratio >= MIN_RATIO) | (ratio <= 1 / MIN_RATIO))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on documents (doc_id, text) whose label (doc_id, toxic) is 0 or 1.
 
