@@ -33,20 +33,28 @@ def map_slices(
     ``schema`` by name, or None for no rows.
     """
     ship_package(df.sparkSession)
-    target = to_arrow_schema(T._parse_datatype_string(schema))
+    target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, weight, limit):
                 found = work(piece)
                 if found is not None:
-                    yield pa.RecordBatch.from_arrays(
-                        [column(found[f.name], f.type) for f in target], schema=target
-                    )
+                    yield record(found, target)
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def arrow_schema(schema: str) -> pa.Schema:
+    return to_arrow_schema(T.StructType.fromDDL(schema))
+
+
+def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [column(columns[f.name], f.type) for f in schema], schema=schema
+    )
+
+
 def column(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()

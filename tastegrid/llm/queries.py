@@ -13,6 +13,7 @@ from tastegrid.llm import (
     decontamination,
     language_id,
     sharding,
+    substring,
     topk,
     toxicity,
     url_filter,
@@ -62,6 +63,11 @@ def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.tracked_urls(pages), URL_RULES)
 
 
+def op7_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, d, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def vocabulary(path: str | None = None) -> bpe.Vocabulary:
     return bpe.Vocabulary.read(
         path or public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
@@ -97,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_url_filter": op6_url_filter,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_bit_sliced_topk": op10_bit_sliced_topk,
