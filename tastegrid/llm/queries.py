@@ -12,6 +12,7 @@ from tastegrid.llm import (
     bpe,
     decontamination,
     language_id,
+    ngram_join,
     sharding,
     substring,
     topk,
@@ -35,6 +36,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, d, "documents"), 4, 85).select(
+        "doc_id", F.col("n_grams").alias("n_shingles"), "component_id"
+    )
+
+
 def op2_minimax_shards(spark: SparkSession, d: str) -> DataFrame:
     found = sharding.shard_documents(table(spark, d, "documents"), SHARDS)
     return found.select(
@@ -99,6 +106,7 @@ def op10_bit_sliced_topk(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_minimax_shards": op2_minimax_shards,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
