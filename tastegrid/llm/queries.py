@@ -12,6 +12,7 @@ from tastegrid.llm import (
     bpe,
     decontamination,
     language_id,
+    language_model,
     ngram_join,
     sharding,
     substring,
@@ -50,6 +51,15 @@ def op2_minimax_shards(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    held_out = language_id.held_out(10, 0)
+    docs = table(spark, d, "documents").withColumn("train", ~held_out)
+    return language_model.score_documents(docs).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     model = language_id.train(docs.where(~language_id.held_out(4, 2)))
@@ -108,6 +118,7 @@ def op10_bit_sliced_topk(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_minimax_shards": op2_minimax_shards,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_url_filter": op6_url_filter,
