@@ -24,7 +24,7 @@ def tokens(text: Column) -> Column:
 
 
 def seeds(df: DataFrame, key: str, words: str) -> DataFrame:
-    """(key, seed, at): for each window of SPAN tokens one hash per mask.
+    """(key, at, mask, seed): for each window of SPAN tokens one hash per mask.
 
     The token hashes are shifted against each other as arrays, so that a window is one
     row of numbers and no row ever holds the text.
@@ -38,7 +38,7 @@ def seeds(df: DataFrame, key: str, words: str) -> DataFrame:
     hashes = [
         F.xxhash64(F.lit(m), *[F.col(f"w.t{k}") for k in mask]) for m, mask in enumerate(MASKS)
     ]
-    return rows.select(key, "at", F.explode(F.array(*hashes)).alias("seed"))
+    return rows.select(key, "at", F.posexplode(F.array(*hashes)).alias("mask", "seed"))
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -46,77 +46,58 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, start): alignments of an item and a document that share a seed.
-
-    ``start`` is the token of the document opposite the item's first token, possibly < 0.
-    """
+def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
+    """(seed, item_id, n_tokens, item_at, mask) for every window of every item."""
     items = benchmark.select("item_id", tokens(F.col("text")).alias("words"))
-    wanted = stored(
-        seeds(items, "item_id", "words").withColumnRenamed("at", "item_at"), "benchmark-seeds"
+    lengths = items.groupBy("item_id").agg(
+        F.max(F.size("words")).cast("bigint").alias("n_tokens")
+    )
+    return seeds(items, "item_id", "words").join(lengths, "item_id").select(
+        "seed", "item_id", "n_tokens", F.col("at").alias("item_at"), "mask"
     )
-    found = seeds(docs.select("doc_id", tokens(F.col("text")).alias("words")), "doc_id", "words")
-    return found.join(small(wanted, 64), "seed").select(
-        "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("start")
-    ).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, n_tokens, n_matched, overlap) of passages found in documents.
 
     Tokens are lower-cased runs of letters and digits. Masks that skip some tokens give
-    seeds; a seed shared by an item and a document fixes an alignment, and on it all tokens
-    of the item are compared with those of the document. A pair is returned, with its best
+    seeds; a seed shared by an item and a document fixes an alignment (``start``: the
+    document's token opposite the item's first, possibly < 0) and shows the tokens its mask
+    looks at to be equal. On each alignment the tokens shown equal by all hits around are
+    put together, so a changed word costs only itself. A pair is returned, with its best
     alignment (most equal tokens, then the smallest start), if at least ``MIN_OVERLAP`` of
     the item agrees or ``MIN_STRETCH`` of some ``STRETCH`` tokens of it.
 
-    Null and empty texts give no rows, nor do items of fewer than ``SPAN`` tokens, which
-    are too short to tell a passage from chance. Repeated rows and repeated ids count as
-    one document (each of its texts is compared); other columns are not read.
+    One pass over the documents; only hits are shuffled, and their sets combine before
+    that. Null and empty texts give no rows, nor do items of fewer than ``SPAN`` tokens,
+    which are too short to tell a passage from chance. Repeated rows and ids count as one
+    document or item; other columns are not read.
     """
-    docs = docs.select("doc_id", "text")
-    benchmark = benchmark.select("item_id", "text")
-    found = stored(alignments(docs, benchmark), "alignments")
-    items = benchmark.select("item_id", tokens(F.col("text")).alias("item"))
-    by_doc = found.groupBy("doc_id").agg(
-        F.collect_list(F.struct("item_id", "start")).alias("found")
-    )
-    placed = (
-        docs.join(by_doc, "doc_id")
-        .select("doc_id", tokens(F.col("text")).alias("words"), "found")
-        .select("doc_id", "words", F.explode("found").alias("f"))
-        .select(
-            "doc_id", F.col("f.item_id").alias("item_id"), F.col("f.start").alias("start"),
-            "words",
+    wanted = stored(benchmark_seeds(benchmark.select("item_id", "text")), "benchmark-seeds")
+    found = seeds(
+        docs.select("doc_id", tokens(F.col("text")).alias("words")), "doc_id", "words"
+    ).drop("mask")
+    hits = found.join(small(wanted, 64), "seed").groupBy(
+        "doc_id", "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("start")
+    ).agg(F.collect_set(F.struct("item_at", "mask")).alias("hits"))
+    looks = F.array(*[F.array(*[F.lit(k) for k in mask]) for mask in MASKS])
+    equal = F.array_distinct(F.flatten(F.transform(
+        "hits", lambda h: F.transform(
+            F.element_at(looks, h["mask"] + 1), lambda k: k + h["item_at"]
         )
-    )
-    return _best(_matched(placed.join(small(items, 1 << 10), "item_id")))
-
-
-def _matched(rows: DataFrame) -> DataFrame:
-    skipped = F.greatest(-F.col("start"), F.lit(0))
-    part = F.slice("item", skipped + 1, F.size("item"))
-    pairs = F.zip_with(
-        part, F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.size(part)), lambda a, b: a.eqNullSafe(b).cast("int")
-    )
-    rows = rows.select(
-        "doc_id", "item_id", "start", F.size("item").cast("bigint").alias("n_tokens"),
-        pairs.alias("same"),
-    )
-    total = F.aggregate("same", F.lit(0), lambda a, x: a + x).cast("bigint")
-    lasts = F.sequence(F.lit(0), F.greatest(F.size("same") - STRETCH, F.lit(0)))
-    near = F.exists(
-        lasts,
-        lambda s: F.aggregate(F.slice("same", s + 1, STRETCH), F.lit(0), lambda a, x: a + x)
-        >= MIN_STRETCH,
-    )
-    return rows.select("*", total.alias("n_matched"), near.alias("near"))
+    )))
+    return _best(hits.select("doc_id", "item_id", "start", "n_tokens", equal.alias("equal")))
 
 
 def _best(rows: DataFrame) -> DataFrame:
+    n_matched = F.size("equal").cast("bigint")
+    near = F.exists("equal", lambda first: F.size(F.filter(
+        "equal", lambda x: (x >= first) & (x < first + STRETCH)
+    )) >= MIN_STRETCH)
     best = F.max(F.struct("n_matched", (-F.col("start")).alias("back"), "n_tokens"))
     return (
-        rows.where(F.col("near") | (F.col("n_matched") >= MIN_OVERLAP * F.col("n_tokens")))
+        rows.withColumn("n_matched", n_matched)
+        .where((F.col("n_matched") >= MIN_OVERLAP * F.col("n_tokens")) | near)
         .groupBy("doc_id", "item_id").agg(best.alias("b"))
         .select(
             "doc_id", "item_id", (-F.col("b.back")).cast("bigint").alias("start"),
