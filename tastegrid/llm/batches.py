@@ -23,7 +23,7 @@ def map_slices(
     df: DataFrame,
     columns: Sequence[str],
     work: Callable[[pa.RecordBatch], dict | None],
-    schema: str,
+    schema: str | T.StructType,
     weight: str = "text",
     limit: int = SLICE_BYTES,
 ) -> DataFrame:
@@ -45,8 +45,8 @@ def map_slices(
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def arrow_schema(schema: str) -> pa.Schema:
-    return to_arrow_schema(T.StructType.fromDDL(schema))
+def arrow_schema(schema: str | T.StructType) -> pa.Schema:
+    return to_arrow_schema(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
 def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:

@@ -195,6 +195,16 @@ def decode(margin: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return order[:, 0], sure
 
 
+def _told(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(language names, confidences) of texts, nulls included."""
+    texts = pc.fill_null(texts, "")
+    real = pc.match_substring_regex(texts, r"\p{L}").to_numpy(False)
+    real &= len(model.languages) > 0
+    best, sure = decode(margins(texts, model), model)
+    names = np.array([*model.languages, UNKNOWN], object)
+    return names[np.where(real, best, len(model.languages))], np.where(real, sure, 0.0)
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, ambiguous) of every row.
 
@@ -207,18 +217,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(piece: pa.RecordBatch) -> dict:
-        known = sent.value
-        texts = pc.fill_null(piece.column("text"), "")
-        real = pc.match_substring_regex(texts, r"\p{L}").to_numpy(False)
-        real &= len(known.languages) > 0
-        best, sure = decode(margins(texts, known), known)
-        names = np.array([*known.languages, UNKNOWN], object)
-        sure = np.where(real, sure, 0.0)
-        return {
-            "doc_id": piece.column("doc_id"),
-            "lang_pred": names[np.where(real, best, len(known.languages))],
-            "score": sure, "ambiguous": sure < AMBIGUOUS,
-        }
+        names, sure = _told(piece.column("text"), sent.value)
+        return {"doc_id": piece.column("doc_id"), "lang_pred": names, "score": sure,
+                "ambiguous": sure < AMBIGUOUS}
 
     return map_slices(
         docs, ["doc_id", "text"], work,
@@ -227,6 +228,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def keep_told(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``predict`` neither calls ``und`` nor ambiguous."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(piece: pa.RecordBatch) -> dict:
+        _, sure = _told(piece.column("text"), sent.value)
+        kept = piece.filter(pa.array(sure >= AMBIGUOUS))
+        return dict(zip(kept.schema.names, kept.columns, strict=True))
+
+    return map_slices(docs, docs.columns, work, docs.schema, limit=SLICE_BYTES)
+
+
 def held_out(modulus: int, remainder: int):
     """Whether crc32 of the doc_id as text leaves this remainder (null for a null id)."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
