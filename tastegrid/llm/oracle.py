@@ -1,6 +1,156 @@
 """DuckDB SQL for the registered queries of the operators that SQL can express."""
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER = "abcdefghijklmnopqrstuvwxyz"
+from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+_MASKS = ((0, 1, 3, 4, 7), (0, 2, 5, 6, 7))
+
+NGRAM_JACCARD = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_WORDS.format(_LOWERED.format('text'))} AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(
+      range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b USING (g)
+  WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reached GROUP BY a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
+  least(doc_id, coalesce(b, doc_id)) AS component_id
+FROM sets LEFT JOIN least ON doc_id = a
+"""
+
+
+def _seeds(words: str, ident: str, source: str) -> str:
+    parts = [
+        f"SELECT {ident}, i - 1 AS p, {m} AS mask, "
+        f"[{', '.join(f'{words}[i + {k}]' for k in mask)}] AS seed FROM {source}"
+        for m, mask in enumerate(_MASKS)
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _tokens(ident: str, name: str) -> str:
+    return (
+        f"SELECT {ident}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), "
+        rf"'[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {name}"
+    )
+
+
+_OFFSETS = " ".join(
+    f"WHEN {m} THEN [{', '.join(map(str, mask))}]" for m, mask in enumerate(_MASKS)
+)
+
+DECONTAMINATION = f"""
+WITH docs AS ({_tokens('doc_id', 'documents')}), items AS ({_tokens('item_id', 'benchmark')}),
+doc_at AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs),
+item_at AS (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS i FROM items),
+d AS ({_seeds('w', 'doc_id', 'doc_at')}), t AS ({_seeds('w', 'item_id', 'item_at')}),
+hits AS (
+  SELECT DISTINCT doc_id, item_id, d.p - t.p AS start, t.p AS item_p, t.mask
+  FROM d JOIN t ON d.seed = t.seed AND d.mask = t.mask
+), equal AS (
+  SELECT DISTINCT doc_id, item_id, start, item_p + k AS x FROM (
+    SELECT *, unnest(CASE mask {_OFFSETS} END) AS k FROM hits)
+), dense AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, start ORDER BY x
+    RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS near FROM equal
+), judged AS (
+  SELECT doc_id, e.item_id, start, CAST(len(w) AS BIGINT) AS n_tokens,
+    count(*) AS n_matched, max(near) AS near
+  FROM dense e JOIN items USING (item_id) GROUP BY doc_id, e.item_id, start, len(w)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
+    ORDER BY n_matched DESC, start) AS r FROM judged
+  WHERE n_matched >= 0.6 * n_tokens OR near >= 11
+)
+SELECT doc_id, item_id, CAST(start AS BIGINT) AS start, n_tokens, n_matched,
+  CAST(n_matched AS DOUBLE) / n_tokens AS overlap
+FROM ranked WHERE r = 1
+"""
+
+_HOST = r"""coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"""
+_PATH = r"coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '')"
+
+URL_FILTER = rf"""
+WITH parts AS (
+  SELECT page_id, url, {_HOST} AS host, {_PATH} AS path FROM pages
+), keyed AS (
+  SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/$', '') AS key
+  FROM parts
+), listed AS (
+  SELECT DISTINCT key FROM keyed WHERE regexp_matches(url, '(?s)\?[^#]*utm_') AND key <> ''
+), rules(verdict, host, path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+    ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fitting AS (
+  SELECT k.page_id, k.host, k.path, k.key, r.host || r.path AS rule, r.verdict,
+    row_number() OVER (PARTITION BY k.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST)
+      AS n
+  FROM keyed k LEFT JOIN rules r
+    ON (k.host = r.host OR suffix(k.host, '.' || r.host)) AND starts_with(k.path, r.path)
+)
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE WHEN l.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM fitting f LEFT JOIN listed l ON f.key = l.key WHERE n = 1
+"""
+
+SUBSTRING_DEDUP = f"""
+WITH words AS (
+  SELECT doc_id, {_WORDS.format('text')} AS w FROM documents
+), starts AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)
+), first AS (
+  SELECT g, min(doc_id) AS low FROM starts GROUP BY g
+), repeated AS (
+  SELECT doc_id, i FROM starts JOIN first USING (g) WHERE low < doc_id
+), places AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words
+), judged AS (
+  SELECT p.doc_id, p.i, p.word, coalesce(max(r.i) OVER (PARTITION BY p.doc_id ORDER BY p.i)
+    >= p.i - 49, false) AS gone
+  FROM places p LEFT JOIN repeated r ON p.doc_id = r.doc_id AND p.i = r.i
+), kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text
+  FROM judged GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+BIT_SLICED_TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding,
+    lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r
+  FROM scored
+)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": NGRAM_JACCARD,
+    "op5_decontamination": DECONTAMINATION,
+    "op6_url_filter": URL_FILTER,
+    "op7_substring_dedup": SUBSTRING_DEDUP,
+    "op10_bit_sliced_topk": BIT_SLICED_TOPK,
+}
