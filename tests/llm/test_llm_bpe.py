@@ -32,9 +32,15 @@ HARD = [
 ]
 
 
+def ids_of(encoder, texts):
+    ids, counts = encoder.encode(texts)
+    ends = counts.cumsum()
+    return [ids[e - n : e].tolist() for e, n in zip(ends, counts, strict=True)]
+
+
 def test_same_ids_as_the_reference_library(known, reference):
     encoder = bpe.Encoder(known)
-    for text, ids in zip(HARD, encoder.encode(HARD), strict=True):
+    for text, ids in zip(HARD, ids_of(encoder, HARD), strict=True):
         assert ids == reference.encode_ordinary(text), text[:20]
         assert encoder.decode(ids) == text.encode()
 
@@ -44,14 +50,14 @@ def test_same_ids_as_the_reference_library(known, reference):
     st.characters(codec="utf-8"), st.sampled_from("abcdeth \n'0.é")), max_size=60))
 def test_any_text(known, reference, text):
     encoder = bpe.Encoder(known)
-    assert encoder.encode([text]) == [reference.encode_ordinary(text)]
+    assert ids_of(encoder, [text]) == [reference.encode_ordinary(text)]
 
 
 def test_forgetting_changes_nothing(known, monkeypatch):
-    plain = bpe.Encoder(known).encode(HARD)
+    plain = ids_of(bpe.Encoder(known), HARD)
     monkeypatch.setattr(bpe, "REMEMBERED", 1)
     small = bpe.Encoder(known)
-    assert [small.encode([t])[0] for t in HARD] == plain
+    assert [ids_of(small, [t])[0] for t in HARD] == plain
 
 
 def test_perfect_hash_has_no_gaps(known):
