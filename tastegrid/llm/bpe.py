@@ -15,10 +15,10 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from tastegrid.llm.batches import map_slices, mix
+from tastegrid.llm.batches import map_slices, mix, spans
 
 #: Pre-tokens a worker remembers; it starts anew beyond that, which changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 _GAMMA = 2
 
 
@@ -102,36 +102,25 @@ def _hashes(keys: list[bytes]) -> np.ndarray:
 def merge(piece: bytes, ids: dict[bytes, int]) -> list[int]:
     """Ids of a piece: always the neighbours of least rank merge first, the leftmost of
     equals. Parts form a linked list over the bytes; a heap holds the possible merges."""
-    n = len(piece)
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        rank = ids.get(piece[i : i + 2])
-        if rank is not None:
-            heap.append((rank, i, i + 2))
+    find, n = ids.get, len(piece)
+    after = list(range(1, n + 1))  # 0 marks a byte that a part to its left has taken in
+    before = list(range(-1, n))
+    heap = [
+        (rank, i, i + 2) for i in range(n - 1)
+        if (rank := find(piece[i : i + 2])) is not None
+    ]
     heapify(heap)
-    alive = bytearray(b"\x01") * n
     while heap:
         _, i, end = heappop(heap)
-        if not alive[i]:
-            continue
-        j = after[i]
-        if j >= end or after[j] != end:
-            continue  # one of the two has grown since
-        alive[j] = 0
-        after[i] = end
-        if end < n:
-            before[end] = i
-            last = after[end]
-            rank = ids.get(piece[i:last])
-            if rank is not None:
-                heappush(heap, (rank, i, last))
+        middle = after[i]
+        if not middle or middle >= end or after[middle] != end:
+            continue  # one of the two parts has grown since
+        after[i], after[middle], before[end] = end, 0, i
+        if end < n and (rank := find(piece[i : after[end]])) is not None:
+            heappush(heap, (rank, i, after[end]))
         first = before[i]
-        if first >= 0:
-            rank = ids.get(piece[first:end])
-            if rank is not None:
-                heappush(heap, (rank, first, end))
+        if first >= 0 and (rank := find(piece[first:end])) is not None:
+            heappush(heap, (rank, first, end))
     out, i = [], 0
     while i < n:
         out.append(ids[piece[i : after[i]]])
@@ -139,34 +128,62 @@ def merge(piece: bytes, ids: dict[bytes, int]) -> list[int]:
     return out
 
 
+class _Known(dict):
+    """Numbers pre-tokens in the order in which they are first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Encoder:
     """Encodes texts in one worker; remembers the pre-tokens it has met."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.split = regex.compile(vocabulary.pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        self._forget()
 
-    def learn(self, pieces: Iterable[str]) -> None:
+    def _forget(self) -> None:
+        self.known = _Known()
+        self.ids = np.zeros(0, np.int32)  # of all known pre-tokens, one after the other
+        self.first = np.zeros(1, np.int64)
+
+    def _learn(self) -> None:
         """Two tiers for new pre-tokens: the perfect hash, checked by the bytes; merges."""
-        v = self.vocabulary
-        new = [p for p in pieces if p not in self.known]
-        raw = [p.encode() for p in new]
+        v, raw = self.vocabulary, [p.encode() for p in self.known.new]
         slots = v.perfect.find(_hashes(raw))
-        for text, piece, slot in zip(new, raw, slots.tolist(), strict=True):
-            whole = int(v.by_slot[slot]) if slot >= 0 else -1
-            if whole >= 0 and v.tokens[whole] == piece:
-                self.known[text] = (whole,)
-            else:
-                self.known[text] = tuple(merge(piece, v.ids))
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        pieces = [self.split(t) for t in texts]
+        wholes = np.where(slots >= 0, v.by_slot[slots], -1).tolist() if raw else []
+        found = [
+            [whole] if whole >= 0 and v.tokens[whole] == piece else merge(piece, v.ids)
+            for piece, whole in zip(raw, wholes, strict=True)
+        ]
+        ends = self.first[-1] + np.cumsum([len(f) for f in found], dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(found), np.int32)
+        self.ids = np.concatenate([self.ids, flat])
+        self.first = np.concatenate([self.first, ends])
+        self.known.new.clear()
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts): the ids of all texts one after the other, and each text's number."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self.learn(set(chain.from_iterable(pieces)))
-        known = self.known.__getitem__
-        return [list(chain.from_iterable(map(known, p))) for p in pieces]
+            self._forget()
+        pieces = [self.split(t) for t in texts]
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        number = np.fromiter(
+            map(self.known.__getitem__, chain.from_iterable(pieces)), np.int64, int(sizes.sum())
+        )
+        self._learn()
+        lengths = np.diff(self.first)[number]
+        ids = self.ids[spans(self.first[number], lengths)]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.cumsum(sizes)
+        return ids, before[ends] - before[ends - sizes]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -211,13 +228,15 @@ def encode_decode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def work(piece: pa.RecordBatch) -> dict:
         encoder = _encoder(sent)
-        ids = encoder.encode(pc.fill_null(piece.column("text"), "").to_pylist())
-        offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+        ids, counts = encoder.encode(pc.fill_null(piece.column("text"), "").to_pylist())
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        decoded = [
+            encoder.decode(ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:], strict=False)
+        ]
         return {
             "doc_id": piece.column("doc_id"),
-            "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-            "decoded": pa.array([encoder.decode(i) for i in ids], pa.binary()),
+            "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
+            "decoded": pa.array(decoded, pa.binary()),
         }
 
     return map_slices(
