@@ -2,73 +2,133 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pyarrow as pa
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.config import LOG_COLUMNS
-from tastegrid.session import ship_package
 
 REPORT_SCHEMA = "path string, status string, signature string"
 # Column types of the log as read here.
 LOG_TYPES = {
     "username": "string", "content_id": "string", "duration": "double", "profile_id": "bigint",
 }
+FOOTER_READERS = 16
+# What the parquet reader says of a file whose bytes are wrong. Anything else,
+# such as a store that does not answer, is an error of the job.
+PARSE_ERRORS = (
+    "is not a Parquet file", "CANNOT_READ_FILE_FOOTER", "Could not read footer",
+    "UNABLE_TO_INFER_SCHEMA", "could not read page", "Could not read page", "can not read class",
+    "don't know what type", "Required field", "ParquetDecodingException", "could not decompress",
+    "FAILED_TO_UNCOMPRESS", "PARSING_ERROR", "expected magic number", "could not verify CRC",
+    "Failed to decompress", "ParquetCryptoRuntimeException", "Unrecognized type",
+)
+
+
+def _parse_error(error: Exception) -> bool:
+    """Whether the file's bytes are at fault, from what the reader said down to its causes.
+
+    An I/O error anywhere among the causes that is not itself a parse error outweighs it.
+    """
+    said = str(error)
+    cause = getattr(error, "java_exception", None)
+    while cause is not None:
+        said += f"\n{cause}"
+        cause = cause.getCause()
+    return any(text in said for text in PARSE_ERRORS)
 
 
-def inspect_log_files(spark: SparkSession, folder: str, suffix: str = "*.parquet") -> DataFrame:
-    """(path, status, signature) per file, from the footers only, read by the tasks.
+def _footer(spark: SparkSession, path: str) -> tuple[str, str, str]:
+    """(path, status, signature) from the footer, read by Spark's own reader."""
+    try:
+        fields = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema}
+    except (PySparkException, Py4JJavaError) as error:
+        if _parse_error(error):
+            return path, "unreadable", ""
+        raise
+    missing = [c for c in LOG_COLUMNS if c not in fields]
+    if missing:
+        return path, f"missing {','.join(missing)}", ""
+    return path, "ok", ",".join(fields[c] for c in LOG_COLUMNS)
 
-    ``status`` is ``ok``, ``missing <columns>`` or ``unreadable``; ``signature`` lists the
-    stored types of the needed columns.
-    """
-    ship_package(spark)
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(folder)
-        .select("path")
-    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [_inspect(path) for path in batch.column("path").to_pylist()]
-            yield pa.RecordBatch.from_pylist(
-                rows, schema=pa.schema([(c, pa.string()) for c in ("path", "status", "signature")])
-            )
+def _decodes(spark: SparkSession, path: str) -> bool:
+    """Whether the needed columns of one file can be read to the end."""
+    try:
+        spark.read.parquet(path).select(*LOG_COLUMNS).write.format("noop").mode("overwrite").save()
+    except (PySparkException, Py4JJavaError) as error:
+        if _parse_error(error):
+            return False
+        raise
+    return True
 
-    return files.mapInArrow(run, REPORT_SCHEMA)
 
+def _short_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files of one signature that give fewer rows than their footers promise.
 
-def _inspect(path: str) -> dict[str, str]:
-    try:
-        system, inner = pafs.FileSystem.from_uri(path)
-        with system.open_input_file(inner) as handle:
-            schema = pq.read_schema(handle)
-    except (OSError, ValueError, pa.ArrowException):
-        return {"path": path, "status": "unreadable", "signature": ""}
-    missing = [c for c in LOG_COLUMNS if c not in schema.names]
-    if missing:
-        return {"path": path, "status": f"missing {','.join(missing)}", "signature": ""}
-    types = ",".join(str(schema.field(c).type) for c in LOG_COLUMNS)
-    return {"path": path, "status": "ok", "signature": types}
+    Two jobs over the needed columns: rows by the footers alone, and rows that decode.
+    Only the names of suspected files reach the driver.
+    """
+    def rows(*columns: str) -> DataFrame:
+        read = spark.read.option("ignoreCorruptFiles", "true").parquet(*paths)
+        # the hash makes the reader decode every value of the columns
+        seen = F.max(F.xxhash64(*columns)) if columns else F.lit(0)
+        return read.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+            F.count(F.lit(1)).alias("n"), seen.alias("seen")
+        )
+
+    found = rows(*LOG_COLUMNS).select("path", F.col("n").alias("decoded"), "seen")
+    short = rows().select("path", "n").join(found, "path", "left").where(
+        "seen IS NULL OR decoded < n"
+    ).select("path")
+    listed = {r.path for r in rows().select("path").collect()}
+    return [r.path for r in short.collect()] + [p for p in paths if p not in listed]
+
+
+def inspect_log_files(spark: SparkSession, folder: str, suffix: str = "*.parquet") -> DataFrame:
+    """(path, status, signature) per file.
+
+    ``status`` is ``ok``, ``missing <columns>``, ``unreadable`` (the footer) or ``damaged``
+    (some rows cannot be decoded); ``signature`` lists the stored types of the needed
+    columns. Only what the reader calls wrong bytes makes a file bad; an error of the
+    store ends the job.
+    """
+    paths = [
+        r.path for r in spark.read.format("binaryFile").option("pathGlobFilter", suffix)
+        .load(folder).select("path").collect()
+    ]
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        report = list(pool.map(lambda path: _footer(spark, path), sorted(paths)))
+    alike: dict[str, list[str]] = {}
+    for path, status, signature in report:
+        if status == "ok":
+            alike.setdefault(signature, []).append(path)
+    damaged = {
+        path for group in alike.values() for path in _short_files(spark, group)
+        if not _decodes(spark, path)
+    }
+    return spark.createDataFrame(
+        [(p, "damaged" if p in damaged else s, g) for p, s, g in report], REPORT_SCHEMA
+    )
 
 
 def read_watch_log(
     spark: SparkSession, folder: str, suffix: str = "*.parquet"
 ) -> tuple[DataFrame, DataFrame]:
-    """(log, report). Files that cannot be used are left out of the log and reported.
+    """(log, report). A file is read whole or listed as bad and left out whole.
 
-    The driver handles file names, as any scan does, and no rows. Files that store a
-    column in different types are read apart, one scan per combination, and cast.
+    The driver handles file names and footers, as any scan does, and no rows. Files that
+    store a column in different types are read apart, one scan per combination, and cast.
+    A file that is found bad only later fails the job.
     """
     report = inspect_log_files(spark, folder, suffix)
-    usable = report.where(F.col("status") == "ok").collect()
     by_signature: dict[str, list[str]] = {}
-    for row in usable:
+    for row in report.where(F.col("status") == "ok").collect():
         by_signature.setdefault(row.signature, []).append(row.path)
     if not by_signature:
         raise FileNotFoundError(f"no usable watch log in {folder}")
@@ -77,7 +137,7 @@ def read_watch_log(
 
 
 def _read_alike(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    rows = spark.read.option("ignoreCorruptFiles", "true").parquet(*paths)
+    rows = spark.read.parquet(*paths)
     return rows.select(*[F.col(c).cast(t).alias(c) for c, t in LOG_TYPES.items()])
 
 

@@ -29,6 +29,40 @@ def test_log_folder_with_unusable_files(spark, tmp_path):
         "missing duration": 1, "unreadable": 1}
 
 
+def test_a_file_with_a_damaged_page_is_left_out_whole(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    n = 40_000
+    rows = pa.table({
+        "username": [f"user{i * 7919 % n}" for i in range(n)],
+        "content_id": [str(i * 104729 % n) for i in range(n)],
+        "duration": [float(i % 97) for i in range(n)], "profile_id": list(range(n)),
+    })
+    pq.write_table(rows, tmp_path / "a.parquet", row_group_size=5_000, use_dictionary=False)
+    pq.write_table(rows.slice(0, 100), tmp_path / "b.parquet")
+    raw = bytearray((tmp_path / "a.parquet").read_bytes())
+    third = len(raw) // 3
+    raw[third : 2 * third] = b"\xff" * third  # page headers among them
+    (tmp_path / "a.parquet").write_bytes(raw)
+    log, report = logs.read_watch_log(spark, str(tmp_path))
+    assert log.count() == 100
+    assert {r.path[-9:]: r.status for r in report.collect()} == {
+        "a.parquet": "damaged", "b.parquet": "ok"
+    }
+
+
+def test_an_error_of_the_store_is_no_bad_file(spark, tmp_path, monkeypatch):
+    write_parquet(tmp_path / "a.parquet", username=["u"], content_id=["c"], duration=[1.0],
+                  profile_id=[1])
+    with pytest.raises(Exception, match="(?i)no filesystem|s3a"):
+        logs.read_watch_log(spark, "s3a://bucket/log")
+    assert not logs._parse_error(OSError("Connection timed out"))
+    monkeypatch.setattr(logs, "PARSE_ERRORS", ())  # as if the reader had said something else
+    (tmp_path / "d.parquet").write_bytes(b"junk")
+    with pytest.raises(Exception, match="(?i)footer|parquet"):
+        logs.read_watch_log(spark, str(tmp_path))
+
+
 def test_log_folder_without_usable_file(spark, tmp_path):
     (tmp_path / "d.parquet").write_bytes(b"junk")
     with pytest.raises(FileNotFoundError):
