@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tastegrid.operators.joins import with_scalar
+from tastegrid.session import stored
 
 THRESHOLD = 0.5
-AUC_FAN = 32
+#: Different scores that one window of the ROC area holds, about.
+RANGE_SCORES = 1 << 16
 
 
 def sigmoid(x: Column) -> Column:
@@ -44,37 +47,22 @@ def confusion(scored: DataFrame, score: str = "score") -> DataFrame:
 def roc_auc(scored: DataFrame, score: str = "score") -> DataFrame:
     """One row: area under the ROC curve, ties at mid-rank.
 
-    Equal scores combine first. The distinct scores are then cut into ranges of about
-    equal size, so each window holds one range; the ranges chain through their summed
-    negatives. Where the cuts fall does not change the result.
+    Equal scores combine first and are stored, so that the rows are scored once. The
+    different scores are then cut into ranges whose number follows their count; each
+    window holds one range, and the ranges chain through their summed negatives. Where
+    the cuts fall does not change the result.
     """
-    by_score = (
+    by_score = stored(
         scored.where(F.col(score).isNotNull())
         .groupBy(F.col(score).alias("s"))
         .agg(
             F.sum((F.col("label") == 1).cast("double")).alias("p"),
             F.sum((F.col("label") != 1).cast("double")).alias("n"),
-        )
-    )
-    # Two levels of cuts, so that a score meets 2 x AUC_FAN of them and not all.
-    count = AUC_FAN * AUC_FAN
-    cuts = by_score.agg(
-        F.percentile_approx("s", [i / count for i in range(1, count)], 10 * count)
-    ).scalar()
-
-    def below(cut_points: Column) -> Column:
-        return F.size(F.filter(cut_points, lambda c: c < F.col("s")))
-
-    every = F.transform(
-        F.sequence(F.lit(1), F.lit(AUC_FAN - 1)), lambda k: F.get("_cuts", k * AUC_FAN - 1)
-    )
-    ranged = (
-        with_scalar(by_score, "_cuts", cuts)
-        .withColumn("_from", below(every) * AUC_FAN)
-        .withColumn("r", F.col("_from") + below(
-            F.slice("_cuts", F.col("_from") + 1, F.lit(AUC_FAN - 1))))
-        .drop("_cuts", "_from")
+        ),
+        "scores",
     )
+    ranges = 1 + by_score.count() // RANGE_SCORES
+    ranged = by_score.repartitionByRange(ranges, "s").withColumn("r", F.spark_partition_id())
     within = Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
         ranged.withColumn("b", F.coalesce(F.sum("n").over(within), F.lit(0.0)))
@@ -102,34 +90,47 @@ def bce(score: Column, label: Column) -> Column:
     return -(label * hit + (1 - label) * miss)
 
 
-def balanced_weights(rows: DataFrame) -> DataFrame:
-    """Add the weight of the other class's share, each count taken as at least one."""
-    totals = rows.agg(
-        F.struct(
-            F.greatest(F.sum("label"), F.lit(1)).cast("double").alias("pos"),
-            F.greatest(F.count("label") - F.sum("label"), F.lit(1)).cast("double").alias("neg"),
-        )
-    ).scalar()
-    other = F.when(F.col("label") == 1, F.col("_t.neg")).otherwise(F.col("_t.pos"))
-    return with_scalar(rows, "_t", totals).withColumn(
-        "weight", other / (F.col("_t.pos") + F.col("_t.neg"))
-    ).drop("_t")
+def root_weights(positives: Column, negatives: Column) -> tuple[Column, Column]:
+    """(weight of positives, of negatives): the root of negatives over positives, and one."""
+    return F.sqrt(F.try_divide(negatives, positives)), F.lit(1.0)
+
+
+def balanced_weights(positives: Column, negatives: Column) -> tuple[Column, Column]:
+    """Each class weighs the other's share, each count taken as at least one."""
+    p, n = F.greatest(positives, F.lit(1.0)), F.greatest(negatives, F.lit(1.0))
+    return n / (p + n), p / (p + n)
 
 
-def tri_bce(scored: DataFrame, weight: Column | None = None) -> DataFrame:
+def tri_bce(
+    scored: DataFrame, weights: Callable[[Column, Column], tuple[Column, Column]] | None = None
+) -> DataFrame:
     """One row: joint, deep, shallow mean losses and their combination ``loss``.
 
-    Each branch adds its own loss times how far it lies above the joint loss.
+    Each branch adds its own loss times how far it lies above the joint loss. ``weights``
+    gives the classes' weights from their counts; they are applied to the classes' summed
+    losses, so that the rows are scored once.
     """
-    weight = F.lit(1.0) if weight is None else weight
     label = F.col("label").cast("double")
-    means = scored.agg(
-        *[
-            F.avg(weight * bce(F.col(c), label)).alias(name)
-            for c, name in (("score", "loss_joint"), ("score_deep", "loss_deep"),
-                            ("score_shallow", "loss_shallow"))
-        ]
+    branches = (("score", "loss_joint"), ("score_deep", "loss_deep"),
+                ("score_shallow", "loss_shallow"))
+
+    def total(value: Column, wanted: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("label") == wanted, value)), F.lit(0.0))
+
+    sums = scored.agg(
+        total(F.lit(1.0), 1).alias("pos"), total(F.lit(1.0), 0).alias("neg"),
+        *[total(bce(F.col(c), label), 1).alias(f"{name}_pos") for c, name in branches],
+        *[total(bce(F.col(c), label), 0).alias(f"{name}_neg") for c, name in branches],
     )
+    pos, neg = F.col("pos"), F.col("neg")
+    of_pos, of_neg = weights(pos, neg) if weights else (F.lit(1.0), F.lit(1.0))
+    means = sums.select(*[
+        F.try_divide(
+            F.coalesce(of_pos * F.col(f"{name}_pos"), F.lit(0.0)) + of_neg * F.col(f"{name}_neg"),
+            pos + neg,
+        ).alias(name)
+        for _, name in branches
+    ])
     joint, deep, shallow = F.col("loss_joint"), F.col("loss_deep"), F.col("loss_shallow")
     zero = F.lit(0.0)
     return means.withColumn(

@@ -7,8 +7,6 @@ four columns, before any user or item column is attached.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,20 +27,6 @@ def distinct_views(log: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def with_group_count(rows: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Add the row count of each key group to its rows; rows with a null key get none.
-
-    A window would put a whole group into one task. Here the count is a two-phase
-    aggregate, joined back so that a group holding most rows can be split.
-    """
-    keys = list(keys)
-    keyed = rows
-    for k in keys:
-        keyed = keyed.where(F.col(k).isNotNull())
-    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return splittable_join(rows, counts, keys, "left")
-
-
 def label(domain: DomainConfig) -> Column:
     """1 where the watched share or the watch count reaches the domain's limit."""
     hit = F.lit(False)
@@ -53,6 +37,27 @@ def label(domain: DomainConfig) -> Column:
     return hit.cast("int")
 
 
+def watch_counts(views: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """(profile_id, content_id, watch_count): joined rows of each pair, without joining the log.
+
+    The views are counted per profile, content and user, and each count is multiplied by
+    how many rows its user and its item have; these short tables are all that is joined.
+    Pairs with a null key have no count.
+    """
+    short = (
+        views.where(F.col("profile_id").isNotNull() & F.col("content_id").isNotNull())
+        .groupBy("profile_id", "content_id", "username").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    user_rows = users.groupBy("username").agg(F.count(F.lit(1)).alias("_u"))
+    item_rows = items.groupBy("content_id").agg(F.count(F.lit(1)).alias("_i"))
+    known = splittable_join(
+        splittable_join(short, user_rows, ["username"]), item_rows, ["content_id"]
+    )
+    return known.groupBy("profile_id", "content_id").agg(
+        F.sum(F.col("_n") * F.col("_u") * F.col("_i")).alias("watch_count")
+    )
+
+
 def labelled_views(
     log: DataFrame, users: DataFrame, items: DataFrame, domain: DomainConfig
 ) -> DataFrame:
@@ -61,8 +66,10 @@ def labelled_views(
     ``users`` (by username) and ``items`` (by content_id, with content_duration) carry
     any further columns and must be free of repeated rows.
     """
-    joined = distinct_views(log).join(items, "content_id").join(users, "username")
-    counted = with_group_count(joined, ["profile_id", "content_id"], "watch_count")
+    views = distinct_views(log)
+    counted = splittable_join(
+        views, watch_counts(views, users, items), ["profile_id", "content_id"], "left"
+    ).join(items, "content_id").join(users, "username")
     share = X.no_nan(F.col("duration")) / F.col("content_duration")
     return counted.withColumn("share", X.no_nan(share)).withColumn("label", label(domain))
 

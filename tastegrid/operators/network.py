@@ -7,6 +7,8 @@ without knowing the shape of the network.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 
 from tastegrid.config import NetworkConfig
@@ -68,16 +70,16 @@ def _standardise_grad(grad: np.ndarray, z: np.ndarray, sd: np.ndarray, axis: int
     ) / sd
 
 
-def branch_logit(x0, w: Weights, net: NetworkConfig, branch: str, layers: int, rng=None, tape=None):
+def branch_logit(x0, w: Weights, net: NetworkConfig, branch: str, layers: int, draws=None, tape=None):
     """Logit of one branch. With ``tape`` the pass keeps what the gradient needs;
-    with ``rng`` it drops units and normalises by the block's own statistics."""
+    with ``draws`` it drops units and normalises by the block's own statistics."""
     x, half = x0, x0.shape[1] // 2
     for layer in range(layers):
         at = f"{branch}.{layer}"
         t = {"x": x}
         h = x @ w[f"{at}.w"].T
         if net.batch_norm:
-            if rng is not None:
+            if draws is not None:
                 t["bn_stats"] = (h.mean(axis=0), h.var(axis=0, ddof=1 if len(h) > 1 else 0))
                 z, t["bn_sd"] = _standardise(h, 0, BN_EPS)
             else:
@@ -100,8 +102,8 @@ def branch_logit(x0, w: Weights, net: NetworkConfig, branch: str, layers: int, r
         x = bounded / (norm + NORM_EPS)
         t.update(h=h, ln_z=z, normed=normed, mask=mask, value=value, cross=cross,
                  factor=factor, raw=raw, bounded=bounded, norm=norm)
-        if rng is not None and net.dropout > 0:
-            t["kept"] = (rng.random(x.shape) >= net.dropout) / (1.0 - net.dropout)
+        if draws is not None and net.dropout > 0:
+            t["kept"] = (draws.uniform(at, x.shape[1]) >= net.dropout) / (1.0 - net.dropout)
             x = x * t["kept"]
         if tape is not None:
             tape.append(t)
@@ -153,33 +155,78 @@ def scores(x: np.ndarray, w: Weights, net: NetworkConfig):
     return sigmoid((deep + shallow) * 0.5), sigmoid(deep), sigmoid(shallow)
 
 
-def loss_and_gradient(
-    x: np.ndarray, y: np.ndarray, w: Weights, net: NetworkConfig, pos_weight: float, rng
-):
-    """Joint-plus-branches loss of one block, its gradient, and the joint scores."""
+class RowDraws:
+    """Uniform numbers that depend on a row's key, a layer and a unit, and on nothing else."""
+
+    def __init__(self, seed: int, row_keys: np.ndarray):
+        self.seed, self.keys = seed, row_keys.astype(np.int64).view(np.uint64)
+
+    def uniform(self, at: str, width: int) -> np.ndarray:
+        unit = _mixed(np.arange(width, dtype=np.uint64) + np.uint64(zlib.crc32(at.encode()) << 20))
+        unit = _mixed(unit ^ np.uint64(self.seed % 2**64))
+        return (_mixed(_mixed(self.keys)[:, None] ^ unit) >> np.uint64(11)) * 2.0**-53
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits that spreads each bit over all others."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def loss_and_gradient_sums(
+    x: np.ndarray, y: np.ndarray, w: Weights, net: NetworkConfig, pos_weight: float, draws
+) -> tuple[np.ndarray, Weights, Weights, np.ndarray]:
+    """Sums over one block, which add up over blocks: the joint, deep and shallow losses, the
+    gradient of the joint loss, the gradients of each branch's own loss; and the scores."""
     tapes, logits, lasts = {}, {}, {}
     for b, layers in branches(net):
         tapes[b] = []
-        logits[b], lasts[b] = branch_logit(x, w, net, b, layers, rng, tapes[b])
+        logits[b], lasts[b] = branch_logit(x, w, net, b, layers, draws, tapes[b])
     weight = np.where(y == 1, pos_weight, 1.0)
     joint = sigmoid((logits["deep"] + logits["shallow"]) * 0.5)
 
-    def mean_loss(p):
+    def loss(p):
         with np.errstate(divide="ignore"):
             hit, miss = np.maximum(np.log(p), -100.0), np.maximum(np.log(1 - p), -100.0)
-        return float((-weight * (y * hit + (1 - y) * miss)).mean())
+        return float((-weight * (y * hit + (1 - y) * miss)).sum())
 
-    base = mean_loss(joint)
-    total, base_slope, slopes = base, 1.0, {}
+    losses, of_joint, of_own = [loss(joint)], {}, {}
     for b in logits:
         p = sigmoid(logits[b])
-        own = mean_loss(p)
+        losses.append(loss(p))
+        branch_gradient(weight * (joint - y) * 0.5, lasts[b], w, net, b, tapes[b], of_joint)
+        branch_gradient(weight * (p - y), lasts[b], w, net, b, tapes[b], of_own)
+    for k in of_joint:
+        if is_statistic(k):  # a block's statistic counts with its rows
+            of_joint[k], of_own[k] = of_joint[k] * len(y), np.zeros_like(of_own[k])
+    return np.array(losses), of_joint, of_own, joint
+
+
+def combined(
+    n: float, losses: np.ndarray, of_joint: Weights, of_own: Weights
+) -> tuple[float, Weights]:
+    """Loss of the whole batch and its gradient, from the summed parts of its blocks.
+
+    Each branch adds its own loss times how far it lies above the joint loss; these factors
+    are those of the whole batch.
+    """
+    base, deep, shallow = losses / n
+    total, slope, slopes = base, 1.0, {}
+    for b, own in (("deep", deep), ("shallow", shallow)):
         excess = max(own - base, 0.0)
         total += own * excess
-        base_slope -= own if excess > 0 else 0.0
-        slopes[b] = ((2 * own - base) if excess > 0 else 0.0) * weight * (p - y) / len(y)
-    shared = base_slope * weight * (joint - y) / len(y) * 0.5
-    out: Weights = {}
-    for b in logits:
-        branch_gradient(shared + slopes[b], lasts[b], w, net, b, tapes[b], out)
-    return total, out, joint
+        slope -= own if excess > 0 else 0.0
+        slopes[b] = 2 * own - base if excess > 0 else 0.0
+    return float(total), {
+        k: (g if is_statistic(k) else slope * g + slopes[k.split(".")[0]] * of_own[k]) / n
+        for k, g in of_joint.items()
+    }
+
+
+def loss_and_gradient(
+    x: np.ndarray, y: np.ndarray, w: Weights, net: NetworkConfig, pos_weight: float, draws
+):
+    """Joint-plus-branches loss of one block, its gradient, and the joint scores."""
+    losses, of_joint, of_own, joint = loss_and_gradient_sums(x, y, w, net, pos_weight, draws)
+    return *combined(len(y), losses, of_joint, of_own), joint

@@ -13,8 +13,6 @@ from tastegrid.config import DEFAULT_RULE
 from tastegrid.functions import text as X
 from tastegrid.operators.joins import splittable_join
 
-MAX_ARRAY_RULES = 1_000
-
 
 def tag_map(tags: DataFrame, order: str | None = None) -> DataFrame:
     """(tag_name, tag_id): one row per name, the last id in source order wins.
@@ -69,31 +67,7 @@ def contains_all(outer: Column, inner: Column) -> Column:
     return F.size(F.array_except(inner, outer)) == 0
 
 
-def assign_rules(items: DataFrame, tag_names: DataFrame, rules: DataFrame) -> DataFrame:
-    """(content_id, rule_id) by containment test of every rule in table order.
-
-    The rule table is counted first. Up to ``MAX_ARRAY_RULES`` it travels as one
-    ordered array and each item keeps its first match, with no row per (item, rule);
-    beyond that the division plan takes over.
-    """
-    ordered = rule_map(rules)
-    if ordered.limit(MAX_ARRAY_RULES + 1).count() > MAX_ARRAY_RULES:
-        return assign_rules_by_division(items, tag_names, rules)
-    rule_array = ordered.agg(
-        F.array_sort(F.collect_list(F.struct("rule_ord", "rule_id", "rule_tags")))
-    ).scalar()
-    tags = F.col("tags")
-    first = F.get(
-        F.filter(F.col("_rules"), lambda r: contains_all(tags, r.rule_tags)), F.lit(0)
-    )
-    matched = (
-        _tag_sets(items, tag_names).withColumn("_rules", rule_array)
-        .select("content_id", first.rule_id.alias("rule_id"))
-    )
-    return _with_default(items, matched)
-
-
-def assign_rules_by_division(
+def assign_rules(
     items: DataFrame, tag_names: DataFrame, rules: DataFrame
 ) -> DataFrame:
     """(content_id, rule_id) with both sides taken apart into tags and joined on one.
@@ -101,7 +75,8 @@ def assign_rules_by_division(
     Of rules with the same tag set only the first can ever win, so the others leave. Each
     rule is anchored at the tag that the fewest items carry: a tag that most items share
     meets only rules made of nothing rarer. Candidates are checked for containment and
-    reduced to the first rule before they leave their task.
+    reduced to the first rule before they leave their task. Where many rules consist of
+    tags that most items carry, each such rule still meets all items of its rarest tag.
     """
     tags = item_tags(items, tag_names).distinct()
     frequency = tags.groupBy("tag").agg(F.count(F.lit(1)).alias("_f"))

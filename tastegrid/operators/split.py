@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PREFIX_BITS = 16
-EXACT_ROWS = 20_000
 
 
 def class_distribution(rows: DataFrame) -> DataFrame:
@@ -55,8 +54,9 @@ def stratified_split(
 
     Rows are drawn by the hash of their key, so the choice is a pure expression that
     any retry repeats. The class's cut hash is found from counts per hash prefix, one
-    level deeper while the prefix at the cut still holds many rows: no class is ever
-    sorted or brought into one task. Keys must be unique for exact sizes.
+    level deeper until the prefix ends at the cut: no class is ever sorted or brought
+    into one task, and the driver gets at most 2**PREFIX_BITS counts per class and level.
+    Keys must be unique for exact sizes; rows with one key stay together.
     """
     h = F.xxhash64(F.lit(seed), *key)
     hashed = rows.select(F.col(label).alias("_label"), h.alias("_h"))
@@ -86,29 +86,20 @@ def stratified_split(
             open_labels = {k for k in totals if wanted[k] > 0}
         else:
             open_labels = set(prefix)
-        prefix, largest = {}, 0
+        prefix = {}
         for k in open_labels:
             taken = 0
-            for g in sorted((g for g in groups if g["_label"] == k), key=lambda g: g["p"]):
+            mine = (g for g in groups if g["_label"] == k)
+            for g in sorted(mine, key=lambda g: g["p"] % 2**bits):
                 if taken + g["n"] >= wanted[k]:
-                    prefix[k], largest = g["p"], max(largest, g["n"])
                     wanted[k] -= taken
+                    cut[k] = ((g["p"] % 2**bits) + 1) * 2 ** (64 - bits) - 1
+                    if g["n"] > wanted[k]:
+                        prefix[k] = g["p"]
                     break
                 taken += g["n"]
-        if not prefix or largest <= EXACT_ROWS:
+        if not prefix:
             break
-    if bits == 64:  # copies of one key: they stay together
-        cut.update({k: p % 2**64 for k, p in prefix.items()})
-    elif prefix:
-        at_cut = F.lit(False)
-        for k, p in prefix.items():
-            at_cut = at_cut | (
-                (F.col("_label") == k) & (_unsigned_prefix(F.col("_h"), bits) == p)
-            )
-        near: dict[int, list[int]] = {k: [] for k in prefix}
-        for row in hashed.where(at_cut).collect():  # at most EXACT_ROWS per class
-            near[row["_label"]].append(row["_h"] % 2**64)
-        cut.update({k: sorted(hashes)[wanted[k] - 1] for k, hashes in near.items()})
 
     # Compare as unsigned: flip the sign bit of both sides.
     flipped = h.bitwiseXOR(F.lit(-(2**63)))

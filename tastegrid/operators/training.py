@@ -2,9 +2,8 @@
 
 The training rows are written once, cut into global batches by the hash of their key,
 as a table partitioned by batch: a step reads only its batch, and a lost executor
-rereads files. Tasks sum the gradients of their rows, a second, small grouping sums
-those sums, and the driver updates the weights. What reaches the driver per step is
-about the square root of the number of tasks, times the model size.
+rereads files. Tasks sum the gradients of their rows, ranges of the gradient are summed
+over the tasks, and the driver gets one gradient per step and updates the weights.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,16 +22,13 @@ from tastegrid.config import DomainConfig
 from tastegrid.operators import evaluation as E
 from tastegrid.operators import network as N
 from tastegrid.operators.scoring import dense_block, score_rows
-from tastegrid.session import checkpoint_dir, ship_package
-
-STEPS_PER_EPOCH = 32
-BUCKETS = 32
-_SUMS = pa.schema([
-    ("bucket", pa.int64()), ("n", pa.float64()), ("loss", pa.float64()), ("tp", pa.float64()),
-    ("fp", pa.float64()), ("fn", pa.float64()), ("tn", pa.float64()), ("grad", pa.binary()),
-])
+from tastegrid.session import remove, shared_path, ship_package, stored
+
+#: Numbers of the gradient that one summing task adds up, and a driver gets as one row.
+RANGE = 1 << 16
+_COUNTS = ("n", "joint", "deep", "shallow", "tp", "fp", "fn", "tn")
 _SUMS_DDL = (
-    "bucket bigint, n double, loss double, tp double, fp double, fn double, tn double, grad binary"
+    "range bigint, " + ", ".join(f"{c} double" for c in _COUNTS) + ", of_joint binary, of_own binary"
 )
 
 
@@ -100,12 +95,14 @@ class Adam:
 def gradient_sums(
     rows: DataFrame, w: N.Weights, domain: DomainConfig, width: int, pos_weight: float, seed: int
 ) -> DataFrame:
-    """One row per bucket of tasks: rows seen, summed loss, confusion counts, gradient.
+    """Sums over ``rows`` (row_key, label, idx, val), a row per range of the flat gradient.
 
-    Within a task rows are taken in blocks of ``domain.batch_rows``; the loss and the
-    batch statistics are those of a block.
+    The losses of the joint score and of the two branches are summed apart, as are their
+    gradients, so that sums of any blocks add up to those of the whole batch. Tasks work
+    in blocks of ``domain.batch_rows``; only batch statistics are those of a block. The
+    tasks' sums meet by ranges of the gradient, and the counts travel with the first one.
     """
-    net, block_rows = domain.network, domain.batch_rows
+    net, block_rows, size = domain.network, domain.batch_rows, RANGE
     ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(w)
 
@@ -123,65 +120,76 @@ def gradient_sums(
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, part = shared.value, TaskContext.get().partitionId()
-        rng = np.random.default_rng([seed, part])
-        total, sums = None, np.zeros(6)
+        w = shared.value
+        sums, grads = np.zeros(len(_COUNTS)), None
         for block in blocks(batches):
             x = dense_block(block.column("idx"), block.column("val"), width)
             y = block.column("label").to_numpy(zero_copy_only=False).astype(float)
-            loss, grad, score = N.loss_and_gradient(x, y, w, net, pos_weight, rng)
-            flat, hit = flatten(grad) * len(y), score > E.THRESHOLD
-            total = flat if total is None else total + flat
-            sums += [len(y), loss * len(y), (hit & (y == 1)).sum(), (hit & (y == 0)).sum(),
+            draws = N.RowDraws(seed, block.column("row_key").to_numpy(zero_copy_only=False))
+            losses, *found, score = N.loss_and_gradient_sums(x, y, w, net, pos_weight, draws)
+            flat = np.stack([flatten(g) for g in found])
+            grads = flat if grads is None else grads + flat
+            hit = score > E.THRESHOLD
+            sums += [len(y), *losses, (hit & (y == 1)).sum(), (hit & (y == 0)).sum(),
                      (~hit & (y == 1)).sum(), (~hit & (y == 0)).sum()]
-        if total is not None:
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(_SUMS.names, [part % BUCKETS, *sums, total.tobytes()], strict=True))],
-                schema=_SUMS,
-            )
+        if grads is not None:
+            parts = [grads[:, k : k + size] for k in range(0, grads.shape[1], size)]
+            yield _sum_rows(0, sums, parts)
 
     def add(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
     ) -> Iterator[pa.RecordBatch]:
-        total, sums = None, np.zeros(6)
+        sums, grads = np.zeros(len(_COUNTS)), 0.0
         for batch in batches:
             for row in batch.to_pylist():
-                flat = np.frombuffer(row["grad"])
-                total = flat.copy() if total is None else total + flat
-                sums += [row[c] for c in _SUMS.names[1:7]]
-        yield pa.RecordBatch.from_pylist(
-            [dict(zip(_SUMS.names, [key[0].as_py(), *sums, total.tobytes()], strict=True))],
-            schema=_SUMS,
-        )
-
-    partial = rows.select("idx", "val", "label").mapInArrow(run, _SUMS_DDL)
-    return partial.groupBy("bucket").applyInArrow(add, _SUMS_DDL)
-
-
-def read_sums(sums: DataFrame, like: N.Weights) -> tuple[np.ndarray, N.Weights | None]:
-    """Totals (n, loss, tp, fp, fn, tn) and the mean gradient."""
-    totals, grad = np.zeros(6), None
-    for row in sums.collect():
-        totals += [row[c] for c in _SUMS.names[1:7]]
-        flat = np.frombuffer(bytes(row["grad"]))
-        grad = flat if grad is None else grad + flat
-    if grad is None:
-        return totals, None
-    return totals, unflatten(grad / totals[0], like)
-
-
-def batched_table(rows: DataFrame, steps: int, seed: int) -> DataFrame:
-    """The rows as a table partitioned by batch, in the shared checkpoint folder."""
+                grads = grads + np.stack([np.frombuffer(row[c]) for c in ("of_joint", "of_own")])
+                sums += [row[c] for c in _COUNTS]
+        yield _sum_rows(key[0].as_py(), sums, [grads])
+
+    partial = rows.select("row_key", "idx", "val", "label").mapInArrow(run, _SUMS_DDL)
+    return partial.groupBy("range").applyInArrow(add, _SUMS_DDL)
+
+
+def _sum_rows(first: int, sums: np.ndarray, parts: list[np.ndarray]) -> pa.RecordBatch:
+    """One row per part of the gradients, numbered from ``first``; part 0 has the counts."""
+    rows = []
+    for number, part in enumerate(parts, first):
+        counts = sums if number == 0 else np.zeros(len(sums))
+        rows.append({
+            "range": number, **dict(zip(_COUNTS, counts.tolist(), strict=True)),
+            "of_joint": part[0].tobytes(), "of_own": part[1].tobytes(),
+        })
+    kinds = [("range", pa.int64()), *[(c, pa.float64()) for c in _COUNTS],
+             ("of_joint", pa.binary()), ("of_own", pa.binary())]
+    return pa.RecordBatch.from_pylist(rows, schema=pa.schema(kinds))
+
+
+def read_sums(sums: DataFrame, like: N.Weights) -> tuple[dict[str, float], N.Weights | None]:
+    """(counts with the batch's ``loss``, mean gradient); the driver gets one whole gradient."""
+    found = sorted(sums.collect(), key=lambda r: r["range"])
+    if not found:
+        return dict.fromkeys(("loss", *_COUNTS), 0.0), None
+    counts = {c: sum(r[c] for r in found) for c in _COUNTS}
+    flat = [np.concatenate([np.frombuffer(bytes(r[c])) for r in found])
+            for c in ("of_joint", "of_own")]
+    losses = np.array([counts[c] for c in ("joint", "deep", "shallow")])
+    loss, grad = N.combined(counts["n"], losses, *(unflatten(f, like) for f in flat))
+    return {"loss": loss * counts["n"], **counts}, grad
+
+
+def batched_table(rows: DataFrame, steps: int, seed: int) -> tuple[DataFrame, str]:
+    """(the rows as a table partitioned by batch, its path) in the shared folder."""
     spark = rows.sparkSession
-    path = f"{checkpoint_dir(spark)}/batches-{uuid.uuid4().hex}"
+    path = shared_path(spark, "batches")
     batch = F.pmod(F.xxhash64(F.lit(seed), "row_key"), F.lit(steps)).cast("int")
     batched = rows.select(
-        "idx", "val", F.col("label").cast("double").alias("label"), batch.alias("batch")
+        "row_key", "idx", "val", F.col("label").cast("double").alias("label"),
+        batch.alias("batch"),
     )
     if steps > 1:
         batched = batched.hint("rebalance", "batch")  # few, even files per batch
     batched.write.partitionBy("batch").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 # -- training loop -------------------------------------------------------------
@@ -214,15 +222,20 @@ def _ratio(top: float, bottom: float) -> float:
 def validate(
     rows: DataFrame, w: N.Weights, domain: DomainConfig, width: int, pos_weight: float
 ) -> dict[str, float]:
-    """Loss and metrics of the evaluation pass over rows that are scored once."""
-    scored = score_rows(rows, w, domain.network, width, ["label"]).persist()
-    weight = F.when(F.col("label") == 1, float(pos_weight)).otherwise(1.0)
-    found: dict[str, float | None] = {}
-    for table in (E.tri_bce(scored, weight), E.confusion(scored), E.roc_auc(scored)):
-        found |= table.first().asDict()
-    scored.unpersist()
-    return {k: math.nan if found[k] is None else float(found[k]) for k in
-            ("loss", "accuracy", "precision", "recall", "f1", "auc")}
+    """Loss and metrics of the evaluation pass; the rows are scored once and stored."""
+    found = evaluate(rows, w, domain, width, pos_weight).first().asDict()
+    return {k: math.nan if v is None else float(v) for k, v in found.items()}
+
+
+def evaluate(
+    rows: DataFrame, w: N.Weights, domain: DomainConfig, width: int, pos_weight: float
+) -> DataFrame:
+    """One row: loss, accuracy, precision, recall, f1, auc."""
+    scored = stored(score_rows(rows, w, domain.network, width, ["label"]), "scored")
+    loss = E.tri_bce(scored, lambda p, n: (F.lit(float(pos_weight)), F.lit(1.0)))
+    return loss.select("loss").crossJoin(  # one row each
+        E.confusion(scored).select("accuracy", "precision", "recall", "f1")
+    ).crossJoin(E.roc_auc(scored))
 
 
 def train(
@@ -232,11 +245,11 @@ def train(
     pos_weight: float | None = None,
     rounds: int | None = None,
     epochs: int | None = None,
-    steps: int = STEPS_PER_EPOCH,
+    batch_rows: int | None = None,
     earlier_loss: float = math.inf,
     seed: int = 42,
     weights: N.Weights | None = None,
-    train_auc: bool = False,
+    train_auc: bool = True,
     on_best: Callable[[Model], None] | None = None,
 ) -> tuple[Model | None, list[tuple]]:
     """Train on ``split`` (row_key, label, idx, val, split) and return the best model.
@@ -245,7 +258,9 @@ def train(
     model is kept only if it also beats the loss saved before the round began; ``on_best``
     is called with it at once. The second value is the history, one tuple per epoch
     (``HISTORY_SCHEMA``). Training metrics come from the gradient pass itself, except for
-    the ROC area, which ``train_auc`` buys with one more pass.
+    the ROC area, which takes one more pass unless ``train_auc`` is off. An update is made
+    for every ``batch_rows`` rows (the domain's, unless given), so the number of updates
+    follows the rows.
     """
     width = len(feature_names)
     w = weights if weights is not None else N.init_weights(width, domain.network, seed)
@@ -254,15 +269,17 @@ def train(
         pos_weight = 1.0
     if not domain.weighted_loss:
         pos_weight = 1.0
-    train_rows = batched_table(split.where(F.col("split") == "train"), steps, seed)
-    val_rows = batched_table(split.where(F.col("split") == "validation"), 1, seed)
+    training = split.where(F.col("split") == "train")
+    steps = max(1, -(-training.count() // (batch_rows or domain.batch_rows)))
+    train_rows, train_path = batched_table(training, steps, seed)
+    val_rows, val_path = batched_table(split.where(F.col("split") == "validation"), 1, seed)
     best: Model | None = None
     history: list[tuple] = []
     for round_no in range(rounds or domain.rounds):
         best_in_round, waited = math.inf, 0
         saved_before = min(earlier_loss, best.loss if best else math.inf)
         for epoch in range(epochs or domain.epochs):
-            totals = np.zeros(6)
+            totals = dict.fromkeys(("loss", *_COUNTS), 0.0)
             for step in range(steps):
                 rows = train_rows.where(F.col("batch") == step)
                 draw = ((round_no * 1000 + epoch) * steps + step) * 7919 + seed
@@ -271,8 +288,8 @@ def train(
                 )
                 if grad is not None:
                     w = optimiser.update(w, grad)
-                    totals += sums
-            n, loss, tp, fp, fn, tn = totals
+                    totals = {k: v + sums[k] for k, v in totals.items()}
+            n, loss, tp, fp, fn, tn = (totals[k] for k in ("n", "loss", "tp", "fp", "fn", "tn"))
             precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
             v = validate(val_rows, w, domain, width, pos_weight)
             area = math.nan
@@ -297,39 +314,60 @@ def train(
                 waited += 1
                 if waited >= domain.patience:
                     break
+    for path in (train_path, val_path):
+        remove(split.sparkSession, path)
     return best, history
 
 
 # -- stored models -------------------------------------------------------------
 
+_META = (
+    "saved bigint, version string, width int, feature_names array<string>, loss double, "
+    "round int, epoch int"
+)
+
+
 def save_model(spark: SparkSession, model: Model, path: str) -> None:
-    """Weights and optimiser state as (kind, name, shape, data) rows, plus one meta row."""
+    """Weights and optimiser state as a new version; one appended row then points to it.
+
+    A crash in between leaves the earlier version in force, never a mixture.
+    """
     rows = [
         (kind, k, list(a.shape), a.ravel().tolist())
         for kind, group in (("weight", model.weights), ("optimiser", model.optimiser))
         for k, a in group.items()
     ]
+    version, latest = uuid.uuid4().hex, latest_meta(spark, path)
     spark.createDataFrame(
         rows, "kind string, name string, shape array<int>, data array<double>"
-    ).write.mode("overwrite").parquet(f"{path}/weights")
+    ).write.parquet(f"{path}/versions/{version}")
     spark.createDataFrame(
-        [(model.width, model.feature_names, model.loss, model.round, model.epoch)],
-        "width int, feature_names array<string>, loss double, round int, epoch int",
-    ).write.mode("overwrite").parquet(f"{path}/meta")
+        [((latest.saved if latest else 0) + 1, version, model.width, model.feature_names,
+          model.loss, model.round, model.epoch)], _META,
+    ).coalesce(1).write.mode("append").parquet(f"{path}/meta")
+
+
+def latest_meta(spark: SparkSession, path: str):
+    """The row of the version in force, None if there is none."""
+    from tastegrid.sources.tables import table_exists
+
+    if not table_exists(spark, f"{path}/meta"):
+        return None
+    return spark.read.schema(_META).parquet(f"{path}/meta").orderBy(F.desc("saved")).first()
 
 
 def load_model(spark: SparkSession, path: str, feature_names: Sequence[str]) -> Model:
     """Read a stored model; its features must be the given ones, in order."""
-    from tastegrid.sources.tables import require_table
-
-    meta = require_table(spark, f"{path}/meta", "model").first()
+    meta = latest_meta(spark, path)
+    if meta is None:
+        raise FileNotFoundError(f"missing model at {path}")
     if list(meta.feature_names) != list(feature_names):
         raise ValueError(
             f"model was trained on {meta.width} features that differ from the "
             f"{len(feature_names)} given"
         )
     groups: dict[str, N.Weights] = {"weight": {}, "optimiser": {}}
-    for row in spark.read.parquet(f"{path}/weights").collect():
+    for row in spark.read.parquet(f"{path}/versions/{meta.version}").collect():
         groups[row.kind][row.name] = np.array(row.data).reshape(row.shape)
     return Model(groups["weight"], list(meta.feature_names), meta.loss, meta.round, meta.epoch,
                  groups["optimiser"])

@@ -116,9 +116,8 @@ def train_domain(
     else:
         matrix = spark.read.parquet(matrix_path)
         names = [n for e in _encoders(spark, layout, domain) for n in e.feature_names]
-    earlier = math.inf
-    if tables.table_exists(spark, f"{model_path}/meta"):
-        earlier = spark.read.parquet(f"{model_path}/meta").first().loss
+    meta = T.latest_meta(spark, model_path)
+    earlier = meta.loss if meta else math.inf
     _, history = fit_model(
         matrix, names, domain, earlier_loss=earlier,
         on_best=lambda model: T.save_model(spark, model, model_path), **options,

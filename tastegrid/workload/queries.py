@@ -294,12 +294,11 @@ def on_scored(metric: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def tri_bce_weighted(rows: DataFrame) -> DataFrame:
-    weight = P.positive_weight(rows).scalar()
-    return evaluation.tri_bce(rows, F.when(F.col("label") == 1, weight).otherwise(1.0))
+    return evaluation.tri_bce(rows, evaluation.root_weights)
 
 
 def tri_bce_balanced(rows: DataFrame) -> DataFrame:
-    return evaluation.tri_bce(evaluation.balanced_weights(rows), F.col("weight"))
+    return evaluation.tri_bce(rows, evaluation.balanced_weights)
 
 
 def _scoring_inputs(spark: SparkSession, d: str, form: str):
@@ -392,7 +391,7 @@ QUERIES: dict[str, Query] = {
     "tag_map": tag_map,
     "rule_map": rule_map,
     "item_rules": item_rules(G.assign_rules),
-    "item_rules_division": item_rules(G.assign_rules_by_division),
+    "item_rules_division": item_rules(G.assign_rules),
     "score_crossnet": score_crossnet("movie", "wide"),
     "score_crossnet_clip": score_crossnet("clip", "dense"),
     "score_crossnet_all": score_crossnet("all", "dense"),

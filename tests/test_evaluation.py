@@ -65,15 +65,41 @@ def test_tri_bce_plain_weighted_and_balanced(spark):
         return joint + deep * max(deep - joint, 0) + shallow * max(shallow - joint, 0)
 
     assert E.tri_bce(rows).first().loss == pytest.approx(combined(np.ones(7)))
-    weighted = E.tri_bce(rows, F.when(F.col("label") == 1, 1.7).otherwise(1.0))
+    weighted = E.tri_bce(rows, lambda p, n: (F.lit(1.7), F.lit(1.0)))
     assert weighted.first().loss == pytest.approx(combined(np.where(y == 1, 1.7, 1)))
-    balanced = E.tri_bce(E.balanced_weights(rows), F.col("weight"))
+    balanced = E.tri_bce(rows, E.balanced_weights)
     assert balanced.first().loss == pytest.approx(combined(np.where(y == 1, 5 / 7, 2 / 7)))
 
 
 def test_balanced_weight_counts_each_class_at_least_once(spark):
-    rows = E.balanced_weights(spark.createDataFrame([(0,), (0,)], "label int"))
-    assert {r.weight for r in rows.collect()} == {1 / 3}
+    of_pos, of_neg = E.balanced_weights(F.lit(0.0), F.lit(2.0))
+    row = spark.range(1).select(of_pos.alias("p"), of_neg.alias("n")).first()
+    assert (row.p, row.n) == (pytest.approx(2 / 3), pytest.approx(1 / 3))
+
+
+def test_weighted_loss_scores_rows_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def score(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(1, .4, .5, .6), (0, .3, .2, .1), (0, .9, .8, .7)], SCORED)
+    scored = rows.mapInArrow(score, rows.schema)
+    assert E.tri_bce(scored, E.root_weights).first().loss > 0
+    assert calls.value == 3
+
+
+def test_auc_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(E, "RANGE_SCORES", 40)
+    rows = spark.range(1000).select(
+        ((F.col("id") * 7919) % 3 == 0).cast("int").alias("label"),
+        ((F.col("id") * 104729) % 701 / 701).alias("score"))
+    pdf = rows.toPandas()
+    pos, neg = pdf[pdf.label == 1].score.values, pdf[pdf.label == 0].score.values
+    wanted = ((pos[:, None] > neg).sum() + (pos[:, None] == neg).sum() / 2) / len(pos) / len(neg)
+    assert E.roc_auc(rows).first().auc == pytest.approx(wanted)
 
 
 def test_bce_of_certain_scores_is_bounded(spark):

@@ -92,18 +92,41 @@ def test_hot_group_is_split_over_tasks(spark):
     try:
         rows = spark.range(60_000, numPartitions=8).select(
             F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("profile_id"),
-            F.col("id").alias("duration"))
-        counted = interactions.with_group_count(rows, ["profile_id"], "n")
+            F.lit("a").alias("content_id"), F.lit("u").alias("username"),
+            F.col("id").cast("double").alias("duration"))
+        users = spark.createDataFrame([("u",)], "username string")
+        items = spark.createDataFrame([("a",)], "content_id string")
+        counts = interactions.watch_counts(rows, users, items)
+        counted = splittable_join(rows, counts, ["profile_id", "content_id"], "left")
         counted.collect()
         assert "SortMergeJoin(skew=true)" in counted._jdf.queryExecution().executedPlan().toString()
         # 7 itself is a multiple of 3 plus 1, so it only occurs as the hot key
-        assert counted.where("profile_id = 7 and n = 40000").count() == 40_000
-        assert counted.where("profile_id <> 7 and n = 1").count() == 20_000
+        assert counted.where("profile_id = 7 and watch_count = 40000").count() == 40_000
+        assert counted.where("profile_id <> 7 and watch_count = 1").count() == 20_000
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_the_log_is_joined_once_with_each_table(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        users, items = tables(spark)
+        log = spark.createDataFrame([("u", "a", 1.0, 1), ("u", "b", 2.0, 1)], LOG)
+        rows = interactions.labelled_views(log, users, items, DOMAINS["movie"])
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join " in line]
+        # two with the tables, one with the counts, and two short ones that make the counts
+        assert len(joins) == 5
+        assert sum("_hash" in line for line in joins) == 3
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_splittable_join_keeps_unmatched_rows_on_the_left(spark):
     left = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     right = spark.createDataFrame([("a", 1)], "k string, v int")
@@ -155,9 +178,8 @@ def test_validation_sizes():
     assert sum(S.validation_sizes({0: 7, 1: 6}, 0.3).values()) == 4
 
 
-@pytest.mark.parametrize("exact_rows,bits", [(20_000, 16), (5, 4)])
-def test_split_is_exact_and_independent_of_partitions(spark, monkeypatch, exact_rows, bits):
-    monkeypatch.setattr(S, "EXACT_ROWS", exact_rows)
+@pytest.mark.parametrize("bits", [16, 4])
+def test_split_is_exact_and_independent_of_partitions(spark, monkeypatch, bits):
     monkeypatch.setattr(S, "PREFIX_BITS", bits)
     rows = spark.range(1000).select(F.col("id").alias("row_key"),
                                     (F.col("id") % 10 < 3).cast("int").alias("label"))

@@ -29,7 +29,7 @@ def layout(spark, sf_dir, tmp_path_factory):
 
 def test_train_then_recommend(spark, layout):
     domain = DOMAINS["clip"]
-    history = jobs.train_domain(spark, layout, domain, 2025, rounds=1, epochs=1, steps=1)
+    history = jobs.train_domain(spark, layout, domain, 2025, rounds=1, epochs=1)
     assert len(history) == 1
     found = jobs.recommend_domain(spark, layout, domain, 2025, n=7)
     rows = found.collect()
@@ -44,7 +44,7 @@ def test_train_then_recommend(spark, layout):
     assert sorted(r.item_ord for r in items.collect()) == list(range(200))
     assert {int(r.content_id): r.item_ord for r in items.collect()} == {i: i for i in range(200)}
     # a second training starts from the stored matrix and keeps the better model
-    jobs.train_domain(spark, layout, domain, 2025, rounds=1, epochs=1, steps=1)
+    jobs.train_domain(spark, layout, domain, 2025, rounds=1, epochs=1)
     assert spark.read.parquet(layout.of(domain, "history")).count() == 2
 
 

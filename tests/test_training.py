@@ -8,6 +8,7 @@ from tastegrid.config import DOMAINS
 from tastegrid.operators import network as N
 from tastegrid.operators import training as T
 from tastegrid.plans.fit_model import fit_model
+from tastegrid.session import checkpoint_dir
 
 WIDTH = 8
 NAMES = [f"f{i}" for i in range(WIDTH)]
@@ -32,7 +33,7 @@ def domain(name, **changes):
 def test_training_learns_a_planted_signal(matrix, name):
     config = domain(name, learning_rate=0.05)
     kept = []
-    model, history = fit_model(matrix, NAMES, config, rounds=1, epochs=4, steps=4,
+    model, history = fit_model(matrix, NAMES, config, rounds=1, epochs=4, batch_rows=180,
                                train_auc=name == "movie", on_best=kept.append)
     losses = [h[HISTORY.index("val_loss")] for h in history]
     assert len(history) == 4 and losses[-1] < losses[0]
@@ -42,26 +43,56 @@ def test_training_learns_a_planted_signal(matrix, name):
         assert history[-1][HISTORY.index("train_auc")] > 0.75
 
 
-def test_gradient_does_not_depend_on_partitions(spark, matrix):
+@pytest.mark.parametrize("name,dropout", [("movie", 0.0), ("movie", 0.3), ("music", 0.1)])
+def test_gradient_does_not_depend_on_partitions(matrix, name, dropout):
     config = dataclasses.replace(
-        DOMAINS["movie"], batch_rows=10_000,
-        network=dataclasses.replace(DOMAINS["movie"].network, dropout=0.0))
+        DOMAINS[name], batch_rows=100,
+        network=dataclasses.replace(DOMAINS[name].network, dropout=dropout))
     w = N.init_weights(WIDTH, config.network, 1)
-    few = matrix.where("row_key < 300")
-    sums, grad = T.read_sums(T.gradient_sums(few.coalesce(1), w, config, WIDTH, 1.3, 7), w)
-    x = np.array([r.val for r in few.orderBy("row_key").collect()])
-    y = np.array([r.label for r in few.orderBy("row_key").collect()], dtype=float)
-    loss, wanted, _ = N.loss_and_gradient(
-        x, y, w, config.network, 1.3, np.random.default_rng(0))
-    assert sums[0] == 300 and sums[1] / 300 == pytest.approx(loss)
-    for k in w:
-        assert grad[k] == pytest.approx(wanted[k], abs=1e-9), k
+    ordered = matrix.orderBy("row_key").collect()
+    x = np.array([r.val for r in ordered])
+    y = np.array([r.label for r in ordered], dtype=float)
+    draws = N.RowDraws(7, np.array([r.row_key for r in ordered]))
+    loss, wanted, _ = N.loss_and_gradient(x, y, w, config.network, 1.3, draws)
+    for parts in (1, 8, 32):
+        sums, grad = T.read_sums(
+            T.gradient_sums(matrix.repartition(parts), w, config, WIDTH, 1.3, 7), w)
+        assert sums["n"] == 900 and sums["loss"] / 900 == pytest.approx(loss)
+        for k in w:
+            assert grad[k] == pytest.approx(wanted[k], abs=1e-9), (parts, k)
+
+
+def test_gradient_in_ranges(matrix, monkeypatch):
+    config = domain("movie", network=dataclasses.replace(DOMAINS["movie"].network, dropout=0.0))
+    w = N.init_weights(WIDTH, config.network, 1)
+    _, whole = T.read_sums(T.gradient_sums(matrix, w, config, WIDTH, 1.0, 7), w)
+    monkeypatch.setattr(T, "RANGE", 10)
+    sums = T.gradient_sums(matrix, w, config, WIDTH, 1.0, 7)
+    counts, parts = T.read_sums(sums, w)
+    assert counts["n"] == 900
+    assert all(parts[k] == pytest.approx(whole[k]) for k in w)
+
+
+def test_row_draws_are_uniform_and_independent():
+    draws = N.RowDraws(3, np.arange(4000)).uniform("deep.0", 20)
+    assert abs(draws.mean() - 0.5) < 0.01 and 0 <= draws.min() and draws.max() < 1
+    assert abs(np.corrcoef(draws.T) - np.eye(20)).max() < 0.1
+    assert not np.array_equal(draws, N.RowDraws(3, np.arange(4000)).uniform("deep.1", 20))
+
+
+def test_batch_tables_are_removed(spark, matrix):
+    split = matrix.selectExpr("*", "IF(row_key % 5 = 0, 'validation', 'train') AS split")
+    T.train(split, NAMES, domain("movie"), rounds=1, epochs=1, batch_rows=2_000)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    names = [s.getPath().getName() for s in folder.getFileSystem(
+        spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    assert not [n for n in names if n.startswith("batches-")]
 
 
 def test_patience_ends_a_round_and_an_earlier_better_model_stays(matrix):
     config = domain("movie", learning_rate=0.0, patience=2)
     split = matrix.selectExpr("*", "IF(row_key % 5 = 0, 'validation', 'train') AS split")
-    model, history = T.train(split, NAMES, config, rounds=2, epochs=9, steps=1,
+    model, history = T.train(split, NAMES, config, rounds=2, epochs=9, batch_rows=2_000,
                              earlier_loss=-1.0)
     assert model is None and [h[:2] for h in history] == [(1, 1), (1, 2), (1, 3),
                                                           (2, 1), (2, 2), (2, 3)]
@@ -91,6 +122,10 @@ def test_save_and_load(spark, tmp_path):
     assert (loaded.loss, loaded.round, loaded.epoch, loaded.width) == (0.25, 1, 3, WIDTH)
     assert all(np.array_equal(loaded.weights[k], w[k]) for k in w)
     assert loaded.optimiser["first.deep.fc_b"][0] == 0.5
+    later = T.Model({k: v + 1 for k, v in w.items()}, NAMES, 0.125, 2, 1)
+    T.save_model(spark, later, str(tmp_path / "m"))
+    loaded = T.load_model(spark, str(tmp_path / "m"), NAMES)
+    assert loaded.loss == 0.125 and all(np.array_equal(loaded.weights[k], w[k] + 1) for k in w)
     with pytest.raises(ValueError, match="differ"):
         T.load_model(spark, str(tmp_path / "m"), NAMES[::-1])
     with pytest.raises(FileNotFoundError):
