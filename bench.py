@@ -20,7 +20,7 @@ from tastegrid.workload.queries import QUERIES  # noqa: E402
 HEADLINE = (
     "train_movie", "training_matrix_movie", "watch_counts", "split_counts", "item_rules",
     "item_rules_division", "score_crossnet", "roc_auc", "tri_bce_weighted", "topn_crossnet",
-    "topn_meta", "rule_content", "train_crossnet_metrics",
+    "topn_meta", "rule_content", "gradient_pass", "validation_pass",
 )
 
 

@@ -29,7 +29,8 @@ TILE_PROFILES = 50_000
 PIECE_ITEMS = 4096
 PIECE_PROFILES = 64
 DENSE_CELLS = 2_000_000
-SCORE_PLACES = 7
+#: Digits that do not depend on how rows were blocked; ties beyond go to catalogue order.
+SCORE_PLACES = 12
 
 PAIR_SCHEMA = (
     "profile_id bigint, username string, content_id string, item_ord bigint, score double"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tastegrid.config import DomainConfig
 from tastegrid.operators import cleaning, interactions, ranking
@@ -62,7 +63,8 @@ def apply_features(
     """Clean and encode new tables with fitted encoders, for scoring.
 
     ``num_users`` and ``num_items`` keep the first rows only (-1: all); with a limit the
-    items are also restricted to active ones. One row per content id remains.
+    items are also restricted to active ones. One row per content id remains; items
+    without an id cannot be recommended and leave before they are scored.
     """
     clean_users = cleaning.head(
         cleaning.clean_users(users, as_of_year), num_users, ["username"]
@@ -70,7 +72,9 @@ def apply_features(
     clean_items = cleaning.clean_items(catalogue, domain, year_mean, keep=[order])
     if num_items != -1:
         clean_items = cleaning.head(cleaning.active_items(clean_items), num_items, [order])
-    clean_items = ranking.first_per_content(clean_items, order)
+    clean_items = ranking.first_per_content(
+        clean_items.where(F.col("content_id").isNotNull()), order
+    )
     return encode(clean_users, clean_items, user_encoder, item_encoder, domain, (order,))
 
 

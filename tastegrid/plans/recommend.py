@@ -26,9 +26,9 @@ def item_info(
 
 
 def with_info(ranked: DataFrame, info: DataFrame) -> DataFrame:
-    """Ranked rows with the metadata and rule of their item."""
-    return splittable_join(ranked, info, ["content_id"]).select(
-        *ranked.columns, *R.META_COLUMNS,
+    """Ranked rows with the metadata and rule of their item; every ranked row stays."""
+    return splittable_join(ranked, info, ["content_id"], "left").select(
+        *ranked.columns, *[F.coalesce(c, F.lit("")).alias(c) for c in R.META_COLUMNS],
         F.coalesce("rule_id", F.lit(DEFAULT_RULE)).cast("bigint").alias("rule_id"),
     )
 

@@ -73,6 +73,13 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalogue_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue without the ids of some items."""
+    return catalogue(spark, sf_dir).withColumn(
+        "content_id", F.when(F.col("item_ord") % 43 != 0, F.col("content_id"))
+    )
+
+
 def watch_log_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form A: many profiles and contents, few repeats (lineitem through orders)."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")

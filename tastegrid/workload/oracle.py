@@ -1,7 +1,7 @@
 """SQL over the given tables for the registered queries (DuckDB dialect).
 
 Feature vectors and the network are spelled out in SQL lists, independently of the
-numpy code. Only ``train_crossnet_metrics`` has no SQL: it is an iterative fit.
+numpy code.
 """
 
 from __future__ import annotations
@@ -173,8 +173,13 @@ def each(expression: str, size: int) -> str:
     return f"list_transform(range(1, {size} + 1), lambda k: {expression})"
 
 
-def network(source: str, net: NetworkConfig, width: int, keep: str) -> tuple[tuple[str, str], ...]:
-    """CTEs that end in ``scored`` (keep…, score, score_deep, score_shallow); input x."""
+def network(
+    source: str, net: NetworkConfig, width: int, keep: str, last_x: bool = False
+) -> tuple[tuple[str, str], ...]:
+    """CTEs that end in ``scored`` (keep…, score, score_deep, score_shallow); input x.
+
+    ``last_x`` also hands over deep_x and shallow_x, the inputs of the output layer.
+    """
     half = width // 2
     parts, tensor, before = [], 0, source
     carried = f"{keep}, x AS x0"
@@ -230,14 +235,18 @@ def network(source: str, net: NetworkConfig, width: int, keep: str) -> tuple[tup
         fc = rule(tensor, width, times=4.0)
         bias = f"({rule(tensor + 1, 1)})[1]"
         logits.append(f"{branch}_logit")
+        kept_x = f", x AS {branch}_x" if last_x else ""
         parts.append((f"{branch}_out", f"SELECT {state}, list_dot_product(x, {fc}) + {bias} "
-                                       f"AS {branch}_logit FROM {before}"))
+                                       f"AS {branch}_logit{kept_x} FROM {before}"))
         before = f"{branch}_out"
+        if last_x:
+            logits.append(f"{branch}_x")
         carried = f"{keep}, x0" + "".join(f", {n}" for n in logits)
         tensor += 10
     parts.append(("scored", f"""
 SELECT {keep}, 1 / (1 + exp(-(deep_logit + shallow_logit) * 0.5)) AS score,
   1 / (1 + exp(-deep_logit)) AS score_deep, 1 / (1 + exp(-shallow_logit)) AS score_shallow
+  {', deep_x, shallow_x' if last_x else ''}
 FROM {before}"""))
     return tuple(parts)
 
@@ -251,20 +260,22 @@ def scored(domain: DomainConfig, form: str) -> str:
 
 # -- ranking -----------------------------------------------------------------------
 
-def ranked(form: str) -> tuple[tuple[str, str], ...]:
-    """Every profile x every item, scored; the best N with their place."""
-    domain = DOMAINS["movie"]
+def ranked(
+    form: str, domain: DomainConfig = DOMAINS["movie"], ids: str = "true"
+) -> tuple[tuple[str, str], ...]:
+    """Every profile x every item (of which ``ids`` holds), scored; the best N with their place."""
     return (
         *tables(domain), LOG[form], *vectors(domain),
         ("profiles", """
 SELECT DISTINCT l.username, l.profile_id FROM log l WHERE l.profile_id IS NOT NULL"""),
         ("pairs", """
 SELECT p.profile_id, i.content_id, i.item_ord, list_concat(u.u, i.v) AS x
-FROM profiles p JOIN user_x u ON p.username = u.username CROSS JOIN item_x i"""),
+FROM profiles p JOIN user_x u ON p.username = u.username
+CROSS JOIN (SELECT * FROM item_x WHERE """ + ids + """) i"""),
         *network("pairs", domain.network, sum(widths(domain)),
                  "profile_id, content_id, item_ord"),
         ("best", """
-SELECT profile_id, content_id, max(round(score, 7)) AS score, min(item_ord) AS item_ord
+SELECT profile_id, content_id, max(round(score, 12)) AS score, min(item_ord) AS item_ord
 FROM scored GROUP BY profile_id, content_id"""),
         ("ranked", f"""
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id
@@ -465,6 +476,77 @@ FROM (SELECT {mean('score')} AS j, {mean('score_deep')} AS d, {mean('score_shall
         (SELECT sum(label)::DOUBLE AS pos, (count(*) - sum(label))::DOUBLE AS neg FROM matrix))""")
 
 
+def _weighted_loss(score: str) -> str:
+    return (
+        f"avg(w * -(label * greatest(ln({score}), -100) "
+        f"+ (1 - label) * greatest(ln(1 - {score}), -100)))"
+    )
+
+
+_WEIGHTED = (
+    ("class_weight", """
+SELECT sqrt((count(*) - sum(label)) / sum(label)::DOUBLE) AS pos_w FROM matrix"""),
+    ("weighted", """
+SELECT *, CASE WHEN label = 1 THEN pos_w ELSE 1 END AS w FROM scored, class_weight"""),
+    ("losses", f"""
+SELECT count(*) AS n, {_weighted_loss('score')} AS j, {_weighted_loss('score_deep')} AS d,
+  {_weighted_loss('score_shallow')} AS s,
+  count(*) FILTER (score > 0.5 AND label = 1) AS tp,
+  count(*) FILTER (score > 0.5 AND label = 0) AS fp,
+  count(*) FILTER (score <= 0.5 AND label = 1) AS fn,
+  count(*) FILTER (score <= 0.5 AND label = 0) AS tn FROM weighted"""),
+)
+
+
+def _gradient_sql() -> str:
+    domain = DOMAINS["movie"]
+    slope = "(CASE WHEN {0} > j THEN 2 * {0} - j ELSE 0 END)"
+    base = "(1 - CASE WHEN d > j THEN d ELSE 0 END - CASE WHEN s > j THEN s ELSE 0 END)"
+
+    def g(branch: str, own: str) -> str:
+        return (
+            f"w * ({base} * 0.5 * (score - label) + {slope.format(own)} "
+            f"* (score_{branch} - label)) / n"
+        )
+
+    def output(branch: str) -> str:
+        return f"""
+SELECT '{branch}.fc_b', 0, sum(g_{branch}) FROM slopes UNION ALL
+SELECT '{branch}.fc_w', k, sum(g * x) FROM (
+  SELECT g_{branch} AS g, unnest({branch}_x) AS x,
+    unnest(range(len({branch}_x))) AS k FROM slopes) GROUP BY k"""
+
+    return ctes(
+        *training(domain, "dense"),
+        *network("matrix", domain.network, sum(widths(domain)),
+                 "username, content_id, profile_id, label", last_x=True),
+        *_WEIGHTED,
+        ("slopes", f"SELECT *, {g('deep', 'd')} AS g_deep, {g('shallow', 's')} AS g_shallow "
+                   "FROM weighted, losses"),
+        ("parts", """
+SELECT 'loss' AS name, 0 AS position, j + d * greatest(d - j, 0) + s * greatest(s - j, 0) AS value
+FROM losses
+UNION ALL SELECT unnest(['n', 'tp', 'fp', 'fn', 'tn']), 0, unnest([n, tp, fp, fn, tn])::DOUBLE
+FROM losses UNION ALL""" + output("deep") + " UNION ALL " + output("shallow")),
+    ) + "SELECT name, position::BIGINT AS position, round(value, 6) AS value FROM parts"
+
+
+GRADIENT_PASS = _gradient_sql()
+VALIDATION_PASS = scored(DOMAINS["movie"], "dense").rstrip() + ",\n" + ",\n".join(
+    f"{name} AS ({body})" for name, body in _WEIGHTED
+) + """
+SELECT round(j + d * greatest(d - j, 0) + s * greatest(s - j, 0), 6) AS loss,
+  round((tp + tn) / n::DOUBLE, 6) AS accuracy,
+  round(coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0), 6) AS precision,
+  round(coalesce(tp / nullif(tp + fn, 0)::DOUBLE, 0), 6) AS recall,
+  round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0), 6) AS f1,
+  round((SELECT sum(p * (b + q / 2)) / (sum(p) * sum(q)) FROM (
+    SELECT p, q, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                       AND 1 PRECEDING), 0) AS b
+    FROM (SELECT score, sum(label)::DOUBLE AS p, sum(1 - label)::DOUBLE AS q
+          FROM scored GROUP BY score))), 6) AS auc
+FROM losses"""
+
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 ORACLE: dict[str, str] = {
@@ -494,6 +576,7 @@ ORDER BY item_ord LIMIT 100""",
     "watch_counts": _watch_sql("wide"),
     "watch_counts_dense": _watch_sql("dense"),
     "training_matrix_movie": _matrix_sql(DOMAINS["movie"], "wide"),
+    **{f"training_matrix_{n}": _matrix_sql(DOMAINS[n], "wide") for n in ("clip", "music")},
     "training_matrix_all_dense": _matrix_sql(DOMAINS["all"], "dense"),
     "join_diagnostics": _diagnostics_sql(),
     "content_overlap": ctes(*tables(DOMAINS["all"]), LOG["wide"]) + """
@@ -520,6 +603,7 @@ WHERE NOT EXISTS (SELECT 1 FROM (SELECT unnest(string_split(r.list_tags_id, ',')
     "item_rules_division": ctes(CATALOGUE, *TAGS, META, *ITEM_RULES) + "SELECT * FROM item_rules",
     "score_crossnet": _score_sql(DOMAINS["movie"], "wide"),
     "score_crossnet_clip": _score_sql(DOMAINS["clip"], "dense"),
+    "score_crossnet_music": _score_sql(DOMAINS["music"], "dense"),
     "score_crossnet_all": _score_sql(DOMAINS["all"], "dense"),
     "confusion_metrics": _metric_sql("""
 SELECT tp, fp, fn, tn, round((tp + tn) / (tp + fp + fn + tn)::DOUBLE, 6) AS accuracy,
@@ -542,12 +626,24 @@ SELECT round(sum(p * (b + n / 2)) / (sum(p) * sum(n)), 6) AS auc FROM (
         "CASE WHEN label = 1 THEN neg / (pos + neg) ELSE pos / (pos + neg) END"
     ),
     "topn_crossnet": ctes(*ranked("wide")) + """
-SELECT profile_id, rank, content_id, score FROM ranked""",
+SELECT profile_id, rank, content_id, round(score, 7) AS score FROM ranked""",
     "topn_crossnet_grid": ctes(*ranked("dense")) + """
-SELECT profile_id, rank, content_id, score FROM ranked""",
+SELECT profile_id, rank, content_id, round(score, 7) AS score FROM ranked""",
     "topn_meta": shown() + """
-SELECT profile_id, username, rank, content_id, content_name, tag_names, type_id, score, rule_id
-FROM shown""",
+SELECT profile_id, username, rank, content_id, content_name, tag_names, type_id,
+  round(score, 7) AS score, rule_id FROM shown""",
+    "result_documents": shown() + """
+SELECT profile_id, username, content_id, content_name, tag_names, type_id,
+  round(score, 7) AS score, rule_id FROM shown""",
+    "topn_null_ids": ctes(
+        *ranked("dense", ids="item_ord % 43 <> 0"), *TAGS, META, *ITEM_RULES, SHOWN
+    ) + """
+SELECT profile_id, rank, content_id, round(score, 7) AS score, rule_id FROM shown""",
+    **{f"topn_crossnet_{n}": ctes(*ranked("dense", DOMAINS[n])) + """
+SELECT profile_id, rank, content_id, round(score, 7) AS score FROM ranked"""
+       for n in ("clip", "music", "all")},
+    "gradient_pass": GRADIENT_PASS,
+    "validation_pass": VALIDATION_PASS,
     "rulename": shown() + """
 SELECT p.profile_id AS pid, coalesce(string_agg(g.rule_id::VARCHAR, ',' ORDER BY first_rank), '')
   AS d

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from tastegrid.operators import split as P
 from tastegrid.operators import training as T
 from tastegrid.operators.encoding import Encoder, item_spec, statistics, user_spec, vocabulary
 from tastegrid.plans import feature_build, recommend
-from tastegrid.session import cut_lineage
+from tastegrid.session import cut_lineage, stored
 from tastegrid.sinks import results as K
 from tastegrid.workload import adapters as A
 
@@ -301,9 +302,9 @@ def tri_bce_balanced(rows: DataFrame) -> DataFrame:
     return evaluation.tri_bce(rows, evaluation.balanced_weights)
 
 
-def _scoring_inputs(spark: SparkSession, d: str, form: str):
-    domain = DOMAINS["movie"]
-    users, catalogue = A.users(spark, d), A.catalogue(spark, d)
+def _scoring_inputs(spark: SparkSession, d: str, name: str = "movie", catalogue=A.catalogue):
+    domain = DOMAINS[name]
+    users, catalogue = A.users(spark, d), catalogue(spark, d)
     fitted = feature_build.fit_features(users, catalogue, domain, A.AS_OF_YEAR)
     features = feature_build.apply_features(
         users, catalogue, fitted.user_encoder, fitted.item_encoder, domain, A.AS_OF_YEAR
@@ -311,31 +312,48 @@ def _scoring_inputs(spark: SparkSession, d: str, form: str):
     return domain, catalogue, features, check_weights(len(features.names), domain.network)
 
 
-def topn_crossnet(form: str, **plan) -> Query:
+def topn_crossnet(form: str, name: str = "movie", catalogue=A.catalogue, **plan) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        domain, _, features, weights = _scoring_inputs(spark, d, form)
+        domain, _, features, weights = _scoring_inputs(spark, d, name, catalogue)
         rows = R.profile_features(LOGS[form](spark, d), features.users)
         pairs = S.best_pairs(
             rows, features.items, weights, domain.network, features.user_encoder.width,
             features.item_encoder.width, TOP_N, **plan,
         )
         return R.top_n(pairs).select(
-            "profile_id", F.col("rank").cast("bigint").alias("rank"), "content_id", "score"
+            "profile_id", F.col("rank").cast("bigint").alias("rank"), "content_id",
+            F.round("score", 7).alias("score"),
         )
 
     return run
 
 
 def _results(spark: SparkSession, d: str, form: str) -> DataFrame:
-    domain, catalogue, features, weights = _scoring_inputs(spark, d, form)
+    domain, catalogue, features, weights = _scoring_inputs(spark, d)
     info = recommend.item_info(features.items, catalogue, A.tags(spark, d), A.rules(spark))
     return recommend.recommend(LOGS[form](spark, d), features, weights, domain, info)
 
 
 def topn_meta(spark: SparkSession, d: str) -> DataFrame:
-    return _results(spark, d, "dense").select(
+    return _shown_scores(_results(spark, d, "dense").select(
         "profile_id", "username", F.inline("items")
-    ).withColumn("rank", F.col("rank").cast("bigint"))
+    ).withColumn("rank", F.col("rank").cast("bigint")))
+
+
+def _shown_scores(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("score", F.round("score", 7))
+
+
+def topn_null_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Results over a catalogue in which some items have no id: no rank is left out."""
+    domain, catalogue, features, weights = _scoring_inputs(
+        spark, d, catalogue=A.catalogue_with_nulls
+    )
+    info = recommend.item_info(features.items, catalogue, A.tags(spark, d), A.rules(spark))
+    found = recommend.recommend(A.watch_log_dense(spark, d), features, weights, domain, info)
+    return _shown_scores(found.select("profile_id", F.inline("items"))).select(
+        "profile_id", F.col("rank").cast("bigint").alias("rank"), "content_id", "score", "rule_id"
+    )
 
 
 def rulename(spark: SparkSession, d: str) -> DataFrame:
@@ -347,20 +365,53 @@ def rule_content(spark: SparkSession, d: str) -> DataFrame:
 
 
 def result_documents(spark: SparkSession, d: str) -> DataFrame:
-    return K.result_documents(_results(spark, d, "dense"))
+    """The JSON documents, parsed back into rows."""
+    entry = (
+        "struct<content_name:string,tag_names:string,type_id:string,score:double,rule_id:bigint>"
+    )
+    parsed = F.from_json(
+        "document",
+        f"suggested_content map<string,{entry}>, user struct<username:string,profile_id:bigint>",
+    )
+    documents = K.result_documents(_results(spark, d, "dense")).select(parsed.alias("d"))
+    return _shown_scores(documents.select(
+        F.col("d.user.profile_id").alias("profile_id"), F.col("d.user.username").alias("username"),
+        F.explode("d.suggested_content").alias("content_id", "e"),
+    ).select("profile_id", "username", "content_id", "e.*"))
 
 
-def train_crossnet_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """History of a short training run on the dense log."""
+def _pass_inputs(spark: SparkSession, d: str):
     domain = DOMAINS["movie"]
+    domain = replace(domain, network=replace(domain.network, dropout=0.0))
     features, rows = matrix(spark, d, domain, "dense")
-    rows = cut_lineage(rows)
-    parts = P.stratified_split(rows, domain.validation_share)
+    width = len(features.names)
+    return domain, rows, check_weights(width, domain.network), width
+
+
+def gradient_pass(spark: SparkSession, d: str) -> DataFrame:
+    """Loss, confusion counts and output-layer gradients of the whole dense matrix as one
+    batch, with fixed weights and without dropout: (name, position, value)."""
+    domain, rows, weights, width = _pass_inputs(spark, d)
+    rows = stored(rows.select("row_key", "idx", "val", "label"), "gradient-pass")
     weight = P.positive_weight(rows).first()[0]
-    _, history = T.train(
-        parts, features.names, domain, pos_weight=weight, rounds=1, epochs=2, steps=3
+    sums, grad = T.read_sums(
+        T.gradient_sums(rows, weights, domain, width, weight, seed=0), weights
     )
-    return spark.createDataFrame(history, T.HISTORY_SCHEMA)
+    found = [("loss", 0, sums["loss"] / sums["n"])]
+    found += [(c, 0, sums[c]) for c in ("n", "tp", "fp", "fn", "tn")]
+    for name in ("deep.fc_w", "deep.fc_b", "shallow.fc_w", "shallow.fc_b"):
+        found += [(name, k, float(g)) for k, g in enumerate(grad[name])]
+    return spark.createDataFrame(found, "name string, position bigint, value double").withColumn(
+        "value", F.round("value", 6)
+    )
+
+
+def validation_pass(spark: SparkSession, d: str) -> DataFrame:
+    """Loss and metrics of the evaluation pass over the dense matrix, with fixed weights."""
+    domain, rows, weights, width = _pass_inputs(spark, d)
+    weight = P.positive_weight(rows).first()[0]
+    found = T.evaluate(rows, weights, domain, width, weight)
+    return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
 
 
 QUERIES: dict[str, Query] = {
@@ -379,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "watch_counts": watch_counts("wide"),
     "watch_counts_dense": watch_counts("dense"),
     "training_matrix_movie": training_matrix("movie", "wide"),
+    **{f"training_matrix_{d}": training_matrix(d, "wide") for d in ("clip", "music")},
     "training_matrix_all_dense": training_matrix("all", "dense"),
     "join_diagnostics": join_diagnostics,
     "content_overlap": content_overlap,
@@ -394,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "item_rules_division": item_rules(G.assign_rules),
     "score_crossnet": score_crossnet("movie", "wide"),
     "score_crossnet_clip": score_crossnet("clip", "dense"),
+    "score_crossnet_music": score_crossnet("music", "dense"),
     "score_crossnet_all": score_crossnet("all", "dense"),
     "confusion_metrics": on_scored(evaluation.confusion),
     "roc_auc": on_scored(evaluation.roc_auc),
@@ -402,9 +455,12 @@ QUERIES: dict[str, Query] = {
     "tri_bce_balanced": on_scored(tri_bce_balanced),
     "topn_crossnet": topn_crossnet("wide"),
     "topn_crossnet_grid": topn_crossnet("dense", max_item_bytes=400_000, tile_profiles=60),
+    **{f"topn_crossnet_{d}": topn_crossnet("dense", d) for d in ("clip", "music", "all")},
+    "topn_null_ids": topn_null_ids,
     "topn_meta": topn_meta,
     "rulename": rulename,
     "rule_content": rule_content,
     "result_documents": result_documents,
-    "train_crossnet_metrics": train_crossnet_metrics,
+    "gradient_pass": gradient_pass,
+    "validation_pass": validation_pass,
 }
