@@ -18,7 +18,7 @@ from tastegrid.llm.batches import arrow_schema, items, record
 from tastegrid.session import ship_package
 
 #: Keys that one answering task holds at a time, about.
-RANGE_KEYS = 1 << 20
+RANGE_KEYS = 1 << 18
 _ASKED = "bucket int, block long, keys binary, extras binary"
 _ANSWERED = "block long, bucket int, answers binary"
 
