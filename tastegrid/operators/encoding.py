@@ -1,8 +1,9 @@
-"""Feature encoding: fitted vocabulary and statistics tables, then pure projections.
+"""Feature encoding: fitted vocabulary and statistics tables, then joins and projections.
 
-Only dimension tables (users, items) are encoded, never the log. A fitted
-``Encoder`` holds the vocabulary, whose size is capped: the model width grows with
-it, so a column beyond the cap is an error and not a slow job.
+Only dimension tables (users, items) are encoded, never the log. The vocabulary of a
+fitted ``Encoder`` is a stored table of any length; positions come from a join with it.
+The driver knows the number of categories per column, and their names only where a
+caller asks for them.
 
 Two layouts: ``wide`` (one named column per feature) and ``sparse`` (sorted feature
 positions and their values), which is what the training and scoring jobs move.
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,8 @@ from pyspark.sql.window import Window
 
 from tastegrid.config import DomainConfig
 from tastegrid.functions import text as X
+from tastegrid.session import stored
 
-MAX_VOCABULARY = 4_000
-
-VOCAB_SCHEMA = "kind string, source string, value string, ordinal int"
 STATS_SCHEMA = "source string, mean double, sd double"
 
 
@@ -56,12 +56,8 @@ def item_spec(domain: DomainConfig) -> FeatureSpec:
     )
 
 
-def categories(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """(kind, source, value): the distinct values of every categorical column.
-
-    One scan for all columns; the distinct combines before its shuffle, so only the
-    distinct values travel.
-    """
+def category_entries(spec: FeatureSpec) -> Column:
+    """A row's categories as an array of (kind, source, value)."""
     def entry(kind: str, source: str, value: Column) -> Column:
         return F.struct(
             F.lit(kind).alias("kind"), F.lit(source).alias("source"), value.alias("value")
@@ -74,11 +70,25 @@ def categories(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
     entries = [F.array(entry("one_hot", c, F.col(c).cast("string"))) for c in spec.one_hot]
     entries += [entries_of_list(c) for c in spec.multi_hot]
-    return df.select(F.explode(F.concat(*entries)).alias("e")).select("e.*").distinct()
+    none = F.array().cast("array<struct<kind:string,source:string,value:string>>")
+    return F.concat(none, *entries)
+
+
+def categories(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """(kind, source, value): the distinct values of every categorical column.
+
+    One scan for all columns; the distinct combines before its shuffle, so only the
+    distinct values travel.
+    """
+    return df.select(F.explode(category_entries(spec)).alias("e")).select("e.*").distinct()
 
 
 def vocabulary(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """(kind, source, value, ordinal): categories in order of their value, null last."""
+    """(kind, source, value, ordinal): categories in order of their value, null last.
+
+    One column's categories are numbered in one window; they are as many as the model has
+    columns for them.
+    """
     order = Window.partitionBy("kind", "source").orderBy(F.col("value").asc_nulls_last())
     return categories(df, spec).withColumn("ordinal", F.row_number().over(order) - 1)
 
@@ -96,88 +106,100 @@ def statistics(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return df.agg(F.array(*aggregates).alias("s")).select(F.inline("s"))
 
 
-@dataclass(frozen=True)
+@dataclass
 class Encoder:
-    """Fitted state; ``values`` maps (kind, source) to its ordered category list."""
+    """Fitted state: the stored vocabulary, the categories per column, the statistics."""
 
     spec: FeatureSpec
-    values: dict[tuple[str, str], list[str | None]]
+    vocab: DataFrame
+    sizes: dict[tuple[str, str], int]
     stats: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     # -- fitting and tables -------------------------------------------------
 
     @classmethod
-    def fit(
-        cls, df: DataFrame, spec: FeatureSpec, max_vocabulary: int = MAX_VOCABULARY
-    ) -> Encoder:
-        """One job brings the categories and the statistics."""
-        state = categories(df, spec).select(
-            "kind", "source", "value",
-            F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("sd"),
-        )
+    def fit(cls, df: DataFrame, spec: FeatureSpec) -> Encoder:
+        """One job stores the categories and the statistics, a small one counts them."""
+        return cls._from_state(spec, stored(cls._state(df, spec), "encoder"))
+
+    @staticmethod
+    def _state(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+        state = vocabulary(df, spec).withColumns({
+            "mean": F.lit(None).cast("double"), "sd": F.lit(None).cast("double")
+        })
         if spec.scaled:
             state = state.unionByName(statistics(df, spec).select(
                 F.lit("scaled").alias("kind"), "source", F.lit(None).cast("string").alias("value"),
-                "mean", "sd",
+                F.lit(0).alias("ordinal"), "mean", "sd",
             ))
-        return cls._from_rows(spec, state, max_vocabulary)
+        return state
 
     @classmethod
-    def _from_rows(cls, spec: FeatureSpec, state: DataFrame, max_vocabulary: int) -> Encoder:
-        most = max_vocabulary + len(spec.scaled)
-        rows = state.limit(most + 1).collect()
-        if len(rows) > most:
-            raise ValueError(
-                f"more than {max_vocabulary} categories in {spec.one_hot + spec.multi_hot}: "
-                "the model width follows the vocabulary; raise max_vocabulary or drop a column"
-            )
-        values: dict[tuple[str, str], list[str | None]] = {
-            **{("one_hot", c): [] for c in spec.one_hot},
-            **{("multi_hot", c): [] for c in spec.multi_hot},
+    def _from_state(cls, spec: FeatureSpec, state: DataFrame) -> Encoder:
+        found = state.groupBy("kind", "source").agg(
+            F.count(F.lit(1)).alias("n"), F.max("mean").alias("mean"), F.max("sd").alias("sd")
+        ).collect()  # one row per column
+        sizes = {("one_hot", c): 0 for c in spec.one_hot} | {
+            ("multi_hot", c): 0 for c in spec.multi_hot
         }
-        stats = {r.source: (r.mean, r.sd) for r in rows if r.kind == "scaled"}
-        for row in sorted(rows, key=lambda r: (r.value is None, r.value)):
-            if row.kind != "scaled":
-                values[row.kind, row.source].append(row.value)
-        return cls(spec, values, stats)
-
-    def vocab_table(self, spark: SparkSession) -> DataFrame:
-        rows = [(k, s, v, i) for (k, s), vs in self.values.items() for i, v in enumerate(vs)]
-        return spark.createDataFrame(rows, VOCAB_SCHEMA)
+        sizes |= {(r.kind, r.source): r.n for r in found if r.kind != "scaled"}
+        stats = {r.source: (r.mean, r.sd) for r in found if r.kind == "scaled"}
+        vocab = state.where("kind <> 'scaled'").select("kind", "source", "value", "ordinal")
+        return cls(spec, vocab, sizes, stats)
 
     def stats_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(c, *ms) for c, ms in self.stats.items()], STATS_SCHEMA)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.vocab_table(spark).write.mode("overwrite").parquet(f"{path}/vocab")
+        self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
         self.stats_table(spark).write.mode("overwrite").parquet(f"{path}/stats")
 
     @classmethod
-    def load(
-        cls, spark: SparkSession, path: str, spec: FeatureSpec,
-        max_vocabulary: int = MAX_VOCABULARY,
-    ) -> Encoder:
+    def load(cls, spark: SparkSession, path: str, spec: FeatureSpec) -> Encoder:
         from tastegrid.sources.tables import require_table
 
-        vocab = require_table(spark, f"{path}/vocab", "fitted vocabulary").drop("ordinal")
+        vocab = require_table(spark, f"{path}/vocab", "fitted vocabulary")
         stats = require_table(spark, f"{path}/stats", "fitted statistics")
-        return cls._from_rows(
-            spec,
-            vocab.unionByName(stats.withColumn("kind", F.lit("scaled")), allowMissingColumns=True),
-            max_vocabulary,
-        )
+        return cls._from_state(spec, vocab.unionByName(
+            stats.withColumn("kind", F.lit("scaled")), allowMissingColumns=True
+        ))
 
     # -- layout -------------------------------------------------------------
 
-    @property
+    @cached_property
+    def values(self) -> dict[tuple[str, str], list[str | None]]:
+        """The ordered categories of each column, brought to the driver on demand."""
+        out: dict[tuple[str, str], list[str | None]] = {k: [] for k in self.sizes}
+        for row in self.vocab.orderBy("kind", "source", "ordinal").collect():
+            out[row.kind, row.source].append(row.value)
+        return out
+
+    @cached_property
     def feature_names(self) -> list[str]:
-        one_hot = [f"{c}_{v}" for c in self.spec.one_hot for v in self.values["one_hot", c]]
-        multi = [f"{c}_{v}" for c in self.spec.multi_hot for v in self.values["multi_hot", c]]
-        return [*self.spec.numeric, *one_hot, *multi, *self.spec.scaled]
+        def names(kind: str, c: str) -> list[str]:
+            values = self.values[kind, c]
+            missing = "None" if "None" not in values else "None (missing)"
+            return [f"{c}_{missing if v is None else v}" for v in values]
+
+        hot = [n for c in self.spec.one_hot for n in names("one_hot", c)]
+        multi = [n for c in self.spec.multi_hot for n in names("multi_hot", c)]
+        return [*self.spec.numeric, *hot, *multi, *self.spec.scaled]
 
     @property
     def width(self) -> int:
-        return len(self.feature_names)
+        return len(self.spec.numeric) + sum(self.sizes.values()) + len(self.spec.scaled)
+
+    def positions(self) -> DataFrame:
+        """(kind, source, value, position): where each category stands in a feature row."""
+        first, at = F.lit(None).cast("int"), len(self.spec.numeric)
+        for kind, c in (*[("one_hot", c) for c in self.spec.one_hot],
+                        *[("multi_hot", c) for c in self.spec.multi_hot]):
+            first = F.when((F.col("kind") == kind) & (F.col("source") == c), F.lit(at)) \
+                .otherwise(first)
+            at += self.sizes[kind, c]
+        return self.vocab.select(
+            "kind", "source", "value", (first + F.col("ordinal")).cast("int").alias("position")
+        )
 
     @staticmethod
     def _numeric(df: DataFrame, c: str) -> Column:
@@ -210,59 +232,47 @@ class Encoder:
 
         Missing values are 0 and take no entry. ``usable`` is false where a numeric
         column holds text that is no number; training leaves such rows out.
-        ``log_of`` names the column that enters as its natural logarithm.
+        ``log_of`` names the column that enters as its natural logarithm. Rows that
+        agree in all that is encoded and kept become one row.
         """
-        empty = F.array().cast("array<struct<i:int,v:double>>")
         parts, at = [], 0
         bad = F.lit(False)
 
-        def one(position: Column, value: Column) -> Column:
-            return F.array(F.struct(position.cast("int").alias("i"),
-                                    value.cast("double").alias("v")))
-
-        def many(cats: Column, known: Column, first: int) -> Column:
-            return F.transform(
-                F.array_intersect(cats, known),
-                lambda v: F.struct(
-                    (F.array_position(known, v) + (first - 1)).cast("int").alias("i"),
-                    F.lit(1.0).alias("v"),
-                ),
-            )
+        def one(position: int, value: Column) -> Column:
+            pair = F.struct(F.lit(position).alias("i"), value.cast("double").alias("v"))
+            return pair.cast("struct<i:int,v:double>")
 
         for c in self.spec.numeric:
             value = self._numeric(df, c)
             if df.schema[c].dataType.typeName() == "string":
                 bad = bad | (F.col(c).isNotNull() & value.isNull())
-            parts.append(one(F.lit(at), F.log(value) if c == log_of else value))
+            parts.append(one(at, F.log(value) if c == log_of else value))
             at += 1
-        for c in self.spec.one_hot:
-            values = self.values["one_hot", c]
-            known = [v for v in values if v is not None]
-            if known:
-                found = F.array_position(F.lit(known), F.col(c).cast("string"))
-                position = F.when(found > 0, found + (at - 1))
-                if None in values:
-                    position = F.when(F.col(c).isNull(), F.lit(at + len(known))).otherwise(position)
-            else:
-                position = F.when(F.col(c).isNull(), F.lit(at))
-            parts.append(one(position, F.lit(1.0)))
-            at += len(values)
-        for c in self.spec.multi_hot:
-            values = self.values["multi_hot", c]
-            parts.append(many(X.category_list(F.col(c)), F.lit(values), at))
-            at += len(values)
+        at += sum(self.sizes.values())
         for c in self.spec.scaled:
-            parts.append(one(F.lit(at), self._scaled(c)))
+            parts.append(one(at, self._scaled(c)))
             at += 1
-        entries = F.array_sort(
-            F.filter(
-                F.concat(empty, *parts),
-                lambda e: e.i.isNotNull() & e.v.isNotNull() & (e.v != 0) & ~F.isnan(e.v),
-            )
+        plain = F.array(*parts).cast("array<struct<i:int,v:double>>")
+        rows = df.select(
+            self.spec.key, *keep, plain.alias("_plain"), (~bad).alias("usable"),
+            F.explode_outer(category_entries(self.spec)).alias("_c"),
+        ).select(self.spec.key, *keep, "_plain", "usable", "_c.*")
+        known = self.positions().select(
+            *[F.col(c).alias(f"_{c}") for c in ("kind", "source", "value")], "position"
+        )
+        placed = rows.join(
+            known,
+            (F.col("kind") == F.col("_kind")) & (F.col("source") == F.col("_source"))
+            & F.col("value").eqNullSafe(F.col("_value")), "left",
+        ).groupBy(self.spec.key, *keep, "_plain", "usable").agg(
+            F.collect_set("position").alias("_hot")
         )
-        return df.select(
-            self.spec.key, *keep, entries.alias("_e"), (~bad).alias("usable")
-        ).select(
+        hot = F.transform("_hot", lambda i: F.struct(i.alias("i"), F.lit(1.0).alias("v")))
+        entries = F.array_sort(F.filter(
+            F.concat("_plain", hot),
+            lambda e: e.i.isNotNull() & e.v.isNotNull() & (e.v != 0) & ~F.isnan(e.v),
+        ))
+        return placed.select(self.spec.key, *keep, entries.alias("_e"), "usable").select(
             self.spec.key, *keep,
             F.col("_e.i").alias("idx"), F.col("_e.v").alias("val"), "usable",
         )

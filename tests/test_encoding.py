@@ -70,9 +70,25 @@ def test_category_order_of_a_row_does_not_matter(spark):
     assert E.Encoder.fit(df, SPEC).sparse(df).distinct().count() == 1
 
 
-def test_too_many_categories_is_an_error(rows):
-    with pytest.raises(ValueError, match="more than 3 categories"):
-        E.Encoder.fit(rows, SPEC, max_vocabulary=3)
+def test_ten_thousand_categories(spark):
+    df = spark.range(10_000).select(
+        F.col("id").cast("string").alias("id"), F.lit("1").alias("n"),
+        F.concat(F.lit("k"), "id").alias("kind"), F.concat("id", F.lit(",x")).alias("cats"),
+        F.col("id").cast("double").alias("s"))
+    encoder = E.Encoder.fit(df, SPEC)
+    assert encoder.width == 1 + 10_000 + 10_001 + 1
+    at = {(r.source, r.value): r.position for r in encoder.positions().collect()}
+    assert sorted(at.values()) == list(range(1, 20_002))
+    for r in encoder.sparse(df.where("id % 997 = 0")).collect():
+        wanted = {0, at["kind", f"k{r.id}"], at["cats", r.id], at["cats", "x"], 20_002}
+        assert set(r.idx) == wanted and len(r.idx) == 5
+
+
+def test_text_none_and_a_null_have_two_names(spark):
+    df = spark.createDataFrame(
+        [("1", "1", "None", "x", 1.0), ("2", "1", None, "x", 2.0)], SCHEMA)
+    names = E.Encoder.fit(df, SPEC).feature_names
+    assert len(set(names)) == len(names) and "kind_None" in names
 
 
 def test_save_load_and_missing_state(spark, rows, tmp_path):

@@ -4,6 +4,8 @@ from tastegrid.operators import network as N
 from tastegrid.operators.encoding import Encoder, item_spec, user_spec
 from tastegrid.plans import feature_build, recommend
 from tastegrid.workload import adapters as A
+from tastegrid.workload.oracle import ORACLE
+from tastegrid.workload.queries import QUERIES
 
 
 def test_entry(spark):
@@ -18,7 +20,7 @@ def test_entry(spark):
 def test_every_query_is_named_once_and_checked():
     queries, oracle = entry_point.queries(), entry_point.oracle_sql()
     assert set(oracle) <= set(queries)
-    assert set(queries) - set(oracle) == {"result_documents", "train_crossnet_metrics"}
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(queries)
 
 
 def test_stored_state_serves_new_tables(spark, sf_dir, tmp_path):
