@@ -23,22 +23,33 @@ def main() -> None:
     parser.add_argument("--as-of-year", type=int, help="year for unreadable birthdays")
     parser.add_argument("--refresh", action="store_true", help="rebuild stored tables")
     parser.add_argument("--top-n", type=int, default=200)
+    parser.add_argument("--num-users", type=int, default=-1, help="first users only (-1: all)")
+    parser.add_argument("--num-items", type=int, default=-1,
+                        help="first active items only (-1: all)")
+    parser.add_argument("--rule-sep", default="", help="between a rule and its contents")
+    parser.add_argument("--batch-rows", type=int, help="rows per update, the domain's by default")
     parser.add_argument("--master", help="Spark master; left to spark-submit by default")
     options = parser.parse_args()
 
-    spark = build_session(f"tastegrid-{options.job}-{options.domain}", options.master)
     elsewhere = {n: getattr(options, n) for n in INPUTS if getattr(options, n)}
     layout = replace(jobs.Layout.under(options.root, options.work), **elsewhere)
+    spark = build_session(f"tastegrid-{options.job}-{options.domain}", options.master)
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(f"{layout.work.rstrip('/')}/scratch")
     domain = DOMAINS[options.domain]
     if options.job == "compact":
         print(jobs.compact_log(spark, layout))
     elif options.job == "train":
         for line in jobs.train_domain(
-            spark, layout, domain, options.as_of_year, options.refresh
+            spark, layout, domain, options.as_of_year, options.refresh,
+            batch_rows=options.batch_rows,
         ):
             print(*line)
     else:
-        found = jobs.recommend_domain(spark, layout, domain, options.as_of_year, options.top_n)
+        found = jobs.recommend_domain(
+            spark, layout, domain, options.as_of_year, options.top_n, options.num_users,
+            options.num_items, options.rule_sep, options.refresh,
+        )
         print(found.count(), "profiles")
     spark.stop()
 

@@ -39,6 +39,15 @@ def clean_users(users: DataFrame, as_of_year: int) -> DataFrame:
     )
 
 
+def extra_numeric(users: DataFrame) -> tuple[str, ...]:
+    """Numeric user columns besides the known ones; they pass through as features."""
+    known = {"username", "birthday", "sex", "package_code", *USER_DROPPED}
+    return tuple(
+        f.name for f in users.schema.fields
+        if f.name not in known and isinstance(f.dataType, T.NumericType)
+    )
+
+
 def clean_items(
     catalogue: DataFrame,
     domain: DomainConfig,

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.interactions import distinct_views
 from tastegrid.operators.joins import splittable_join
 
 
-def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The same rows with their number collected on the way, without a further pass."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def join_diagnostics(log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """One row: rows and distinct ids of the log and after each join.
 
@@ -57,6 +51,23 @@ def join_diagnostics(log: DataFrame, users: DataFrame, items: DataFrame) -> Data
     ])
 
 
+def scoring_counts(
+    log: DataFrame, profiles: DataFrame, items: DataFrame, catalogue: DataFrame
+) -> DataFrame:
+    """One row: profile rows, items, the pairs that scoring them takes, and what is left
+    out: log rows without a profile, catalogue rows without an id; and a few content ids."""
+    rows = profiles.agg(F.count(F.lit(1)).alias("profile_rows"))
+    found = rows.crossJoin(items.agg(F.count(F.lit(1)).alias("items")))  # one row each
+    found = found.crossJoin(log.agg(
+        F.count_if(F.col("profile_id").isNull()).alias("null_profiles")
+    )).crossJoin(catalogue.agg(F.count_if(F.col("content_id").isNull()).alias("null_items")))
+    sample = sample_ids(items).agg(F.array_sort(F.collect_list("content_id")).alias("sample"))
+    return found.crossJoin(sample).select(
+        "profile_rows", "items", (F.col("profile_rows") * F.col("items")).alias("scored_pairs"),
+        "null_profiles", "null_items", F.array_join("sample", ",").alias("sample"),
+    )
+
+
 def content_overlap(log: DataFrame, items: DataFrame) -> DataFrame:
     """Content ids that occur in both the log and the catalogue."""
     return log.select(F.col("content_id").cast("string").alias("content_id")).intersect(

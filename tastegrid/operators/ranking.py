@@ -26,11 +26,6 @@ def profile_features(log: DataFrame, users: DataFrame) -> DataFrame:
     return profiles(log).join(users, "username")
 
 
-def null_profiles(log: DataFrame) -> DataFrame:
-    """One row: log rows without a profile, which take no part in the results."""
-    return log.agg(F.count_if(F.col("profile_id").isNull()).alias("null_profiles"))
-
-
 def first_per_content(items: DataFrame, order: str = "item_ord") -> DataFrame:
     """One row per content id: the first in ``order``, the smallest row on a tie.
 

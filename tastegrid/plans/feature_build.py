@@ -50,7 +50,8 @@ def fit_features(
     clean_items = cleaning.clean_items(catalogue, domain)
     return encode(
         clean_users.distinct(), cleaning.distinct_items(clean_items, domain),
-        Encoder.fit(clean_users, user_spec()), Encoder.fit(clean_items, item_spec(domain)),
+        Encoder.fit(clean_users, user_spec(cleaning.extra_numeric(users))),
+        Encoder.fit(clean_items, item_spec(domain)),
         domain,
     )
 

@@ -14,7 +14,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tastegrid.config import TOP_N, DomainConfig
-from tastegrid.operators import positions
+from tastegrid.operators import cleaning, diagnostics, positions
+from tastegrid.operators import ranking as R
+from tastegrid.operators import rules as G
 from tastegrid.operators import training as T
 from tastegrid.operators.encoding import Encoder, item_spec, user_spec
 from tastegrid.plans import feature_build, recommend
@@ -97,7 +99,10 @@ def _encoders(
     spark: SparkSession, layout: Layout, domain: DomainConfig
 ) -> tuple[Encoder, Encoder]:
     return (
-        Encoder.load(spark, layout.of(domain, "user_encoder"), user_spec()),
+        Encoder.load(
+            spark, layout.of(domain, "user_encoder"),
+            user_spec(cleaning.extra_numeric(tables.read_table(spark, layout.users))),
+        ),
         Encoder.load(spark, layout.of(domain, "item_encoder"), item_spec(domain)),
     )
 
@@ -130,26 +135,37 @@ def train_domain(
 
 def recommend_domain(
     spark: SparkSession, layout: Layout, domain: DomainConfig, as_of_year: int | None = None,
-    n: int = TOP_N, num_users: int = -1, num_items: int = -1, rule_sep: str = "", **plan,
+    n: int = TOP_N, num_users: int = -1, num_items: int = -1, rule_sep: str = "",
+    refresh: bool = False, **plan,
 ) -> DataFrame:
-    """Score every profile of the log and write the result table and its three shapes."""
+    """Score every profile of the log and write the result table and its three shapes.
+
+    ``refresh`` reads the catalogue's files again; otherwise the stored catalogue serves,
+    and titles that came later are not recommended. Also written: the tag mapping, the
+    item information, and the counts of the run.
+    """
     user_encoder, item_encoder = _encoders(spark, layout, domain)
     model = T.load_model(
         spark, layout.of(domain, "model"),
         [*user_encoder.feature_names, *item_encoder.feature_names],
     )
-    catalogue = merged_catalogue(spark, layout, domain, refresh=False)
+    catalogue = merged_catalogue(spark, layout, domain, refresh)
     features = _stored(spark, feature_build.apply_features(
         tables.read_table(spark, layout.users), catalogue, user_encoder, item_encoder, domain,
         as_of_year or date.today().year, num_users, num_items,
         item_encoder.stats.get("content_publish_year", (None,))[0],
     ), layout, domain, "score")
     info_path, result_path = (layout.of(domain, p) for p in ("item_info", "results"))
+    tags = read_tags(spark, layout.tags)
+    G.tag_map(tags, "source_order").write.mode("overwrite").parquet(layout.of(domain, "tag_map"))
     recommend.item_info(
-        features.items, catalogue, read_tags(spark, layout.tags),
+        features.items, catalogue, tags,
         tables.read_rules(spark, layout.rules), tag_order="source_order",
     ).write.mode("overwrite").parquet(info_path)
     log, _ = logs.read_watch_log(spark, layout.log)
+    diagnostics.scoring_counts(
+        log, R.profile_features(log, features.users), features.items, catalogue
+    ).write.mode("overwrite").parquet(layout.of(domain, "counts"))
     recommend.recommend(
         log, features, model.weights, domain, spark.read.parquet(info_path), n, **plan
     ).write.mode("overwrite").parquet(result_path)

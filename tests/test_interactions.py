@@ -148,10 +148,14 @@ def test_join_diagnostics_and_overlap(spark):
     assert [r.content_id for r in diagnostics.sample_ids(log, n=2).collect()] == ["a", "b"]
 
 
-def test_observed_rows(spark):
-    rows, seen = diagnostics.observe_rows(spark.range(7), "rows_seen")
-    rows.collect()
-    assert seen.get["rows"] == 7
+def test_scoring_counts(spark):
+    log = spark.createDataFrame([("u", "a", 1.0, 1), ("u", "a", 1.0, None)], LOG)
+    profiles = spark.createDataFrame([("u", 1), ("v", 1)], "username string, profile_id int")
+    items = spark.createDataFrame([("b",), ("a",), ("c",)], "content_id string")
+    catalogue = spark.createDataFrame([("b",), (None,), ("a",), ("c",)], "content_id string")
+    got = diagnostics.scoring_counts(log, profiles, items, catalogue).first().asDict()
+    assert got == {"profile_rows": 2, "items": 3, "scored_pairs": 6, "null_profiles": 1,
+                   "null_items": 1, "sample": "a,b,c"}
 
 
 @pytest.mark.parametrize("n,sizes", [(12, [2, 2, 2, 2, 4]), (3, [0, 0, 0, 0, 3]), (5, [1] * 5)])

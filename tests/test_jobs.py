@@ -40,6 +40,9 @@ def test_train_then_recommend(spark, layout):
     assert sorted(names.columns) == ["d", "pid"] and names.count() == 15
     assert spark.read.text(layout.of(domain, "rule_content")).count() == 15
     assert spark.read.parquet(layout.of(domain, "broken_catalogue_files")).count() == 0
+    counts = spark.read.parquet(layout.of(domain, "counts")).first()
+    assert counts.scored_pairs == counts.profile_rows * counts["items"] > 0
+    assert spark.read.parquet(layout.of(domain, "tag_map")).count() == 15
     items = spark.read.parquet(layout.of(domain, "catalogue"))
     assert sorted(r.item_ord for r in items.collect()) == list(range(200))
     assert {int(r.content_id): r.item_ord for r in items.collect()} == {i: i for i in range(200)}
@@ -48,6 +51,17 @@ def test_train_then_recommend(spark, layout):
     assert spark.read.parquet(layout.of(domain, "history")).count() == 2
 
 
+def test_numeric_user_columns_pass_through(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tastegrid.plans import feature_build
+    users = A.users(spark, sf_dir).withColumn("points", F.lit(2.5)).withColumn("note", F.lit("x"))
+    features = feature_build.fit_features(
+        users, A.catalogue(spark, sf_dir), DOMAINS["clip"], 2025)
+    assert features.names[:2] == ["sex", "points"] and "note" not in features.names
+    assert {dict(zip(r.idx, r.val, strict=True))[1] for r in features.users.collect()} == {2.5}
+
+
 def test_compact_log(spark, layout, sf_dir):
     parts = spark.read.parquet(jobs.compact_log(spark, layout))
     n = A.watch_log_dense(spark, sf_dir).count()
