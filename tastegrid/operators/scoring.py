@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 
 from tastegrid.config import TOP_N, NetworkConfig
 from tastegrid.operators import network as N
-from tastegrid.session import ship_package
+from tastegrid.session import ship_package, stored
 
 MAX_ITEM_BYTES = 128 * 1024 * 1024
-TILE_PROFILES = 50_000
+TILE_PROFILES = 2_000
+#: Pairs that one task of the broadcast plan scores, about.
+TASK_PAIRS = 8_000_000
 PIECE_ITEMS = 4096
 PIECE_PROFILES = 64
 DENSE_CELLS = 2_000_000
@@ -112,7 +114,7 @@ class _Side:
     squared: np.ndarray     # C * C
     top: np.ndarray         # sum of out * z where z is constant in t
     square: np.ndarray      # sum of z * z where z is constant in t
-    largest: float          # bound of |A| and of |C|
+    largest: np.ndarray     # bound of |A| and of |C| per row
 
 
 class PairScorer:
@@ -161,24 +163,37 @@ class PairScorer:
         return _Side(
             projection, units, c * out[units], 2 * a * c, c * c,
             a @ out[units] + z @ out[cols[pad]], (a * a).sum(1) + (z * z).sum(1),
-            float(max(np.abs(a).max(initial=0.0), np.abs(c).max(initial=0.0))),
+            np.maximum(np.abs(a).max(axis=1, initial=0.0), np.abs(c).max(axis=1, initial=0.0)),
         )
 
     def __call__(self, users: np.ndarray) -> np.ndarray:
-        logits = None
-        if self.simple:
-            logits = [self._simple_branch(users, b) for b, _ in N.branches(self.net)]
-        if not self.simple or any(x is None for x in logits):
-            n_items = len(self.items.x)
-            joint = np.vstack([
-                N.scores(np.hstack([np.tile(u, (n_items, 1)), self.items.x]), self.w, self.net)[0]
-                for u in users
-            ])
-        else:
-            joint = N.sigmoid((logits[0] + logits[1]) * 0.5)
+        """Scores [users, items]; users whose pairs need the dense network are scored apart."""
+        plain = self._plain(users)
+        joint = np.empty((len(users), len(self.items.x)))
+        if plain.any():
+            deep, shallow = (self._simple_branch(users[plain], b) for b, _ in N.branches(self.net))
+            joint[plain] = N.sigmoid((deep + shallow) * 0.5)
+        for row in np.flatnonzero(~plain):
+            pairs = np.hstack([np.tile(users[row], (len(self.items.x), 1)), self.items.x])
+            joint[row] = N.scores(pairs, self.w, self.net)[0]
         return np.round(joint, SCORE_PLACES)
 
-    def _simple_branch(self, users: np.ndarray, branch: str) -> np.ndarray | None:
+    def _plain(self, users: np.ndarray) -> np.ndarray:
+        """Users for which no value-part column can be clipped and no column is masked."""
+        if not self.simple:
+            return np.zeros(len(users), bool)
+        out = ~(users[:, self.half:2 * self.half] != 0).any(axis=1)
+        for b, _ in N.branches(self.net):
+            u, v = self._side(users, 0, b), self.sides[b]
+            if self.net.normalise_cross:
+                reach = np.full(len(users), np.sqrt(self.half))
+            else:
+                reach = np.abs(u.projection).max(axis=1) + np.abs(v.projection).max(initial=0.0)
+            bound = np.maximum(u.largest, v.largest.max(initial=0.0))
+            out &= bound * (1.0 + reach) <= self.net.clip
+        return out
+
+    def _simple_branch(self, users: np.ndarray, branch: str) -> np.ndarray:
         w, net, half = self.w, self.net, self.half
         at, out = f"{branch}.0", w[f"{branch}.fc_w"]
         u, v = self._side(users, 0, branch), self.sides[branch]
@@ -188,12 +203,6 @@ class PairScorer:
         inv_sd = 1.0 / np.sqrt(np.maximum(var, 0.0) + N.LN_EPS)
         rate = inv_sd if net.normalise_cross else 1.0
 
-        reach = np.sqrt(half) if net.normalise_cross else np.abs(tu).max() + np.abs(tv).max()
-        if max(u.largest, v.largest) * (1.0 + reach) > net.clip:
-            return None  # a value-part column might be clipped
-        if (users[:, half:2 * half] != 0).any():
-            return None  # masked columns on the user side
-
         def linear(pu: np.ndarray, pv: np.ndarray) -> np.ndarray:
             return (
                 (pu * tu[:, u.units]).sum(1)[:, None] + (pv * tv[:, v.units]).sum(1)
@@ -290,8 +299,7 @@ def _broadcast_plan(
     profiles, items, weights, net, user_width, item_width, n, tasks
 ) -> DataFrame:
     block = ItemBlock.from_arrow(items.toArrow(), item_width)
-    context = profiles.sparkSession.sparkContext
-    shared = context.broadcast((block, weights))
+    shared = profiles.sparkSession.sparkContext.broadcast((block, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, weights = shared.value
@@ -299,8 +307,8 @@ def _broadcast_plan(
         for batch in batches:
             yield from _best_items(batch, block, scorers, n)
 
-    # Profiles are few bytes and much work, so their number of tasks must not follow bytes.
-    tasks = tasks or 4 * context.defaultParallelism
+    # Profiles are few bytes and much work: the number of tasks follows the pairs.
+    tasks = tasks or max(1, -(-profiles.count() * len(block.x) // TASK_PAIRS))
     return profiles.repartition(tasks, "profile_id", "username").mapInArrow(run, PAIR_SCHEMA)
 
 
@@ -324,6 +332,10 @@ def _grid_plan(
     spread_items = items.withColumn(
         "block", F.pmod(F.xxhash64("content_id"), F.lit(blocks))
     ).withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)).cast("array<bigint>")))
+    # a task per pair of tiles, whatever their bytes
+    spread_profiles, spread_items = (
+        side.repartition(tiles * blocks, "tile", "block") for side in (spread_profiles, spread_items)
+    )
     return (
         spread_profiles.groupBy("tile", "block")
         .cogroup(spread_items.groupBy("tile", "block"))
@@ -351,11 +363,12 @@ def best_pairs(
 ) -> DataFrame:
     """The best ``n`` items per (profile_id, username) row.
 
-    ``profiles``: profile_id, username, idx, val. ``items``: content_id, item_ord, idx,
-    val, one row per content. The number of items is counted to choose the plan.
+    ``profiles``: profile_id, username, idx, val; stored once, as they are counted and
+    read. ``items``: content_id, item_ord, idx, val, one row per content. The number of
+    items is counted to choose the plan.
     """
     ship_package(profiles.sparkSession)
-    profiles = profiles.select("profile_id", "username", "idx", "val")
+    profiles = stored(profiles.select("profile_id", "username", "idx", "val"), "profiles")
     items = items.select("content_id", "item_ord", "idx", "val")
     width = weights["deep.fc_w"].shape[0]
     if width != user_width + item_width:

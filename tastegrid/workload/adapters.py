@@ -127,6 +127,24 @@ def rules(spark: SparkSession) -> DataFrame:
     )
 
 
+def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per part: the tags of its name's first two words; most lists repeat."""
+    words = F.array(*[F.lit(w) for w in TAG_WORDS])
+    name = F.split("p_name", " ")
+    ids = F.transform(F.slice(name, 1, 2), lambda w: F.array_position(words, w).cast("string"))
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("int").alias("rule_ord"), F.array_join(ids, ",")
+        .alias("LIST_TAGS_ID"), (F.col("p_partkey") + 1000).alias("RULE_ID"),
+    )
+
+
+def repeated_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of every part name with the part's key as its id."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("TAG_ID"), F.explode(F.split("p_name", " ")).alias("TAG_NAME")
+    )
+
+
 SQL = {
     "users": """
 SELECT c_name AS username,

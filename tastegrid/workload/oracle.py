@@ -547,6 +547,62 @@ SELECT round(j + d * greatest(d - j, 0) + s * greatest(s - j, 0), 6) AS loss,
           FROM scored GROUP BY score))), 6) AS auc
 FROM losses"""
 
+COLUMNS = (
+    "content_id, content_name, tag_names, type_id, content_duration, content_status, "
+    '"VOD_CODE", content_cate_id, content_publish_year, content_country, content_single'
+)
+MANY_RULES = ("rules", f"""
+SELECT p_partkey::INTEGER AS rule_ord, p_partkey + 1000 AS rule_id,
+  array_to_string(list_transform(string_split(p_name, ' ')[1:2],
+    lambda w: coalesce(list_position([{TAG_LIST}], w), 0)::VARCHAR), ',') AS list_tags_id
+FROM part""")
+RULE_MAP = ("rule_map", """
+SELECT list_tags_id, min(rule_ord) AS rule_ord, arg_max(rule_id, rule_ord) AS rule_id
+FROM rules GROUP BY list_tags_id""")
+
+
+def _file_sql(shown_rows: dict[str, str]) -> dict[str, str]:
+    """The queries through files, against the tables themselves."""
+    return {
+        "file_log": ctes(LOG["dense"]) + """
+SELECT username, content_id, duration, profile_id FROM log WHERE profile_id % 3 <> 2""",
+        "file_log_report": """
+SELECT * FROM (VALUES ('ok', 'string,string,double,bigint'), ('ok', 'string,bigint,double,bigint'),
+  ('missing duration', '')) r(status, signature)
+WHERE EXISTS (SELECT 1 FROM events)""",
+        "file_users": ctes(USERS) + "SELECT username, birthday, sex, package_code FROM users",
+        "file_catalogue": ctes(CATALOGUE) + f"SELECT {COLUMNS} FROM catalogue",
+        "file_tags": ctes(*TAGS) + "SELECT tag_name, tag_id FROM tags",
+        "file_rules": ctes(MANY_RULES, RULE_MAP) + """
+SELECT rule_ord - (SELECT min(rule_ord) FROM rules) AS rule_ord, list_tags_id, rule_id
+FROM rule_map""",
+        "file_merged_catalogue": ctes(CATALOGUE) + """
+SELECT content_id, content_name, type_id, 0::BIGINT AS low,
+  (SELECT count(*) - 1 FROM catalogue) AS high, (SELECT count(*) FROM catalogue) AS places
+FROM catalogue""",
+        "file_training_set": _matrix_sql(DOMAINS["movie"], "dense"),
+        "file_vocab": _vocab_sql(),
+        "content_meta_repeated": ctes(
+            ("all_rows", SQL["catalogue"]),
+            ("catalogue", "SELECT * REPLACE ((item_ord % 97)::VARCHAR AS content_id) "
+                          "FROM all_rows"), META,
+        ) + "SELECT * FROM meta",
+        "tag_map_repeated": """
+SELECT tag_name, max(tag_id) AS tag_id FROM (
+  SELECT p_partkey AS tag_id, unnest(string_split(p_name, ' ')) AS tag_name FROM part)
+GROUP BY tag_name""",
+        "item_rules_many": ctes(
+            CATALOGUE, TAGS[0], MANY_RULES, META, ITEM_RULES[0], RULE_MAP,
+        ) + """
+SELECT i.content_id, coalesce(arg_min(r.rule_id, r.rule_ord), -100)::BIGINT AS rule_id
+FROM item_tags i LEFT JOIN rule_map r ON list_has_all(i.tags, string_split(r.list_tags_id, ','))
+GROUP BY i.content_id""",
+        "sink_results": shown_rows["result_documents"],
+        "sink_rulename": shown_rows["rulename"],
+        "sink_rule_content": shown_rows["rule_content"],
+    }
+
+
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 ORACLE: dict[str, str] = {
@@ -655,3 +711,17 @@ SELECT p.profile_id AS pid, p.profile_id::VARCHAR || '|' ||
 FROM (SELECT DISTINCT profile_id FROM ranked) p LEFT JOIN grouped g
   ON p.profile_id = g.profile_id GROUP BY p.profile_id""",
 }
+ORACLE |= _file_sql(ORACLE)
+ORACLE["scoring_counts"] = ctes(
+    *tables(DOMAINS["movie"]), LOG["dense"],
+    ("p", "SELECT count(*) AS n FROM (SELECT DISTINCT username, profile_id FROM log "
+          "WHERE profile_id IS NOT NULL) JOIN clean_users USING (username)"),
+    ("i", "SELECT count(*) AS n FROM clean_items WHERE item_ord % 43 <> 0"),
+) + """
+SELECT p.n AS profile_rows, i.n AS items, p.n * i.n AS scored_pairs,
+  (SELECT count(*) FILTER (profile_id IS NULL) FROM log) AS null_profiles,
+  (SELECT count(*) FROM catalogue WHERE item_ord % 43 = 0) AS null_items,
+  (SELECT string_agg(content_id, ',' ORDER BY content_id) FROM (
+     SELECT DISTINCT content_id FROM clean_items WHERE item_ord % 43 <> 0
+     ORDER BY content_id LIMIT 5)) AS sample
+FROM p, i"""

@@ -22,6 +22,7 @@ from tastegrid.plans import feature_build, recommend
 from tastegrid.session import cut_lineage, stored
 from tastegrid.sinks import results as K
 from tastegrid.workload import adapters as A
+from tastegrid.workload.files import file_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOGS = {"wide": A.watch_log_wide, "dense": A.watch_log_dense}
@@ -380,6 +381,15 @@ def result_documents(spark: SparkSession, d: str) -> DataFrame:
     ).select("profile_id", "username", "content_id", "e.*"))
 
 
+def scoring_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What a scoring run over the dense log covers and leaves out."""
+    _, catalogue, features, _ = _scoring_inputs(spark, d, catalogue=A.catalogue_with_nulls)
+    log = A.watch_log_dense(spark, d)
+    return diagnostics.scoring_counts(
+        log, R.profile_features(log, features.users), features.items, catalogue
+    )
+
+
 def _pass_inputs(spark: SparkSession, d: str):
     domain = DOMAINS["movie"]
     domain = replace(domain, network=replace(domain.network, dropout=0.0))
@@ -461,6 +471,8 @@ QUERIES: dict[str, Query] = {
     "rulename": rulename,
     "rule_content": rule_content,
     "result_documents": result_documents,
+    "scoring_counts": scoring_counts,
     "gradient_pass": gradient_pass,
     "validation_pass": validation_pass,
+    **file_queries(lambda spark, d: _results(spark, d, "dense")),
 }
