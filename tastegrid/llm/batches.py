@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -41,10 +42,19 @@ def map_slices(
                 found = work(piece)
                 if found is not None:
                     yield record(found, target)
+        give_back()
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker process lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def arrow_schema(schema: str | T.StructType) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 

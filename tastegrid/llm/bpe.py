@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 
 from tastegrid.llm.batches import map_slices, mix, spans
 
-#: Pre-tokens a worker remembers; it starts anew beyond that, which changes no result.
-REMEMBERED = 400_000
+#: Pre-tokens a task remembers; it starts anew beyond that, which changes no result.
+REMEMBERED = 300_000
 _GAMMA = 2
 
 
@@ -142,7 +142,7 @@ class _Known(dict):
 
 
 class Encoder:
-    """Encodes texts in one worker; remembers the pre-tokens it has met."""
+    """Encodes texts in one task; remembers the pre-tokens it has met."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -189,31 +189,6 @@ class Encoder:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
 
-_WORKER: dict[int, Encoder] = {}
-
-
-def _encoder(sent) -> Encoder:
-    """The worker's encoder for this broadcast."""
-    if sent.id not in _WORKER:
-        _WORKER.clear()
-        _WORKER[sent.id] = Encoder(sent.value)
-    return _WORKER[sent.id]
-
-
-class _Sent:
-    """A broadcast with an identity that survives the way to the worker."""
-
-    def __init__(self, broadcast):
-        self.broadcast, self.id = broadcast, broadcast._jbroadcast.id()
-
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
-
-    @property
-    def value(self):
-        return self.broadcast.value
-
-
 def encode_decode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, ids array<int>, decoded binary) of every row: the text's ids, and the bytes
     that decoding these ids gives.
@@ -223,11 +198,14 @@ def encode_decode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     rows are encoded each; only doc_id and text are read. The vocabulary, of fixed size,
     is broadcast.
     """
-    sent = _Sent(docs.sparkSession.sparkContext.broadcast(vocabulary))
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    encoders: list[Encoder] = []  # filled in each task, which unpickles its own list
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(piece: pa.RecordBatch) -> dict:
-        encoder = _encoder(sent)
+        if not encoders:
+            encoders.append(Encoder(sent.value))
+        encoder = encoders[0]
         ids, counts = encoder.encode(pc.fill_null(piece.column("text"), "").to_pylist())
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         decoded = [

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.llm.batches import arrow_schema, items, record
+from tastegrid.llm.batches import arrow_schema, give_back, items, record
 from tastegrid.session import ship_package
 
 #: Keys that one answering task holds at a time, about.
@@ -98,5 +98,6 @@ def map_blocks(blocks: DataFrame, work: Callable[[pa.RecordBatch], dict], schema
         for batch in batches:
             for row in range(batch.num_rows):
                 yield record(work(batch.slice(row, 1)), target)
+        give_back()
 
     return blocks.mapInArrow(run, schema)
