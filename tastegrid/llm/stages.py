@@ -46,15 +46,16 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     changed = substring.remove_repeats(docs, WINDOW).where("kept_text IS NOT NULL").select(
         F.col("doc_id").alias("changed_id"), "text_hash", "kept_text"
     ).dropDuplicates(["changed_id", "text_hash"])
-    joined = docs.join(
-        changed.hint("merge"),
-        (docs["doc_id"] == F.col("changed_id"))
-        & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("text_hash")),
-        "left",
-    ).where("kept_text IS NULL OR kept_text <> ''")
-    text = F.coalesce("kept_text", docs["text"])
-    length = F.when(F.col("kept_text").isNull(), docs["n_chars"]).otherwise(F.length("kept_text"))
-    new = {"text": text, "n_chars": length.cast(docs.schema["n_chars"].dataType)}
+    kept = changed["kept_text"]
+    same = (docs["doc_id"] == changed["changed_id"]) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == changed["text_hash"]
+    )
+    joined = docs.join(changed.hint("merge"), same, "left").where(kept.isNull() | (kept != ""))
+    length = F.when(kept.isNull(), docs["n_chars"]).otherwise(F.length(kept))
+    new = {
+        "text": F.coalesce(kept, docs["text"]),
+        "n_chars": length.cast(docs.schema["n_chars"].dataType),
+    }
     return joined.select(*[new.get(c, docs[c]).alias(c) for c in docs.columns])
 
 

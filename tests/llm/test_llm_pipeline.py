@@ -83,6 +83,17 @@ def test_stages_keep_the_columns_and_follow_brute_force(spark, folder):
         docs = spark.createDataFrame(list(after.values()), docs.schema)
 
 
+def test_stages_with_extra_columns_of_clashing_names(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr(
+        "*", "1 AS text_hash", "'x' AS kept_text", "2 AS changed_id", "'c' AS component_id",
+        "0.5 AS score", "'p' AS print", "doc_id AS item_id",
+    )
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        assert {tuple(r)[5:9] for r in out.collect()} == {(1, "x", 2, "c")}
+
+
 def test_empty_documents(spark, folder, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(
