@@ -220,7 +220,8 @@ def split_counts(domain: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         config = DOMAINS[domain]
         _, rows = matrix(spark, d, config, "wide")
-        return P.split_counts(P.stratified_split(cut_lineage(rows), config.validation_share))
+        labels = cut_lineage(rows.select("row_key", "label"))
+        return P.split_counts(P.stratified_split(labels, config.validation_share))
 
     return run
 
