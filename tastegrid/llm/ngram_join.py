@@ -15,7 +15,7 @@ from tastegrid.llm.exchange import answers_of, exchange, key_bits, map_blocks
 from tastegrid.session import ship_package, stored
 
 #: N-grams that one trie task holds at a time, about.
-TASK_GRAMS = 2 << 20
+TASK_GRAMS = 1 << 20
 _BLOCKS = (
     "ids array<long>, sizes array<long>, prints array<string>, counts binary, keys binary, "
     "total long"
@@ -283,37 +283,48 @@ def _joined(rows: DataFrame, sets: DataFrame, bundles: int, percent: int) -> Dat
 class Trie:
     """Sets of ascending numbers, in lexicographic order, with runs of one child joined.
 
-    Node k holds the numbers ``sets[low[k]][start[k]:stop[k]]`` and stands for the sets
-    low[k]..high[k]-1; ``ends[k]`` tells whether set low[k] ends there.
+    Node k holds the numbers ``tokens[at[k] : at[k] + size[k]]``, the last of which is at
+    ``depth[k]`` of its sets low[k]..high[k]-1; ``ends[k]`` tells whether set low[k] ends
+    there. Its children are ``first[k]`` .. ``first[k] + children[k] - 1``. A run has at
+    most ``RUN`` numbers, so that a branch can be left in the middle of a long one.
     """
 
+    RUN = 32
+
     def __init__(self, sets: list[np.ndarray]):
         n = len(sets)
+        sizes = np.array([len(s) for s in sets])
         common = np.zeros(max(n - 1, 0), np.int64)
         for i in range(n - 1):
-            m = min(len(sets[i]), len(sets[i + 1]))
+            m = min(sizes[i], sizes[i + 1])
             differ = sets[i][:m] != sets[i + 1][:m]
-            common[i] = int(differ.argmax()) if differ.any() else m
-        self.low, self.high, self.start, self.stop = [], [], [], []
-        self.children: list[list[int]] = []
-        todo = [(0, n, 0, -1)]
-        while todo:
-            low, high, start, parent = todo.pop()
-            stop = len(sets[low]) if high - low == 1 else int(common[low : high - 1].min())
-            node = len(self.low)
-            self.low.append(low)
-            self.high.append(high)
-            self.start.append(start)
-            self.stop.append(stop)
-            self.children.append([])
-            if parent >= 0:
-                self.children[parent].append(node)
-            if high - low > 1:
-                cut = low + 1 + np.flatnonzero(common[low : high - 1] == stop)
-                edges = [low, *cut.tolist(), high]
-                if len(sets[low]) == stop:  # ends at this node
-                    edges = edges[1:]
-                todo += [(p, q, stop, node) for p, q in zip(edges, edges[1:], strict=False)]
+            common[i] = differ.argmax() if differ.any() else m
+        offsets = np.cumsum(sizes) - sizes
+        self.tokens = np.concatenate(sets)
+        nodes: list[tuple[int, int, int, int, int]] = []  # low, high, start, stop, parent
+        level = [(0, n, 0, -1)]
+        while level:  # children of one node follow each other
+            below = []
+            for low, high, start, parent in level:
+                end = sizes[low] if high - low == 1 else common[low : high - 1].min()
+                stop = min(int(end), start + self.RUN)
+                node = len(nodes)
+                nodes.append((low, high, start, stop, parent))
+                if stop < end:
+                    below.append((low, high, stop, node))
+                elif high - low > 1:
+                    cut = low + 1 + np.flatnonzero(common[low : high - 1] == stop)
+                    edges = [low, *cut.tolist(), high]
+                    edges = edges[1:] if sizes[low] == stop else edges
+                    below += [(p, q, stop, node) for p, q in zip(edges, edges[1:], strict=False)]
+            level = below
+        self.low, self.high, start, self.depth, parent = np.array(nodes).T
+        self.at, self.size = offsets[self.low] + start, self.depth - start
+        self.children = np.bincount(parent[1:], minlength=len(nodes))
+        self.first = 1 + np.cumsum(self.children) - self.children
+        self.ends = sizes[self.low] == self.depth
+        self.last = self.tokens[np.maximum(offsets[self.low] + self.depth - 1, 0)]
+        self.longest = np.array([sizes[p:q].max() for p, q in zip(self.low, self.high, strict=True)])
 
 
 def link_group(
@@ -326,44 +337,59 @@ def link_group(
     numbered = [flat[e - len(g) : e].astype(np.uint32) for g, e in zip(grams, ends, strict=True)]
     order = sorted(range(len(grams)), key=lambda i: numbered[i].astype(">u4").tobytes())
     sets = [numbered[i] for i in order]
-    sizes = np.array([len(s) for s in sets])
     _, part = np.unique(roots[order], return_inverse=True)
     asking = asks[order]
     trie = Trie(sets)
     inside = np.zeros(len(different), bool)
     links = []
+    changes = _changes(part)
     for x in np.flatnonzero(asking).tolist():
-        if (part == part[x]).all():
+        if not changes[-1]:
             break
+        # where all ask, a pair is looked at from the first of its sets
+        after = x + 1 if asking.all() else 0
         inside[sets[x]] = True
-        for y in _walk(trie, sets, sizes, x, part, asking, inside, percent):
-            links.append((order[x], order[y]))
-            part[part == part[y]] = part[x]
+        found = _walk(trie, sets[x], part[x], part, changes, after, inside, percent)
         inside[sets[x]] = False
+        for y in found.tolist():
+            if part[y] != part[x]:
+                links.append((order[x], order[y]))
+                part[part == part[y]] = part[x]
+        if len(found):
+            changes = _changes(part)
     return links
 
 
-def _walk(trie, sets, sizes, x, part, asking, inside, percent):
-    """Sets linked with x and not connected to it; those known to be are passed over."""
-    own, size = sets[x], int(sizes[x])
-    todo = [(0, 0)]
-    while todo:
-        node, shared = todo.pop()
-        low, high = trie.low[node], trie.high[node]
-        if (part[low:high] == part[x]).all():
-            continue
-        start, stop = trie.start[node], trie.stop[node]
-        run = sets[low][start:stop]
-        if len(run):
-            shared += int(np.count_nonzero(inside[run]))
-            passed = int(np.searchsorted(own, run[-1], "right"))
-        else:
-            passed = 0 if not stop else int(np.searchsorted(own, sets[low][stop - 1], "right"))
-        longest = int(sizes[low:high].max())
-        possible = min(shared + size - passed, shared + longest - stop)
-        if 100 * possible < percent * (size + stop - shared):
-            continue
-        if sizes[low] == stop and part[low] != part[x]:
-            if 100 * shared >= percent * (size + stop - shared):
-                yield low
-        todo += [(child, shared) for child in trie.children[node]]
+def _changes(part: np.ndarray) -> np.ndarray:
+    """Running count of neighbours that differ; equal at both ends of a run of one part."""
+    return np.concatenate([[0], np.cumsum(part[1:] != part[:-1])])
+
+
+def _walk(trie, own, mine, part, changes, after, inside, percent) -> np.ndarray:
+    """Sets linked with ``own`` and not connected to it, all nodes of a level at a time."""
+    found = []
+    nodes, shared = np.zeros(1, np.int64), np.zeros(1, np.int64)
+    while len(nodes):
+        low, high = trie.low[nodes], trie.high[nodes]
+        known = (part[low] == mine) & (changes[low] == changes[high - 1])
+        keep = ~known & (high > after)
+        nodes, shared = nodes[keep], shared[keep]
+        if not len(nodes):
+            break
+        size = trie.size[nodes]
+        hits = inside[trie.tokens[spans(trie.at[nodes], size)]]
+        sums = np.concatenate([[0], np.cumsum(hits)])
+        ends = np.cumsum(size)
+        shared = shared + sums[ends] - sums[ends - size]
+        depth = trie.depth[nodes]
+        passed = np.where(depth > 0, np.searchsorted(own, trie.last[nodes], "right"), 0)
+        # all that is left on both sides may still be shared
+        possible = np.minimum(shared + len(own) - passed, shared + trie.longest[nodes] - depth)
+        alive = 100 * possible >= percent * (len(own) + depth - shared)
+        nodes, shared, depth = nodes[alive], shared[alive], depth[alive]
+        linked = trie.ends[nodes] & (100 * shared >= percent * (len(own) + depth - shared))
+        ending = trie.low[nodes[linked]]
+        found.append(ending[(part[ending] != mine) & (ending >= after)])
+        count = trie.children[nodes]
+        nodes, shared = spans(trie.first[nodes], count), np.repeat(shared, count)
+    return np.concatenate(found) if found else np.zeros(0, np.int64)

@@ -87,10 +87,10 @@ def test_prefix_keeps_a_shared_gram_for_every_linked_pair():
             assert 100 * least >= percent * size > 100 * (least - 1)
 
 
-def test_trie_joins_runs_and_walks(spark):
+def test_trie_joins_runs_and_walks():
     sets = [np.array(s, np.uint32) for s in ([1, 2, 3], [1, 2, 3, 4], [1, 2, 9], [5])]
     trie = ngram_join.Trie(sets)
-    assert sorted(zip(trie.low, trie.high, strict=True)) == [
+    assert sorted(zip(trie.low.tolist(), trie.high.tolist(), strict=True)) == [
         (0, 2), (0, 3), (0, 4), (1, 2), (2, 3), (3, 4)
     ]
     grams = [s.astype(np.uint64) for s in sets]
@@ -100,6 +100,36 @@ def test_trie_joins_runs_and_walks(spark):
     assert {frozenset(p) for p in links} == {frozenset((0, 1))}
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_links_of_a_group_connect_what_brute_force_links(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.choice(5000, 120, replace=False)
+    sets = []
+    for _ in range(40):
+        own = base.copy()
+        changed = rng.integers(0, 14)
+        own[rng.choice(120, changed, replace=False)] = 5000 + rng.integers(0, 400, changed)
+        sets.append(np.unique(own[: rng.integers(90, 121)]).astype(np.uint64))
+    sets += [np.unique(rng.choice(5000, 3)).astype(np.uint64) for _ in range(5)]
+    sets = list({s.tobytes(): s for s in sets}.values())
+    asks = np.ones(len(sets), bool) if seed % 2 else rng.random(len(sets)) < 0.4
+    links = ngram_join.link_group(sets, np.arange(len(sets)).astype(str), asks, 85)
+
+    def classes(pairs):
+        part = list(range(len(sets)))
+        for a, b in pairs:
+            part = [part[a] if p == part[b] else p for p in part]
+        return {frozenset(i for i in range(len(sets)) if part[i] == p) for p in part}
+
+    wanted = [
+        (a, b) for a in range(len(sets)) for b in range(a)
+        if (asks[a] or asks[b]) and 100 * len(np.intersect1d(sets[a], sets[b]))
+        >= 85 * len(np.union1d(sets[a], sets[b]))
+    ]
+    assert all((max(p), min(p)) in wanted for p in links)
+    assert classes(links) == classes(wanted)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(f"{a:03d}", f"{a + 1:03d}") for a in range(40)]
     edges += [("900", f"{a}") for a in range(901, 930)] + [("x", "x"), ("901", "900")]
