@@ -51,3 +51,16 @@ def test_stored_state_serves_new_tables(spark, sf_dir, tmp_path):
         users, catalogue, fitted.user_encoder, fitted.item_encoder, domain, A.AS_OF_YEAR,
         num_users=10, num_items=20)
     assert limited.users.count() == 10 and limited.items.count() == 20
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tastegrid.session import checkpoint_dir
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(
+        sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)
