@@ -18,7 +18,7 @@ from tastegrid.llm.exchange import key_bits, map_blocks
 from tastegrid.session import ship_package, stored
 
 #: Text per block: larger blocks hold more repeats and so ask less.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: A word that is this part of a block's words is a candidate for splitting.
 HEAVY = 1024
 #: A heavy word's successors are dealt out over so many keys.
