@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -119,8 +119,10 @@ class Encoder:
 
     @classmethod
     def fit(cls, df: DataFrame, spec: FeatureSpec) -> Encoder:
-        """One job stores the categories and the statistics, a small one counts them."""
-        return cls._from_state(spec, stored(cls._state(df, spec), "encoder"))
+        """One job stores the categories and the statistics and counts them on the way."""
+        seen = Observation()
+        state = cls._state(df, spec).observe(seen, *cls._counts(spec))
+        return cls._from_counts(spec, stored(state, "encoder"), seen.get)
 
     @staticmethod
     def _state(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -134,16 +136,24 @@ class Encoder:
             ))
         return state
 
+    @staticmethod
+    def _counts(spec: FeatureSpec) -> list[Column]:
+        """Categories per column, mean and sd per scaled column."""
+        def of(kind: str, source: str) -> Column:
+            return (F.col("kind") == kind) & (F.col("source") == source)
+
+        counts = [F.count_if(of("one_hot", c)).alias(f"one_hot {c}") for c in spec.one_hot]
+        counts += [F.count_if(of("multi_hot", c)).alias(f"multi_hot {c}") for c in spec.multi_hot]
+        for c in spec.scaled:
+            counts += [F.max(F.when(of("scaled", c), F.col(v))).alias(f"{v} {c}")
+                       for v in ("mean", "sd")]
+        return counts or [F.count(F.lit(1)).alias("rows")]
+
     @classmethod
-    def _from_state(cls, spec: FeatureSpec, state: DataFrame) -> Encoder:
-        found = state.groupBy("kind", "source").agg(
-            F.count(F.lit(1)).alias("n"), F.max("mean").alias("mean"), F.max("sd").alias("sd")
-        ).collect()  # one row per column
-        sizes = {("one_hot", c): 0 for c in spec.one_hot} | {
-            ("multi_hot", c): 0 for c in spec.multi_hot
-        }
-        sizes |= {(r.kind, r.source): r.n for r in found if r.kind != "scaled"}
-        stats = {r.source: (r.mean, r.sd) for r in found if r.kind == "scaled"}
+    def _from_counts(cls, spec: FeatureSpec, state: DataFrame, found: dict) -> Encoder:
+        sizes = {("one_hot", c): found[f"one_hot {c}"] for c in spec.one_hot}
+        sizes |= {("multi_hot", c): found[f"multi_hot {c}"] for c in spec.multi_hot}
+        stats = {c: (found[f"mean {c}"], found[f"sd {c}"]) for c in spec.scaled}
         vocab = state.where("kind <> 'scaled'").select("kind", "source", "value", "ordinal")
         return cls(spec, vocab, sizes, stats)
 
@@ -160,9 +170,10 @@ class Encoder:
 
         vocab = require_table(spark, f"{path}/vocab", "fitted vocabulary")
         stats = require_table(spark, f"{path}/stats", "fitted statistics")
-        return cls._from_state(spec, vocab.unionByName(
+        state = vocab.unionByName(
             stats.withColumn("kind", F.lit("scaled")), allowMissingColumns=True
-        ))
+        )
+        return cls._from_counts(spec, state, state.agg(*cls._counts(spec)).first().asDict())
 
     # -- layout -------------------------------------------------------------
 

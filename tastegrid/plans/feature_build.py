@@ -21,6 +21,10 @@ class Features:
     users: DataFrame
     items: DataFrame
 
+    @property
+    def width(self) -> int:
+        return self.user_encoder.width + self.item_encoder.width
+
     @property
     def names(self) -> list[str]:
         return [*self.user_encoder.feature_names, *self.item_encoder.feature_names]

@@ -267,7 +267,7 @@ def item_rules(plan) -> Query:
 
 def scored(spark: SparkSession, d: str, domain: DomainConfig, form: str) -> DataFrame:
     features, rows = matrix(spark, d, domain, form)
-    width = len(features.names)
+    width = features.width
     return S.score_rows(
         rows, check_weights(width, domain.network), domain.network, width,
         ["username", "content_id", "profile_id", "label"],
@@ -311,7 +311,7 @@ def _scoring_inputs(spark: SparkSession, d: str, name: str = "movie", catalogue=
     features = feature_build.apply_features(
         users, catalogue, fitted.user_encoder, fitted.item_encoder, domain, A.AS_OF_YEAR
     )
-    return domain, catalogue, features, check_weights(len(features.names), domain.network)
+    return domain, catalogue, features, check_weights(features.width, domain.network)
 
 
 def topn_crossnet(form: str, name: str = "movie", catalogue=A.catalogue, **plan) -> Query:
@@ -395,7 +395,7 @@ def _pass_inputs(spark: SparkSession, d: str):
     domain = DOMAINS["movie"]
     domain = replace(domain, network=replace(domain.network, dropout=0.0))
     features, rows = matrix(spark, d, domain, "dense")
-    width = len(features.names)
+    width = features.width
     return domain, rows, check_weights(width, domain.network), width
 
 
