@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.operators.joins import splittable_join
 from tastegrid.session import stored
 
 
@@ -12,8 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): the smallest node of its component.
 
     Large-star and small-star steps in turn until nothing changes; each brings nodes
-    nearer to the smallest, in about log(nodes) rounds. A star's centre is aggregated
-    before it is joined back, so a node with many neighbours is a skewed join at worst.
+    nearer to the smallest, in about log(nodes) rounds. A star's smallest node is aggregated
+    and joined back so that a node with many neighbours can be split over tasks.
     Each round's edges are stored. Self-loops and repeated edges are fine; nulls are left
     out.
     """
@@ -50,12 +51,15 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     return _tidy(
-        both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        splittable_join(both, least, ["a"]).where("b > a")
+        .select(F.col("b").alias("a"), F.col("m").alias("b"))
     )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, is tied to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    near = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    near = splittable_join(edges, least, ["a"]).select(
+        F.col("b").alias("a"), F.col("m").alias("b")
+    )
     return _tidy(near.unionByName(least.select("a", F.col("m").alias("b"))))

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from tastegrid.llm.batches import Runs, hash_words, items, map_slices, spans, split_words
 from tastegrid.llm.components import components
 from tastegrid.llm.exchange import answers_of, exchange, key_bits, map_blocks
+from tastegrid.operators.joins import splittable_join
 from tastegrid.session import ship_package, stored
 
-#: N-grams that one trie task holds at a time, about.
+#: N-grams that one trie holds at most, about; beyond that a group is split.
 TASK_GRAMS = 1 << 20
+#: N-grams of the small groups that one task takes together, about.
+BUNDLE_GRAMS = 1 << 17
 _BLOCKS = (
     "ids array<long>, sizes array<long>, prints array<string>, counts binary, keys binary, "
     "total long"
@@ -175,7 +178,7 @@ def _members(found: DataFrame, classes: DataFrame) -> DataFrame:
     pivots = pairs.groupBy("key").agg(
         F.min("print").alias("pivot"), F.max("print").alias("last")
     ).where("pivot < last").select("key", "pivot")
-    groups = pairs.join(pivots, "key").select("pivot", "print").distinct()
+    groups = splittable_join(pairs, pivots, ["key"]).select("pivot", "print").distinct()
     return groups.join(firsts.select("print", "doc_id", "n_grams"), "print")
 
 
@@ -204,7 +207,7 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "pivot", F.ceil(F.col("grams") / F.lit(TASK_GRAMS)).cast("bigint").alias("parts")
     ), "groups")
     total = sizes.agg(F.sum("grams")).first()[0] or 0
-    bundles = 1 + total // TASK_GRAMS
+    bundles = 1 + total // BUNDLE_GRAMS
     placed = members.join(parts, "pivot").withColumn(
         "part", F.pmod(F.xxhash64("print"), F.col("parts"))
     )
