@@ -200,16 +200,24 @@ def top_k(
     asked = whole.where(is_query)
     n_rows, n_queries = whole.count(), asked.count()
     blocks, chunks = -(-n_rows // block_rows) or 1, -(-n_queries // chunk_queries) or 1
-    index = build_index(whole, blocks).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint")))
-    )
+
+    def each(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint")))
+
     packed = (
         asked.groupBy(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(chunks)).alias("chunk"), "dim")
         .agg(F.sort_array(F.collect_list(F.struct("vec_id", "q"))).alias("asked"))
         .select("chunk", "dim", F.col("asked.vec_id").alias("query_ids"),
                 F.flatten("asked.q").alias("queries"))
     )
-    pairs = index.join(packed, ["chunk", "dim"]).repartition(blocks * chunks, "block", "chunk")
+    # blocks and chunks meet in a grid, about one pair to a task
+    index, packed = (
+        side.withColumn(name, each(count)).repartition(blocks * chunks, "block", "chunk", "dim")
+        for side, name, count in (
+            (build_index(whole, blocks), "chunk", chunks), (packed, "block", blocks),
+        )
+    )
+    pairs = index.join(packed, ["block", "chunk", "dim"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
