@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tastegrid.llm.batches import Runs, hash_words, items, map_slices, spans, split_words
 from tastegrid.llm.components import components
 from tastegrid.llm.exchange import answers_of, exchange, key_bits, map_blocks
+from tastegrid.llm.scratch import Scratch
 from tastegrid.operators.joins import splittable_join
 from tastegrid.session import ship_package, stored
 
@@ -138,28 +139,31 @@ def jaccard_components(docs: DataFrame, length: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    blocks = stored(_blocks(docs, length, percent), "prefixes")
-    rows = blocks.select(F.explode(F.arrays_zip("ids", "sizes", "prints")).alias("r")).select(
+    scratch = Scratch(spark)
+    blocks = scratch.stored(_blocks(docs, length, percent), "prefixes")
+    rows = blocks.select(F.explode(F.arrays_zip("ids", "sizes", "prints")).alias("r"))
+    rows = stored(rows.select(
         F.col("r.ids").alias("doc_id"), F.col("r.sizes").alias("n_grams"),
         F.col("r.prints").alias("print"),
-    )
+    ), "rows")
     classes = rows.where("print IS NOT NULL AND doc_id IS NOT NULL").groupBy("print").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_grams").alias("n_grams")
     )
     total = blocks.agg(F.sum("total")).first()[0] or 0
     counted = exchange(blocks, ["keys"], _ask, _total, np.uint32, np.uint32, key_bits(total))
     found = map_blocks(counted, _rare_prefix(percent), _CANDIDATES)
-    members = stored(_members(found, classes), "members")
-    sets = stored(_sets(docs, members, length), "gram-sets")
-    links = _links(members, sets, percent)
+    members = scratch.stored(_members(found, classes, scratch), "members")
+    sets = scratch.stored(_sets(docs, members, length), "gram-sets")
+    links = _links(members, sets, percent, scratch)
     roots = components(links)
     named = (
         classes.join(roots, classes["print"] == roots["node"], "left")
         .select("print", "doc_id", F.coalesce("root", "print").alias("root"))
     )
-    named = stored(named, "classes")
+    named = scratch.stored(named, "classes")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "root").select("print", "component_id")
+    named = stored(named.join(least, "root").select("print", "component_id"), "components")
+    scratch.clear()
     return _by_id(rows.join(named, "print", "left"))
 
 
@@ -169,9 +173,9 @@ def _by_id(rows: DataFrame) -> DataFrame:
     )
 
 
-def _members(found: DataFrame, classes: DataFrame) -> DataFrame:
+def _members(found: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(pivot, print, doc_id, n_grams): the classes of each group, one row each."""
-    firsts = stored(
+    firsts = scratch.stored(
         found.join(classes, ["print", "doc_id"]).dropDuplicates(["print"]), "candidates"
     )
     pairs = firsts.select("print", F.explode("keys").alias("key"))
@@ -200,10 +204,10 @@ def _sets(docs: DataFrame, members: DataFrame, length: int) -> DataFrame:
     return map_slices(rows, ["doc_id", "text", "prints"], work, _SETS).dropDuplicates(["print"])
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(a, b): links that connect what is linked within each group."""
     sizes = members.groupBy("pivot").agg(F.sum("n_grams").alias("grams"))
-    parts = stored(sizes.select(
+    parts = scratch.stored(sizes.select(
         "pivot", F.ceil(F.col("grams") / F.lit(TASK_GRAMS)).cast("bigint").alias("parts")
     ), "groups")
     total = sizes.agg(F.sum("grams")).first()[0] or 0
@@ -217,26 +221,28 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                                                             F.col("parts") - 1))
         .otherwise(F.array("part"))
     )).withColumn("asks", F.lit(True))
-    inside = stored(
+    inside = scratch.stored(
         _joined(spread.withColumn("other", F.lit(0).cast("bigint")), sets, bundles, percent),
         "links",
     )
     hot = placed.where("parts > 1")
     if hot.isEmpty():
         return inside
-    return inside.unionByName(_across(hot, sets, inside, percent))
+    return inside.unionByName(_across(hot, sets, inside, percent, scratch))
 
 
-def _across(hot: DataFrame, sets: DataFrame, inside: DataFrame, percent: int) -> DataFrame:
+def _across(
+    hot: DataFrame, sets: DataFrame, inside: DataFrame, percent: int, scratch: Scratch
+) -> DataFrame:
     """Links of split groups between sets that their parts have left unconnected."""
     roots = components(inside)
     known = hot.join(roots, hot["print"] == roots["node"], "left").select(
         *hot.columns, F.coalesce("root", "print").alias("root")
     )
     firsts = known.where("print = pivot").select("pivot", F.col("root").alias("main"))
-    known = stored(known.join(firsts, "pivot"), "hot-members")
+    known = scratch.stored(known.join(firsts, "pivot"), "hot-members")
     left = known.where("root <> main")
-    others = stored(left.groupBy("pivot").agg(
+    others = scratch.stored(left.groupBy("pivot").agg(
         F.ceil(F.sum("n_grams") / F.lit(TASK_GRAMS)).cast("bigint").alias("others")
     ), "hot-groups")
     asking = left.join(others, "pivot").withColumn(

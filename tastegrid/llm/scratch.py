@@ -1,0 +1,24 @@
+"""Tables in the shared folder that an operator needs only until its result is stored."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tastegrid.session import remove, shared_path
+
+
+class Scratch:
+    """Stores tables and deletes them together; no result may read them any more then."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        while self.paths:
+            remove(self.spark, self.paths.pop())

@@ -19,6 +19,7 @@ from tastegrid.llm.batches import (
     window_starts,
 )
 from tastegrid.llm.exchange import answers_of, exchange, key_bits, map_blocks
+from tastegrid.llm.scratch import Scratch
 from tastegrid.session import stored
 
 #: No window shorter than this is looked at.
@@ -68,31 +69,33 @@ def remove_repeats(docs: DataFrame, window: int = 50, least: int = LEAST) -> Dat
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
     )
     first, *later = lengths(window, least)
-    blocks = stored(_first_windows(docs, first, window), "windows")
+    scratch = Scratch(docs.sparkSession)
+    blocks = scratch.stored(_first_windows(docs, first, window), "windows")
     rows = blocks.select(F.explode(F.arrays_zip("ids", "hashes", "n_words", "kept")).alias("r"))
-    rows = rows.select(
+    rows = stored(rows.select(
         F.col("r.ids").alias("doc_id"), F.col("r.hashes").alias("text_hash"),
         F.col("r.n_words").alias("n_words"), F.col("r.kept").alias("whole"),
-    )
+    ), "rows")
     found = _asked(blocks, first, texts=False)
     if not later:
         raise ValueError("the window must be at least twice the least length")
-    places = stored(
+    places = scratch.stored(
         map_blocks(found, _surviving_first, _PLACES).where("size(places) > 0"),
         "repeated",
     )
     length = first
     for longer in later:
-        blocks = stored(_longer_windows(docs, places, length, longer), "longer-windows")
+        blocks = scratch.stored(_longer_windows(docs, places, length, longer), "longer-windows")
         found = _asked(blocks, longer, texts=True)
         if longer < window:
-            places = stored(
+            places = scratch.stored(
                 map_blocks(found, _survivors(longer), _PLACES).where("size(places) > 0"),
                 "repeated",
             )
         length = longer
     changed = map_blocks(found, _removed(window), _CHANGED).where("n_removed > 0")
     changed = stored(changed.dropDuplicates(["doc_id", "text_hash"]), "changed")
+    scratch.clear()
     return rows.join(changed, ["doc_id", "text_hash"], "left").select(
         "doc_id", "text_hash", "n_words",
         F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
