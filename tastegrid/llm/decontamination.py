@@ -46,14 +46,26 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """(seed, item_id, n_tokens, item_at, mask) for every window of every item."""
-    items = benchmark.select("item_id", tokens(F.col("text")).alias("words"))
-    lengths = items.groupBy("item_id").agg(
-        F.max(F.size("words")).cast("bigint").alias("n_tokens")
+def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, found): the (item_id, start) that share a seed with a text.
+
+    ``start`` is the token of the document opposite the item's first token, possibly < 0.
+    """
+    items = benchmark.where("item_id IS NOT NULL").select(
+        "item_id", tokens(F.col("text")).alias("words")
+    )
+    wanted = stored(
+        seeds(items, "item_id", "words").select("seed", "item_id", F.col("at").alias("item_at")),
+        "benchmark-seeds",
     )
-    return seeds(items, "item_id", "words").join(lengths, "item_id").select(
-        "seed", "item_id", "n_tokens", F.col("at").alias("item_at"), "mask"
+    keyed = docs.select(
+        F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("key"),
+        tokens(F.col("text")).alias("words"),
+    )
+    return seeds(keyed, "key", "words").join(small(wanted, 64), "seed").select(
+        "key.doc_id", "key.text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("start")
+    ).distinct().groupBy("doc_id", "text_hash").agg(
+        F.collect_list(F.struct("item_id", "start")).alias("found")
     )
 
 
@@ -61,32 +73,49 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, n_tokens, n_matched, overlap) of passages found in documents.
 
     Tokens are lower-cased runs of letters and digits. Masks that skip some tokens give
-    seeds; a seed shared by an item and a document fixes an alignment (``start``: the
-    document's token opposite the item's first, possibly < 0) and shows the tokens its mask
-    looks at to be equal. On each alignment the tokens shown equal by all hits around are
-    put together, so a changed word costs only itself. A pair is returned, with its best
+    seeds; a seed shared by an item and a document fixes an alignment, and on it all tokens
+    of the item are compared with those of the document. A pair is returned, with its best
     alignment (most equal tokens, then the smallest start), if at least ``MIN_OVERLAP`` of
     the item agrees or ``MIN_STRETCH`` of some ``STRETCH`` tokens of it.
 
-    One pass over the documents; only hits are shuffled, and their sets combine before
-    that. Null and empty texts give no rows, nor do items of fewer than ``SPAN`` tokens,
-    which are too short to tell a passage from chance. Repeated rows and ids count as one
-    document or item; other columns are not read.
+    The documents are read a second time for that, by a sort-merge join with the hits
+    whatever their size: texts are shuffled once, and leave the join only around hits.
+    Null and empty texts give no rows, nor do items of fewer than ``SPAN`` tokens, which
+    are too short to tell a passage from chance. Repeated rows and ids count as one
+    document or item (each of its texts is compared); other columns are not read.
     """
-    wanted = stored(benchmark_seeds(benchmark.select("item_id", "text")), "benchmark-seeds")
-    found = seeds(
-        docs.select("doc_id", tokens(F.col("text")).alias("words")), "doc_id", "words"
-    ).drop("mask")
-    hits = found.join(small(wanted, 64), "seed").groupBy(
-        "doc_id", "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("start")
-    ).agg(F.collect_set(F.struct("item_at", "mask")).alias("hits"))
-    looks = F.array(*[F.array(*[F.lit(k) for k in mask]) for mask in MASKS])
-    equal = F.array_distinct(F.flatten(F.transform(
-        "hits", lambda h: F.transform(
-            F.element_at(looks, h["mask"] + 1), lambda k: k + h["item_at"]
-        )
+    docs, benchmark = docs.select("doc_id", "text"), benchmark.select("item_id", "text")
+    found = stored(alignments(docs, benchmark), "alignments").withColumnRenamed(
+        "doc_id", "found_id"
+    )
+    same = docs["doc_id"].eqNullSafe(found["found_id"]) & (
+        F.xxhash64(docs["text"]) == found["text_hash"]
+    )
+    placed = (
+        docs.join(found.hint("merge"), same)
+        .select("doc_id", tokens(docs["text"]).alias("words"), "found")
+        .select("doc_id", "words", F.explode("found").alias("f"))
+        .select("doc_id", "words", "f.item_id", "f.start")
+    )
+    items = benchmark.select("item_id", tokens(F.col("text")).alias("item")).distinct()
+    n_bytes = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return _best(_compared(placed.join(
+        F.broadcast(items) if n_bytes <= BROADCAST_BYTES else items, "item_id"
     )))
-    return _best(hits.select("doc_id", "item_id", "start", "n_tokens", equal.alias("equal")))
+
+
+def _compared(rows: DataFrame) -> DataFrame:
+    """``equal``: the item's tokens, counted from 0, that are the document's opposite ones."""
+    first = F.greatest(-F.col("start"), F.lit(0))
+    part = F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.size("item"))
+    opposite = F.zip_with(
+        F.slice("item", first + 1, F.size("item")), part, lambda a, b: a.eqNullSafe(b)
+    )
+    numbered = F.transform(opposite, lambda same, k: F.when(same, k + first))
+    return rows.select(
+        "doc_id", "item_id", "start", F.size("item").cast("bigint").alias("n_tokens"),
+        F.array_compact(numbered).alias("equal"),
+    )
 
 
 def _best(rows: DataFrame) -> DataFrame:

@@ -63,6 +63,59 @@ def test_changed_passages_are_found_and_nothing_else(spark):
     assert left == {i for i, _ in docs + extra} - {p[0] for p in planted} - {103, 104}
 
 
+def tokens_equal(item, text, start):
+    return [k for k, w in enumerate(item)
+            if 0 <= start + k < len(text) and text[start + k] == w]
+
+
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_whole_tokens_are_compared_where_many_words_are_changed(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", limit)
+    rng = random.Random(11)
+    items = {k: some(rng, rng.choice([20, 30, 40])) for k in range(8)}
+    docs = {}
+    for k in range(120):
+        item = list(items[k % 8])
+        for x in rng.sample(range(len(item)), round(len(item) * rng.uniform(0.2, 0.3))):
+            item[x] = "other"
+        docs[k] = some(rng, 15) + item + some(rng, 15)
+    wanted = {}
+    for d, text in docs.items():
+        for i, item in items.items():
+            starts = {at - p for at in range(len(text) - 7) for p in range(len(item) - 7)
+                      if any(all(text[at + x] == item[p + x] for x in mask)
+                             for mask in decontamination.MASKS)}
+            for start in sorted(starts):
+                equal = tokens_equal(item, text, start)
+                near = max((sum(a <= x < a + 13 for x in equal) for a in equal), default=0)
+                if (len(equal) >= 0.6 * len(item) or near >= 11) and len(equal) > wanted.get(
+                    (d, i), (0, 0)
+                )[0]:
+                    wanted[d, i] = len(equal), start
+    assert len(wanted) > 80
+    found = decontamination.contaminated(
+        spark.createDataFrame([(d, " ".join(t)) for d, t in docs.items()],
+                              "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()],
+                              "item_id long, text string"),
+    )
+    assert no_python(found)
+    assert {(r.doc_id, r.item_id): (r.n_matched, r.start) for r in found.collect()} == wanted
+
+
+def test_each_text_of_a_repeated_id_is_compared(spark):
+    rng = random.Random(12)
+    item, other = some(rng, 20), some(rng, 20)
+    half = [w if k < 10 else "x" for k, w in enumerate(item)]
+    rest = [w if k >= 10 else "y" for k, w in enumerate(item)]
+    rows = [(1, half), (1, rest), (None, item), (None, other), (None, half)]
+    found = decontamination.contaminated(
+        spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string"),
+        spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"),
+    ).collect()
+    assert [(r.doc_id, r.item_id, r.n_matched) for r in found] == [(None, 7, 20)]
+
+
 def test_decontamination_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
