@@ -21,10 +21,10 @@ SAMPLE_ROWS = 5_000
 EPOCHS = 12
 BATCH_ROWS = 64
 RATE = 0.3
-DECAY = 1e-4
-#: Terms are learnt if their shares of the two labels' texts differ by this factor, and by so
-#: many standard errors.
-MIN_RATIO, MIN_ERRORS = 2.5, 2.5
+#: A term's weight, or one of its factors, is 0 while the sum of its gradients is below this;
+#: for factors this rises from 0 over the first epochs, since a pair shows only once both have any.
+L1_WEIGHT, L1_FACTOR, RISING = 60.0, 240.0, 6
+WEIGHT_RATE, FACTOR_RATE, FACTOR_START = 0.6, 0.1, 0.05
 TOXIC = 0.7
 
 
@@ -78,63 +78,60 @@ def raw_scores(model: Model, found: np.ndarray, counts: np.ndarray):
 
 
 def fit(rows: list[tuple[np.ndarray, int]], seed: int = 0) -> Model:
-    """Logistic loss, AdaGrad over seeded mini-batches; the two labels weigh alike."""
+    """Logistic loss over seeded mini-batches; the two labels weigh alike.
+
+    Weights and factors of all terms are learnt together by FTRL-proximal with an L1
+    penalty, so that no term is left out beforehand and chance terms end at 0.
+    """
     rng = np.random.default_rng(seed)
     labels = np.array([label for _, label in rows], float)
-    bias = 0.0
+    bias, seen_b = 0.0, 1e-2
     weights = np.zeros(BUCKETS)
-    factors = rng.normal(0, 0.01, (BUCKETS, FACTORS))
-    telling = _telling(rows, labels)
-    rows = [(found[telling[found]], label) for found, label in rows]
-    factors[~telling] = 0
+    factors = rng.normal(0, FACTOR_START, (BUCKETS, FACTORS))
     if len(set(labels.tolist())) < 2:
         rate = (labels.sum() + 0.5) / (len(labels) + 1)
         return Model(float(np.log(rate / (1 - rate))), weights, np.zeros_like(factors))
     share = labels.mean()
     importance = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))
-    seen_w, seen_v, seen_b = np.full(BUCKETS, 1e-2), np.full(factors.shape, 1e-2), 1e-2
-    for _ in range(EPOCHS):
+    sum_w, seen_w = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    sum_v, seen_v = -factors / FACTOR_RATE, np.zeros(factors.shape)
+    for epoch in range(EPOCHS):
         order = rng.permutation(len(rows))
+        l1_factor = L1_FACTOR * min(1.0, epoch / RISING)
         for start in range(0, len(order), BATCH_ROWS):
             chosen = order[start : start + BATCH_ROWS]
             counts = np.array([len(rows[i][0]) for i in chosen])
             found = np.concatenate([rows[i][0] for i in chosen])
             score, sums = raw_scores(Model(bias, weights, factors), found, counts)
             chance = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-            slope = (chance - labels[chosen]) * importance[chosen] / len(chosen)
-            seen_b += slope.sum() ** 2
-            bias -= RATE * slope.sum() / np.sqrt(seen_b)
+            slope = (chance - labels[chosen]) * importance[chosen]
+            step_b = slope.mean()
+            seen_b += step_b**2
+            bias -= RATE * step_b / np.sqrt(seen_b)
             if not len(found):
                 continue
             each = np.repeat(slope, counts)
             used, at = np.unique(found, return_inverse=True)
-            step_w = np.bincount(at, each) + DECAY * weights[used] / len(chosen)
-            v = factors[found]
-            push = each[:, None] * (np.repeat(sums, counts, axis=0) - v)
+            push = each[:, None] * (np.repeat(sums, counts, axis=0) - factors[found])
+            step_w = np.bincount(at, each)
             step_v = np.stack([np.bincount(at, push[:, f]) for f in range(FACTORS)], axis=1)
-            step_v += DECAY * factors[used]
-            seen_w[used] += step_w**2
-            seen_v[used] += step_v**2
-            weights[used] -= RATE * step_w / np.sqrt(seen_w[used])
-            factors[used] -= 0.1 * RATE * step_v / np.sqrt(seen_v[used])
+            _follow(weights, sum_w, seen_w, used, step_w, WEIGHT_RATE, L1_WEIGHT)
+            _follow(factors, sum_v, seen_v, used, step_v, FACTOR_RATE, l1_factor)
+    known = np.zeros(BUCKETS, bool)
+    known[np.concatenate([found for found, _ in rows])] = True
+    factors[~known] = 0  # nothing was learnt of them
     return Model(bias, weights.astype(np.float32), factors.astype(np.float32))
 
 
-def _telling(rows: list[tuple[np.ndarray, int]], labels: np.ndarray) -> np.ndarray:
-    """Which terms are much commoner with one label than with the other."""
-    share, error = [], 0.0
-    for label in (0, 1):
-        n = max(int((labels == label).sum()), 1)
-        texts = np.bincount(
-            np.concatenate([[0][:0], *[f for f, own in rows if own == label]]).astype(np.int64),
-            minlength=BUCKETS,
-        )
-        part = (texts + 0.5) / (n + 1)
-        share.append(part)
-        error = error + part * (1 - part) / n
-    ratio = share[1] / share[0]
-    apart = np.abs(share[1] - share[0]) >= MIN_ERRORS * np.sqrt(error)
-    return apart & ((ratio >= MIN_RATIO) | (ratio <= 1 / MIN_RATIO))
+def _follow(values: np.ndarray, sums: np.ndarray, seen: np.ndarray, used: np.ndarray,
+            step: np.ndarray, rate: float, l1: float) -> None:
+    """One FTRL-proximal update of the used rows, in place."""
+    before, after = seen[used], seen[used] + step**2
+    total = sums[used] + step - (np.sqrt(after) - np.sqrt(before)) / rate * values[used]
+    sums[used], seen[used] = total, after
+    values[used] = -np.sign(total) * np.maximum(np.abs(total) - l1, 0) * rate / (
+        1 + np.sqrt(after)
+    )
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:

@@ -133,6 +133,34 @@ def test_factors_learn_a_pair():
     assert score[0] > 0 > max(score[1:])
 
 
+def pair_rows(seed, n, insults):
+    """Terms 0 and 1 are in half of the texts of each label, alone only in clean ones."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(n):
+        found = set((rng.zipf(1.3, 40) % 2000 + 10).tolist())
+        both = bool(rng.integers(2))
+        if k % 2:
+            found |= {0, 1} if both else {int(rng.integers(2, 5))} if insults else set()
+        else:
+            found.add(int(both))
+        rows.append((np.array(sorted(found), np.int32), k % 2))
+    return rows
+
+
+@pytest.mark.parametrize("insults", [True, False])
+def test_pair_of_terms_that_are_equally_common_with_each_label(insults):
+    fitted = toxicity.fit(pair_rows(1, 1500, insults))
+    asked = pair_rows(2, 600, insults)
+    score, _ = toxicity.raw_scores(
+        fitted, np.concatenate([t for t, _ in asked]), np.array([len(t) for t, _ in asked])
+    )
+    toxic = 1 / (1 + np.exp(-score)) >= toxicity.TOXIC
+    pair = np.array([{0, 1} <= set(t.tolist()) for t, _ in asked])
+    clean = np.array([not label for _, label in asked])
+    assert toxic[pair].mean() > 0.95 and toxic[clean].mean() < 0.02
+
+
 def test_raw_score_counts_pairs():
     rng = np.random.default_rng(1)
     fitted = toxicity.Model(0.5, rng.normal(size=9), rng.normal(size=(9, 3)))
