@@ -140,7 +140,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     A bounded sample is used: of each label the ``SAMPLE_ROWS`` rows with the smallest
     hashed ids. Only ids are chosen by the driver's sort; terms are taken in tasks from
     whole texts, and the driver gets the sample's term numbers. Rows without a text or
-    label are not used; of several labels for one id the larger counts. Without both
+    label are not used; of several labels for one id the larger counts, of several texts
+    the one with the smallest hash. Without both
     labels every score is the share of the label there is.
     """
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(
@@ -153,22 +154,24 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         for label in (0, 1)
     ]
     sample = halves[0].unionByName(halves[1])
-    rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(
-        F.broadcast(sample), "doc_id"  # at most 2 * SAMPLE_ROWS short rows
-    )
+    rows = docs.where("text IS NOT NULL").select(
+        "doc_id", "text", F.xxhash64("text").alias("text_hash")
+    ).join(F.broadcast(sample), "doc_id")  # at most 2 * SAMPLE_ROWS short rows
 
     def work(piece: pa.RecordBatch) -> dict:
         found, counts = terms(piece.column("text"))
         return {"doc_id": piece.column("doc_id"), "toxic": piece.column("toxic"),
-                "terms": binaries(found, counts)}
+                "text_hash": piece.column("text_hash"), "terms": binaries(found, counts)}
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     table = map_slices(
-        rows.withColumn("toxic", F.col("toxic").cast("int")), ["doc_id", "toxic", "text"], work,
-        f"doc_id {id_type}, toxic int, terms binary",
+        rows.withColumn("toxic", F.col("toxic").cast("int")), ["doc_id", "toxic", "text_hash", "text"],
+        work, f"doc_id {id_type}, toxic int, text_hash long, terms binary",
     )
-    got = table.collect()
-    got.sort(key=lambda r: (r.doc_id, bytes(r.terms)))
+    got = table.groupBy("doc_id", "toxic").agg(
+        F.min(F.struct("text_hash", "terms"))["terms"].alias("terms")
+    ).collect()
+    got.sort(key=lambda r: r.doc_id)
     return fit([(np.frombuffer(r.terms, np.int32), r.toxic) for r in got])
 
 

@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tastegrid.llm import language_id, toxicity
 
@@ -111,6 +112,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r.predicted == (r.score >= 0.7) for r in found)
 
 
+def test_one_training_row_for_each_id(spark, monkeypatch):
+    got = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda rows: got.extend(rows) or fit(rows))
+    texts = [f"text number{k} words" for k in range(50)]
+    docs = spark.createDataFrame(
+        [(1, t) for t in texts * 4] + [(2, "other"), (3, None), (2, None)],
+        "doc_id long, text string",
+    ).repartition(3)
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, toxic int")
+    toxicity.train(docs, labels)
+    least = docs.where("doc_id = 1").orderBy(F.xxhash64("text")).first().text
+    own, _ = toxicity.terms(pa.array([least]))
+    assert [label for _, label in got] == [0, 1]
+    assert got[0][0].tolist() == own.tolist()
+
+
 def test_toxicity_with_one_label_or_none(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     for rows in ([], [(1, 0), (2, 0)]):
