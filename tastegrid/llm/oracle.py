@@ -147,10 +147,41 @@ WITH v AS (
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
 """
 
+FILL_IN_MIDDLE = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || CAST(doc_id AS VARCHAR)) AS h,
+    regexp_extract_all(coalesce(text, ''),
+      '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), numbers AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM drawn
+), formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN h IS NULL OR t = '' OR contains(t, '<P>') OR contains(t, '<S>')
+      OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), parts AS (
+  SELECT doc_id, n, form, t, array_to_string(u[1:a], '') AS p,
+    array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s
+  FROM formed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard": NGRAM_JACCARD,
     "op5_decontamination": DECONTAMINATION,
     "op6_url_filter": URL_FILTER,
     "op7_substring_dedup": SUBSTRING_DEDUP,
     "op10_bit_sliced_topk": BIT_SLICED_TOPK,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
 }

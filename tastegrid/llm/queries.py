@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
+from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +14,12 @@ from pyspark.sql import functions as F
 from tastegrid.llm import (
     bpe,
     decontamination,
+    fill_in_middle,
     language_id,
     language_model,
     ngram_join,
+    packing,
+    periodic_runs,
     sharding,
     substring,
     topk,
@@ -24,6 +30,7 @@ from tastegrid.llm import (
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
 RANK_FILE = "byte_bpe_50k.tiktoken"
+PACKING_FILE = "word_bpe_49k.json"
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
@@ -115,6 +122,53 @@ def op10_bit_sliced_topk(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle(table(spark, d, "documents"))
+
+
+def with_periodic_tails(ids: list, counts: np.ndarray) -> np.ndarray:
+    """The places of the words to read, by the query's contract: in one of ten documents
+    the words from ``a`` on repeat ``p`` words. Rows without an id stay as they are."""
+    places = np.arange(int(counts.sum()))
+    for doc_id, first, n in zip(ids, np.cumsum(counts) - counts, counts.tolist(), strict=True):
+        h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0 and n:
+            a = h // 10 % n
+            p = 1 + (n - a) // (3 + h // 10 % 8)
+            places[first + a : first + n] = first + a + np.arange(n - a) % p
+    return places
+
+
+def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(
+        table(spark, d, "documents"), reorder=with_periodic_tails
+    )
+    zero = F.lit(0).cast("bigint")
+    none = F.struct(*[zero.alias(c) for c in ("start", "length", "period")])
+    best = F.reduce("runs", none, lambda top, r: F.when(
+        (top.period == 0) | (r.length * top.period > top.length * r.period), r
+    ).otherwise(top))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")
+    ))
+    return found.withColumn("best", F.when(F.size("runs") > 0, best)).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_packing(spark: SparkSession, d: str) -> DataFrame:
+    tokenizer = Path(public_tokenizers.path(PACKING_FILE)).read_text()
+    found = packing.packed(table(spark, d, "documents"), tokenizer)
+    return found.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset", "context", "step",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_minimax_shards": op2_minimax_shards,
@@ -126,4 +180,7 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_bit_sliced_topk": op10_bit_sliced_topk,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_packing": op13_packing,
 }
