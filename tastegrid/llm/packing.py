@@ -9,12 +9,16 @@ of shorter tiers, whole ones first and at last the beginning of one.
 from __future__ import annotations
 
 import heapq
+import os
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -24,8 +28,9 @@ TIERS = (2048, 1024, 512, 256)
 #: Tokens of a training step, about.
 STEP_TOKENS = 64 * 2048
 #: Different words that a task remembers.
-REMEMBERED = 1 << 20
-_BLOCK_BYTES = 4 << 20
+REMEMBERED = 1 << 19
+_WORDS_A_TEXT, _LEARNT_AT_ONCE = 256, 1 << 14
+_BLOCK_BYTES = 8 << 20
 
 Piece = tuple[int, int, int]  # document, first token, number of tokens
 
@@ -40,34 +45,50 @@ class Words:
     def __init__(self, tokenizer: str, end_id: int):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
         self.tokenizer, self.end_id = Tokenizer.from_str(tokenizer), end_id
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.known = pa.array([], pa.string())  # the word of entry 1, 2, ...
         self.ids = np.array([self.end_id], np.uint32)  # entry 0 ends a document
         self.first = np.array([0, 1], np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        self.number.update(zip(words, range(len(self.number) + 1, 1 << 62), strict=False))
-        sizes = np.array([len(f) for f in found], np.int64)
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-        flat = np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum()))
-        self.ids = np.concatenate([self.ids, flat])
+    def _learn(self, new: pa.Array) -> None:
+        """Ids of new words, some words in one text; a token belongs to the word it starts in."""
+        self.known = pa.concat_arrays([self.known, new])
+        words = new.to_pylist()
+        for start in range(0, len(words), _LEARNT_AT_ONCE):
+            part = words[start : start + _LEARNT_AT_ONCE]
+            groups = [part[k : k + _WORDS_A_TEXT] for k in range(0, len(part), _WORDS_A_TEXT)]
+            found = self.tokenizer.encode_batch(
+                [" ".join(g) for g in groups], add_special_tokens=False
+            )
+            ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+            starts = map(itemgetter(0), chain.from_iterable(e.offsets for e in found))
+            at = np.fromiter(starts, np.int64, len(ids))
+            sizes = np.fromiter(map(len, part), np.int64, len(part)) + 1
+            # places of words and tokens as if all texts, each with a blank more, were one
+            begin = np.cumsum(sizes) - sizes
+            texts = begin[::_WORDS_A_TEXT]
+            at += np.repeat(texts, [len(e) for e in found])
+            counts = np.bincount(np.searchsorted(begin, at, "right") - 1, minlength=len(part))
+            self.ids = np.concatenate([self.ids, ids])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts): the ids of all texts, each with the end id, and their numbers."""
-        if len(self.number) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self._forget()
         starts, words = split_words(texts)
         coded = words.dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        new = [w for w in different if w not in self.number]
-        if new:
-            self._learn(new)
-        table = np.array([self.number[w] for w in different], np.int64)
-        entries = table[coded.indices.to_numpy(False)] if len(words) else np.zeros(0, np.int64)
+        different, n = coded.dictionary, len(self.known)
+        found = pc.index_in(different, value_set=self.known)
+        self._learn(different.filter(found.is_null()))
+        table = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        new = table < 0
+        table[new] = n + np.arange(new.sum())
+        entries = table[coded.indices.to_numpy(False)] + 1
         entries = np.insert(entries, starts[1:], 0)
         sizes = np.diff(self.first)[entries]
         before = np.concatenate([[0], np.cumsum(sizes)])
@@ -173,7 +194,7 @@ def packed(
     powers of two, descending. A sequence is as long as a tier, so nothing is padded;
     what is left of a block at last is cut into sequences of lower powers of two.
 
-    Blocks of about 4 MB of text are packed apart, in the task that reads them, without a
+    Blocks of about 8 MB of text are packed apart, in the task that reads them, without a
     shuffle: what packing could gain over blocks is at most one window's rest each. Steps
     hold sequences of one block, so near the same number of tokens; numbers of sequences
     and steps are unique, not gapless. A text of any length is one document, in the block
