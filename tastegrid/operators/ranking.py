@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,16 +45,19 @@ def content_meta(catalogue: DataFrame, order: str = "item_ord") -> DataFrame:
     return first_per_content(picked, order).select("content_id", *META_COLUMNS)
 
 
-def top_n(pairs: DataFrame, n: int = TOP_N, order: str = "item_ord") -> DataFrame:
+def top_n(
+    pairs: DataFrame, n: int = TOP_N, order: str = "item_ord",
+    by: Sequence[str] = ("profile_id",),
+) -> DataFrame:
     """The ``n`` best contents per profile with ``rank`` from 1; ties in catalogue order.
 
     A content scored for several usernames of a profile counts once, at its best. Missing
     scores rank last. The rank filter is applied before and after the shuffle.
     """
-    best = pairs.groupBy("profile_id", "content_id").agg(
+    best = pairs.groupBy(*by, "content_id").agg(
         F.max(X.no_nan(F.col("score"))).alias("score"), F.min(order).alias(order)
     )
-    by_score = Window.partitionBy("profile_id").orderBy(
+    by_score = Window.partitionBy(*by).orderBy(
         F.col("score").desc_nulls_last(), F.col(order), F.col("content_id")
     )
     return best.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= n)
@@ -74,18 +79,21 @@ def with_meta(ranked: DataFrame, meta: DataFrame) -> DataFrame:
     return joined.select(*ranked.columns, *[shown(c) for c in META_COLUMNS])
 
 
-def results(ranked: DataFrame, usernames: DataFrame) -> DataFrame:
-    """(profile_id, username, items): one row per profile, items in rank order.
+def item_lists(ranked: DataFrame, by: Sequence[str] = ("profile_id",)) -> DataFrame:
+    """(by, items): items in rank order.
 
-    ``ranked`` holds at most N rows per profile, so the collected list is bounded.
+    ``ranked`` holds at most N rows per group, so the collected list is bounded.
     """
     item = F.struct(
         "rank", "content_id", "content_name", "tag_names", "type_id", "score", "rule_id"
     )
-    return (
-        ranked.groupBy("profile_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-        .join(usernames, "profile_id", "left")
-        .select("profile_id", "username", "items")
+    return ranked.groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+
+def results(ranked: DataFrame, usernames: DataFrame) -> DataFrame:
+    """(profile_id, username, items): one row per profile, items in rank order."""
+    return item_lists(ranked).join(usernames, "profile_id", "left").select(
+        "profile_id", "username", "items"
     )
 
 

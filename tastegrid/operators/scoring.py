@@ -1,12 +1,13 @@
-"""Network scores of feature rows, and the best items of every profile.
+"""Network scores of feature rows, and the best items of every class of equal users.
 
-Profiles x items is never written out as rows: a task scores a block of profiles
-against a block of items and emits the best ``n`` per profile row. Two plans give the
-same rows:
+Users with equal feature vectors are one class, which is scored once, however many
+profiles belong to it. Classes x items is never written out as rows: a task scores a block
+of classes against a block of items and emits the best ``n`` per class. Two plans give
+the same rows:
 
 * ``broadcast``: the encoded items fit the checked limit and travel once per executor;
-  of the profiles only their own short rows are shuffled, to spread the work.
-* ``grid``: profiles and items are cut into bounded tiles, each side is repeated along
+  of the classes only their own short rows are shuffled, to spread the work.
+* ``grid``: classes and items are cut into bounded tiles, each side is repeated along
   the other's tiles, and each pair of tiles meets in one task.
 """
 
@@ -22,20 +23,23 @@ from pyspark.sql import functions as F
 
 from tastegrid.config import TOP_N, NetworkConfig
 from tastegrid.operators import network as N
+from tastegrid.operators.joins import splittable_join
 from tastegrid.session import ship_package, stored
 
 MAX_ITEM_BYTES = 128 * 1024 * 1024
-TILE_PROFILES = 2_000
+TILE_CLASSES = 2_000
 #: Pairs that one task of the broadcast plan scores, about.
 TASK_PAIRS = 8_000_000
 PIECE_ITEMS = 4096
-PIECE_PROFILES = 64
+PIECE_CLASSES = 64
 DENSE_CELLS = 2_000_000
 #: Digits that do not depend on how rows were blocked; ties beyond go to catalogue order.
 SCORE_PLACES = 12
 
-PAIR_SCHEMA = (
-    "profile_id bigint, username string, content_id string, item_ord bigint, score double"
+#: The 128-bit print of a feature vector: equal vectors are one class.
+CLASS = ("class_a", "class_b")
+BEST_SCHEMA = (
+    "class_a bigint, class_b bigint, content_id string, item_ord bigint, score double"
 )
 
 
@@ -266,10 +270,9 @@ def _scorers(items: ItemBlock, user_width: int, weights: N.Weights, net: Network
 def _best_items(batch, items: ItemBlock, scorers, n: int) -> Iterator[pa.RecordBatch]:
     width = scorers[0][1].user_width if scorers else 0
     users = dense_block(batch.column("idx"), batch.column("val"), width)
-    pid = batch.column("profile_id").to_numpy(zero_copy_only=False)
-    names = np.asarray(batch.column("username").to_pylist(), dtype=object)
-    for first in range(0, len(users) if scorers else 0, PIECE_PROFILES):
-        rows = users[first:first + PIECE_PROFILES]
+    prints = [batch.column(c).to_numpy(zero_copy_only=False) for c in CLASS]
+    for first in range(0, len(users) if scorers else 0, PIECE_CLASSES):
+        rows = users[first:first + PIECE_CLASSES]
         kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in rows]
         for start, scorer in scorers:
             for p, scores in enumerate(scorer(rows)):
@@ -287,19 +290,19 @@ def _best_items(batch, items: ItemBlock, scorers, n: int) -> Iterator[pa.RecordB
         at, score = np.concatenate(best_at), np.concatenate(best_score)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(pid[which]), pa.array(names[which], pa.string()),
+                *[pa.array(p[which]) for p in prints],
                 pa.array(items.content_id[at], pa.string()), pa.array(items.item_ord[at]),
                 pa.array(score, mask=np.isneginf(score)),
             ],
-            schema=_PAIR_ARROW,
+            schema=_BEST_ARROW,
         )
 
 
 def _broadcast_plan(
-    profiles, items, weights, net, user_width, item_width, n, tasks
+    classes, items, weights, net, user_width, item_width, n, tasks
 ) -> DataFrame:
     block = ItemBlock.from_arrow(items.toArrow(), item_width)
-    shared = profiles.sparkSession.sparkContext.broadcast((block, weights))
+    shared = classes.sparkSession.sparkContext.broadcast((block, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, weights = shared.value
@@ -307,50 +310,62 @@ def _broadcast_plan(
         for batch in batches:
             yield from _best_items(batch, block, scorers, n)
 
-    # Profiles are few bytes and much work: the number of tasks follows the pairs.
-    tasks = tasks or max(1, -(-profiles.count() * len(block.x) // TASK_PAIRS))
-    return profiles.repartition(tasks, "profile_id", "username").mapInArrow(run, PAIR_SCHEMA)
+    # Classes are few bytes and much work: the number of tasks follows the pairs.
+    tasks = tasks or max(1, -(-classes.count() * len(block.x) // TASK_PAIRS))
+    return classes.repartition(tasks, *CLASS).mapInArrow(run, BEST_SCHEMA)
 
 
 def _grid_plan(
-    profiles, items, weights, net, user_width, item_width, n, blocks, tiles
+    classes, items, weights, net, user_width, item_width, n, blocks, tiles
 ) -> DataFrame:
-    shared = profiles.sparkSession.sparkContext.broadcast(weights)
+    shared = classes.sparkSession.sparkContext.broadcast(weights)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.Table.from_batches([], schema=_PAIR_ARROW)
+            return pa.Table.from_batches([], schema=_BEST_ARROW)
         block = ItemBlock.from_arrow(right, item_width)
         scorers = _scorers(block, user_width, shared.value, net)
         return pa.Table.from_batches(
-            list(_best_items(left.combine_chunks(), block, scorers, n)), schema=_PAIR_ARROW
+            list(_best_items(left.combine_chunks(), block, scorers, n)), schema=_BEST_ARROW
         )
 
-    spread_profiles = profiles.withColumn(
-        "tile", F.pmod(F.xxhash64("profile_id", "username"), F.lit(tiles))
+    spread_classes = classes.withColumn(
+        "tile", F.pmod(F.xxhash64(*CLASS), F.lit(tiles))
     ).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
     spread_items = items.withColumn(
         "block", F.pmod(F.xxhash64("content_id"), F.lit(blocks))
     ).withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)).cast("array<bigint>")))
     # a task per pair of tiles, whatever their bytes
-    spread_profiles, spread_items = (
-        side.repartition(tiles * blocks, "tile", "block") for side in (spread_profiles, spread_items)
+    spread_classes, spread_items = (
+        side.repartition(tiles * blocks, "tile", "block") for side in (spread_classes, spread_items)
     )
     return (
-        spread_profiles.groupBy("tile", "block")
+        spread_classes.groupBy("tile", "block")
         .cogroup(spread_items.groupBy("tile", "block"))
-        .applyInArrow(run, PAIR_SCHEMA)
+        .applyInArrow(run, BEST_SCHEMA)
     )
 
 
-_PAIR_ARROW = pa.schema([
-    ("profile_id", pa.int64()), ("username", pa.string()), ("content_id", pa.string()),
+_BEST_ARROW = pa.schema([
+    ("class_a", pa.int64()), ("class_b", pa.int64()), ("content_id", pa.string()),
     ("item_ord", pa.int64()), ("score", pa.float64()),
 ])
 
 
-def best_pairs(
-    profiles: DataFrame,
+def with_class(rows: DataFrame) -> DataFrame:
+    """Rows with the class of their feature vector (``idx``, ``val``)."""
+    return rows.withColumns({
+        "class_a": F.xxhash64("idx", "val"), "class_b": F.xxhash64(F.lit(1), "idx", "val"),
+    })
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    """(class, idx, val): one row per class; copies combine before the shuffle."""
+    return rows.groupBy(*CLASS).agg(F.first("idx").alias("idx"), F.first("val").alias("val"))
+
+
+def best_of_classes(
+    classes: DataFrame,
     items: DataFrame,
     weights: N.Weights,
     net: NetworkConfig,
@@ -358,26 +373,36 @@ def best_pairs(
     item_width: int,
     n: int = TOP_N,
     max_item_bytes: int = MAX_ITEM_BYTES,
-    tile_profiles: int = TILE_PROFILES,
+    tile_classes: int = TILE_CLASSES,
     tasks: int | None = None,
 ) -> DataFrame:
-    """The best ``n`` items per (profile_id, username) row.
+    """(class, content_id, item_ord, score): the best ``n`` items per class, in the grid
+    plan the best ``n`` of each block of items.
 
-    ``profiles``: profile_id, username, idx, val; stored once, as they are counted and
-    read. ``items``: content_id, item_ord, idx, val, one row per content. The number of
-    items is counted to choose the plan.
+    ``classes``: a stored table of class, idx, val, as it is counted and read. ``items``:
+    content_id, item_ord, idx, val, one row per content. The number of items is counted
+    to choose the plan.
     """
-    ship_package(profiles.sparkSession)
-    profiles = stored(profiles.select("profile_id", "username", "idx", "val"), "profiles")
+    ship_package(classes.sparkSession)
     items = items.select("content_id", "item_ord", "idx", "val")
     width = weights["deep.fc_w"].shape[0]
     if width != user_width + item_width:
         raise ValueError(f"model width {width}, features {user_width} + {item_width}")
     size = items.count() * width * 16
     if size <= max_item_bytes:
-        return _broadcast_plan(profiles, items, weights, net, user_width, item_width, n, tasks)
+        return _broadcast_plan(classes, items, weights, net, user_width, item_width, n, tasks)
     blocks = -(-size // max_item_bytes)
-    tiles = -(-profiles.count() // tile_profiles)
+    tiles = -(-classes.count() // tile_classes)
     return _grid_plan(
-        profiles, items, weights, net, user_width, item_width, n, int(blocks), max(1, int(tiles))
+        classes, items, weights, net, user_width, item_width, n, int(blocks), max(1, int(tiles))
     )
+
+
+def best_pairs(profiles: DataFrame, items: DataFrame, *model, **plan) -> DataFrame:
+    """(profile_id, username, content_id, item_ord, score): the best items per row of
+    ``profiles`` (profile_id, username, idx, val). Arguments as in ``best_of_classes``."""
+    rows = with_class(profiles)
+    best = best_of_classes(stored(classes_of(rows), "classes"), items, *model, **plan)
+    return splittable_join(
+        rows.select("profile_id", "username", *CLASS), best, CLASS
+    ).drop(*CLASS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tastegrid.operators import scoring as S
 from tastegrid.operators.joins import splittable_join
 from tastegrid.operators.network import Weights
 from tastegrid.plans.feature_build import Features
+from tastegrid.session import stored
 
 
 def item_info(
@@ -33,15 +36,73 @@ def with_info(ranked: DataFrame, info: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Ranking:
+    """The best items of all profiles, without repeating a class's list for each of them.
+
+    ``classes``: ranked items of each class of equal users. ``alike``: (profile_id,
+    username, class) of the profiles whose users are all of one class, so that its list is
+    theirs. ``mixed``: (profile_id, username) and ``mixed_ranked`` the ranked items of the
+    profiles whose users differ, each content at its best score.
+    """
+
+    classes: DataFrame
+    alike: DataFrame
+    mixed: DataFrame
+    mixed_ranked: DataFrame
+
+    def by_profile(self) -> DataFrame:
+        """(profile_id, content_id, score, item_ord, rank) of every profile."""
+        columns = ("profile_id", "content_id", "score", "item_ord", "rank")
+        return splittable_join(self.alike, self.classes, S.CLASS).select(*columns).unionByName(
+            self.mixed_ranked.select(*columns)
+        )
+
+
+def rank_profiles(
+    log: DataFrame, features: Features, weights: Weights, domain: DomainConfig,
+    n: int = TOP_N, **plan,
+) -> Ranking:
+    """Classes of the log's users are scored and ranked once; a profile only meets its class.
+
+    Feature vectors stay with the classes: a profile row carries the class's print. Only
+    profiles that several different users share have lists of their own to merge.
+    """
+    users = S.with_class(features.users.select("username", "idx", "val"))
+    rows = R.profile_features(log, users.select("username", *S.CLASS))
+    members = stored(rows.distinct(), "members")
+    wanted = members.select(*S.CLASS).distinct()
+    classes = S.classes_of(users).join(wanted, [*S.CLASS], "left_semi")
+    best = S.best_of_classes(
+        stored(classes, "classes"), features.items, weights, domain.network,
+        features.user_encoder.width, features.item_encoder.width, n, **plan,
+    )
+    ranked = stored(R.top_n(best, n, by=S.CLASS), "class-ranks")
+    profiles = stored(members.groupBy("profile_id").agg(
+        F.min("username").alias("username"),
+        F.min(F.struct(*S.CLASS)).alias("low"), F.max(F.struct(*S.CLASS)).alias("high"),
+    ), "profiles")
+    mixed = profiles.where("low <> high").select("profile_id", "username")
+    theirs = members.join(mixed.select("profile_id"), "profile_id", "left_semi")
+    pairs = splittable_join(theirs, ranked.drop("rank"), S.CLASS)
+    return Ranking(
+        ranked, profiles.where("low = high").select("profile_id", "username", "low.*"),
+        mixed, R.top_n(pairs, n),
+    )
+
+
 def recommend(
     log: DataFrame, features: Features, weights: Weights, domain: DomainConfig, info: DataFrame,
     n: int = TOP_N, order: str = "item_ord", **plan,
 ) -> DataFrame:
-    """(profile_id, username, items) for every profile of the log."""
-    rows = R.profile_features(log, features.users)
-    pairs = S.best_pairs(
-        rows, features.items.withColumnRenamed(order, "item_ord"), weights, domain.network,
-        features.user_encoder.width, features.item_encoder.width, n, **plan,
+    """(profile_id, username, items) for every profile of the log.
+
+    Item lists with their information are put together per class, then given to profiles.
+    """
+    renamed = replace(features, items=features.items.withColumnRenamed(order, "item_ord"))
+    found = rank_profiles(log, renamed, weights, domain, n, **plan)
+    lists = R.item_lists(with_info(found.classes, info), S.CLASS)
+    alike = splittable_join(found.alike, lists, S.CLASS)
+    return alike.select("profile_id", "username", "items").unionByName(
+        R.results(with_info(found.mixed_ranked, info), found.mixed)
     )
-    ranked = R.top_n(pairs, n)
-    return R.results(with_info(ranked, info), R.profile_usernames(rows))

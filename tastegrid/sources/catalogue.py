@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastegrid.config import DomainConfig
+from tastegrid.sources.json_records import scan_records
 
-CORRUPT = "_corrupt_record"
 # The catalogue's columns, all read as text.
 CATALOGUE_COLUMNS = (
     "content_id", "content_name", "tag_names", "type_id", "content_duration", "content_status",
@@ -17,43 +16,18 @@ CATALOGUE_COLUMNS = (
 
 
 def catalogue_schema(extra: tuple[str, ...] = ()) -> T.StructType:
-    names = (*CATALOGUE_COLUMNS, *extra, CORRUPT)
-    return T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return T.StructType([T.StructField(c, T.StringType()) for c in (*CATALOGUE_COLUMNS, *extra)])
 
 
-def scan_catalogue(
+def read_catalogue(
     spark: SparkSession, folder: str, domain: DomainConfig, extra: tuple[str, ...] = ()
-) -> DataFrame:
-    """Every record of the domain's files at any depth, with its file and order in it.
+) -> tuple[DataFrame, DataFrame]:
+    """(catalogue, broken files): every record of the domain's files at any depth.
 
-    One scan for all patterns of the domain. A file that does not parse gives one row
-    with ``_corrupt_record`` set. ``extra`` names further keys to read as text.
+    One scan for all patterns of the domain, in byte ranges, so that one large file is
+    read by many tasks. Each record has its ``source_file`` and ``_at``, its order in the
+    file. A file that does not parse is left out whole and listed with the ``records`` in it
+    that are at fault. ``extra`` names further keys to read as text.
     """
     pattern = "{" + ",".join(domain.catalogue_globs) + "}"
-    return (
-        spark.read.schema(catalogue_schema(extra))
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .option("multiLine", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(folder)
-        .select(
-            "*",
-            F.col("_metadata.file_path").alias("source_file"),
-            F.monotonically_increasing_id().alias("_at"),
-        )
-    )
-
-
-def read_catalogue(
-    spark: SparkSession, folder: str, domain: DomainConfig, extra: tuple[str, ...] = ()
-) -> tuple[DataFrame, DataFrame]:
-    """(catalogue, broken files). A file is read by one task, so (file, order) is its order."""
-    scanned = scan_catalogue(spark, folder, domain, extra)
-    good = scanned.where(F.col(CORRUPT).isNull() | F.col("content_id").isNotNull()).drop(CORRUPT)
-    broken = (
-        scanned.where(F.col(CORRUPT).isNotNull() & F.col("content_id").isNull())
-        .groupBy("source_file").agg(F.count(F.col(CORRUPT)).alias("records"))
-    )
-    return good, broken
+    return scan_records(spark, folder, pattern, catalogue_schema(extra))

@@ -21,7 +21,9 @@ from tastegrid.sources import tags as T
 from tastegrid.workload import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
-CATALOGUE_PARTS = 4
+#: Items of one catalogue file.
+FILE_ITEMS = 1000
+RULE_ROWS = 500
 
 
 def on_files(name: str) -> DomainConfig:
@@ -41,19 +43,27 @@ def write_log(spark: SparkSession, d: str, folder: str) -> None:
 
 
 def write_catalogue(spark: SparkSession, d: str, folder: str) -> None:
-    """Files at some depth, each an array of objects."""
+    """Files at some depth, each an array of objects; their number follows the items."""
     catalogue = A.catalogue(spark, d)
-    objects = catalogue.groupBy((F.col("item_ord") % CATALOGUE_PARTS).alias("part")).agg(
+    part = F.floor(F.col("item_ord") / FILE_ITEMS).alias("part")
+    objects = catalogue.groupBy(part).agg(
         F.to_json(F.sort_array(F.collect_list(F.struct(*catalogue.columns)))).alias("value")
     )
-    objects.coalesce(1).write.partitionBy("part").text(folder)
+    objects.write.partitionBy("part").text(folder)
+
+
+def write_rules(rules: DataFrame, folder: str) -> None:
+    """Rules in their order: files follow each other by name, rows inside them by place."""
+    part = F.format_string("%09d", F.floor(F.col("rule_ord") / RULE_ROWS))
+    rows = rules.withColumn("part", part)
+    rows.repartitionByRange("part").sortWithinPartitions("part", "rule_ord").drop(
+        "rule_ord"
+    ).write.partitionBy("part").parquet(folder)
 
 
 def write_tags(tags: DataFrame, folder: str) -> None:
     """One object a file, each in a folder of its own."""
-    tags.withColumn("part", F.xxhash64("TAG_ID", "TAG_NAME")).coalesce(1).write.partitionBy(
-        "part"
-    ).json(folder)
+    tags.withColumn("part", F.xxhash64("TAG_ID", "TAG_NAME")).write.partitionBy("part").json(folder)
 
 
 def file_log(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +104,7 @@ def file_tags(spark: SparkSession, d: str) -> DataFrame:
 def file_rules(spark: SparkSession, d: str) -> DataFrame:
     """Rule lists that repeat: the first place and the last id of each."""
     path = shared_path(spark, "rules")
-    A.many_rules(spark, d).orderBy("rule_ord").drop("rule_ord").coalesce(1).write.parquet(path)
+    write_rules(A.many_rules(spark, d), path)
     return G.rule_map(tables.read_rules(spark, path)).select(
         F.col("rule_ord").cast("bigint").alias("rule_ord"), "list_tags_id", "rule_id"
     )
@@ -107,7 +117,7 @@ def layout(spark: SparkSession, d: str) -> jobs.Layout:
     A.users(spark, d).write.parquet(out.users)
     write_catalogue(spark, d, out.catalogue)
     write_tags(A.tags(spark, d).distinct(), out.tags)
-    A.rules(spark).orderBy("rule_ord").drop("rule_ord").coalesce(1).write.parquet(out.rules)
+    write_rules(A.rules(spark), out.rules)
     return out
 
 

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegrid.config import DOMAINS, TOP_N, DomainConfig
+from tastegrid.config import DOMAINS, DomainConfig
 from tastegrid.operators import cleaning, diagnostics, evaluation, interactions, positions
 from tastegrid.operators import network as N
 from tastegrid.operators import ranking as R
@@ -311,18 +311,15 @@ def _scoring_inputs(spark: SparkSession, d: str, name: str = "movie", catalogue=
     features = feature_build.apply_features(
         users, catalogue, fitted.user_encoder, fitted.item_encoder, domain, A.AS_OF_YEAR
     )
+    features = replace(features, items=stored(features.items, "items"))  # read several times
     return domain, catalogue, features, check_weights(features.width, domain.network)
 
 
 def topn_crossnet(form: str, name: str = "movie", catalogue=A.catalogue, **plan) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         domain, _, features, weights = _scoring_inputs(spark, d, name, catalogue)
-        rows = R.profile_features(LOGS[form](spark, d), features.users)
-        pairs = S.best_pairs(
-            rows, features.items, weights, domain.network, features.user_encoder.width,
-            features.item_encoder.width, TOP_N, **plan,
-        )
-        return R.top_n(pairs).select(
+        found = recommend.rank_profiles(LOGS[form](spark, d), features, weights, domain, **plan)
+        return found.by_profile().select(
             "profile_id", F.col("rank").cast("bigint").alias("rank"), "content_id",
             F.round("score", 7).alias("score"),
         )
@@ -454,7 +451,7 @@ QUERIES: dict[str, Query] = {
     "tag_map": tag_map,
     "rule_map": rule_map,
     "item_rules": item_rules(G.assign_rules),
-    "item_rules_division": item_rules(G.assign_rules),
+    "item_rules_division": item_rules(G.assign_rules_by_join),
     "score_crossnet": score_crossnet("movie", "wide"),
     "score_crossnet_clip": score_crossnet("clip", "dense"),
     "score_crossnet_music": score_crossnet("music", "dense"),
@@ -465,7 +462,7 @@ QUERIES: dict[str, Query] = {
     "tri_bce_weighted": on_scored(tri_bce_weighted),
     "tri_bce_balanced": on_scored(tri_bce_balanced),
     "topn_crossnet": topn_crossnet("wide"),
-    "topn_crossnet_grid": topn_crossnet("dense", max_item_bytes=400_000, tile_profiles=60),
+    "topn_crossnet_grid": topn_crossnet("dense", max_item_bytes=400_000, tile_classes=60),
     **{f"topn_crossnet_{d}": topn_crossnet("dense", d) for d in ("clip", "music", "all")},
     "topn_null_ids": topn_null_ids,
     "topn_meta": topn_meta,

@@ -41,12 +41,42 @@ WANTED = {"both": 101, "first": 102, "one": 107, "none": -100, "unknown": 105, "
           "null": 105, "repeat": 107}
 
 
-def test_first_matching_rule(world):
+@pytest.fixture(params=["trie", "small groups", "join"])
+def assign(request):
+    return {"trie": G.assign_rules, "join": G.assign_rules_by_join,
+            "small groups": lambda *a: G.assign_rules(*a, group_items=20, group_rules=3)
+            }[request.param]
+
+
+def test_first_matching_rule(world, assign):
     # the repeated list "12" keeps its place and takes its last id
-    assert {r.content_id: r.rule_id for r in G.assign_rules(*world).collect()} == WANTED
+    assert {r.content_id: r.rule_id for r in assign(*world).collect()} == WANTED
+
+
+def test_many_rules_of_one_common_tag(spark):
+    """Sets of tags that most items carry: each would meet most items in a join."""
+    n = 17
+    tags = spark.createDataFrame([(f"t{i}", i) for i in range(n)], "tag_name string, tag_id bigint")
+    rules = spark.range(100_000).selectExpr(
+        "CAST(99999 - id AS INT) AS rule_ord", "id AS RULE_ID",
+        f"array_join(transform(filter(sequence(0, {n - 1}), i -> (shiftright(id, i) & 1) = 1),"
+        " i -> CAST(i AS STRING)), ',') AS LIST_TAGS_ID")
+    items = [(str(k), ", ".join(f"t{i}" for i in range(n) if k & (1 << i)))
+             for k in range(1, 1 << n, 61)]
+    got = G.assign_rules(spark.createDataFrame(items, ITEMS), tags, rules.where("RULE_ID > 0"))
+
+    def first(k):  # the largest subset of k below 100,000
+        best = 0
+        for i in reversed(range(n)):
+            if k & (1 << i) and best | (1 << i) < 100_000:
+                best |= 1 << i
+        return best
+
+    assert {int(r.content_id): r.rule_id for r in got.collect()} == {
+        int(k): first(int(k)) for k, _ in items}
 
 
-def test_many_rules_against_a_plain_loop(spark):
+def test_many_rules_against_a_plain_loop(spark, assign):
     import random
     rng = random.Random(5)
     tags = spark.createDataFrame([(f"t{i}", i) for i in range(12)], "tag_name string, tag_id bigint")
@@ -60,7 +90,7 @@ def test_many_rules_against_a_plain_loop(spark):
         have = {n[1:] if int(n[1:]) < 12 else "None" for n in names.split(", ")}
         return next((last[t] for _, t, _ in rules if set(t.split(",")) <= have), -100)
 
-    got = G.assign_rules(
+    got = assign(
         spark.createDataFrame(items, ITEMS), tags,
         spark.createDataFrame(rules, "rule_ord int, LIST_TAGS_ID string, RULE_ID bigint"))
     assert {r.content_id: r.rule_id for r in got.collect()} == {i: first(t) for i, t in items}

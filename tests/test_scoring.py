@@ -56,7 +56,7 @@ NETS = {**{k: DOMAINS[k].network for k in ("movie", "clip", "all")},
 
 
 @pytest.mark.parametrize("plan", [
-    {}, {"tasks": 1}, {"max_item_bytes": 6_000, "tile_profiles": 4}])
+    {}, {"tasks": 1}, {"max_item_bytes": 6_000, "tile_classes": 4}])
 @pytest.mark.parametrize("name", list(NETS))
 def test_top_n_equals_brute_force(spark, sides, frames, name, plan, monkeypatch):
     net = NETS[name]
