@@ -21,7 +21,9 @@ def main() -> None:
     for name in INPUTS:
         parser.add_argument(f"--{name}", help="this input, where it lies elsewhere")
     parser.add_argument("--as-of-year", type=int, help="year for unreadable birthdays")
-    parser.add_argument("--refresh", action="store_true", help="rebuild stored tables")
+    parser.add_argument("--stale", choices=("rebuild", "fail", "keep"), default="rebuild",
+                        help="stored tables whose inputs, settings or code have changed")
+    parser.add_argument("--resume", action="store_true", help="train on from the stored model")
     parser.add_argument("--top-n", type=int, default=200)
     parser.add_argument("--num-users", type=int, default=-1, help="first users only (-1: all)")
     parser.add_argument("--num-items", type=int, default=-1,
@@ -41,14 +43,14 @@ def main() -> None:
         print(jobs.compact_log(spark, layout))
     elif options.job == "train":
         for line in jobs.train_domain(
-            spark, layout, domain, options.as_of_year, options.refresh,
+            spark, layout, domain, options.as_of_year, options.stale, options.resume,
             batch_rows=options.batch_rows,
         ):
             print(*line)
     else:
         found = jobs.recommend_domain(
             spark, layout, domain, options.as_of_year, options.top_n, options.num_users,
-            options.num_items, options.rule_sep, options.refresh,
+            options.num_items, options.rule_sep, options.stale,
         )
         print(found.count(), "profiles")
     spark.stop()

@@ -268,10 +268,11 @@ def _scorers(items: ItemBlock, user_width: int, weights: N.Weights, net: Network
 
 
 def _best_items(batch, items: ItemBlock, scorers, n: int) -> Iterator[pa.RecordBatch]:
-    width = scorers[0][1].user_width if scorers else 0
-    users = dense_block(batch.column("idx"), batch.column("val"), width)
+    if not scorers:  # no items
+        return
+    users = dense_block(batch.column("idx"), batch.column("val"), scorers[0][1].user_width)
     prints = [batch.column(c).to_numpy(zero_copy_only=False) for c in CLASS]
-    for first in range(0, len(users) if scorers else 0, PIECE_CLASSES):
+    for first in range(0, len(users), PIECE_CLASSES):
         rows = users[first:first + PIECE_CLASSES]
         kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in rows]
         for start, scorer in scorers:

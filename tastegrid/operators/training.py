@@ -69,6 +69,20 @@ class Adam:
         decay = domain.weight_decay if domain.optimiser == "adamw" else 0.0
         return cls(domain.learning_rate, decay, domain.cosine_period)
 
+    def state(self) -> dict[str, np.ndarray]:
+        """All that a training needs to go on from here."""
+        moments = {f"first.{k}": a for k, a in self.first.items()}
+        moments |= {f"second.{k}": a for k, a in self.second.items()}
+        return moments | {"step": np.array([float(self.step)]), "epoch": np.array([float(self.epoch)])}
+
+    def restore(self, state: dict[str, np.ndarray]) -> None:
+        for k, a in state.items():
+            kind, _, name = k.partition(".")
+            if name:
+                (self.first if kind == "first" else self.second)[name] = a
+            else:
+                setattr(self, kind, int(a[0]))
+
     def current_rate(self) -> float:
         if self.cosine_period is None:
             return self.rate
@@ -251,6 +265,7 @@ def train(
     weights: N.Weights | None = None,
     train_auc: bool = True,
     on_best: Callable[[Model], None] | None = None,
+    resume: Model | None = None,
 ) -> tuple[Model | None, list[tuple]]:
     """Train on ``split`` (row_key, label, idx, val, split) and return the best model.
 
@@ -260,11 +275,15 @@ def train(
     (``HISTORY_SCHEMA``). Training metrics come from the gradient pass itself, except for
     the ROC area, which takes one more pass unless ``train_auc`` is off. An update is made
     for every ``batch_rows`` rows (the domain's, unless given), so the number of updates
-    follows the rows.
+    follows the rows. ``resume`` goes on from a model's weights and its optimiser's
+    state, as if the training that saved it had not ended.
     """
     width = len(feature_names)
     w = weights if weights is not None else N.init_weights(width, domain.network, seed)
     optimiser = Adam.of(domain)
+    if resume is not None:
+        w = resume.weights
+        optimiser.restore(resume.optimiser)
     if pos_weight is None:
         pos_weight = 1.0
     if not domain.weighted_loss:
@@ -275,47 +294,47 @@ def train(
     val_rows, val_path = batched_table(split.where(F.col("split") == "validation"), 1, seed)
     best: Model | None = None
     history: list[tuple] = []
-    for round_no in range(rounds or domain.rounds):
-        best_in_round, waited = math.inf, 0
-        saved_before = min(earlier_loss, best.loss if best else math.inf)
-        for epoch in range(epochs or domain.epochs):
-            totals = dict.fromkeys(("loss", *_COUNTS), 0.0)
-            for step in range(steps):
-                rows = train_rows.where(F.col("batch") == step)
-                draw = ((round_no * 1000 + epoch) * steps + step) * 7919 + seed
-                sums, grad = read_sums(
-                    gradient_sums(rows, w, domain, width, pos_weight, draw), w
-                )
-                if grad is not None:
-                    w = optimiser.update(w, grad)
-                    totals = {k: v + sums[k] for k, v in totals.items()}
-            n, loss, tp, fp, fn, tn = (totals[k] for k in ("n", "loss", "tp", "fp", "fn", "tn"))
-            precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
-            v = validate(val_rows, w, domain, width, pos_weight)
-            area = math.nan
-            if train_auc:
-                area = validate(train_rows, w, domain, width, pos_weight)["auc"]
-            optimiser.epoch += 1
-            history.append((
-                round_no + 1, epoch + 1, _ratio(loss, n), _ratio(tp + tn, n), precision, recall,
-                _ratio(2 * tp, 2 * tp + fp + fn), area, v["loss"], v["accuracy"],
-                v["precision"], v["recall"], v["f1"], v["auc"],
-            ))
-            if v["loss"] < best_in_round:
-                best_in_round, waited = v["loss"], 0
-                if v["loss"] < saved_before:
-                    state = {f"first.{k}": a for k, a in optimiser.first.items()}
-                    state |= {f"second.{k}": a for k, a in optimiser.second.items()}
-                    best = Model(dict(w), list(feature_names), v["loss"], round_no + 1,
-                                 epoch + 1, state)
-                    if on_best is not None:
-                        on_best(best)
-            else:
-                waited += 1
-                if waited >= domain.patience:
-                    break
-    for path in (train_path, val_path):
-        remove(split.sparkSession, path)
+    try:
+        for round_no in range(rounds or domain.rounds):
+            best_in_round, waited = math.inf, 0
+            saved_before = min(earlier_loss, best.loss if best else math.inf)
+            for epoch in range(epochs or domain.epochs):
+                totals = dict.fromkeys(("loss", *_COUNTS), 0.0)
+                for step in range(steps):
+                    rows = train_rows.where(F.col("batch") == step)
+                    draw = (optimiser.epoch * steps + step) * 7919 + seed
+                    sums, grad = read_sums(
+                        gradient_sums(rows, w, domain, width, pos_weight, draw), w
+                    )
+                    if grad is not None:
+                        w = optimiser.update(w, grad)
+                        totals = {k: v + sums[k] for k, v in totals.items()}
+                n, loss, tp, fp, fn, tn = (totals[k] for k in ("n", "loss", "tp", "fp", "fn", "tn"))
+                precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
+                v = validate(val_rows, w, domain, width, pos_weight)
+                area = math.nan
+                if train_auc:
+                    area = validate(train_rows, w, domain, width, pos_weight)["auc"]
+                optimiser.epoch += 1
+                history.append((
+                    round_no + 1, epoch + 1, _ratio(loss, n), _ratio(tp + tn, n), precision, recall,
+                    _ratio(2 * tp, 2 * tp + fp + fn), area, v["loss"], v["accuracy"],
+                    v["precision"], v["recall"], v["f1"], v["auc"],
+                ))
+                if v["loss"] < best_in_round:
+                    best_in_round, waited = v["loss"], 0
+                    if v["loss"] < saved_before:
+                        best = Model(dict(w), list(feature_names), v["loss"], round_no + 1,
+                                     epoch + 1, optimiser.state())
+                        if on_best is not None:
+                            on_best(best)
+                else:
+                    waited += 1
+                    if waited >= domain.patience:
+                        break
+    finally:
+        for path in (train_path, val_path):
+            remove(split.sparkSession, path)
     return best, history
 
 

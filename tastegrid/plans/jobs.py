@@ -22,9 +22,11 @@ from tastegrid.operators.encoding import Encoder, item_spec, user_spec
 from tastegrid.plans import feature_build, recommend
 from tastegrid.plans.feature_build import Features
 from tastegrid.plans.fit_model import fit_model
+from tastegrid.plans.score_store import ScoreStore
 from tastegrid.sinks import results as K
 from tastegrid.sources import catalogue as C
-from tastegrid.sources import logs, tables
+from tastegrid.sources import logs, manifests, tables
+from tastegrid.sources.manifests import Origin
 from tastegrid.sources.tags import read_tags
 
 
@@ -52,17 +54,27 @@ class Layout:
         return f"{self.work.rstrip('/')}/{domain.name}/{name}"
 
 
+def catalogue_origin(spark: SparkSession, layout: Layout, domain: DomainConfig) -> Origin:
+    pattern = "{" + ",".join(domain.catalogue_globs) + "}"
+    return manifests.origin(spark, {"catalogue": (layout.catalogue, pattern)}, files=pattern)
+
+
 def merged_catalogue(
-    spark: SparkSession, layout: Layout, domain: DomainConfig, refresh: bool
+    spark: SparkSession, layout: Layout, domain: DomainConfig, stale: str = "rebuild"
 ) -> DataFrame:
-    """The domain's catalogue as one table, with its order as ``item_ord``."""
+    """The domain's catalogue as one table, with its order as ``item_ord``.
+
+    A stored table serves as long as the files are those it was made from.
+    """
     def build() -> DataFrame:
         good, broken = C.read_catalogue(spark, layout.catalogue, domain)
         broken.write.mode("overwrite").parquet(layout.of(domain, "broken_catalogue_files"))
         placed = positions.with_positions(good, ["source_file", "_at"])
         return placed.withColumnRenamed("position", "item_ord").drop("_at", "total", "source_file")
 
-    return tables.build_if_absent(spark, layout.of(domain, "catalogue"), build, refresh)
+    return manifests.build_if_changed(
+        spark, layout.of(domain, "catalogue"), catalogue_origin(spark, layout, domain), build, stale
+    )
 
 
 def _stored(spark: SparkSession, features: Features, layout: Layout, domain: DomainConfig,
@@ -75,24 +87,44 @@ def _stored(spark: SparkSession, features: Features, layout: Layout, domain: Dom
     return Features(features.user_encoder, features.item_encoder, users, items)
 
 
+def training_origin(
+    spark: SparkSession, layout: Layout, domain: DomainConfig, year: int
+) -> Origin:
+    """What the training matrix depends on: all inputs, the domain and the year."""
+    inputs = manifests.origin(
+        spark, {"log": layout.log, "users": layout.users}, domain=domain, year=year
+    )
+    return inputs | catalogue_origin(spark, layout, domain)
+
+
 def build_training_set(
     spark: SparkSession, layout: Layout, domain: DomainConfig, as_of_year: int | None = None,
-    refresh: bool = False,
+    stale: str = "rebuild",
 ) -> tuple[DataFrame, list[str]]:
-    """(training matrix, feature names); encoders, encoded tables and matrix are stored."""
+    """(training matrix, feature names); encoders, encoded tables and matrix are stored.
+
+    A stored matrix serves as long as inputs, domain, year and code are those it was made
+    from.
+    """
     year = as_of_year or date.today().year
-    log, report = logs.read_watch_log(spark, layout.log)
-    report.write.mode("overwrite").parquet(layout.of(domain, "log_files"))
-    fitted = feature_build.fit_features(
-        tables.read_table(spark, layout.users),
-        merged_catalogue(spark, layout, domain, refresh), domain, year,
+
+    def build() -> DataFrame:
+        log, report = logs.read_watch_log(spark, layout.log)
+        report.write.mode("overwrite").parquet(layout.of(domain, "log_files"))
+        fitted = feature_build.fit_features(
+            tables.read_table(spark, layout.users),
+            merged_catalogue(spark, layout, domain, stale), domain, year,
+        )
+        fitted.user_encoder.save(spark, layout.of(domain, "user_encoder"))
+        fitted.item_encoder.save(spark, layout.of(domain, "item_encoder"))
+        features = _stored(spark, fitted, layout, domain, "train")
+        return feature_build.training_matrix(log, features, domain)
+
+    matrix = manifests.build_if_changed(
+        spark, layout.of(domain, "training_matrix"),
+        training_origin(spark, layout, domain, year), build, stale,
     )
-    fitted.user_encoder.save(spark, layout.of(domain, "user_encoder"))
-    fitted.item_encoder.save(spark, layout.of(domain, "item_encoder"))
-    features = _stored(spark, fitted, layout, domain, "train")
-    path = layout.of(domain, "training_matrix")
-    feature_build.training_matrix(log, features, domain).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), features.names
+    return matrix, [n for e in _encoders(spark, layout, domain) for n in e.feature_names]
 
 
 def _encoders(
@@ -109,20 +141,19 @@ def _encoders(
 
 def train_domain(
     spark: SparkSession, layout: Layout, domain: DomainConfig, as_of_year: int | None = None,
-    refresh: bool = False, **options,
+    stale: str = "rebuild", resume: bool = False, **options,
 ) -> list[tuple]:
-    """Train, starting from a stored matrix if there is one; keep the model if it is better.
+    """Train, from the stored matrix if it is up to date; keep the model if it is better.
 
-    Returns the history, which is stored as well.
+    ``resume`` goes on from the stored model, its optimiser's state included; otherwise
+    training begins anew. Returns the history, which is stored as well.
     """
-    matrix_path, model_path = (layout.of(domain, n) for n in ("training_matrix", "model"))
-    if refresh or not tables.table_exists(spark, matrix_path):
-        matrix, names = build_training_set(spark, layout, domain, as_of_year, refresh)
-    else:
-        matrix = spark.read.parquet(matrix_path)
-        names = [n for e in _encoders(spark, layout, domain) for n in e.feature_names]
+    matrix, names = build_training_set(spark, layout, domain, as_of_year, stale)
+    model_path = layout.of(domain, "model")
     meta = T.latest_meta(spark, model_path)
     earlier = meta.loss if meta else math.inf
+    if resume and meta:
+        options["resume"] = T.load_model(spark, model_path, names)
     _, history = fit_model(
         matrix, names, domain, earlier_loss=earlier,
         on_best=lambda model: T.save_model(spark, model, model_path), **options,
@@ -136,20 +167,21 @@ def train_domain(
 def recommend_domain(
     spark: SparkSession, layout: Layout, domain: DomainConfig, as_of_year: int | None = None,
     n: int = TOP_N, num_users: int = -1, num_items: int = -1, rule_sep: str = "",
-    refresh: bool = False, **plan,
+    stale: str = "rebuild", **plan,
 ) -> DataFrame:
     """Score every profile of the log and write the result table and its three shapes.
 
-    ``refresh`` reads the catalogue's files again; otherwise the stored catalogue serves,
-    and titles that came later are not recommended. Also written: the tag mapping, the
-    item information, and the counts of the run.
+    The stored catalogue serves while its files are the same (``stale`` says what else).
+    Lists of user classes are kept: a run after a failure, or with few changed
+    users, scores only the classes that have none for this model and these items. Also
+    written: the tag mapping, the item information, and the counts of the run.
     """
     user_encoder, item_encoder = _encoders(spark, layout, domain)
     model = T.load_model(
         spark, layout.of(domain, "model"),
         [*user_encoder.feature_names, *item_encoder.feature_names],
     )
-    catalogue = merged_catalogue(spark, layout, domain, refresh)
+    catalogue = merged_catalogue(spark, layout, domain, stale)
     features = _stored(spark, feature_build.apply_features(
         tables.read_table(spark, layout.users), catalogue, user_encoder, item_encoder, domain,
         as_of_year or date.today().year, num_users, num_items,
@@ -166,9 +198,13 @@ def recommend_domain(
     diagnostics.scoring_counts(
         log, R.profile_features(log, features.users), features.items, catalogue
     ).write.mode("overwrite").parquet(layout.of(domain, "counts"))
+    store = ScoreStore.of(
+        spark, layout.of(domain, "class_ranks"), features.items, model.weights, n
+    )
     recommend.recommend(
-        log, features, model.weights, domain, spark.read.parquet(info_path), n, **plan
+        log, features, model.weights, domain, spark.read.parquet(info_path), n, store=store, **plan
     ).write.mode("overwrite").parquet(result_path)
+    store.forget_others()
     found = spark.read.parquet(result_path)
     K.write_results(found, layout.of(domain, "result_json"), mode="overwrite")
     K.write_rulename(found, layout.of(domain, "rulename_json"), mode="overwrite")

@@ -14,6 +14,7 @@ from tastegrid.operators import scoring as S
 from tastegrid.operators.joins import splittable_join
 from tastegrid.operators.network import Weights
 from tastegrid.plans.feature_build import Features
+from tastegrid.plans.score_store import ScoreStore
 from tastegrid.session import stored
 
 
@@ -61,23 +62,31 @@ class Ranking:
 
 def rank_profiles(
     log: DataFrame, features: Features, weights: Weights, domain: DomainConfig,
-    n: int = TOP_N, **plan,
+    n: int = TOP_N, store: ScoreStore | None = None, **plan,
 ) -> Ranking:
     """Classes of the log's users are scored and ranked once; a profile only meets its class.
 
     Feature vectors stay with the classes: a profile row carries the class's print. Only
-    profiles that several different users share have lists of their own to merge.
+    profiles that several different users share have lists of their own to merge. With a
+    ``store`` only classes without a list there are scored.
     """
     users = S.with_class(features.users.select("username", "idx", "val"))
     rows = R.profile_features(log, users.select("username", *S.CLASS))
     members = stored(rows.distinct(), "members")
     wanted = members.select(*S.CLASS).distinct()
-    classes = S.classes_of(users).join(wanted, [*S.CLASS], "left_semi")
-    best = S.best_of_classes(
-        stored(classes, "classes"), features.items, weights, domain.network,
-        features.user_encoder.width, features.item_encoder.width, n, **plan,
-    )
-    ranked = stored(R.top_n(best, n, by=S.CLASS), "class-ranks")
+    classes = stored(S.classes_of(users).join(wanted, [*S.CLASS], "left_semi"), "classes")
+
+    def rank(some: DataFrame) -> DataFrame:
+        best = S.best_of_classes(
+            some, features.items, weights, domain.network,
+            features.user_encoder.width, features.item_encoder.width, n, **plan,
+        )
+        return R.top_n(best, n, by=S.CLASS)
+
+    if store is None:
+        ranked = stored(rank(classes), "class-ranks")
+    else:
+        ranked = store.complete(classes, rank)
     profiles = stored(members.groupBy("profile_id").agg(
         F.min("username").alias("username"),
         F.min(F.struct(*S.CLASS)).alias("low"), F.max(F.struct(*S.CLASS)).alias("high"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,10 @@ from tastegrid.config import DOMAINS, DomainConfig
 from tastegrid.operators import ranking as R
 from tastegrid.operators import rules as G
 from tastegrid.plans import jobs
-from tastegrid.session import shared_path
+from tastegrid.session import shared_path, stored
 from tastegrid.sinks import results as K
 from tastegrid.sources import catalogue as C
-from tastegrid.sources import logs, tables
+from tastegrid.sources import logs, manifests, tables
 from tastegrid.sources import tags as T
 from tastegrid.workload import adapters as A
 
@@ -43,13 +44,16 @@ def write_log(spark: SparkSession, d: str, folder: str) -> None:
 
 
 def write_catalogue(spark: SparkSession, d: str, folder: str) -> None:
+    write_catalogue_rows(A.catalogue(spark, d), folder)
+
+
+def write_catalogue_rows(catalogue: DataFrame, folder: str) -> None:
     """Files at some depth, each an array of objects; their number follows the items."""
-    catalogue = A.catalogue(spark, d)
     part = F.floor(F.col("item_ord") / FILE_ITEMS).alias("part")
     objects = catalogue.groupBy(part).agg(
         F.to_json(F.sort_array(F.collect_list(F.struct(*catalogue.columns)))).alias("value")
     )
-    objects.write.partitionBy("part").text(folder)
+    objects.write.mode("append").partitionBy("part").text(folder)
 
 
 def write_rules(rules: DataFrame, folder: str) -> None:
@@ -73,11 +77,15 @@ def file_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 def file_log_report(spark: SparkSession, d: str) -> DataFrame:
-    """How the columns of the usable and unusable files are stored."""
+    """How the columns of the usable and unusable files are stored, with their rows."""
     folder = shared_path(spark, "log")
     write_log(spark, d, folder)
     report = logs.inspect_log_files(spark, folder)
-    return report.select("status", "signature").distinct()
+    kinds: dict[tuple[str, str], list[str]] = {}
+    for row in report.collect():
+        kinds.setdefault((row.status, row.signature), []).append(row.path)
+    rows = [(*kind, spark.read.parquet(*paths).count()) for kind, paths in kinds.items()]
+    return spark.createDataFrame(rows, "status string, signature string, n_rows bigint")
 
 
 def file_users(spark: SparkSession, d: str) -> DataFrame:
@@ -124,7 +132,7 @@ def layout(spark: SparkSession, d: str) -> jobs.Layout:
 def file_merged_catalogue(spark: SparkSession, d: str) -> DataFrame:
     """The stored catalogue of a domain, with gapless places."""
     domain = on_files("all")
-    found = jobs.merged_catalogue(spark, layout(spark, d), domain, refresh=False)
+    found = jobs.merged_catalogue(spark, layout(spark, d), domain)
     places = found.agg(F.min("item_ord").alias("low"), F.max("item_ord").alias("high"),
                        F.count_distinct("item_ord").alias("places"))
     return found.crossJoin(places).select(  # one row
@@ -132,6 +140,38 @@ def file_merged_catalogue(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def file_catalogue_grown(spark: SparkSession, d: str) -> DataFrame:
+    """The stored catalogue after its first build, unchanged, and when files were added:
+    (step, rebuilt, content_id)."""
+    domain, place = on_files("all"), jobs.Layout.under(shared_path(spark, "inputs"))
+    even = F.col("item_ord") % 2 == 0
+    write_catalogue_rows(A.catalogue(spark, d).where(even), place.catalogue)
+    parts, before = [], None
+    for step in ("first", "same", "grown"):
+        if step == "grown":
+            write_catalogue_rows(A.catalogue(spark, d).where(~even), place.catalogue)
+        table = jobs.merged_catalogue(spark, place, domain)
+        files = sorted(table.inputFiles())
+        rows = table.select(F.lit(step).alias("step"), F.lit(files != before).alias("rebuilt"),
+                            "content_id")
+        parts.append(stored(rows, "step"))  # a rebuilt table replaces the one read here
+        before = files
+    return reduce(DataFrame.unionByName, parts)
+
+
+def tag_map_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The tag mapping as a stored table that must be up to date when it is read again."""
+    folder, path = shared_path(spark, "tags"), shared_path(spark, "tag-map")
+    write_tags(A.tags(spark, d).distinct(), folder)
+    now = manifests.origin(spark, {"tags": folder})
+
+    def build() -> DataFrame:
+        return G.tag_map(T.read_tags(spark, folder), "source_order")
+
+    manifests.build_if_changed(spark, path, now, build)
+    return manifests.build_if_changed(spark, path, now, build, stale="fail")
+
+
 def file_training_set(spark: SparkSession, d: str) -> DataFrame:
     """Training rows built by the job from files: encoders, encoded tables, matrix."""
     domain = on_files("movie")
@@ -222,6 +262,8 @@ def file_queries(results: Query) -> dict[str, Query]:
         "file_tags": file_tags,
         "file_rules": file_rules,
         "file_merged_catalogue": file_merged_catalogue,
+        "file_catalogue_grown": file_catalogue_grown,
+        "tag_map_stored": tag_map_stored,
         "file_training_set": file_training_set,
         "file_vocab": file_vocab,
         "content_meta_repeated": content_meta_repeated,

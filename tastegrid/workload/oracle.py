@@ -566,10 +566,16 @@ def _file_sql(shown_rows: dict[str, str]) -> dict[str, str]:
     return {
         "file_log": ctes(LOG["dense"]) + """
 SELECT username, content_id, duration, profile_id FROM log WHERE profile_id % 3 <> 2""",
-        "file_log_report": """
-SELECT * FROM (VALUES ('ok', 'string,string,double,bigint'), ('ok', 'string,bigint,double,bigint'),
-  ('missing duration', '')) r(status, signature)
-WHERE EXISTS (SELECT 1 FROM events)""",
+        "file_log_report": ctes(LOG["dense"]) + """
+SELECT CASE profile_id % 3 WHEN 2 THEN 'missing duration' ELSE 'ok' END AS status,
+  CASE profile_id % 3 WHEN 0 THEN 'string,string,double,bigint'
+    WHEN 1 THEN 'string,bigint,double,bigint' ELSE '' END AS signature, count(*) AS n_rows
+FROM log GROUP BY ALL""",
+        "file_catalogue_grown": ctes(CATALOGUE) + """
+SELECT 'first' AS step, true AS rebuilt, content_id FROM catalogue WHERE item_ord % 2 = 0
+UNION ALL SELECT 'same', false, content_id FROM catalogue WHERE item_ord % 2 = 0
+UNION ALL SELECT 'grown', true, content_id FROM catalogue""",
+        "tag_map_stored": ctes(*TAGS) + "SELECT tag_name, tag_id FROM tags",
         "file_users": ctes(USERS) + "SELECT username, birthday, sex, package_code FROM users",
         "file_catalogue": ctes(CATALOGUE) + f"SELECT {COLUMNS} FROM catalogue",
         "file_tags": ctes(*TAGS) + "SELECT tag_name, tag_id FROM tags",
@@ -603,6 +609,61 @@ GROUP BY i.content_id""",
     }
 
 
+def _checks_sql() -> dict[str, str]:
+    """Fan-out, set columns, history, and what is stored and read again."""
+    movie = DOMAINS["movie"]
+    many = dict(tables(movie))
+    many["clean_users"] = f"""
+SELECT * FROM ({many['clean_users']})
+UNION ALL SELECT * REPLACE ('again' AS package_code) FROM ({many['clean_users']})
+WHERE birthday % 5 = 0"""
+    many["clean_items"] = f"""
+SELECT * FROM ({many['clean_items']})
+UNION ALL SELECT * REPLACE (9 AS content_status) FROM ({many['clean_items']})
+WHERE item_ord % 3 = 0"""
+    width, tensors, tensor = sum(widths(movie)), [], 0
+    half = width // 2
+    for branch in ("deep", "shallow"):
+        tensors += [(f"{branch}.0.w", tensor, half, width, 0, 1), (f"{branch}.0.b", tensor + 1, 1, width, 0, 1),
+                    (f"{branch}.0.ln_g", tensor + 2, 1, half, 1, 1),
+                    (f"{branch}.0.ln_b", tensor + 3, 1, half, 0, 1)]
+        tensors += [(f"{branch}.fc_w", tensor + 10, 1, width, 0, 4),
+                    (f"{branch}.fc_b", tensor + 11, 1, 1, 0, 1)]
+        tensor += 20
+    values = ", ".join(map(str, tensors))
+    return {
+        "watch_counts_repeated": ctes(*many.items(), LOG["dense"], labelled(movie)) + """
+SELECT username, content_id, profile_id, duration, package_code,
+  content_status::BIGINT AS content_status, watch_count, round(share, 6) AS share, label
+FROM labelled""",
+        "training_positions_movie": ctes(*training(movie, "wide")) + """
+SELECT username, content_id, profile_id, label, md5(array_to_string(
+  list_filter(range(len(x)), lambda k: x[k + 1] <> 0), ',')) AS positions FROM matrix""",
+        "topn_resumed": ORACLE["topn_crossnet_grid"],
+        "user_features_loaded": _user_features_sql(),
+        "train_history": VALIDATION_PASS.replace("SELECT round(j + d", """, passed AS (
+SELECT round(j + d""") + """)
+SELECT round, epoch, loss AS train_loss, accuracy AS train_accuracy,
+  precision AS train_precision, recall AS train_recall, f1 AS train_f1, loss AS val_loss,
+  accuracy, precision, recall, f1, auc
+FROM passed, (VALUES (1, 1), (1, 2), (2, 1), (2, 2)) h(round, epoch)""",
+        "model_stored": f"""
+WITH tensors AS (
+  SELECT * FROM (VALUES {values}) t(name, tensor, n_rows, n_cols, plus, times)
+  WHERE EXISTS (SELECT 1 FROM part)
+), numbers AS (
+  SELECT name, j * n_cols + i + 1 AS place,
+    plus + times * ((((7 * i + 13 * j + 5 * tensor) % 31) - 15) / 32.0::DOUBLE) AS value
+  FROM (SELECT *, unnest(range(n_cols)) AS i FROM (SELECT *, unnest(range(n_rows)) AS j FROM tensors))
+), sums AS (
+  SELECT name, sum(value) AS total, sum(value * place) AS weighted FROM numbers GROUP BY name
+)
+SELECT 'weight' AS kind, name, round(total, 6) AS total, round(weighted, 6) AS weighted,
+  4::BIGINT AS step, 2::BIGINT AS epoch FROM sums
+UNION ALL SELECT 'first', name, round(0.2 * total, 6), round(0.2 * weighted, 6), 4, 2 FROM sums""",
+    }
+
+
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 ORACLE: dict[str, str] = {
@@ -712,6 +773,7 @@ FROM (SELECT DISTINCT profile_id FROM ranked) p LEFT JOIN grouped g
   ON p.profile_id = g.profile_id GROUP BY p.profile_id""",
 }
 ORACLE |= _file_sql(ORACLE)
+ORACLE |= _checks_sql()
 ORACLE["scoring_counts"] = ctes(
     *tables(DOMAINS["movie"]), LOG["dense"],
     ("p", "SELECT count(*) AS n FROM (SELECT DISTINCT username, profile_id FROM log "

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegrid.config import DOMAINS, DomainConfig
+from tastegrid.config import DOMAINS, TOP_N, DomainConfig
 from tastegrid.operators import cleaning, diagnostics, evaluation, interactions, positions
 from tastegrid.operators import network as N
 from tastegrid.operators import ranking as R
@@ -19,7 +19,8 @@ from tastegrid.operators import split as P
 from tastegrid.operators import training as T
 from tastegrid.operators.encoding import Encoder, item_spec, statistics, user_spec, vocabulary
 from tastegrid.plans import feature_build, recommend
-from tastegrid.session import cut_lineage, stored
+from tastegrid.plans.score_store import ScoreStore
+from tastegrid.session import cut_lineage, shared_path, stored
 from tastegrid.sinks import results as K
 from tastegrid.workload import adapters as A
 from tastegrid.workload.files import file_queries
@@ -140,6 +141,31 @@ def train_rows(domain: str, form: str) -> Query:
     return run
 
 
+def training_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Which columns of a training row are set, one-hot and multi-hot ones included."""
+    _, rows = matrix(spark, d, DOMAINS["movie"], "wide")
+    listed = F.array_join(F.array_sort("idx").cast("array<string>"), ",")
+    return rows.select("username", "content_id", "profile_id", "label",
+                       F.md5(listed).alias("positions"))
+
+
+def watch_counts_repeated(spark: SparkSession, d: str) -> DataFrame:
+    """Users and items that occur in several different rows multiply the joined rows."""
+    domain = DOMAINS["movie"]
+    users = clean_users(spark, d).distinct()
+    items = clean_items(spark, d, domain, keep=["item_ord"]).distinct()
+    users = users.unionByName(
+        users.where("birthday % 5 = 0").withColumn("package_code", F.lit("again"))
+    )
+    items = items.unionByName(
+        items.where("item_ord % 3 = 0").withColumn("content_status", F.lit(9))
+    ).drop("item_ord", "tag_names")
+    return interactions.labelled_views(A.watch_log_dense(spark, d), users, items, domain).select(
+        "username", "content_id", "profile_id", "duration", "package_code", "content_status",
+        "watch_count", F.round("share", 6).alias("share"), "label",
+    )
+
+
 def watch_counts(form: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         domain = DOMAINS["movie"]
@@ -327,6 +353,24 @@ def topn_crossnet(form: str, name: str = "movie", catalogue=A.catalogue, **plan)
     return run
 
 
+def topn_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """The dense log's lists, where an earlier run has stored those of some profiles."""
+    domain, _, features, weights = _scoring_inputs(spark, d)
+    log = A.watch_log_dense(spark, d)
+    store = ScoreStore.of(
+        spark, shared_path(spark, "class-ranks"), features.items, weights, TOP_N,
+        wave_pairs=50_000,
+    )
+    recommend.rank_profiles(
+        log.where("profile_id % 2 = 0"), features, weights, domain, store=store
+    )
+    found = recommend.rank_profiles(log, features, weights, domain, store=store)
+    return found.by_profile().select(
+        "profile_id", F.col("rank").cast("bigint").alias("rank"), "content_id",
+        F.round("score", 7).alias("score"),
+    )
+
+
 def _results(spark: SparkSession, d: str, form: str) -> DataFrame:
     domain, catalogue, features, weights = _scoring_inputs(spark, d)
     info = recommend.item_info(features.items, catalogue, A.tags(spark, d), A.rules(spark))
@@ -422,6 +466,53 @@ def validation_pass(spark: SparkSession, d: str) -> DataFrame:
     return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
 
 
+def train_history(spark: SparkSession, d: str) -> DataFrame:
+    """History of a training at rate 0: equal losses, so that patience ends each round."""
+    domain, rows, weights, width = _pass_inputs(spark, d)
+    domain = replace(domain, learning_rate=0.0, patience=1)
+    rows = stored(rows.select("row_key", "idx", "val", "label"), "history")
+    split = rows.withColumn("split", F.explode(F.array(F.lit("train"), F.lit("validation"))))
+    _, history = T.train(
+        split, [""] * width, domain, P.positive_weight(rows).first()[0], rounds=2, epochs=9,
+        batch_rows=1 << 40, weights=weights, train_auc=False,
+    )
+    columns = ("round", "epoch", "train_loss", "train_accuracy", "train_precision", "train_recall",
+               "train_f1", "val_loss", "accuracy", "precision", "recall", "f1", "auc")
+    found = spark.createDataFrame(history, T.HISTORY_SCHEMA)
+    return found.select(*[F.round(c, 6).alias(c) if "round" != c != "epoch" else F.col(c)
+                          for c in columns])
+
+
+def model_stored(spark: SparkSession, d: str) -> DataFrame:
+    """Weights and optimiser state of a model that was saved and loaded, summed per tensor."""
+    domain, _, features, weights = _scoring_inputs(spark, d)
+    adam = T.Adam(0.0, step=3, epoch=2)
+    adam.update(weights, {k: 2.0 * v for k, v in weights.items()})
+    names = [str(k) for k in range(features.width)]
+    path = shared_path(spark, "model")
+    T.save_model(spark, T.Model(weights, names, 0.5, 1, 2, adam.state()), path)
+    model = T.load_model(spark, path, names)
+    again = T.Adam(0.0)
+    again.restore(model.optimiser)
+    rows = [
+        (kind, name, float(a.sum()), float((a.ravel() * np.arange(1, a.size + 1)).sum()),
+         again.step, again.epoch)
+        for kind, group in (("weight", model.weights), ("first", again.first))
+        for name, a in group.items()
+    ]
+    return spark.createDataFrame(
+        rows, "kind string, name string, total double, weighted double, step bigint, epoch bigint"
+    ).withColumns({c: F.round(c, 6) for c in ("total", "weighted")})
+
+
+def user_features_loaded(spark: SparkSession, d: str) -> DataFrame:
+    """Users through an encoder that was stored and loaded."""
+    users, path = clean_users(spark, d), shared_path(spark, "encoder")
+    Encoder.fit(users, user_spec()).save(spark, path)
+    wide = Encoder.load(spark, path, user_spec()).wide(users)
+    return wide.withColumn("birthday", F.round("birthday", 6))
+
+
 QUERIES: dict[str, Query] = {
     "log_slices": log_slices,
     "log_file_slices": log_file_slices,
@@ -437,6 +528,8 @@ QUERIES: dict[str, Query] = {
     **{f"train_{d}_dense": train_rows(d, "dense") for d in DOMAINS},
     "watch_counts": watch_counts("wide"),
     "watch_counts_dense": watch_counts("dense"),
+    "watch_counts_repeated": watch_counts_repeated,
+    "training_positions_movie": training_positions,
     "training_matrix_movie": training_matrix("movie", "wide"),
     **{f"training_matrix_{d}": training_matrix(d, "wide") for d in ("clip", "music")},
     "training_matrix_all_dense": training_matrix("all", "dense"),
@@ -465,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "topn_crossnet_grid": topn_crossnet("dense", max_item_bytes=400_000, tile_classes=60),
     **{f"topn_crossnet_{d}": topn_crossnet("dense", d) for d in ("clip", "music", "all")},
     "topn_null_ids": topn_null_ids,
+    "topn_resumed": topn_resumed,
     "topn_meta": topn_meta,
     "rulename": rulename,
     "rule_content": rule_content,
@@ -472,5 +566,8 @@ QUERIES: dict[str, Query] = {
     "scoring_counts": scoring_counts,
     "gradient_pass": gradient_pass,
     "validation_pass": validation_pass,
+    "train_history": train_history,
+    "model_stored": model_stored,
+    "user_features_loaded": user_features_loaded,
     **file_queries(lambda spark, d: _results(spark, d, "dense")),
 }

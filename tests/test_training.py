@@ -84,9 +84,20 @@ def test_batch_tables_are_removed(spark, matrix):
     split = matrix.selectExpr("*", "IF(row_key % 5 = 0, 'validation', 'train') AS split")
     T.train(split, NAMES, domain("movie"), rounds=1, epochs=1, batch_rows=2_000)
     folder = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
-    names = [s.getPath().getName() for s in folder.getFileSystem(
-        spark._jsc.hadoopConfiguration()).listStatus(folder)]
-    assert not [n for n in names if n.startswith("batches-")]
+
+    def left():
+        return [s.getPath().getName() for s in folder.getFileSystem(
+            spark._jsc.hadoopConfiguration()).listStatus(folder)
+            if s.getPath().getName().startswith("batches-")]
+
+    assert left() == []
+
+    def fails(_):
+        raise RuntimeError("ended")
+
+    with pytest.raises(RuntimeError, match="ended"):
+        T.train(split, NAMES, domain("movie"), rounds=1, epochs=1, batch_rows=2_000, on_best=fails)
+    assert left() == []
 
 
 def test_patience_ends_a_round_and_an_earlier_better_model_stays(matrix):
@@ -132,6 +143,23 @@ def test_save_and_load(spark, tmp_path):
         T.load_model(spark, str(tmp_path / "none"), NAMES)
 
 
+def test_a_stored_training_goes_on_as_if_it_had_not_ended(spark, matrix, tmp_path):
+    config = domain("movie", learning_rate=0.05)
+    split = matrix.selectExpr("*", "IF(row_key % 5 = 0, 'validation', 'train') AS split")
+    options = dict(rounds=1, batch_rows=360, train_auc=False)
+    path = str(tmp_path / "m")
+    _, whole = T.train(split, NAMES, config, epochs=4, **options)
+    T.train(split, NAMES, config, epochs=2, **options,
+            on_best=lambda m: T.save_model(spark, m, path))
+    model = T.load_model(spark, path, NAMES)
+    assert model.epoch == 2
+    _, rest = T.train(split, NAMES, config, epochs=2, **options, resume=model)
+    for a, b in zip(whole[2:], rest, strict=True):
+        assert a[2:] == pytest.approx(b[2:], nan_ok=True, rel=1e-9)
+    _, anew = T.train(split, NAMES, config, epochs=1, **options, weights=model.weights)
+    assert anew[0][2:] != pytest.approx(rest[0][2:], nan_ok=True, rel=1e-9)
+
+
 def test_flat_weights_round_trip():
     w = N.init_weights(5, DOMAINS["movie"].network, 2)
     back = T.unflatten(T.flatten(w), w)
