@@ -20,6 +20,8 @@ from tastegrid.session import ship_package, stored
 TASK_GRAMS = 1 << 20
 #: N-grams of the small groups that one task takes together, about.
 BUNDLE_GRAMS = 1 << 17
+#: Up to so many sets of a cluster are compared as they are.
+SMALL_CLUSTER = 64
 _BLOCKS = (
     "ids array<long>, sizes array<long>, prints array<string>, counts binary, keys binary, "
     "total long"
@@ -34,6 +36,11 @@ def least_overlap(size, percent: int):
     return -(-percent * size // 100)
 
 
+def mutual_overlap(size, percent: int):
+    """Grams that a set of this size shares at least with a linked set that is no smaller."""
+    return -(-2 * percent * size // (100 + percent))
+
+
 def spare(size):
     """Grams by which a set's prefix goes beyond the shortest that would do.
 
@@ -67,6 +74,7 @@ def _blocks(docs: DataFrame, length: int, percent: int) -> DataFrame:
         sets, prints = gram_sets(pc.fill_null(piece.column("text"), ""), length)
         sizes = np.array([len(s) for s in sets], np.int64)
         counts = np.minimum(sizes, sizes - least_overlap(sizes, percent) + spare(sizes))
+        counts[100 * sizes < percent * (sizes + 1)] = 0  # no different set can be near enough
         keys = np.concatenate([s[:n] for s, n in zip(sets, counts.tolist(), strict=True)])
         return {
             "ids": [piece.column("doc_id").to_pylist()], "sizes": [sizes], "prints": [prints],
@@ -340,33 +348,128 @@ def link_group(
     grams: list[np.ndarray], roots: np.ndarray, asks: np.ndarray, percent: int
 ) -> list[tuple[int, int]]:
     """Pairs (x, y) of linked sets that connect all that is linked, given that sets of one
-    root are connected already. Only pairs with a set that ``asks`` are looked at."""
-    different, flat = np.unique(np.concatenate(grams), return_inverse=True)
-    ends = np.cumsum([len(g) for g in grams])
-    numbered = [flat[e - len(g) : e].astype(np.uint32) for g, e in zip(grams, ends, strict=True)]
-    order = sorted(range(len(grams)), key=lambda i: numbered[i].astype(">u4").tobytes())
-    sets = [numbered[i] for i in order]
-    _, part = np.unique(roots[order], return_inverse=True)
-    asking = asks[order]
-    trie = Trie(sets)
-    inside = np.zeros(len(different), bool)
-    links = []
-    changes = _changes(part)
-    for x in np.flatnonzero(asking).tolist():
-        if not changes[-1]:
+    root are connected already. Only pairs with a set that ``asks`` are looked at.
+
+    The grams of a set in order of their rarity in the group: linked sets share one of the
+    first few. Sets without a shared one among these are out; the others fall apart into
+    clusters, and large clusters into the sets of each such gram, so that a gram that all
+    sets of a group have brings none of them together that have nothing else in common.
+    """
+    different, flat, number = np.unique(
+        np.concatenate(grams), return_inverse=True, return_counts=True
+    )
+    sizes = np.array([len(g) for g in grams], np.int64)
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(grams)), sizes)
+    by_rarity = np.lexsort((flat, number[flat], owner))
+    rank = np.arange(len(flat)) - np.repeat(ends - sizes, sizes)
+    looked_at = by_rarity[rank < (sizes - least_overlap(sizes, percent) + 1)[owner]]
+    # of two linked sets the smaller one has a shared gram among still fewer
+    first = by_rarity[rank < (sizes - mutual_overlap(sizes, percent) + 1)[owner]]
+    sharing = np.bincount(flat[looked_at], minlength=len(different)) > 1
+    sharing &= np.bincount(flat[first], minlength=len(different)) > 0
+    looked_at = looked_at[sharing[flat[looked_at]]]
+    members, tokens = owner[looked_at], flat[looked_at]
+    sets = [flat[e - n : e].astype(np.uint32) for e, n in zip(ends, sizes, strict=True)]
+    linker = _Linker(sets, len(different), roots, asks, percent)
+    for some in _clusters(members, tokens):
+        cluster = np.unique(members[some])
+        if len(cluster) <= SMALL_CLUSTER:
+            linker.link(cluster)
+        else:
+            linker.link_by_token(members[some], tokens[some])
+    return linker.links
+
+
+def _clusters(members: np.ndarray, tokens: np.ndarray) -> list[np.ndarray]:
+    """Places of the (set, token) entries of each cluster that shared tokens connect."""
+    if not len(members):
+        return []
+    _, token = np.unique(tokens, return_inverse=True)
+    label = np.arange(int(members.max()) + 1)
+    while True:  # the smallest label of a token's sets, and of a set's tokens, until all agree
+        least = np.full(int(token.max()) + 1, len(label))
+        np.minimum.at(least, token, label[members])
+        new = label.copy()
+        np.minimum.at(new, members, least[token])
+        new = new[new]
+        if (new == label).all():
             break
-        # where all ask, a pair is looked at from the first of its sets
-        after = x + 1 if asking.all() else 0
-        inside[sets[x]] = True
-        found = _walk(trie, sets[x], part[x], part, changes, after, inside, percent)
-        inside[sets[x]] = False
-        for y in found.tolist():
-            if part[y] != part[x]:
-                links.append((order[x], order[y]))
-                part[part == part[y]] = part[x]
-        if len(found):
-            changes = _changes(part)
-    return links
+        label = new
+    entry = label[members]
+    order = np.argsort(entry, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(entry[order])) + 1)
+
+
+class _Linker:
+    """Links among sets of one group; knows which are connected."""
+
+    def __init__(self, sets, n_tokens, roots, asks, percent):
+        self.sets, self.asks, self.percent = sets, asks, percent
+        self.inside = np.zeros(n_tokens, bool)
+        _, self.part = np.unique(roots, return_inverse=True)
+        self.of_part: dict[int, list[int]] = {}
+        for x, p in enumerate(self.part.tolist()):
+            self.of_part.setdefault(p, []).append(x)
+        self.links: list[tuple[int, int]] = []
+
+    def link_by_token(self, members: np.ndarray, tokens: np.ndarray) -> None:
+        """The sets of each token, the most first, but for those that met already."""
+        order = np.argsort(tokens, kind="stable")
+        groups = np.split(members[order], np.flatnonzero(np.diff(tokens[order])) + 1)
+        met: dict[int, set[int]] = {}
+        for number, group in enumerate(sorted(groups, key=len, reverse=True)):
+            here = group.tolist()
+            common = set(met.get(here[0], ()))
+            for x in here:
+                common &= met.get(x, set())
+                if not common:
+                    break
+            if not common:
+                self.link(np.sort(group))
+                for x in here:
+                    met.setdefault(x, set()).add(number)
+
+    def link(self, some: np.ndarray) -> None:
+        """All pairs of some sets, one of which asks, that are not connected yet."""
+        if (self.part[some] == self.part[some[0]]).all() or not self.asks[some].any():
+            return
+        order = np.array(
+            sorted(some.tolist(), key=lambda i: self.sets[i].astype(">u4").tobytes())
+        )
+        sets = [self.sets[i] for i in order]
+        trie, asking = Trie(sets), self.asks[order]
+        all_ask = bool(asking.all())
+        part = self.part[order]
+        changes, visited = _changes(part), 0
+        for x in np.flatnonzero(asking).tolist():
+            if visited >= len(order):  # older counts only leave fewer branches
+                part, visited = self.part[order], 0
+                changes = _changes(part)
+            if not changes[-1]:
+                break
+            # where all ask, a pair is looked at from the first of its sets
+            after = x + 1 if all_ask else 0
+            self.inside[sets[x]] = True
+            found, nodes = _walk(trie, sets[x], part[x], part, changes, after, self.inside,
+                                 self.percent)
+            self.inside[sets[x]] = False
+            visited += nodes
+            for y in found.tolist():
+                if self._connect(order[x], order[y]):
+                    self.links.append((int(order[x]), int(order[y])))
+                    visited = len(order)
+
+    def _connect(self, x: int, y: int) -> bool:
+        p, q = int(self.part[x]), int(self.part[y])
+        if p == q:
+            return False
+        if len(self.of_part[p]) < len(self.of_part[q]):
+            p, q = q, p
+        moved = self.of_part.pop(q)
+        self.part[moved] = p
+        self.of_part[p] += moved
+        return True
 
 
 def _changes(part: np.ndarray) -> np.ndarray:
@@ -374,11 +477,13 @@ def _changes(part: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(part[1:] != part[:-1])])
 
 
-def _walk(trie, own, mine, part, changes, after, inside, percent) -> np.ndarray:
-    """Sets linked with ``own`` and not connected to it, all nodes of a level at a time."""
-    found = []
+def _walk(trie, own, mine, part, changes, after, inside, percent) -> tuple[np.ndarray, int]:
+    """Sets linked with ``own`` and not connected to it, all nodes of a level at a time, and
+    the number of nodes."""
+    found, visited = [], 0
     nodes, shared = np.zeros(1, np.int64), np.zeros(1, np.int64)
     while len(nodes):
+        visited += len(nodes)
         low, high = trie.low[nodes], trie.high[nodes]
         known = (part[low] == mine) & (changes[low] == changes[high - 1])
         keep = ~known & (high > after)
@@ -401,4 +506,4 @@ def _walk(trie, own, mine, part, changes, after, inside, percent) -> np.ndarray:
         found.append(ending[(part[ending] != mine) & (ending >= after)])
         count = trie.children[nodes]
         nodes, shared = spans(trie.first[nodes], count), np.repeat(shared, count)
-    return np.concatenate(found) if found else np.zeros(0, np.int64)
+    return (np.concatenate(found) if found else np.zeros(0, np.int64)), visited

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -139,3 +140,71 @@ def test_components_of_chains_and_stars(spark):
     assert "x" not in found
     empty = components(spark.createDataFrame([], "a string, b string"))
     assert empty.collect() == []
+
+
+def _root(parent, x):
+    while parent[x] != x:
+        x = parent[x]
+    return x
+
+
+@pytest.mark.parametrize("small", [1, 64])
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_any_group_is_connected_as_by_all_pairs(monkeypatch, percent, small):
+    monkeypatch.setattr(ngram_join, "SMALL_CLUSTER", small)
+    draw = random.Random(percent + small)
+    for _ in range(60):
+        universe = draw.choice([12, 40])
+        bases = [set(draw.sample(range(universe), draw.randint(1, universe - 2))) for _ in range(4)]
+        sets = set()
+        for _ in range(draw.randint(2, 40)):
+            one = set(draw.choice(bases))
+            for _ in range(draw.randint(0, 3)):
+                one ^= {draw.randrange(universe)}
+            if one:
+                sets.add(frozenset(one))
+        sets = list(sets)
+        n = len(sets)
+        roots = [draw.randrange(n) if draw.random() < 0.2 else 1000 + i for i in range(n)]
+        asks = [draw.random() < 0.7 or percent == 85 for _ in range(n)]
+        wanted = list(range(n))
+        for i in range(n):
+            for j in range(i):
+                if roots[i] == roots[j]:
+                    wanted[_root(wanted, i)] = _root(wanted, j)
+        got = list(wanted)
+        links = ngram_join.link_group(
+            [np.array(sorted(s), np.uint64) for s in sets], np.array(roots), np.array(asks), percent)
+        for x, y in links:
+            assert 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])
+            got[_root(got, x)] = _root(got, y)
+        for i in range(n):
+            for j in range(i):
+                if (asks[i] or asks[j]) and (
+                    100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
+                ):
+                    wanted[_root(wanted, i)] = _root(wanted, j)
+        a, b = ([_root(p, i) for i in range(n)] for p in (wanted, got))
+        assert [[x == y for y in a] for x in a] == [[x == y for y in b] for x in b]
+
+
+def test_a_common_gram_does_not_bring_a_group_together():
+    """130,000 sets that share one gram: the work follows what else they share."""
+    rng = np.random.default_rng(0)
+    sets = [np.unique(np.append(rng.integers(10, 2**63, 7), 5)).astype(np.uint64)
+            for _ in range(130_000)]
+    sets[70_000] = np.unique(np.append(sets[9], 6)).astype(np.uint64)  # 8 of 9 in common
+    began = time.perf_counter()
+    links = ngram_join.link_group(sets, np.arange(len(sets)), np.ones(len(sets), bool), 85)
+    assert [sorted(x) for x in links] == [[9, 70_000]]
+    assert time.perf_counter() - began < 20
+
+
+def test_sets_too_small_to_be_linked_are_not_looked_at(spark):
+    """Up to five grams nothing but an equal set is within 85 hundredths."""
+    rows = [(k, " ".join(["same", "old", "words", "here"] + [f"w{k}"] * (k % 2))) for k in range(40)]
+    rows += [(100, "a b c d e f g h i"), (101, "a b c d e f g h i j")]  # 6 of 7
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs, 4, 85).collect()}
+    assert {got[k] for k in range(0, 40, 2)} == {0} and got[101] == got[100] == 100
+    assert all(got[k] == k for k in range(1, 40, 2))
