@@ -193,7 +193,7 @@ def test_a_common_gram_does_not_bring_a_group_together():
     rng = np.random.default_rng(0)
     sets = [np.unique(np.append(rng.integers(10, 2**63, 7), 5)).astype(np.uint64)
             for _ in range(130_000)]
-    sets[70_000] = np.unique(np.append(sets[9], 6)).astype(np.uint64)  # 8 of 9 in common
+    sets[70_000] = np.unique(np.append(sets[9], np.uint64(6))).astype(np.uint64)  # 8 of 9 in common
     began = time.perf_counter()
     links = ngram_join.link_group(sets, np.arange(len(sets)), np.ones(len(sets), bool), 85)
     assert [sorted(x) for x in links] == [[9, 70_000]]
