@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import zlib
 
@@ -88,3 +89,55 @@ def test_group_runs_over_partitions(spark, parts):
         check(rows, run(spark, rows, 3), 3)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+@pytest.mark.parametrize("resolution,finer", [(1, 2), (3, 8), (20, 64)])
+def test_capacity_and_cuts_are_those_of_all_groups(monkeypatch, resolution, finer):
+    monkeypatch.setattr(sharding, "RESOLUTION", resolution)
+    monkeypatch.setattr(sharding, "FINER", finer)
+    draw = np.random.default_rng(resolution)
+    for _ in range(200):
+        n, shards = draw.choice([1, 2, 5, 30, 300]), int(draw.choice([1, 2, 3, 7, 40]))
+        sizes = np.where(draw.random(n) < 0.2, draw.integers(16, 9000, n), draw.integers(16, 90, n))
+        ends = np.cumsum(sizes)
+        starts, total = ends - sizes, int(ends[-1])
+
+        def cells(step, within, coarse, starts=starts, total=total):
+            some = starts if within is None else starts[np.isin(starts // coarse, within)]
+            cell, first = np.unique(some // step, return_index=True)
+            last = np.append(first[1:], len(some)) - 1
+            assert len(cell) <= max(shards * resolution + 1, 40 * shards * shards * finer)
+            return sharding.Starts(some[first], some[last], total)
+
+        capacity, cuts = sharding.exact_cuts(cells, shards, total)
+        assert capacity == sharding.shard_starts(sizes, shards)[0]
+        edges = [0, *cuts, total]
+        assert len(cuts) == shards - 1 and edges == sorted(edges)
+        assert set(cuts) <= {*starts.tolist(), total}
+        assert max(b - a for a, b in itertools.pairwise(edges)) <= capacity
+
+
+def test_largest_shard_of_a_table_is_the_least_possible(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RESOLUTION", 2)
+    monkeypatch.setattr(sharding, "FINER", 4)
+    rng = np.random.default_rng(5)
+    rows = [(k, f"{k} " + "y" * int(rng.integers(0, 400))) for k in range(900)]
+    rows += [(5000 + k, "many copies " * 20) for k in range(40)]
+    found = run(spark, rows, 7)
+    check(rows, found, 7)
+    texts = dict(rows)
+    groups = {}
+    for _, text in rows:
+        key = hashlib.md5(text.encode()).hexdigest()
+        groups[key] = groups.get(key, 0) + len(text.encode()) + 16
+    sizes = np.array([groups[k] for k in sorted(groups)], np.int64)
+    by_shard = np.bincount([r.shard for r in found], [r["size"] for r in found])
+    assert by_shard.max() == sharding.shard_starts(sizes, 7)[0]
+    order = sorted(found, key=lambda r: (r.shard, r.slot))
+    keys = [hashlib.md5(texts[r.doc_id].encode()).hexdigest() for r in order]
+    assert keys == sorted(keys)
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "long " * 400_000), (2, "b"), (3, "c"), (4, "d" * 1000)]
+    check(rows, run(spark, rows, 3), 3)
