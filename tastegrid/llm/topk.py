@@ -15,12 +15,13 @@ from tastegrid.session import ship_package, stored
 BLOCK_ROWS = 1 << 15
 CHUNK_QUERIES = 1 << 10
 SCALE = 256
+LARGEST_SCORE = 2.0**62
 INDEX_SCHEMA = "block long, dim int, ids binary, base binary, bits binary, planes binary"
 FOUND_SCHEMA = "query_id long, vec_id long, score long"
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, dim, q): floor(scale * x) per component, one row per vec_id.
+    """(vec_id, dim, q): floor(scale * x) per component, one row per vec_id (as bigint).
 
     Left out: null ids, vectors that are null, empty or hold null or non-finite
     components. Of several vectors with one id the smallest in array order stays.
@@ -29,7 +30,7 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     ordinary = ~F.exists(
         x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
     )
-    rows = vectors.select("vec_id", "embedding").where(
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").where(
         F.col("vec_id").isNotNull() & (F.size(x) > 0) & ordinary
     )
     q = F.transform(x, lambda v: F.floor(F.lit(float(scale)) * v.cast("double")))
@@ -193,12 +194,21 @@ def top_k(
     Null and unusable vectors (see ``quantised``) take no part, vectors of another
     dimension don't meet, a query with fewer candidates than k has them all, an empty
     table gives no rows. Repeated rows count once. Other columns are not read.
+
+    Scores are 64-bit numbers: a table whose largest quantised component c could make a
+    score of ``dim * c * c >= 2**62`` is an error, not a wrong result.
     """
     spark = vectors.sparkSession
     ship_package(spark)
     whole = stored(quantised(vectors), "quantised")
     asked = whole.where(is_query)
-    n_rows, n_queries = whole.count(), asked.count()
+    largest = F.array_max(F.transform("q", lambda v: F.abs(v.cast("double"))))
+    n_rows, n_queries, dim, reach = whole.agg(
+        F.count(F.lit(1)), F.count_if(is_query), F.max("dim"), F.max(largest)
+    ).first()
+    if n_rows and dim * reach * reach >= LARGEST_SCORE:
+        raise ValueError(f"components up to {reach / SCALE:g} in {dim} dimensions: a score may "
+                         "not fit 64 bits")
     blocks, chunks = -(-n_rows // block_rows) or 1, -(-n_queries // chunk_queries) or 1
 
     def each(count: int) -> Column:

@@ -64,3 +64,20 @@ def test_adders_sum_bitmaps():
         for w, s in enumerate(out)
     )
     assert (total == (bits * (1 << weights)[:, None]).sum(axis=0)).all()
+
+
+def test_scores_that_do_not_fit_are_an_error(spark):
+    def found(rows):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        return [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 10 == 0, 5).collect()]
+
+    for x in (1e300, -1e300, 2.0**40):
+        with pytest.raises(ValueError, match="64 bits"):
+            found([(10, [x, 0.25]), (11, [0.25, 1.0])])
+    assert found([(10, [2.0**21, 0.0]), (11, [2.0**20, 1.0])]) == [(10, 1, 11, 2**57)]
+
+
+def test_ids_of_another_integer_type(spark):
+    df = spark.createDataFrame([(10, [1.0]), (11, [2.0])], "vec_id int, embedding array<float>")
+    found = topk.top_k(df, F.col("vec_id") % 10 == 0, 5)
+    assert [tuple(r) for r in found.collect()] == [(10, 1, 11, 131072)]
