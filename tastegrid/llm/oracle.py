@@ -4,7 +4,7 @@ from __future__ import annotations
 
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
-_MASKS = ((0, 1, 3, 4, 7), (0, 2, 5, 6, 7))
+_MASKS = ((0, 1, 2, 4), (0, 2, 5, 6), (0, 3, 5, 6))
 
 NGRAM_JACCARD = f"""
 WITH RECURSIVE words AS (
@@ -46,28 +46,21 @@ def _tokens(ident: str, name: str) -> str:
     )
 
 
-_OFFSETS = " ".join(
-    f"WHEN {m} THEN [{', '.join(map(str, mask))}]" for m, mask in enumerate(_MASKS)
-)
-
 DECONTAMINATION = f"""
 WITH docs AS ({_tokens('doc_id', 'documents')}), items AS ({_tokens('item_id', 'benchmark')}),
-doc_at AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs),
-item_at AS (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS i FROM items),
+doc_at AS (SELECT doc_id, w, unnest(range(1, len(w) - 5)) AS i FROM docs),
+item_at AS (SELECT item_id, w, unnest(range(1, len(w) - 5)) AS i FROM items),
 d AS ({_seeds('w', 'doc_id', 'doc_at')}), t AS ({_seeds('w', 'item_id', 'item_at')}),
 hits AS (
-  SELECT DISTINCT doc_id, item_id, d.p - t.p AS start, t.p AS item_p, t.mask
+  SELECT DISTINCT doc_id, item_id, d.p - t.p AS start
   FROM d JOIN t ON d.seed = t.seed AND d.mask = t.mask
 ), equal AS (
-  SELECT DISTINCT doc_id, item_id, start, item_p + k AS x FROM (
-    SELECT *, unnest(CASE mask {_OFFSETS} END) AS k FROM hits)
-), dense AS (
-  SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, start ORDER BY x
-    RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS near FROM equal
+  SELECT doc_id, item_id, start, CAST(len(i.w) AS BIGINT) AS n_tokens,
+    list_filter(range(len(i.w)), lambda x: start + x >= 0 AND d.w[start + x + 1] = i.w[x + 1]) AS e
+  FROM hits JOIN items i USING (item_id) JOIN docs d USING (doc_id)
 ), judged AS (
-  SELECT doc_id, e.item_id, start, CAST(len(w) AS BIGINT) AS n_tokens,
-    count(*) AS n_matched, max(near) AS near
-  FROM dense e JOIN items USING (item_id) GROUP BY doc_id, e.item_id, start, len(w)
+  SELECT *, CAST(len(e) AS BIGINT) AS n_matched, list_max(list_transform(e,
+    lambda f: len(list_filter(e, lambda x: x >= f AND x < f + 13)))) AS near FROM equal
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
     ORDER BY n_matched DESC, start) AS r FROM judged

@@ -82,7 +82,8 @@ def test_whole_tokens_are_compared_where_many_words_are_changed(spark, monkeypat
     wanted = {}
     for d, text in docs.items():
         for i, item in items.items():
-            starts = {at - p for at in range(len(text) - 7) for p in range(len(item) - 7)
+            span = decontamination.SPAN - 1
+            starts = {at - p for at in range(len(text) - span) for p in range(len(item) - span)
                       if any(all(text[at + x] == item[p + x] for x in mask)
                              for mask in decontamination.MASKS)}
             for start in sorted(starts):
@@ -103,6 +104,37 @@ def test_whole_tokens_are_compared_where_many_words_are_changed(spark, monkeypat
     assert {(r.doc_id, r.item_id): (r.n_matched, r.start) for r in found.collect()} == wanted
 
 
+@pytest.mark.parametrize("length,least", [(15, 0.9), (16, 0.95), (25, 0.99), (59, 0.99)])
+def test_recall_at_the_threshold(spark, length, least):
+    """Passages of which 60 % of the tokens are left, at random places."""
+    rng = random.Random(length)
+    items = {k: [f"t{k}x{j}" for j in range(length)] for k in range(400)}
+    docs = []
+    for k, item in items.items():
+        text = list(item)
+        for x in rng.sample(range(length), length - -(-6 * length // 10)):
+            text[x] = "changed"
+        docs.append((k, " ".join([*some(rng, 9), *text, *some(rng, 9)])))
+    found = decontamination.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(k, " ".join(t)) for k, t in items.items()],
+                              "item_id long, text string"),
+    ).collect()
+    assert all(r.doc_id == r.item_id for r in found)
+    assert len(found) >= least * len(items)
+
+
+def test_a_passage_in_a_very_long_text(spark):
+    rng = random.Random(3)
+    item = some(rng, 30)
+    text = " ".join(["filler words of a long text"] * 40_000 + item + ["more"] * 50_000)
+    found = decontamination.contaminated(
+        spark.createDataFrame([(1, text)], "doc_id long, text string"),
+        spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"),
+    ).collect()
+    assert [(r.item_id, r.start, r.n_matched) for r in found] == [(7, 240_000, 30)]
+
+
 def test_each_text_of_a_repeated_id_is_compared(spark):
     rng = random.Random(12)
     item, other = some(rng, 20), some(rng, 20)
