@@ -20,8 +20,8 @@ from tastegrid.session import ship_package, stored
 TASK_GRAMS = 1 << 20
 #: N-grams of the small groups that one task takes together, about.
 BUNDLE_GRAMS = 1 << 17
-#: Up to so many sets of a cluster are compared as they are.
-SMALL_CLUSTER = 64
+#: By how much fewer the pairs by shared grams must be for a cluster to be taken apart.
+LOOSER = 8
 _BLOCKS = (
     "ids array<long>, sizes array<long>, prints array<string>, counts binary, keys binary, "
     "total long"
@@ -374,10 +374,11 @@ def link_group(
     linker = _Linker(sets, len(different), roots, asks, percent)
     for some in _clusters(members, tokens):
         cluster = np.unique(members[some])
-        if len(cluster) <= SMALL_CLUSTER:
-            linker.link(cluster)
-        else:
+        sets_with = np.unique(tokens[some], return_counts=True)[1].astype(float)
+        if LOOSER * (sets_with**2).sum() < float(len(cluster)) ** 2:
             linker.link_by_token(members[some], tokens[some])
+        else:
+            linker.link(cluster)
     return linker.links
 
 
