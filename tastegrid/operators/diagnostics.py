@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.interactions import distinct_views
 from tastegrid.operators.joins import splittable_join
 
+SKETCH_LG_K = 12
+
 
 def join_diagnostics(log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """One row: rows and distinct ids of the log and after each join.
@@ -51,6 +55,44 @@ def join_diagnostics(log: DataFrame, users: DataFrame, items: DataFrame) -> Data
     ])
 
 
+def id_sketches(df: DataFrame, keys: Sequence[str], lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """One row: ``rows``, and for each key a theta sketch of its different values.
+
+    One scan; sketches of parts of a table (files, days) stay mergeable, see
+    ``merged_sketches``, so a log that grows needs only its new part read.
+    """
+    sketches = [F.theta_sketch_agg(F.col(k).cast("string"), lg_k).alias(k) for k in keys]
+    return df.agg(F.count(F.lit(1)).alias("rows"), *sketches)
+
+
+def merged_sketches(parts: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """The sketches of a whole from those of its parts, which may overlap in their values."""
+    keys = [c for c in parts.columns if c != "rows"]
+    return parts.agg(
+        F.sum("rows").alias("rows"), *[F.theta_union_agg(k, lg_k).alias(k) for k in keys]
+    )
+
+
+def join_estimates(log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """One row: different ids of the log, the users and the catalogue, and how many they share.
+
+    ``log``, ``users`` and ``items`` are sketches. Up to 2**lg_k values a number is exact;
+    beyond, its standard error is 1 / sqrt(2**lg_k) of it (1.6 % by default), of a shared
+    number that share of the larger side. ``join_diagnostics`` counts exactly, for six passes.
+    """
+    sides = log.select(F.col("rows").alias("log_rows"), F.col("username").alias("lu"),
+                       F.col("content_id").alias("lc"))
+    sides = sides.crossJoin(users.select(F.col("username").alias("u")))  # one row each
+    sides = sides.crossJoin(items.select(F.col("content_id").alias("c")))
+    shared = {"shared_usernames": F.theta_intersection("lu", "u"),
+              "shared_contents": F.theta_intersection("lc", "c")}
+    found = {"log_usernames": F.col("lu"), "log_contents": F.col("lc"),
+             "usernames": F.col("u"), "contents": F.col("c"), **shared}
+    return sides.select("log_rows", *[
+        F.theta_sketch_estimate(sketch).cast("bigint").alias(name) for name, sketch in found.items()
+    ])
+
+
 def scoring_counts(
     log: DataFrame, profiles: DataFrame, items: DataFrame, catalogue: DataFrame
 ) -> DataFrame:

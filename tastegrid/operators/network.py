@@ -58,21 +58,43 @@ def is_statistic(name: str) -> bool:
     return name.endswith(("bn_mean", "bn_var"))
 
 
-def _standardise(h: np.ndarray, axis: int, eps: float):
-    mean = h.mean(axis=axis, keepdims=True)
-    sd = np.sqrt(h.var(axis=axis, keepdims=True) + eps)
+def _standardise(h: np.ndarray, eps: float):
+    """Each row by its own mean and deviation."""
+    mean = h.mean(axis=1, keepdims=True)
+    sd = np.sqrt(h.var(axis=1, keepdims=True) + eps)
     return (h - mean) / sd, sd
 
 
-def _standardise_grad(grad: np.ndarray, z: np.ndarray, sd: np.ndarray, axis: int) -> np.ndarray:
+def _standardise_grad(grad: np.ndarray, z: np.ndarray, sd: np.ndarray) -> np.ndarray:
     return (
-        grad - grad.mean(axis=axis, keepdims=True) - z * (grad * z).mean(axis=axis, keepdims=True)
+        grad - grad.mean(axis=1, keepdims=True) - z * (grad * z).mean(axis=1, keepdims=True)
     ) / sd
 
 
-def branch_logit(x0, w: Weights, net: NetworkConfig, branch: str, layers: int, draws=None, tape=None):
-    """Logit of one branch. With ``tape`` the pass keeps what the gradient needs;
-    with ``draws`` it drops units and normalises by the block's own statistics."""
+class Alone:
+    """A block that is the whole batch. Others gather an array from every block of it."""
+
+    def gather(self, part: np.ndarray) -> list[np.ndarray]:
+        return [part]
+
+
+def _batch_moments(h: np.ndarray, peers) -> tuple[float, np.ndarray, np.ndarray]:
+    """(rows, mean, sum of squared deviations) of the batch, merged from those of its blocks."""
+    mean = h.mean(axis=0) if len(h) else np.zeros(h.shape[1])
+    own = np.stack([np.full(h.shape[1], float(len(h))), mean, ((h - mean) ** 2).sum(axis=0)])
+    parts = peers.gather(own)
+    n = sum(p[0][0] for p in parts) or 1.0
+    overall = sum(p[0] * p[1] for p in parts) / n
+    return n, overall, sum(p[2] + p[0] * (p[1] - overall) ** 2 for p in parts)
+
+
+def branch_logit(
+    x0, w: Weights, net: NetworkConfig, branch: str, layers: int, draws=None, tape=None,
+    peers=None,
+):
+    """Logit of one branch. With ``tape`` the pass keeps what the gradient needs; with
+    ``draws`` it drops units and normalises by the statistics of the batch, of which the
+    rows are one block among ``peers``."""
     x, half = x0, x0.shape[1] // 2
     for layer in range(layers):
         at = f"{branch}.{layer}"
@@ -80,13 +102,15 @@ def branch_logit(x0, w: Weights, net: NetworkConfig, branch: str, layers: int, d
         h = x @ w[f"{at}.w"].T
         if net.batch_norm:
             if draws is not None:
-                t["bn_stats"] = (h.mean(axis=0), h.var(axis=0, ddof=1 if len(h) > 1 else 0))
-                z, t["bn_sd"] = _standardise(h, 0, BN_EPS)
+                t["bn_n"], mean, square = _batch_moments(h, peers)
+                t["bn_stats"] = (mean, square / max(t["bn_n"] - 1.0, 1.0))
+                t["bn_sd"] = np.sqrt(square / t["bn_n"] + BN_EPS)
+                z = (h - mean) / t["bn_sd"]
             else:
                 z = (h - w[f"{at}.bn_mean"]) / np.sqrt(w[f"{at}.bn_var"] + BN_EPS)
             t["bn_z"] = z
             h = z * w[f"{at}.bn_g"] + w[f"{at}.bn_b"]
-        z, t["ln_sd"] = _standardise(h, 1, LN_EPS)
+        z, t["ln_sd"] = _standardise(h, LN_EPS)
         normed = z * w[f"{at}.ln_g"] + w[f"{at}.ln_b"]
         mask = np.maximum(normed, 0.0)
         value = normed if net.normalise_cross else h
@@ -110,7 +134,9 @@ def branch_logit(x0, w: Weights, net: NetworkConfig, branch: str, layers: int, d
     return x @ w[f"{branch}.fc_w"] + w[f"{branch}.fc_b"][0], x
 
 
-def branch_gradient(grad_logit, last_x, w: Weights, net: NetworkConfig, branch: str, tape, out):
+def branch_gradient(
+    grad_logit, last_x, w: Weights, net: NetworkConfig, branch: str, tape, out, peers
+):
     """Add the branch's weight gradients to ``out``, last layer first."""
     half = last_x.shape[1] // 2
     out[f"{branch}.fc_w"] = last_x.T @ grad_logit
@@ -138,11 +164,13 @@ def branch_gradient(grad_logit, last_x, w: Weights, net: NetworkConfig, branch:
         else:
             g_h += g_value
         out[f"{at}.ln_g"], out[f"{at}.ln_b"] = (g_normed * t["ln_z"]).sum(0), g_normed.sum(0)
-        g_h += _standardise_grad(g_normed * w[f"{at}.ln_g"], t["ln_z"], t["ln_sd"], 1)
+        g_h += _standardise_grad(g_normed * w[f"{at}.ln_g"], t["ln_z"], t["ln_sd"])
         if net.batch_norm:
             out[f"{at}.bn_g"], out[f"{at}.bn_b"] = (g_h * t["bn_z"]).sum(0), g_h.sum(0)
             out[f"{at}.bn_mean"], out[f"{at}.bn_var"] = t["bn_stats"]
-            g_h = _standardise_grad(g_h * w[f"{at}.bn_g"], t["bn_z"], t["bn_sd"], 0)
+            g_z, z = g_h * w[f"{at}.bn_g"], t["bn_z"]
+            of_z, along_z = sum(peers.gather(np.stack([g_z.sum(0), (g_z * z).sum(0)])))
+            g_h = (g_z - of_z / t["bn_n"] - z * along_z / t["bn_n"]) / t["bn_sd"]
         out[f"{at}.w"] = g_h.T @ t["x"]
         if layer:
             through = t["cross"] + w[f"{at}.b"] + 1.0 if net.chain_deep and branch == "deep" else 1.0
@@ -175,14 +203,19 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 def loss_and_gradient_sums(
-    x: np.ndarray, y: np.ndarray, w: Weights, net: NetworkConfig, pos_weight: float, draws
+    x: np.ndarray, y: np.ndarray, w: Weights, net: NetworkConfig, pos_weight: float, draws,
+    peers=None,
 ) -> tuple[np.ndarray, Weights, Weights, np.ndarray]:
     """Sums over one block, which add up over blocks: the joint, deep and shallow losses, the
-    gradient of the joint loss, the gradients of each branch's own loss; and the scores."""
+    gradient of the joint loss, the gradients of each branch's own loss; and the scores.
+
+    Blocks that are ``peers`` share their batch statistics; each of them must call this once
+    a batch, without rows as well."""
+    peers = peers or Alone()
     tapes, logits, lasts = {}, {}, {}
     for b, layers in branches(net):
         tapes[b] = []
-        logits[b], lasts[b] = branch_logit(x, w, net, b, layers, draws, tapes[b])
+        logits[b], lasts[b] = branch_logit(x, w, net, b, layers, draws, tapes[b], peers)
     weight = np.where(y == 1, pos_weight, 1.0)
     joint = sigmoid((logits["deep"] + logits["shallow"]) * 0.5)
 
@@ -195,8 +228,8 @@ def loss_and_gradient_sums(
     for b in logits:
         p = sigmoid(logits[b])
         losses.append(loss(p))
-        branch_gradient(weight * (joint - y) * 0.5, lasts[b], w, net, b, tapes[b], of_joint)
-        branch_gradient(weight * (p - y), lasts[b], w, net, b, tapes[b], of_own)
+        branch_gradient(weight * (joint - y) * 0.5, lasts[b], w, net, b, tapes[b], of_joint, peers)
+        branch_gradient(weight * (p - y), lasts[b], w, net, b, tapes[b], of_own, peers)
     for k in of_joint:
         if is_statistic(k):  # a block's statistic counts with its rows
             of_joint[k], of_own[k] = of_joint[k] * len(y), np.zeros_like(of_own[k])

@@ -61,7 +61,7 @@ def with_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     ).withColumn("_part", F.shiftright("_id", 33))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        ranged.join(F.broadcast(_offsets(sizes, "_part")), "_part")
+        ranged.join(_offsets(sizes, "_part"), "_part")
         .withColumn("position", F.col("_start") + F.col("_id").bitwiseAND(_LOW_BITS))
         .withColumnRenamed("_total", "total")
         .drop("_id", "_part", "_start")

@@ -1,20 +1,22 @@
 """Synchronous data-parallel training of the cross network.
 
-The training rows are written once, cut into global batches by the hash of their key,
-as a table partitioned by batch: a step reads only its batch, and a lost executor
-rereads files. Tasks sum the gradients of their rows, ranges of the gradient are summed
-over the tasks, and the driver gets one gradient per step and updates the weights.
+The training rows are written once, cut into global batches by the hash of their key. An
+epoch is one barrier stage: its tasks hold their share of a batch, gather each other's
+gradient sums and make the same updates; the driver gets the weights once an epoch.
+``gradient_sums`` adds up the gradient of any number of rows as an ordinary job.
 """
 
 from __future__ import annotations
 
+import base64
 import math
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,10 @@ from tastegrid.session import remove, shared_path, ship_package, stored
 
 #: Numbers of the gradient that one summing task adds up, and a driver gets as one row.
 RANGE = 1 << 16
+#: Rows of a batch, and rows in all, for which an epoch has a task, up to the slots there are.
+#: Tasks of a barrier stage wait a second for each other's message, so a small batch is
+#: faster in one of them.
+STEP_ROWS, SHARE_ROWS = 1 << 16, 100_000_000
 _COUNTS = ("n", "joint", "deep", "shallow", "tp", "fp", "fn", "tn")
 _SUMS_DDL = (
     "range bigint, " + ", ".join(f"{c} double" for c in _COUNTS) + ", of_joint binary, of_own binary"
@@ -115,6 +121,7 @@ def gradient_sums(
     gradients, so that sums of any blocks add up to those of the whole batch. Tasks work
     in blocks of ``domain.batch_rows``; only batch statistics are those of a block. The
     tasks' sums meet by ranges of the gradient, and the counts travel with the first one.
+    Batch statistics of the whole batch are those of ``epoch_pass``.
     """
     net, block_rows, size = domain.network, domain.batch_rows, RANGE
     ship_package(rows.sparkSession)
@@ -191,6 +198,130 @@ def read_sums(sums: DataFrame, like: N.Weights) -> tuple[dict[str, float], N.Wei
     return {"loss": loss * counts["n"], **counts}, grad
 
 
+class _Peers:
+    """The tasks of a barrier stage, each with its block of the batch."""
+
+    def __init__(self, context: BarrierTaskContext):
+        self.context = context
+
+    def gather(self, part: np.ndarray) -> list[np.ndarray]:
+        """The arrays of all tasks, in the order of the tasks."""
+        sent = base64.b64encode(np.ascontiguousarray(part, np.float64)).decode()
+        found = self.context.allGather(sent)
+        return [np.frombuffer(base64.b64decode(m)).reshape(part.shape) for m in found]
+
+
+def _steps(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.Table | None]:
+    """The rows of each step, from rows in the order of their ``batch``; None for no rows."""
+    held: dict[int, list[pa.RecordBatch]] = {}
+    given = 0
+    for whole in batches:
+        numbers = whole.column("batch").to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b > a:
+                for step in range(given, int(numbers[a])):
+                    yield pa.Table.from_batches(held.pop(step)) if step in held else None
+                given = int(numbers[a])
+                held.setdefault(given, []).append(whole.slice(a, b - a))
+    for step in range(given, steps):
+        yield pa.Table.from_batches(held.pop(step)) if step in held else None
+
+
+@dataclass
+class Passed:
+    """What an epoch leaves behind: sums over its rows, and its last batch's mean gradient."""
+
+    weights: N.Weights
+    optimiser: Adam
+    totals: dict[str, float]
+    gradient: N.Weights
+
+
+def epoch_tasks(spark: SparkSession, n_rows: int, steps: int) -> int:
+    """Tasks for an epoch of ``n_rows`` rows in so many steps."""
+    wanted = max(-(-n_rows // steps // STEP_ROWS), -(-n_rows // SHARE_ROWS), 1)
+    return min(wanted, spark.sparkContext.defaultParallelism)
+
+
+def epoch_pass(
+    rows: DataFrame, w: N.Weights, optimiser: Adam, domain: DomainConfig, width: int,
+    pos_weight: float, steps: int, seed: int, tasks: int = 1,
+) -> Passed:
+    """One epoch over ``rows`` (row_key, label, idx, val, batch from 0 to ``steps`` - 1) as one
+    barrier stage: a job for the epoch, whatever its number of steps.
+
+    Each task has a share of every batch and reads its rows in the order of the batches, so
+    it holds one share of one batch. In a step the tasks gather each other's gradient sums
+    (and in a network with batch norm the moments of the whole batch, forwards and backwards)
+    and all make the same update. How many ``tasks`` follows the rows of a batch
+    (``epoch_tasks``), as every message goes to all of them. A lost task starts the epoch
+    again from the weights it began with.
+    """
+    net, spark = domain.network, rows.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast((w, optimiser))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = BarrierTaskContext.get()
+        peers = _Peers(context) if tasks > 1 else N.Alone()
+        w, optimiser = shared.value
+        totals, grad = dict.fromkeys(("loss", *_COUNTS), 0.0), {}
+        size = sum(a.size for a in w.values())
+        for step, table in enumerate(_steps(batches, steps)):
+            x, y, keys = np.zeros((0, width)), np.zeros(0), np.zeros(0, np.int64)
+            if table is not None:
+                table = table.combine_chunks()
+                x = dense_block(table["idx"], table["val"], width)
+                y = table["label"].to_numpy().astype(float)
+                keys = table["row_key"].to_numpy()
+            draws = N.RowDraws((optimiser.epoch * steps + step) * 7919 + seed, keys)
+            losses, *found, score = N.loss_and_gradient_sums(x, y, w, net, pos_weight, draws, peers)
+            hit = score > E.THRESHOLD
+            counts = [len(y), *losses, (hit & (y == 1)).sum(), (hit & (y == 0)).sum(),
+                      (~hit & (y == 1)).sum(), (~hit & (y == 0)).sum()]
+            summed = sum(peers.gather(np.concatenate([counts, *map(flatten, found)])))
+            n = summed[0]
+            if not n:
+                continue
+            flat = summed[len(_COUNTS):].reshape(2, size)
+            loss, grad = N.combined(n, summed[1:4], *(unflatten(f, w) for f in flat))
+            w = optimiser.update(w, grad)
+            totals["loss"] += loss * n
+            for name, value in zip(_COUNTS, summed, strict=False):
+                totals[name] += float(value)
+        if context.partitionId() == 0:
+            rows = [(kind, k, np.ascontiguousarray(a, np.float64).tobytes())
+                    for kind, group in (("weight", w), ("optimiser", optimiser.state()),
+                                        ("gradient", grad)) for k, a in group.items()]
+            rows += [("total", k, np.float64(v).tobytes()) for k, v in totals.items()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t)
+                 for i, t in enumerate((pa.string(), pa.string(), pa.binary()))],
+                names=["kind", "name", "data"],
+            )
+
+    share = F.pmod(F.xxhash64(F.lit("share"), "row_key"), F.lit(tasks))
+    dealt = rows.select("row_key", "idx", "val", "label", "batch").repartition(
+        tasks, share
+    ).sortWithinPartitions("batch")
+    found: dict[str, dict[str, np.ndarray]] = {
+        k: {} for k in ("weight", "optimiser", "gradient", "total")
+    }
+    passed = dealt.mapInArrow(run, "kind string, name string, data binary", barrier=True)
+    for row in passed.collect():  # one set of weights and moments
+        found[row.kind][row.name] = np.frombuffer(bytes(row.data))
+    like = {f"{m}.{k}": a for k, a in w.items() for m in ("first", "second")}
+    after = replace(optimiser, first={}, second={})
+    after.restore({k: a.reshape(like[k].shape) if k in like else a
+                   for k, a in found["optimiser"].items()})
+    return Passed(
+        {k: found["weight"][k].reshape(a.shape) for k, a in w.items()}, after,
+        {k: float(a[0]) for k, a in found["total"].items()},
+        {k: a.reshape(w[k].shape) for k, a in found["gradient"].items()},
+    )
+
+
 def batched_table(rows: DataFrame, steps: int, seed: int) -> tuple[DataFrame, str]:
     """(the rows as a table partitioned by batch, its path) in the shared folder."""
     spark = rows.sparkSession
@@ -289,7 +420,9 @@ def train(
     if not domain.weighted_loss:
         pos_weight = 1.0
     training = split.where(F.col("split") == "train")
-    steps = max(1, -(-training.count() // (batch_rows or domain.batch_rows)))
+    n_rows = training.count()
+    steps = max(1, -(-n_rows // (batch_rows or domain.batch_rows)))
+    tasks = epoch_tasks(split.sparkSession, n_rows, steps)
     train_rows, train_path = batched_table(training, steps, seed)
     val_rows, val_path = batched_table(split.where(F.col("split") == "validation"), 1, seed)
     best: Model | None = None
@@ -299,16 +432,10 @@ def train(
             best_in_round, waited = math.inf, 0
             saved_before = min(earlier_loss, best.loss if best else math.inf)
             for epoch in range(epochs or domain.epochs):
-                totals = dict.fromkeys(("loss", *_COUNTS), 0.0)
-                for step in range(steps):
-                    rows = train_rows.where(F.col("batch") == step)
-                    draw = (optimiser.epoch * steps + step) * 7919 + seed
-                    sums, grad = read_sums(
-                        gradient_sums(rows, w, domain, width, pos_weight, draw), w
-                    )
-                    if grad is not None:
-                        w = optimiser.update(w, grad)
-                        totals = {k: v + sums[k] for k, v in totals.items()}
+                passed = epoch_pass(
+                    train_rows, w, optimiser, domain, width, pos_weight, steps, seed, tasks
+                )
+                w, optimiser, totals = passed.weights, passed.optimiser, passed.totals
                 n, loss, tp, fp, fn, tn = (totals[k] for k in ("n", "loss", "tp", "fp", "fn", "tn"))
                 precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
                 v = validate(val_rows, w, domain, width, pos_weight)

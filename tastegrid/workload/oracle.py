@@ -28,7 +28,12 @@ def quoted(name: str) -> str:
 
 
 def ctes(*parts: tuple[str, str]) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in parts) + "\n"
+    """Where batch statistics are taken of a layer, what it is made from is read twice."""
+    layers = [name.removesuffix("_m") for name, _ in parts if name.endswith("_m")]
+    whole = {f"{at}_h" for at in layers} | ({"matrix", "scored"} if layers else set())
+    return "WITH " + ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name in whole else ''}({body})" for name, body in parts
+    ) + "\n"
 
 
 # -- cleaned tables --------------------------------------------------------------
@@ -174,11 +179,13 @@ def each(expression: str, size: int) -> str:
 
 
 def network(
-    source: str, net: NetworkConfig, width: int, keep: str, last_x: bool = False
+    source: str, net: NetworkConfig, width: int, keep: str, last_x: bool = False,
+    batch: bool = False,
 ) -> tuple[tuple[str, str], ...]:
     """CTEs that end in ``scored`` (keep…, score, score_deep, score_shallow); input x.
 
-    ``last_x`` also hands over deep_x and shallow_x, the inputs of the output layer.
+    ``last_x`` also hands over deep_x and shallow_x, the inputs of the output layer. With
+    ``batch`` the rows are one training batch, normalised by their own statistics.
     """
     half = width // 2
     parts, tensor, before = [], 0, source
@@ -209,7 +216,14 @@ def network(
             h = "h"
             if net.batch_norm:
                 h = each("(h[k] - nm[k]) / sqrt(nv[k] + 1e-5) * ng[k] + nb[k]", half)
-            parts.append((f"{at}_n", f"SELECT p.* EXCLUDE (h), {h} AS h FROM {at}_h p, {w}"))
+            also = ""
+            if net.batch_norm and batch:
+                h, also = h.replace("nm[k]", "bm[k]").replace("nv[k]", "bv[k]"), f", {at}_m"
+                parts.append((f"{at}_m", f"""
+SELECT list(m ORDER BY k) AS bm, list(v ORDER BY k) AS bv FROM (
+  SELECT k, avg(h) AS m, var_pop(h) AS v FROM (
+    SELECT unnest(h) AS h, unnest(range({half})) AS k FROM {at}_h) GROUP BY k)"""))
+            parts.append((f"{at}_n", f"SELECT p.* EXCLUDE (h), {h} AS h FROM {at}_h p, {w}{also}"))
             norm = each(
                 "(h[k] - list_avg(h)) / sqrt(list_var_pop(h) + 1e-5) * g[k] + o[k]", half
             ).replace("list_avg(h)", "m").replace("list_var_pop(h)", "s")
@@ -483,9 +497,9 @@ def _weighted_loss(score: str) -> str:
     )
 
 
+_CLASS_WEIGHT = "sqrt((count(*) - sum(label)) / sum(label)::DOUBLE)"
 _WEIGHTED = (
-    ("class_weight", """
-SELECT sqrt((count(*) - sum(label)) / sum(label)::DOUBLE) AS pos_w FROM matrix"""),
+    ("class_weight", f"SELECT {_CLASS_WEIGHT} AS pos_w FROM matrix"),
     ("weighted", """
 SELECT *, CASE WHEN label = 1 THEN pos_w ELSE 1 END AS w FROM scored, class_weight"""),
     ("losses", f"""
@@ -498,8 +512,8 @@ SELECT count(*) AS n, {_weighted_loss('score')} AS j, {_weighted_loss('score_dee
 )
 
 
-def _gradient_sql() -> str:
-    domain = DOMAINS["movie"]
+def _gradient_sql(domain: DomainConfig) -> str:
+    weight = _CLASS_WEIGHT if domain.weighted_loss else "max(1.0)"
     slope = "(CASE WHEN {0} > j THEN 2 * {0} - j ELSE 0 END)"
     base = "(1 - CASE WHEN d > j THEN d ELSE 0 END - CASE WHEN s > j THEN s ELSE 0 END)"
 
@@ -519,8 +533,8 @@ SELECT '{branch}.fc_w', k, sum(g * x) FROM (
     return ctes(
         *training(domain, "dense"),
         *network("matrix", domain.network, sum(widths(domain)),
-                 "username, content_id, profile_id, label", last_x=True),
-        *_WEIGHTED,
+                 "username, content_id, profile_id, label", last_x=True, batch=True),
+        ("class_weight", f"SELECT {weight} AS pos_w FROM matrix"), *_WEIGHTED[1:],
         ("slopes", f"SELECT *, {g('deep', 'd')} AS g_deep, {g('shallow', 's')} AS g_shallow "
                    "FROM weighted, losses"),
         ("parts", """
@@ -531,7 +545,6 @@ FROM losses UNION ALL""" + output("deep") + " UNION ALL " + output("shallow")),
     ) + "SELECT name, position::BIGINT AS position, round(value, 6) AS value FROM parts"
 
 
-GRADIENT_PASS = _gradient_sql()
 VALIDATION_PASS = scored(DOMAINS["movie"], "dense").rstrip() + ",\n" + ",\n".join(
     f"{name} AS ({body})" for name, body in _WEIGHTED
 ) + """
@@ -696,6 +709,16 @@ ORDER BY item_ord LIMIT 100""",
     **{f"training_matrix_{n}": _matrix_sql(DOMAINS[n], "wide") for n in ("clip", "music")},
     "training_matrix_all_dense": _matrix_sql(DOMAINS["all"], "dense"),
     "join_diagnostics": _diagnostics_sql(),
+    "join_estimates": ctes(*tables(DOMAINS["all"]), LOG["wide"]) + """
+SELECT (SELECT count(*) FROM log) AS log_rows,
+  (SELECT count(DISTINCT username) FROM log) AS log_usernames,
+  (SELECT count(DISTINCT content_id) FROM log) AS log_contents,
+  (SELECT count(DISTINCT username) FROM clean_users) AS usernames,
+  (SELECT count(DISTINCT content_id) FROM clean_items) AS contents,
+  (SELECT count(DISTINCT username) FROM log JOIN clean_users USING (username))
+    AS shared_usernames,
+  (SELECT count(DISTINCT content_id) FROM log JOIN clean_items USING (content_id))
+    AS shared_contents""",
     "content_overlap": ctes(*tables(DOMAINS["all"]), LOG["wide"]) + """
 SELECT content_id FROM log INTERSECT SELECT content_id FROM clean_items""",
     "class_distribution": ctes(*tables(DOMAINS["movie"]), LOG["wide"],
@@ -759,7 +782,8 @@ SELECT profile_id, rank, content_id, round(score, 7) AS score, rule_id FROM show
     **{f"topn_crossnet_{n}": ctes(*ranked("dense", DOMAINS[n])) + """
 SELECT profile_id, rank, content_id, round(score, 7) AS score FROM ranked"""
        for n in ("clip", "music", "all")},
-    "gradient_pass": GRADIENT_PASS,
+    "gradient_pass": _gradient_sql(DOMAINS["movie"]),
+    "gradient_pass_all": _gradient_sql(DOMAINS["all"]),
     "validation_pass": VALIDATION_PASS,
     "rulename": shown() + """
 SELECT p.profile_id AS pid, coalesce(string_agg(g.rule_id::VARCHAR, ',' ORDER BY first_rank), '')

@@ -224,6 +224,20 @@ def join_diagnostics(spark: SparkSession, d: str) -> DataFrame:
     return diagnostics.join_diagnostics(A.watch_log_wide(spark, d), clean_users(spark, d), items)
 
 
+def join_estimates(spark: SparkSession, d: str) -> DataFrame:
+    """Ids along the joins from sketches, the log's merged from those of its thirds."""
+    log, third = A.watch_log_wide(spark, d), F.pmod("profile_id", F.lit(3))
+    keys = ["username", "content_id"]
+    parts = log.groupBy(third.alias("part")).agg(F.count(F.lit(1)).alias("rows"), *[
+        F.theta_sketch_agg(F.col(k), diagnostics.SKETCH_LG_K).alias(k) for k in keys
+    ]).drop("part")
+    return diagnostics.join_estimates(
+        diagnostics.merged_sketches(parts),
+        diagnostics.id_sketches(clean_users(spark, d), ["username"]),
+        diagnostics.id_sketches(clean_items(spark, d, DOMAINS["all"]), ["content_id"]),
+    )
+
+
 def content_overlap(spark: SparkSession, d: str) -> DataFrame:
     return diagnostics.content_overlap(
         A.watch_log_wide(spark, d), clean_items(spark, d, DOMAINS["all"])
@@ -432,8 +446,8 @@ def scoring_counts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _pass_inputs(spark: SparkSession, d: str):
-    domain = DOMAINS["movie"]
+def _pass_inputs(spark: SparkSession, d: str, name: str = "movie"):
+    domain = DOMAINS[name]
     domain = replace(domain, network=replace(domain.network, dropout=0.0))
     features, rows = matrix(spark, d, domain, "dense")
     width = features.width
@@ -449,6 +463,20 @@ def gradient_pass(spark: SparkSession, d: str) -> DataFrame:
     sums, grad = T.read_sums(
         T.gradient_sums(rows, weights, domain, width, weight, seed=0), weights
     )
+    return _gradient_rows(spark, sums, grad)
+
+
+def gradient_pass_all(spark: SparkSession, d: str) -> DataFrame:
+    """The same for the deep network, normalised by the statistics of the whole batch: its
+    tasks, two at least, share the moments of every layer."""
+    domain, rows, weights, width = _pass_inputs(spark, d, "all")
+    rows = stored(rows.select("row_key", "idx", "val", "label", F.lit(0).alias("batch")), "batch")
+    tasks = max(2, T.epoch_tasks(spark, rows.count(), 1))
+    passed = T.epoch_pass(rows, weights, T.Adam(0.0), domain, width, 1.0, 1, 0, tasks)
+    return _gradient_rows(spark, passed.totals, passed.gradient)
+
+
+def _gradient_rows(spark: SparkSession, sums: dict, grad: N.Weights) -> DataFrame:
     found = [("loss", 0, sums["loss"] / sums["n"])]
     found += [(c, 0, sums[c]) for c in ("n", "tp", "fp", "fn", "tn")]
     for name in ("deep.fc_w", "deep.fc_b", "shallow.fc_w", "shallow.fc_b"):
@@ -534,6 +562,7 @@ QUERIES: dict[str, Query] = {
     **{f"training_matrix_{d}": training_matrix(d, "wide") for d in ("clip", "music")},
     "training_matrix_all_dense": training_matrix("all", "dense"),
     "join_diagnostics": join_diagnostics,
+    "join_estimates": join_estimates,
     "content_overlap": content_overlap,
     "class_distribution": class_distribution,
     "pos_weight": pos_weight,
@@ -565,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "result_documents": result_documents,
     "scoring_counts": scoring_counts,
     "gradient_pass": gradient_pass,
+    "gradient_pass_all": gradient_pass_all,
     "validation_pass": validation_pass,
     "train_history": train_history,
     "model_stored": model_stored,

@@ -106,3 +106,29 @@ def test_bce_of_certain_scores_is_bounded(spark):
     rows = spark.createDataFrame([(1.0, 0.0), (0.0, 1.0), (1.0, 1.0)], "y double, s double")
     got = [r.b for r in rows.select(E.bce(F.col("s"), F.col("y")).alias("b")).collect()]
     assert got == [100.0, 100.0, 0.0] and not any(math.isnan(b) for b in got)
+
+
+def test_estimates_from_merged_sketches(spark):
+    from tastegrid.operators import diagnostics as D
+
+    def side(start, n, *names):
+        return spark.range(start, start + n).select(*[F.col("id").cast("string").alias(c)
+                                                      for c in names])
+
+    log = side(0, 60_000, "username", "content_id")
+    parts = [D.id_sketches(log.where(F.col("username").cast("int") % 3 <= k), ["username", "content_id"])
+             for k in range(3)]  # overlapping parts
+    whole = D.merged_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    users, items = side(30_000, 50_000, "username"), side(59_000, 1_500, "content_id")
+    got = D.join_estimates(
+        whole, D.id_sketches(users, ["username"]), D.id_sketches(items, ["content_id"])).first()
+    assert got.contents == 1_500  # exact below 4,096
+    error = 4 / 64  # four standard errors
+    assert got.log_usernames == pytest.approx(60_000, rel=error)
+    assert got.usernames == pytest.approx(50_000, rel=error)
+    assert got.shared_usernames == pytest.approx(30_000, abs=error * 60_000)
+    assert got.shared_contents == pytest.approx(1_000, abs=error * 60_000)
+    none = D.id_sketches(log.limit(0), ["username", "content_id"])
+    empty = D.join_estimates(none, D.id_sketches(users, ["username"]),
+                             D.id_sketches(items, ["content_id"])).first()
+    assert (empty.log_rows, empty.log_usernames, empty.shared_contents) == (0, 0, 0)

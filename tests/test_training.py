@@ -3,8 +3,9 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tastegrid.config import DOMAINS
+from tastegrid.config import DOMAINS, NetworkConfig
 from tastegrid.operators import network as N
 from tastegrid.operators import training as T
 from tastegrid.plans.fit_model import fit_model
@@ -62,6 +63,53 @@ def test_gradient_does_not_depend_on_partitions(matrix, name, dropout):
             assert grad[k] == pytest.approx(wanted[k], abs=1e-9), (parts, k)
 
 
+@pytest.mark.parametrize("name,steps,counts", [
+    ("movie", 4, (1, 3)), ("batch norm", 2, (1, 2)), ("all", 4, (1,))])
+def test_an_epoch_is_the_loop_over_its_steps(matrix, name, steps, counts):
+    """Whatever the number of tasks, also where batch statistics are those of all of them."""
+    config = domain("all" if name == "batch norm" else name, learning_rate=0.02)
+    if name == "batch norm":
+        config = dataclasses.replace(config, network=NetworkConfig(
+            1, 1, clip=10.0, dropout=0.1, batch_norm=True, gated=True))
+    tenth = F.pmod("row_key", F.lit(10))
+    rows = matrix.withColumn("batch", F.when(tenth < 6, 0).when(
+        (tenth < 9) | (F.lit(steps) < 4), 1).otherwise(3))  # no rows in step 2
+    w = N.init_weights(WIDTH, config.network, 1)
+    ordered = rows.orderBy("row_key").collect()
+    adam, now, loss = T.Adam.of(config), dict(w), 0.0
+    for step in range(steps):
+        some = [r for r in ordered if r.batch == step]
+        if some:
+            draws = N.RowDraws(step * 7919 + 5, np.array([r.row_key for r in some]))
+            part, grad, _ = N.loss_and_gradient(
+                np.array([r.val for r in some]), np.array([r.label for r in some], float), now,
+                config.network, 1.3, draws)
+            now, loss = adam.update(now, grad), loss + part * len(some)
+    for tasks in counts:
+        passed = T.epoch_pass(rows, w, T.Adam.of(config), config, WIDTH, 1.3, steps, 5, tasks)
+        assert passed.totals["loss"] == pytest.approx(loss) and passed.totals["n"] == 900
+        assert passed.optimiser.step == adam.step == min(steps, 3)
+        for k in w:
+            assert passed.weights[k] == pytest.approx(now[k], abs=1e-9), (tasks, k)
+            assert passed.gradient[k] == pytest.approx(grad[k], abs=1e-9), (tasks, k)
+        for k, a in adam.state().items():
+            assert passed.optimiser.state()[k] == pytest.approx(a, abs=1e-9)
+
+
+def test_an_epoch_is_one_job_whatever_its_steps(spark, matrix):
+    config, tracker = domain("movie"), spark.sparkContext.statusTracker()
+    w = N.init_weights(WIDTH, config.network, 1)
+    jobs = []
+    for steps in (2, 30):
+        rows = matrix.withColumn("batch", F.pmod("row_key", F.lit(steps)))
+        group = f"epoch of {steps}"
+        spark.sparkContext.setJobGroup(group, group)
+        T.epoch_pass(rows, w, T.Adam.of(config), config, WIDTH, 1.0, steps, 5)
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
 def test_gradient_in_ranges(matrix, monkeypatch):
     config = domain("movie", network=dataclasses.replace(DOMAINS["movie"].network, dropout=0.0))
     w = N.init_weights(WIDTH, config.network, 1)
