@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tastegrid.session import ship_package, stored
+from tastegrid.session import Scratch, ship_package, stored
 
 CORRUPT = "_corrupt_record"
 #: Starts of so many ranges are sent to every task; more are joined to the text instead.
@@ -231,7 +231,9 @@ def _segments(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     )
 
 
-def _found(spark: SparkSession, segments: DataFrame, max_sent: int) -> DataFrame:
+def _found(
+    spark: SparkSession, segments: DataFrame, max_sent: int, scratch: Scratch
+) -> DataFrame:
     """Rows of ``_FOUND`` of all ranges.
 
     Files below Spark's least range are never cut and need no first pass. The starts
@@ -243,7 +245,7 @@ def _found(spark: SparkSession, segments: DataFrame, max_sent: int) -> DataFrame
     cut = segments.where(
         (F.col("size") > least) & (F.col("block_length") < F.col("size"))
     ).drop("block_length")
-    starts = stored(_starts(cut.mapInArrow(_sum_up, _RANGE)), "range-starts")
+    starts = scratch.stored(_starts(cut.mapInArrow(_sum_up, _RANGE)), "range-starts")
     text = segments.drop("block_length")
     if starts.count() <= max_sent:
         known = {(r.file, r.block): (r.quoted, r.depth, r.base) for r in starts.collect()}
@@ -319,7 +321,8 @@ def scan_records(
     """
     ship_package(spark)
     segments = _segments(spark, folder, pattern)
-    found = stored(_found(spark, segments, max_sent), "json-pieces")
+    scratch = Scratch(spark)
+    found = scratch.stored(_found(spark, segments, max_sent, scratch), "json-pieces")
     records = found.where(F.col("kind") == RECORD).select(
         "file", (F.col("block") + F.col("place")).alias("at"), "ok",
         F.col("body").cast("string").alias("body"),
@@ -347,5 +350,6 @@ def scan_records(
         F.col("file").alias("source_file"), F.col("bad").alias("records")
     )
     names = stored(broken, "broken-files")
+    scratch.clear()
     good = parsed.drop("ok").join(names.select("source_file"), "source_file", "left_anti")
     return good.select(*schema.fieldNames(), "source_file", "_at"), names
