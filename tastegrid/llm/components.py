@@ -6,26 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.joins import splittable_join
-from tastegrid.session import stored
+from tastegrid.session import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): the smallest node of its component.
 
     Large-star and small-star steps in turn until nothing changes; each brings nodes
     nearer to the smallest, in about log(nodes) rounds. A star's smallest node is aggregated
     and joined back so that a node with many neighbours can be split over tasks.
-    Each round's edges are stored. Self-loops and repeated edges are fine; nulls are left
-    out.
+    Each round's edges are stored and those of the round before deleted; the last ones, which
+    the result reads, go with ``scratch``. Self-loops and repeated edges are fine; nulls are
+    left out.
     """
-    kept = stored(_tidy(edges), "edges")
+    before = Scratch(edges.sparkSession)
+    kept = before.stored(_tidy(edges), "edges")
     state = _state(kept)
     while True:
-        kept = stored(_small_star(_large_star(kept)), "edges")
+        after = Scratch(edges.sparkSession)
+        kept = after.stored(_small_star(_large_star(kept)), "edges")
         now = _state(kept)
+        before.clear()
+        before = after
         if now == state:
             break
         state = now
+    if scratch is not None:
+        scratch.paths += before.paths
     roots = kept.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(
         kept.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -50,15 +50,15 @@ def exchange(
                 one = batch.slice(row, 1)
                 keys, extras = ask(one)
                 extras = np.ascontiguousarray(extras, extra)
-                edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) \
-                    if bits else np.zeros(1, np.uint64)
-                cut = np.append(np.searchsorted(keys, edges), len(keys))
-                some = np.flatnonzero(np.diff(cut))
+                ranges = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+                # the ranges that occur, from the block's own keys
+                first = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])[: len(keys)])
+                cuts = list(zip(first, [*first[1:], len(keys)], strict=True)) if len(first) else []
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(some.astype(np.int32)),
-                    pa.array(np.full(len(some), one.column("block")[0].as_py(), np.int64)),
-                    pa.array([keys[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()),
-                    pa.array([extras[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()),
+                    pa.array(ranges[first].astype(np.int32)),
+                    pa.array(np.full(len(first), one.column("block")[0].as_py(), np.int64)),
+                    pa.array([keys[a:b].tobytes() for a, b in cuts], pa.binary()),
+                    pa.array([extras[a:b].tobytes() for a, b in cuts], pa.binary()),
                 ], names=["bucket", "block", "keys", "extras"])
 
     def settle(table: pa.Table) -> pa.Table:
@@ -66,12 +66,12 @@ def exchange(
         extras, _ = items(table.column("extras"), extra)
         found = np.ascontiguousarray(answer(keys, extras, counts), reply)
         ends = np.cumsum(counts)
+        answers = [found[e - n : e].tobytes() for e, n in zip(ends, counts, strict=True)]
+        del keys, extras, found
+        give_back()
         return pa.table({
             "block": table.column("block"), "bucket": table.column("bucket"),
-            "answers": pa.array(
-                [found[e - n : e].tobytes() for e, n in zip(ends, counts, strict=True)],
-                pa.binary(),
-            ),
+            "answers": pa.array(answers, pa.binary()),
         })
 
     asked = blocks.select("block", *columns).mapInArrow(send, _ASKED)

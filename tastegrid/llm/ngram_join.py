@@ -9,12 +9,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.llm.batches import Runs, hash_words, items, map_slices, spans, split_words
+from tastegrid.llm.batches import Runs, give_back, hash_words, items, map_slices, spans, split_words
 from tastegrid.llm.components import components
 from tastegrid.llm.exchange import answers_of, exchange, key_bits, map_blocks
-from tastegrid.llm.scratch import Scratch
 from tastegrid.operators.joins import splittable_join
-from tastegrid.session import ship_package, stored
+from tastegrid.session import Scratch, ship_package, stored
 
 #: N-grams that one trie holds at most, about; beyond that a group is split.
 TASK_GRAMS = 1 << 20
@@ -141,7 +140,8 @@ def jaccard_components(docs: DataFrame, length: int, percent: int) -> DataFrame:
     unconnected against every part.
 
     Grams are 64-bit hashes, sets are told apart by 128 bits. A null or empty text has no
-    grams and is linked with nothing; a null doc_id has a component of its own, null.
+    grams and is linked with nothing; a null doc_id has a component of its own, null. Texts
+    of any length are whole sets; one of more grams than ``TASK_GRAMS`` is a part by itself.
     Rows that share an id are one document for the links. Other columns are not read.
     """
     spark = docs.sparkSession
@@ -163,7 +163,7 @@ def jaccard_components(docs: DataFrame, length: int, percent: int) -> DataFrame:
     members = scratch.stored(_members(found, classes, scratch), "members")
     sets = scratch.stored(_sets(docs, members, length), "gram-sets")
     links = _links(members, sets, percent, scratch)
-    roots = components(links)
+    roots = components(links, scratch)
     named = (
         classes.join(roots, classes["print"] == roots["node"], "left")
         .select("print", "doc_id", F.coalesce("root", "print").alias("root"))
@@ -243,7 +243,7 @@ def _across(
     hot: DataFrame, sets: DataFrame, inside: DataFrame, percent: int, scratch: Scratch
 ) -> DataFrame:
     """Links of split groups between sets that their parts have left unconnected."""
-    roots = components(inside)
+    roots = components(inside, scratch)
     known = hot.join(roots, hot["print"] == roots["node"], "left").select(
         *hot.columns, F.coalesce("root", "print").alias("root")
     )
@@ -292,6 +292,8 @@ def _joined(rows: DataFrame, sets: DataFrame, bundles: int, percent: int) -> Dat
                 ):
                     a.append(prints[group[x]])
                     b.append(prints[group[y]])
+        del grams
+        give_back()
         return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
 
     return tasks.groupBy("bundle", "part", "other").applyInArrow(run, _EDGES)

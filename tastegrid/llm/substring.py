@@ -19,8 +19,7 @@ from tastegrid.llm.batches import (
     window_starts,
 )
 from tastegrid.llm.exchange import answers_of, exchange, key_bits, map_blocks
-from tastegrid.llm.scratch import Scratch
-from tastegrid.session import stored
+from tastegrid.session import Scratch, stored
 
 #: No window shorter than this is looked at.
 LEAST = 20

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -71,6 +73,82 @@ def test_codewords_differ(n):
         assert all(len(set(bit)) == 2 for bit in codes.T)
 
 
+def plain_grams(text):
+    raw = [b if b >= 128 else ord(chr(b).lower()) if chr(b).isalpha() else 32
+           for b in text.lower().encode()]
+    out = []
+    for a, b, c in zip(raw, raw[1:], raw[2:], strict=False):
+        out.append(((((a << 16) | (b << 8) | c) * 0x9E3779B1) % 2**32) >> 16)
+    return out
+
+
+def test_scores_are_those_of_a_plain_model(spark, labelled, model):
+    """Counts, log ratios, trust and distances written with loops over single n-grams."""
+    languages = sorted(SYLLABLES)
+    size, smooth = language_id.FEATURES, language_id.SMOOTHING
+    rows = [*labelled, ("", "aa")]
+    counts = {lang: {} for lang in languages}
+    for text, lang in rows:
+        for g in plain_grams(text):
+            counts[lang][g] = counts[lang].get(g, 0) + 1
+
+    def share(lang, g):
+        return (counts[lang].get(g, 0) + smooth) / (sum(counts[lang].values()) + smooth * size)
+
+    codes = language_id.code_matrix(4)
+    bits = codes.shape[1]
+
+    def margin(text, bit):
+        found = plain_grams(text)
+        total = 0.0
+        for g in found:
+            sides = [[share(x, g) for x, c in zip(languages, codes[:, bit], strict=True) if c == s]
+                     for s in (1, -1)]
+            total += math.log(np.mean(sides[0]) / np.mean(sides[1]))
+        return total / math.sqrt(len(found)) if found else 0.0
+
+    right = {lang: [0] * bits for lang in languages}
+    n = dict.fromkeys(languages, 0)
+    for text, lang in rows:
+        n[lang] += 1
+        for b in range(bits):
+            right[lang][b] += margin(text, b) * codes[languages.index(lang), b] > 0
+    trust = {}
+    for lang in languages:
+        raw = [(right[lang][b] + 1) / (n[lang] + 2) for b in range(bits)]
+        trust[lang] = [x / sum(raw) for x in raw]
+    rng = np.random.default_rng(8)
+    texts = [prose(rng, lang, k) for k in (1, 2, 5) for lang in languages] + ["Ba KRI, öm!", "zzz"]
+    found = language_id.predict(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"), model)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in found.collect()}
+    for k, text in enumerate(texts):
+        loss = {
+            lang: sum(trust[lang][b] * math.log1p(math.exp(-margin(text, b) * codes[i, b]))
+                      for b in range(bits)) for i, lang in enumerate(languages)
+        }
+        best, second = sorted(loss, key=loss.get)[:2]
+        assert got[k][0] == best
+        assert got[k][1] == pytest.approx(loss[second] / (loss[best] + loss[second]), rel=1e-4)
+
+
+def test_empty_tables(spark, model):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert language_id.predict(none, model).collect() == []
+    assert language_id.keep_told(none, model).collect() == []
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.score(none, toxicity.train(none, labels)).collect() == []
+
+
+def test_very_long_texts(spark, model):
+    rng = np.random.default_rng(3)
+    docs = spark.createDataFrame(
+        [(1, " ".join([prose(rng, "bb", 50)] * 4_000)), (2, "x")], "doc_id long, text string")
+    assert language_id.predict(docs, model).collect()[0].lang_pred == "bb"
+    fitted = toxicity.train(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    assert [0 <= r.score <= 1 for r in toxicity.score(docs, fitted).collect()] == [True, True]
+
+
 def test_grams_stay_inside_texts():
     found, counts = language_id.grams(pa.array(["abcd", "", "ab", None, "x", "abc"]))
     assert counts.tolist() == [2, 0, 0, 0, 0, 1]
