@@ -468,10 +468,11 @@ def gradient_pass(spark: SparkSession, d: str) -> DataFrame:
 
 def gradient_pass_all(spark: SparkSession, d: str) -> DataFrame:
     """The same for the deep network, normalised by the statistics of the whole batch: its
-    tasks, two at least, share the moments of every layer."""
+    tasks, two at least where there are slots, share the moments of every layer."""
     domain, rows, weights, width = _pass_inputs(spark, d, "all")
     rows = stored(rows.select("row_key", "idx", "val", "label", F.lit(0).alias("batch")), "batch")
-    tasks = max(2, T.epoch_tasks(spark, rows.count(), 1))
+    slots = spark.sparkContext.defaultParallelism
+    tasks = min(slots, max(2, T.epoch_tasks(spark, rows.count(), 1)))
     passed = T.epoch_pass(rows, weights, T.Adam(0.0), domain, width, 1.0, 1, 0, tasks)
     return _gradient_rows(spark, passed.totals, passed.gradient)
 
