@@ -71,21 +71,60 @@ def _standardise_grad(grad: np.ndarray, z: np.ndarray, sd: np.ndarray) -> np.nda
     ) / sd
 
 
-class Alone:
-    """A block that is the whole batch. Others gather an array from every block of it."""
-
-    def gather(self, part: np.ndarray) -> list[np.ndarray]:
-        return [part]
+class Waits(Exception):
+    """A block needs something of the whole batch that is not known yet."""
 
 
-def _batch_moments(h: np.ndarray, peers) -> tuple[float, np.ndarray, np.ndarray]:
+class Alone:
+    """A block that is the whole batch."""
+
+    def merged(self, key: tuple, part: np.ndarray, merge) -> np.ndarray:
+        return merge([part])
+
+
+class Passes:
+    """Blocks of a batch that is read several times. A pass takes each block as far as what
+    is known of the whole batch reaches, and merges what the blocks say of the next step."""
+
+    def __init__(self):
+        self.known: dict[tuple, np.ndarray] = {}
+        self.parts: dict[tuple, tuple] = {}
+
+    def merged(self, key: tuple, part: np.ndarray, merge) -> np.ndarray:
+        if key not in self.known:
+            if key in self.parts:
+                part = merge([self.parts[key][0], part])
+            self.parts[key] = (part, merge)
+            raise Waits
+        return self.known[key]
+
+    def settle(self, gather) -> bool:
+        """Merge the parts of this pass over all tasks, in one message; False if there are none."""
+        keys, parts = sorted(self.parts), self.parts
+        self.parts = {}
+        if keys:
+            told = gather(np.concatenate([parts[k][0].ravel() for k in keys]))
+            at = 0
+            for k in keys:
+                part, merge = parts[k]
+                self.known[k] = merge([t[at:at + part.size].reshape(part.shape) for t in told])
+                at += part.size
+        return bool(keys)
+
+
+def _merged_moments(parts: list[np.ndarray]) -> np.ndarray:
+    """(rows, mean, sum of squared deviations) of several blocks as those of one."""
+    n = sum(p[0] for p in parts)
+    mean = sum(p[0] * p[1] for p in parts) / np.maximum(n, 1.0)
+    return np.stack([n, mean, sum(p[2] + p[0] * (p[1] - mean) ** 2 for p in parts)])
+
+
+def _batch_moments(h: np.ndarray, peers, key: tuple) -> tuple[float, np.ndarray, np.ndarray]:
     """(rows, mean, sum of squared deviations) of the batch, merged from those of its blocks."""
     mean = h.mean(axis=0) if len(h) else np.zeros(h.shape[1])
     own = np.stack([np.full(h.shape[1], float(len(h))), mean, ((h - mean) ** 2).sum(axis=0)])
-    parts = peers.gather(own)
-    n = sum(p[0][0] for p in parts) or 1.0
-    overall = sum(p[0] * p[1] for p in parts) / n
-    return n, overall, sum(p[2] + p[0] * (p[1] - overall) ** 2 for p in parts)
+    n, overall, square = peers.merged(key, own, _merged_moments)
+    return n[0] or 1.0, overall, square
 
 
 def branch_logit(
@@ -102,7 +141,7 @@ def branch_logit(
         h = x @ w[f"{at}.w"].T
         if net.batch_norm:
             if draws is not None:
-                t["bn_n"], mean, square = _batch_moments(h, peers)
+                t["bn_n"], mean, square = _batch_moments(h, peers, (branch, layer, "moments"))
                 t["bn_stats"] = (mean, square / max(t["bn_n"] - 1.0, 1.0))
                 t["bn_sd"] = np.sqrt(square / t["bn_n"] + BN_EPS)
                 z = (h - mean) / t["bn_sd"]
@@ -135,9 +174,9 @@ def branch_logit(
 
 
 def branch_gradient(
-    grad_logit, last_x, w: Weights, net: NetworkConfig, branch: str, tape, out, peers
+    grad_logit, last_x, w: Weights, net: NetworkConfig, branch: str, tape, out, peers, of: str
 ):
-    """Add the branch's weight gradients to ``out``, last layer first."""
+    """Add the branch's weight gradients to ``out``, last layer first; ``of`` names the loss."""
     half = last_x.shape[1] // 2
     out[f"{branch}.fc_w"] = last_x.T @ grad_logit
     out[f"{branch}.fc_b"] = np.array([grad_logit.sum()])
@@ -169,7 +208,9 @@ def branch_gradient(
             out[f"{at}.bn_g"], out[f"{at}.bn_b"] = (g_h * t["bn_z"]).sum(0), g_h.sum(0)
             out[f"{at}.bn_mean"], out[f"{at}.bn_var"] = t["bn_stats"]
             g_z, z = g_h * w[f"{at}.bn_g"], t["bn_z"]
-            of_z, along_z = sum(peers.gather(np.stack([g_z.sum(0), (g_z * z).sum(0)])))
+            of_z, along_z = peers.merged(
+                (branch, layer, of), np.stack([g_z.sum(0), (g_z * z).sum(0)]), sum
+            )
             g_h = (g_z - of_z / t["bn_n"] - z * along_z / t["bn_n"]) / t["bn_sd"]
         out[f"{at}.w"] = g_h.T @ t["x"]
         if layer:
@@ -209,13 +250,18 @@ def loss_and_gradient_sums(
     """Sums over one block, which add up over blocks: the joint, deep and shallow losses, the
     gradient of the joint loss, the gradients of each branch's own loss; and the scores.
 
-    Blocks that are ``peers`` share their batch statistics; each of them must call this once
-    a batch, without rows as well."""
+    Blocks that are ``peers`` share their batch statistics; where these are not known yet,
+    both branches go as far as they get, and it ``Waits``."""
     peers = peers or Alone()
-    tapes, logits, lasts = {}, {}, {}
+    tapes, logits, lasts, waits = {}, {}, {}, False
     for b, layers in branches(net):
         tapes[b] = []
-        logits[b], lasts[b] = branch_logit(x, w, net, b, layers, draws, tapes[b], peers)
+        try:
+            logits[b], lasts[b] = branch_logit(x, w, net, b, layers, draws, tapes[b], peers)
+        except Waits:
+            waits = True
+    if waits:
+        raise Waits
     weight = np.where(y == 1, pos_weight, 1.0)
     joint = sigmoid((logits["deep"] + logits["shallow"]) * 0.5)
 
@@ -228,8 +274,13 @@ def loss_and_gradient_sums(
     for b in logits:
         p = sigmoid(logits[b])
         losses.append(loss(p))
-        branch_gradient(weight * (joint - y) * 0.5, lasts[b], w, net, b, tapes[b], of_joint, peers)
-        branch_gradient(weight * (p - y), lasts[b], w, net, b, tapes[b], of_own, peers)
+        for of, grad, out in (("joint", (joint - y) * 0.5, of_joint), ("own", p - y, of_own)):
+            try:
+                branch_gradient(weight * grad, lasts[b], w, net, b, tapes[b], out, peers, of)
+            except Waits:
+                waits = True
+    if waits:
+        raise Waits
     for k in of_joint:
         if is_statistic(k):  # a block's statistic counts with its rows
             of_joint[k], of_own[k] = of_joint[k] * len(y), np.zeros_like(of_own[k])

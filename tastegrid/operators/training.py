@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import math
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
@@ -32,6 +33,8 @@ RANGE = 1 << 16
 #: Tasks of a barrier stage wait a second for each other's message, so a small batch is
 #: faster in one of them.
 STEP_ROWS, SHARE_ROWS = 1 << 16, 100_000_000
+#: Rows of a block of a batch that is read in blocks; the working arrays stay in the cache.
+PASS_ROWS = 512
 _COUNTS = ("n", "joint", "deep", "shallow", "tp", "fp", "fn", "tn")
 _SUMS_DDL = (
     "range bigint, " + ", ".join(f"{c} double" for c in _COUNTS) + ", of_joint binary, of_own binary"
@@ -198,34 +201,109 @@ def read_sums(sums: DataFrame, like: N.Weights) -> tuple[dict[str, float], N.Wei
     return {"loss": loss * counts["n"], **counts}, grad
 
 
-class _Peers:
-    """The tasks of a barrier stage, each with its block of the batch."""
-
-    def __init__(self, context: BarrierTaskContext):
-        self.context = context
-
-    def gather(self, part: np.ndarray) -> list[np.ndarray]:
-        """The arrays of all tasks, in the order of the tasks."""
-        sent = base64.b64encode(np.ascontiguousarray(part, np.float64)).decode()
-        found = self.context.allGather(sent)
-        return [np.frombuffer(base64.b64decode(m)).reshape(part.shape) for m in found]
+class _Share:
+    """A task's rows of one batch, read any number of times.
 
+    Up to ``size`` rows stay in memory and are one block; more lie in a local file that has
+    no name and goes with the task, and are read in blocks of ``PASS_ROWS`` at most.
+    """
 
-def _steps(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.Table | None]:
-    """The rows of each step, from rows in the order of their ``batch``; None for no rows."""
-    held: dict[int, list[pa.RecordBatch]] = {}
-    given = 0
+    def __init__(self, size: int):
+        self.size, self.held, self.n_held, self.file, self.writer = size, [], 0, None, None
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.held.append(batch)
+        self.n_held += batch.num_rows
+        if self.n_held <= self.size:
+            return
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+            self.writer = pa.ipc.new_stream(self.file, batch.schema)
+        table = pa.Table.from_batches(self.held).combine_chunks()
+        full = (self.n_held - 1) // self.size * self.size
+        for block in table.slice(0, full).to_batches(max_chunksize=min(self.size, PASS_ROWS)):
+            self.writer.write_batch(block)
+        self.held = table.slice(full).to_batches()
+        self.n_held -= full
+
+    def whole(self) -> bool:
+        """Whether one block holds all rows."""
+        return self.file is None
+
+    def blocks(self) -> Iterator[pa.Table]:
+        if self.file is not None:
+            if self.writer is not None:
+                self.writer.close()
+                self.writer = None
+            self.file.seek(0)
+            for block in pa.ipc.open_stream(self.file):
+                yield pa.Table.from_batches([block])
+        if self.held:
+            rest = pa.Table.from_batches(self.held).combine_chunks()
+            rows = rest.num_rows if self.whole() else min(self.size, PASS_ROWS)
+            yield from (rest.slice(k, rows) for k in range(0, rest.num_rows, rows))
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+def _steps(batches: Iterator[pa.RecordBatch], steps: int, size: int) -> Iterator[_Share]:
+    """The rows of each step, from rows in the order of their ``batch``."""
+    given, share = 0, _Share(size)
     for whole in batches:
         numbers = whole.column("batch").to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
-                for step in range(given, int(numbers[a])):
-                    yield pa.Table.from_batches(held.pop(step)) if step in held else None
+                for _ in range(given, int(numbers[a])):
+                    yield share
+                    share.close()
+                    share = _Share(size)
                 given = int(numbers[a])
-                held.setdefault(given, []).append(whole.slice(a, b - a))
-    for step in range(given, steps):
-        yield pa.Table.from_batches(held.pop(step)) if step in held else None
+                share.add(whole.slice(a, b - a))
+    for _ in range(given, steps):
+        yield share
+        share.close()
+        share = _Share(size)
+
+
+def _share_sums(
+    share: _Share, w: N.Weights, domain: DomainConfig, width: int, pos_weight: float,
+    seed: int, gather: Callable[[np.ndarray], list[np.ndarray]], tasks: int,
+) -> np.ndarray:
+    """Counts, losses and flat gradients of one task's share of a batch, block by block.
+
+    A network without batch norm reads the rows once. Batch statistics take a pass for each
+    layer forwards and backwards, and the tasks merge what a pass has found: the moments of
+    a layer are needed before any block goes on to the next one.
+    """
+    net, size = domain.network, sum(a.size for a in w.values())
+    passes = N.Alone() if share.whole() and tasks == 1 else N.Passes()
+
+    def one(block: pa.Table | None) -> np.ndarray:
+        x, y, keys = np.zeros((0, width)), np.zeros(0), np.zeros(0, np.int64)
+        if block is not None:
+            x = dense_block(block["idx"], block["val"], width)
+            y, keys = block["label"].to_numpy().astype(float), block["row_key"].to_numpy()
+        losses, *found, score = N.loss_and_gradient_sums(
+            x, y, w, net, pos_weight, N.RowDraws(seed, keys), passes
+        )
+        hit = score > E.THRESHOLD
+        counts = [len(y), *losses, (hit & (y == 1)).sum(), (hit & (y == 0)).sum(),
+                  (~hit & (y == 1)).sum(), (~hit & (y == 0)).sum()]
+        return np.concatenate([counts, *map(flatten, found)])
+
+    while True:
+        summed, waits = np.zeros(len(_COUNTS) + 2 * size), False
+        for block in share.blocks() if share.n_held else [None]:
+            try:
+                summed += one(block)
+            except N.Waits:
+                waits = True
+        if not waits:
+            return summed
+        passes.settle(gather)
 
 
 @dataclass
@@ -251,36 +329,35 @@ def epoch_pass(
     """One epoch over ``rows`` (row_key, label, idx, val, batch from 0 to ``steps`` - 1) as one
     barrier stage: a job for the epoch, whatever its number of steps.
 
-    Each task has a share of every batch and reads its rows in the order of the batches, so
-    it holds one share of one batch. In a step the tasks gather each other's gradient sums
-    (and in a network with batch norm the moments of the whole batch, forwards and backwards)
-    and all make the same update. How many ``tasks`` follows the rows of a batch
+    Each task has a share of every batch and reads its rows in the order of the batches, in
+    blocks of ``domain.batch_rows`` at most, so it holds one block (``_Share``). In a step the tasks
+    gather each other's gradient sums (and in a network with batch norm the moments of the
+    whole batch, forwards and backwards) and all make the same update. How many ``tasks`` follows the rows of a batch
     (``epoch_tasks``), as every message goes to all of them. A lost task starts the epoch
     again from the weights it began with.
     """
-    net, spark = domain.network, rows.sparkSession
+    spark, block_rows = rows.sparkSession, domain.batch_rows
     ship_package(spark)
     shared = spark.sparkContext.broadcast((w, optimiser))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
-        peers = _Peers(context) if tasks > 1 else N.Alone()
+
+        def gather(part: np.ndarray) -> list[np.ndarray]:
+            """The arrays of all tasks, in the order of the tasks."""
+            if tasks == 1:
+                return [part]
+            sent = base64.b64encode(np.ascontiguousarray(part, np.float64)).decode()
+            return [np.frombuffer(base64.b64decode(m)) for m in context.allGather(sent)]
+
         w, optimiser = shared.value
         totals, grad = dict.fromkeys(("loss", *_COUNTS), 0.0), {}
         size = sum(a.size for a in w.values())
-        for step, table in enumerate(_steps(batches, steps)):
-            x, y, keys = np.zeros((0, width)), np.zeros(0), np.zeros(0, np.int64)
-            if table is not None:
-                table = table.combine_chunks()
-                x = dense_block(table["idx"], table["val"], width)
-                y = table["label"].to_numpy().astype(float)
-                keys = table["row_key"].to_numpy()
-            draws = N.RowDraws((optimiser.epoch * steps + step) * 7919 + seed, keys)
-            losses, *found, score = N.loss_and_gradient_sums(x, y, w, net, pos_weight, draws, peers)
-            hit = score > E.THRESHOLD
-            counts = [len(y), *losses, (hit & (y == 1)).sum(), (hit & (y == 0)).sum(),
-                      (~hit & (y == 1)).sum(), (~hit & (y == 0)).sum()]
-            summed = sum(peers.gather(np.concatenate([counts, *map(flatten, found)])))
+        for step, rows in enumerate(_steps(batches, steps, block_rows)):
+            draws = (optimiser.epoch * steps + step) * 7919 + seed
+            summed = sum(gather(
+                _share_sums(rows, w, domain, width, pos_weight, draws, gather, tasks)
+            ))
             n = summed[0]
             if not n:
                 continue

@@ -2,6 +2,7 @@ import dataclasses
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,6 +97,38 @@ def test_an_epoch_is_the_loop_over_its_steps(matrix, name, steps, counts):
             assert passed.optimiser.state()[k] == pytest.approx(a, abs=1e-9)
 
 
+@pytest.mark.parametrize("name", ["movie", "all"])
+@pytest.mark.parametrize("size", [64, 450, 900])
+def test_a_batch_of_any_size_is_read_in_blocks(name, size, monkeypatch):
+    """A task holds one block of a batch, also where batch statistics are those of all rows."""
+    config = dataclasses.replace(DOMAINS[name], batch_rows=size)
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(900, WIDTH)), (rng.random(900) > 0.5).astype(float)
+    w = N.init_weights(WIDTH, config.network, 1)
+    loss, wanted, _ = N.loss_and_gradient(x, y, w, config.network, 1.3,
+                                          N.RowDraws(11, np.arange(900)))
+    whole = pa.RecordBatch.from_pydict({
+        "row_key": np.arange(900), "idx": [list(range(WIDTH))] * 900, "val": x.tolist(),
+        "label": y, "batch": np.zeros(900, np.int32)})
+    seen, sums = [], N.loss_and_gradient_sums
+    monkeypatch.setattr(N, "loss_and_gradient_sums",
+                        lambda x, *more: seen.append(len(x)) or sums(x, *more))
+    batches = [whole.slice(k, 130) for k in range(0, 900, 130)]
+    shares = T._steps(iter(batches), 2, config.batch_rows)
+    found = T._share_sums(next(shares), w, config, WIDTH, 1.3, 11, lambda part: [part], 1)
+    assert max(seen) == min(size, 900) and found[0] == 900
+    if name == "movie":
+        assert sum(seen) == 900  # one pass
+    n = sum(a.size for a in w.values())
+    flat = found[len(T._COUNTS):].reshape(2, n)
+    got_loss, got = N.combined(900, found[1:4], *(T.unflatten(f, w) for f in flat))
+    assert got_loss == pytest.approx(loss)
+    for k in w:
+        assert got[k] == pytest.approx(wanted[k], abs=1e-9), k
+    empty = T._share_sums(next(shares), w, config, WIDTH, 1.3, 11, lambda part: [part], 1)
+    assert not empty.any()
+
+
 def test_an_epoch_is_one_job_whatever_its_steps(spark, matrix):
     config, tracker = domain("movie"), spark.sparkContext.statusTracker()
     w = N.init_weights(WIDTH, config.network, 1)
