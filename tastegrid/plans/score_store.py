@@ -24,6 +24,8 @@ from tastegrid.sources.tables import table_exists
 
 #: Pairs of a class and an item that one wave scores, about.
 WAVE_PAIRS = 20_000_000_000
+#: Waves of a run, at most: each costs jobs and reads the items, so their number is bounded.
+MAX_WAVES = 16
 RANKED = (
     "class_a bigint, class_b bigint, content_id string, score double, item_ord bigint, rank int"
 )
@@ -81,7 +83,7 @@ class ScoreStore:
         done = self.committed().select(*CLASS).distinct()
         missing = stored(classes.join(done, [*CLASS], "left_anti"), "missing-classes")
         n = missing.count()
-        waves = max(1, -(-n * self.n_items // self.wave_pairs))
+        waves = min(MAX_WAVES, max(1, -(-n * self.n_items // self.wave_pairs)))
         wave = F.pmod(F.xxhash64(F.lit("wave"), *CLASS), F.lit(waves))
         for k in range(waves if n else 0):
             name, part = uuid.uuid4().hex, missing.where(wave == k)

@@ -164,6 +164,17 @@ def test_a_run_that_ended_half_way_is_completed(spark, world, tmp_path, monkeypa
     assert asked == []
 
 
+def test_waves_are_bounded(spark, world, tmp_path, monkeypatch):
+    log, features, weights = world
+    monkeypatch.setattr(score_store, "MAX_WAVES", 3)
+    store = score_store.ScoreStore.of(
+        spark, str(tmp_path / "ranks"), features.items, weights, 6, wave_pairs=1)
+    found = recommend.rank_profiles(log, features, weights, DOMAINS["movie"], 6, store=store)
+    assert store._log().count() == 3 and sum(r.classes for r in store._log().collect()) == 12
+    once = recommend.rank_profiles(log, features, weights, DOMAINS["movie"], 6)
+    assert lists(found) == lists(once)
+
+
 def test_an_empty_log_and_no_items(spark, world):
     log, features, weights = world
     empty = recommend.rank_profiles(log.limit(0), features, weights, DOMAINS["movie"], 6)
