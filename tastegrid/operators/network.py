@@ -224,6 +224,76 @@ def scores(x: np.ndarray, w: Weights, net: NetworkConfig):
     return sigmoid((deep + shallow) * 0.5), sigmoid(deep), sigmoid(shallow)
 
 
+class PairNetwork:
+    """Joint scores of one user's pairs with a block of items, evaluation mode, any depth.
+
+    The same rule as ``branch_logit``: columns are rows here, so that sums over them run
+    along the pairs; batch norm is part of the projection, and the items' share of the first
+    projection is made once for all users.
+    """
+
+    PAIRS = 512
+
+    def __init__(self, w: Weights, net: NetworkConfig, user_width: int, items: np.ndarray):
+        self.w, self.net, self.user_width = w, net, user_width
+        self.items = [np.ascontiguousarray(items[k:k + self.PAIRS].T)
+                      for k in range(0, len(items), self.PAIRS)]
+        self.layers = {}
+        for b, layers in branches(net):
+            for layer in range(layers):
+                at = f"{b}.{layer}"
+                scale, shift = np.ones(len(w[f"{at}.w"])), np.zeros(len(w[f"{at}.w"]))
+                if net.batch_norm:
+                    scale = w[f"{at}.bn_g"] / np.sqrt(w[f"{at}.bn_var"] + BN_EPS)
+                    shift = w[f"{at}.bn_b"] - w[f"{at}.bn_mean"] * scale
+                self.layers[at] = (w[f"{at}.w"] * scale[:, None], shift)
+        self.first = {b: [self.layers[f"{b}.0"][0][:, user_width:] @ x for x in self.items]
+                      for b, layers in branches(net) if layers}
+
+    def __call__(self, user: np.ndarray) -> np.ndarray:
+        own = {b: self.layers[f"{b}.0"][0][:, :self.user_width] @ user + self.layers[f"{b}.0"][1]
+               for b in self.first}
+        out = []
+        for k, items in enumerate(self.items):
+            x0 = np.empty((self.user_width + len(items), items.shape[1]))
+            x0[:self.user_width], x0[self.user_width:] = user[:, None], items
+            logits = [
+                self._logit(x0, b, layers, self.first[b][k] + own[b][:, None] if layers else None)
+                for b, layers in branches(self.net)
+            ]
+            out.append(sigmoid((logits[0] + logits[1]) * 0.5))
+        return np.concatenate(out)
+
+    def _logit(self, x0: np.ndarray, branch: str, layers: int, h: np.ndarray | None) -> np.ndarray:
+        w, net, half, x = self.w, self.net, len(x0) // 2, x0
+        for layer in range(layers):
+            at = f"{branch}.{layer}"
+            if layer:
+                weight, shift = self.layers[at]
+                h = weight @ x
+                h += shift[:, None]
+            normed = h - h.mean(axis=0)
+            normed /= np.sqrt((normed * normed).mean(axis=0) + LN_EPS)
+            normed *= w[f"{at}.ln_g"][:, None]
+            normed += w[f"{at}.ln_b"][:, None]
+            value = normed if net.normalise_cross else h
+            if net.gated:
+                gate = w[f"{at}.gate_w"] @ h
+                gate += w[f"{at}.gate_b"][:, None]
+                value = sigmoid(gate)
+                value *= h
+            z = np.zeros_like(x)
+            z[:half] = value
+            np.multiply(value, np.maximum(normed, 0.0), out=z[half:2 * half])
+            z += w[f"{at}.b"][:, None]
+            z *= x if (branch == "deep" and net.chain_deep) else x0
+            z += x
+            np.clip(z, -net.clip, net.clip, out=z)
+            z /= np.sqrt(np.einsum("ij,ij->j", z, z)) + NORM_EPS
+            x = z
+        return w[f"{branch}.fc_w"] @ x + w[f"{branch}.fc_b"][0]
+
+
 class RowDraws:
     """Uniform numbers that depend on a row's key, a layer and a unit, and on nothing else."""
 

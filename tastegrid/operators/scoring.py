@@ -28,8 +28,10 @@ from tastegrid.session import ship_package, stored
 
 MAX_ITEM_BYTES = 128 * 1024 * 1024
 TILE_CLASSES = 2_000
-#: Pairs that one task of the broadcast plan scores, about.
+#: Pairs that one task of the broadcast plan scores with two layers, about.
 TASK_PAIRS = 8_000_000
+#: Items of a block of the grid plan, at least, in lists of the best ``n``.
+BLOCK_LISTS = 256
 PIECE_ITEMS = 4096
 PIECE_CLASSES = 64
 DENSE_CELLS = 2_000_000
@@ -89,19 +91,36 @@ class ItemBlock:
     item_ord: np.ndarray
     x: np.ndarray
 
-    @classmethod
-    def from_arrow(cls, table: pa.Table, width: int) -> ItemBlock:
-        table = table.sort_by([("item_ord", "ascending"), ("content_id", "ascending")])
-        return cls(
-            np.asarray(table["content_id"].to_pylist(), dtype=object),
-            table["item_ord"].to_numpy(),
-            dense_block(table["idx"], table["val"], width),
-        )
+    def __len__(self) -> int:
+        return len(self.content_id)
 
     def piece(self, start: int, end: int) -> ItemBlock:
         return ItemBlock(self.content_id[start:end], self.item_ord[start:end], self.x[start:end])
 
 
+@dataclass
+class SparseItems:
+    """Encoded items in catalogue order, as positions and values; one piece is dense at a time."""
+
+    table: pa.Table
+    width: int
+
+    @classmethod
+    def from_arrow(cls, table: pa.Table, width: int) -> SparseItems:
+        order = [("item_ord", "ascending"), ("content_id", "ascending")]
+        return cls(table.sort_by(order).combine_chunks(), width)
+
+    def __len__(self) -> int:
+        return self.table.num_rows
+
+    def piece(self, start: int, end: int) -> ItemBlock:
+        part = self.table.slice(start, end - start)
+        return ItemBlock(
+            part["content_id"].to_numpy(), part["item_ord"].to_numpy(),
+            dense_block(part["idx"], part["val"], self.width),
+        )
+
+
 @dataclass
 class _Side:
     """One side's share of the pair sums of one branch; users and items look alike.
@@ -127,7 +146,8 @@ class PairScorer:
     The projection of a pair is the sum of the two sides' projections. In a single-layer
     network a column that is 0 in a pair stays 0, and the value-part columns add up to
     matrix products of the sides; only the masked columns are visited one by one. No
-    dense pair row is built. Deeper networks score dense pair blocks.
+    dense pair row is built. Deeper networks share the first projection, too, and take a
+    user's pairs in blocks that stay in the processor's cache (``N.PairNetwork``).
     """
 
     def __init__(self, items: ItemBlock, user_width: int, weights: N.Weights, net: NetworkConfig):
@@ -137,6 +157,7 @@ class PairScorer:
             max(net.deep_layers, net.shallow_layers) == 1 and not net.gated and not net.batch_norm
         )
         if not self.simple:
+            self.deep = N.PairNetwork(weights, net, user_width, items.x)
             return
         self.sides = {b: self._side(items.x, user_width, b) for b, _ in N.branches(net)}
         # Masked columns of each item: slot k holds the k-th one, value 0 where there is none.
@@ -178,6 +199,9 @@ class PairScorer:
             deep, shallow = (self._simple_branch(users[plain], b) for b, _ in N.branches(self.net))
             joint[plain] = N.sigmoid((deep + shallow) * 0.5)
         for row in np.flatnonzero(~plain):
+            if not self.simple:
+                joint[row] = self.deep(users[row])
+                continue
             pairs = np.hstack([np.tile(users[row], (len(self.items.x), 1)), self.items.x])
             joint[row] = N.scores(pairs, self.w, self.net)[0]
         return np.round(joint, SCORE_PLACES)
@@ -258,61 +282,70 @@ def largest(scores: np.ndarray, n: int) -> np.ndarray:
     return np.sort(np.concatenate([above, at]))
 
 
-def _scorers(items: ItemBlock, user_width: int, weights: N.Weights, net: NetworkConfig):
-    """The block in pieces whose working arrays stay in the processor's cache."""
-    cuts = range(0, len(items.x), PIECE_ITEMS)
-    return [
-        (start, PairScorer(items.piece(start, start + PIECE_ITEMS), user_width, weights, net))
-        for start in cuts
-    ]
+def _scorers(
+    items: ItemBlock | SparseItems, user_width: int, weights: N.Weights, net: NetworkConfig
+) -> Iterator[tuple[int, PairScorer]]:
+    """The items in pieces whose working arrays stay in the processor's cache, one at a time."""
+    for start in range(0, len(items), PIECE_ITEMS):
+        yield start, PairScorer(items.piece(start, start + PIECE_ITEMS), user_width, weights, net)
 
 
-def _best_items(batch, items: ItemBlock, scorers, n: int) -> Iterator[pa.RecordBatch]:
-    if not scorers:  # no items
+def _best_items(
+    classes: pa.Table, items: SparseItems, weights: N.Weights, net: NetworkConfig,
+    user_width: int, n: int,
+) -> Iterator[pa.RecordBatch]:
+    """The best ``n`` of ``items`` per class; a task holds one dense piece of each side."""
+    if not len(items):
         return
-    users = dense_block(batch.column("idx"), batch.column("val"), scorers[0][1].user_width)
-    prints = [batch.column(c).to_numpy(zero_copy_only=False) for c in CLASS]
-    for first in range(0, len(users), PIECE_CLASSES):
-        rows = users[first:first + PIECE_CLASSES]
-        kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in rows]
-        for start, scorer in scorers:
-            for p, scores in enumerate(scorer(rows)):
-                scores = np.where(np.isnan(scores), -np.inf, scores)
-                chosen = largest(scores, n)
-                kept[p].append((chosen + start, scores[chosen]))
-        best_at, best_score = [], []
-        for pieces in kept:
-            at = np.concatenate([a for a, _ in pieces])
-            scores = np.concatenate([s for _, s in pieces])
-            chosen = largest(scores, n)
-            best_at.append(at[chosen])
-            best_score.append(scores[chosen])
-        which = first + np.repeat(np.arange(len(rows)), [len(a) for a in best_at])
-        at, score = np.concatenate(best_at), np.concatenate(best_score)
-        yield pa.RecordBatch.from_arrays(
-            [
-                *[pa.array(p[which]) for p in prints],
-                pa.array(items.content_id[at], pa.string()), pa.array(items.item_ord[at]),
-                pa.array(score, mask=np.isneginf(score)),
-            ],
-            schema=_BEST_ARROW,
-        )
+    rows = max(PIECE_CLASSES, DENSE_CELLS // max(user_width, 1))
+    for some in (classes.slice(k, rows) for k in range(0, classes.num_rows, rows)):
+        users = dense_block(some["idx"], some["val"], user_width)
+        prints = [some[c].to_numpy() for c in CLASS]
+        best: list[tuple[np.ndarray, np.ndarray]] = [
+            (np.zeros(0, np.int64), np.zeros(0)) for _ in users
+        ]
+        for start, scorer in _scorers(items, user_width, weights, net):
+            for first in range(0, len(users), PIECE_CLASSES):
+                for p, scores in enumerate(scorer(users[first:first + PIECE_CLASSES]), first):
+                    scores = np.where(np.isnan(scores), -np.inf, scores)
+                    chosen = largest(scores, n)
+                    at = np.concatenate([best[p][0], chosen + start])
+                    scores = np.concatenate([best[p][1], scores[chosen]])
+                    chosen = largest(scores, n)
+                    best[p] = (at[chosen], scores[chosen])
+        for first in range(0, len(users), PIECE_CLASSES):
+            part = best[first:first + PIECE_CLASSES]
+            which = first + np.repeat(np.arange(len(part)), [len(a) for a, _ in part])
+            at, score = (np.concatenate([x[i] for x in part]) for i in (0, 1))
+            chosen = items.table.select(["content_id", "item_ord"]).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[pa.array(p[which]) for p in prints],
+                    *[c.combine_chunks().cast(t) for c, t in zip(
+                        chosen.columns, (pa.string(), pa.int64()), strict=True)],
+                    pa.array(score, mask=np.isneginf(score)),
+                ],
+                schema=_BEST_ARROW,
+            )
 
 
 def _broadcast_plan(
     classes, items, weights, net, user_width, item_width, n, tasks
 ) -> DataFrame:
-    block = ItemBlock.from_arrow(items.toArrow(), item_width)
+    block = SparseItems.from_arrow(items.toArrow(), item_width)
     shared = classes.sparkSession.sparkContext.broadcast((block, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, weights = shared.value
-        scorers = _scorers(block, user_width, weights, net)
-        for batch in batches:
-            yield from _best_items(batch, block, scorers, n)
+        held = list(batches)  # a task's classes follow its pairs
+        if held:
+            yield from _best_items(
+                pa.Table.from_batches(held), block, weights, net, user_width, n
+            )
 
     # Classes are few bytes and much work: the number of tasks follows the pairs.
-    tasks = tasks or max(1, -(-classes.count() * len(block.x) // TASK_PAIRS))
+    layers = net.deep_layers + net.shallow_layers
+    tasks = tasks or max(1, -(-classes.count() * len(block) * layers // (2 * TASK_PAIRS)))
     return classes.repartition(tasks, *CLASS).mapInArrow(run, BEST_SCHEMA)
 
 
@@ -324,10 +357,9 @@ def _grid_plan(
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.Table.from_batches([], schema=_BEST_ARROW)
-        block = ItemBlock.from_arrow(right, item_width)
-        scorers = _scorers(block, user_width, shared.value, net)
+        block = SparseItems.from_arrow(right, item_width)
         return pa.Table.from_batches(
-            list(_best_items(left.combine_chunks(), block, scorers, n)), schema=_BEST_ARROW
+            list(_best_items(left, block, shared.value, net, user_width, n)), schema=_BEST_ARROW
         )
 
     spread_classes = classes.withColumn(
@@ -389,10 +421,12 @@ def best_of_classes(
     width = weights["deep.fc_w"].shape[0]
     if width != user_width + item_width:
         raise ValueError(f"model width {width}, features {user_width} + {item_width}")
-    size = items.count() * width * 16
+    n_items = items.count()
+    size = n_items * width * 16
     if size <= max_item_bytes:
         return _broadcast_plan(classes, items, weights, net, user_width, item_width, n, tasks)
-    blocks = -(-size // max_item_bytes)
+    # a block gives its best n of each class, so blocks of few items would give all pairs
+    blocks = min(-(-size // max_item_bytes), max(1, n_items // (BLOCK_LISTS * n)))
     tiles = -(-classes.count() // tile_classes)
     return _grid_plan(
         classes, items, weights, net, user_width, item_width, n, int(blocks), max(1, int(tiles))

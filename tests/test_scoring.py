@@ -114,3 +114,31 @@ def test_scores_do_not_depend_on_partitions(spark, frames):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k]) and all(0 < s < 1 for s in a[k])
+
+
+@pytest.mark.parametrize("items_at_once", [5, 512])
+@pytest.mark.parametrize("name", list(NETS))
+def test_pair_network_follows_the_layer_rule(sides, name, items_at_once, monkeypatch):
+    monkeypatch.setattr(N.PairNetwork, "PAIRS", items_at_once)
+    users, items = sides
+    w = N.init_weights(USER_WIDTH + ITEM_WIDTH, NETS[name], 8)
+    rng = np.random.default_rng(4)
+    w = {k: v + rng.uniform(0.0, 0.3, v.shape) for k, v in w.items()}
+    scorer = N.PairNetwork(w, NETS[name], USER_WIDTH, items)
+    for user in users:
+        pairs = np.hstack([np.tile(user, (len(items), 1)), items])
+        assert np.abs(scorer(user) - N.scores(pairs, w, NETS[name])[0]).max() < 1e-14
+
+
+def test_blocks_of_few_items_do_not_give_all_pairs(frames, monkeypatch):
+    """However small a block may be, what blocks give is a small share of the pairs."""
+    net, made = NETS["movie"], []
+    plan = S._grid_plan
+    monkeypatch.setattr(
+        S, "_grid_plan", lambda *a: made.append(a[-2]) or plan(*a))
+    w = N.init_weights(USER_WIDTH + ITEM_WIDTH, net, 8)
+    for lists, blocks in ((256, 1), (10, 3)):
+        monkeypatch.setattr(S, "BLOCK_LISTS", lists)
+        pairs = S.best_pairs(*frames, w, net, USER_WIDTH, ITEM_WIDTH, 2, max_item_bytes=1,
+                             tile_classes=3)
+        assert pairs.count() == frames[0].count() * blocks * 2 and made[-1] == blocks
