@@ -17,6 +17,8 @@ from tastegrid.session import ship_package, stored
 
 #: Items, and rules, of one anchor that meet in a task.
 GROUP_ITEMS, GROUP_RULES = 100_000, 200_000
+#: Items of a group that are Python objects at a time.
+PIECE_ITEMS = 4_096
 
 
 def tag_map(tags: DataFrame, order: str | None = None) -> DataFrame:
@@ -143,13 +145,12 @@ def _walk(left: pa.Table, right: pa.Table) -> pa.Table:
     ):
         trie.add(path, (rule_ord, rule_id))
     ids, rules = [], []
-    for content_id, tags in zip(
-        left.column("content_id").to_pylist(), left.column("tags").to_pylist(), strict=True
-    ):
-        found = trie.best(tags, _NO_RULE)
-        if found is not _NO_RULE:
-            ids.append(content_id)
-            rules.append(found)
+    for part in left.select(["content_id", "tags"]).to_batches(max_chunksize=PIECE_ITEMS):
+        for content_id, tags in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            found = trie.best(tags, _NO_RULE)
+            if found is not _NO_RULE:
+                ids.append(content_id)
+                rules.append(found)
     return pa.table({
         "content_id": pa.array(ids, pa.string()),
         "rule_ord": pa.array([r[0] for r in rules], pa.int32()),

@@ -2,11 +2,13 @@
 
 Users with equal feature vectors are one class, which is scored once, however many
 profiles belong to it. Classes x items is never written out as rows: a task scores a block
-of classes against a block of items and emits the best ``n`` per class. Two plans give
+of classes against a block of items and emits the best ``n`` per class. Three plans give
 the same rows:
 
 * ``broadcast``: the encoded items fit the checked limit and travel once per executor;
   of the classes only their own short rows are shuffled, to spread the work.
+* ``streamed``: the items exceed the limit, but the classes are one tile. The classes
+  travel, and each task's items pass by in pieces; a task holds one piece and its lists.
 * ``grid``: classes and items are cut into bounded tiles, each side is repeated along
   the other's tiles, and each pair of tiles meets in one task.
 """
@@ -40,6 +42,7 @@ SCORE_PLACES = 12
 
 #: The 128-bit print of a feature vector: equal vectors are one class.
 CLASS = ("class_a", "class_b")
+IDS = ["content_id", "item_ord"]
 BEST_SCHEMA = (
     "class_a bigint, class_b bigint, content_id string, item_ord bigint, score double"
 )
@@ -290,6 +293,44 @@ def _scorers(
         yield start, PairScorer(items.piece(start, start + PIECE_ITEMS), user_width, weights, net)
 
 
+def _best_places(
+    users: np.ndarray, scorers: Iterator[tuple[int, PairScorer]], n: int
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places and scores of the best ``n`` items per user; the items come in catalogue order."""
+    best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in users]
+    for start, scorer in scorers:
+        for first in range(0, len(users), PIECE_CLASSES):
+            for p, scores in enumerate(scorer(users[first:first + PIECE_CLASSES]), first):
+                scores = np.where(np.isnan(scores), -np.inf, scores)
+                chosen = largest(scores, n)
+                at = np.concatenate([best[p][0], chosen + start])
+                scores = np.concatenate([best[p][1], scores[chosen]])
+                chosen = largest(scores, n)
+                best[p] = (at[chosen], scores[chosen])
+    return best
+
+
+def _best_rows(
+    classes: pa.Table, best: list[tuple[np.ndarray, np.ndarray]], ids: pa.Table
+) -> Iterator[pa.RecordBatch]:
+    """The found places as rows; ``ids`` holds content_id and item_ord of each place."""
+    prints = [classes[c].to_numpy() for c in CLASS]
+    for first in range(0, len(best), PIECE_CLASSES):
+        part = best[first:first + PIECE_CLASSES]
+        which = first + np.repeat(np.arange(len(part)), [len(a) for a, _ in part])
+        at, score = (np.concatenate([x[i] for x in part]) for i in (0, 1))
+        chosen = ids.take(pa.array(at))
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[pa.array(p[which]) for p in prints],
+                *[c.combine_chunks().cast(t) for c, t in zip(
+                    chosen.columns, (pa.string(), pa.int64()), strict=True)],
+                pa.array(score, mask=np.isneginf(score)),
+            ],
+            schema=_BEST_ARROW,
+        )
+
+
 def _best_items(
     classes: pa.Table, items: SparseItems, weights: N.Weights, net: NetworkConfig,
     user_width: int, n: int,
@@ -300,33 +341,31 @@ def _best_items(
     rows = max(PIECE_CLASSES, DENSE_CELLS // max(user_width, 1))
     for some in (classes.slice(k, rows) for k in range(0, classes.num_rows, rows)):
         users = dense_block(some["idx"], some["val"], user_width)
-        prints = [some[c].to_numpy() for c in CLASS]
-        best: list[tuple[np.ndarray, np.ndarray]] = [
-            (np.zeros(0, np.int64), np.zeros(0)) for _ in users
-        ]
-        for start, scorer in _scorers(items, user_width, weights, net):
-            for first in range(0, len(users), PIECE_CLASSES):
-                for p, scores in enumerate(scorer(users[first:first + PIECE_CLASSES]), first):
-                    scores = np.where(np.isnan(scores), -np.inf, scores)
-                    chosen = largest(scores, n)
-                    at = np.concatenate([best[p][0], chosen + start])
-                    scores = np.concatenate([best[p][1], scores[chosen]])
-                    chosen = largest(scores, n)
-                    best[p] = (at[chosen], scores[chosen])
-        for first in range(0, len(users), PIECE_CLASSES):
-            part = best[first:first + PIECE_CLASSES]
-            which = first + np.repeat(np.arange(len(part)), [len(a) for a, _ in part])
-            at, score = (np.concatenate([x[i] for x in part]) for i in (0, 1))
-            chosen = items.table.select(["content_id", "item_ord"]).take(pa.array(at))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[pa.array(p[which]) for p in prints],
-                    *[c.combine_chunks().cast(t) for c, t in zip(
-                        chosen.columns, (pa.string(), pa.int64()), strict=True)],
-                    pa.array(score, mask=np.isneginf(score)),
-                ],
-                schema=_BEST_ARROW,
-            )
+        best = _best_places(users, _scorers(items, user_width, weights, net), n)
+        yield from _best_rows(some, best, items.table.select(IDS))
+
+
+def _best_streamed(
+    classes: pa.Table, batches: Iterator[pa.RecordBatch], weights: N.Weights,
+    net: NetworkConfig, user_width: int, item_width: int, n: int,
+) -> Iterator[pa.RecordBatch]:
+    """The same of items that come in catalogue order: of those gone by only ids are held."""
+    ids: list[pa.Table] = []
+
+    def scorers() -> Iterator[tuple[int, PairScorer]]:
+        start = 0
+        for batch in batches:
+            items = SparseItems(pa.Table.from_batches([batch]), item_width)
+            # taken, not sliced: a slice keeps the whole batch in memory
+            ids.append(items.table.select(IDS).take(pa.array(np.arange(len(items)))))
+            for at, scorer in _scorers(items, user_width, weights, net):
+                yield start + at, scorer
+            start += len(items)
+
+    users = dense_block(classes["idx"], classes["val"], user_width)
+    best = _best_places(users, scorers(), n)
+    if ids:
+        yield from _best_rows(classes, best, pa.concat_tables(ids).combine_chunks())
 
 
 def _broadcast_plan(
@@ -349,6 +388,22 @@ def _broadcast_plan(
     return classes.repartition(tasks, *CLASS).mapInArrow(run, BEST_SCHEMA)
 
 
+def _streamed_plan(
+    classes, items, weights, net, user_width, item_width, n, blocks
+) -> DataFrame:
+    shared = classes.sparkSession.sparkContext.broadcast(
+        (classes.select(*CLASS, "idx", "val").toArrow(), weights)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, weights = shared.value
+        yield from _best_streamed(held, batches, weights, net, user_width, item_width, n)
+
+    return items.repartition(blocks, "content_id").sortWithinPartitions(
+        "item_ord", "content_id"
+    ).mapInArrow(run, BEST_SCHEMA)
+
+
 def _grid_plan(
     classes, items, weights, net, user_width, item_width, n, blocks, tiles
 ) -> DataFrame:
@@ -409,8 +464,8 @@ def best_of_classes(
     tile_classes: int = TILE_CLASSES,
     tasks: int | None = None,
 ) -> DataFrame:
-    """(class, content_id, item_ord, score): the best ``n`` items per class, in the grid
-    plan the best ``n`` of each block of items.
+    """(class, content_id, item_ord, score): the best ``n`` items per class, in the streamed
+    and the grid plan the best ``n`` of each block of items.
 
     ``classes``: a stored table of class, idx, val, as it is counted and read. ``items``:
     content_id, item_ord, idx, val, one row per content. The number of items is counted
@@ -426,10 +481,18 @@ def best_of_classes(
     if size <= max_item_bytes:
         return _broadcast_plan(classes, items, weights, net, user_width, item_width, n, tasks)
     # a block gives its best n of each class, so blocks of few items would give all pairs
-    blocks = min(-(-size // max_item_bytes), max(1, n_items // (BLOCK_LISTS * n)))
-    tiles = -(-classes.count() // tile_classes)
+    most, n_classes = max(1, n_items // (BLOCK_LISTS * n)), classes.count()
+    by_bytes = -(-size // max_item_bytes)
+    if n_classes <= tile_classes:
+        layers = net.deep_layers + net.shallow_layers
+        by_pairs = -(-n_classes * n_items * layers // (2 * TASK_PAIRS))
+        return _streamed_plan(
+            classes, items, weights, net, user_width, item_width, n,
+            int(min(max(by_bytes, by_pairs), most)),
+        )
     return _grid_plan(
-        classes, items, weights, net, user_width, item_width, n, int(blocks), max(1, int(tiles))
+        classes, items, weights, net, user_width, item_width, n, int(min(by_bytes, most)),
+        max(1, int(-(-n_classes // tile_classes))),
     )
 
 

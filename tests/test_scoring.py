@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tastegrid.config import DOMAINS, NetworkConfig
@@ -142,3 +143,29 @@ def test_blocks_of_few_items_do_not_give_all_pairs(frames, monkeypatch):
         pairs = S.best_pairs(*frames, w, net, USER_WIDTH, ITEM_WIDTH, 2, max_item_bytes=1,
                              tile_classes=3)
         assert pairs.count() == frames[0].count() * blocks * 2 and made[-1] == blocks
+
+
+def test_few_classes_stream_past_blocks_of_items(spark, frames, sides):
+    """Few classes, many items: no group of items is brought together in a task's Python."""
+    net, piece = NETS["movie"], 7
+    w = N.init_weights(USER_WIDTH + ITEM_WIDTH, net, 8)
+    classes = S.stored(S.classes_of(S.with_class(frames[0])), "classes")
+    plan = {"max_item_bytes": 6_000, "tile_classes": 1_000}
+    found = S.best_of_classes(classes, frames[1], w, net, USER_WIDTH, ITEM_WIDTH, 8, **plan)
+    assert "CoGroup" not in found._jdf.queryExecution().optimizedPlan().toString()
+    columns = (*S.CLASS, "rank", "content_id", "score")
+    wanted = S.best_of_classes(classes, frames[1], w, net, USER_WIDTH, ITEM_WIDTH, 8)
+    got, want = ({tuple(r[c] for c in columns) for r in R.top_n(x, 8, by=S.CLASS).collect()}
+                 for x in (found, wanted))
+    assert got == want and len(got) == 8 * classes.count()
+
+    block = pa.table({
+        "content_id": [f"c{i:02}" for i in range(60)], "item_ord": list(range(60)),
+        "idx": pa.array([np.flatnonzero(x) for x in sides[1]], pa.list_(pa.int32())),
+        "val": pa.array([x[x != 0] for x in sides[1]], pa.list_(pa.float64())),
+    })
+    held = classes.toArrow()
+    whole = S._best_items(held, S.SparseItems(block, ITEM_WIDTH), w, net, USER_WIDTH, 8)
+    pieces = S._best_streamed(
+        held, iter(block.to_batches(max_chunksize=piece)), w, net, USER_WIDTH, ITEM_WIDTH, 8)
+    assert pa.Table.from_batches(pieces).equals(pa.Table.from_batches(whole))
