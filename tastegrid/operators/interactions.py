@@ -37,24 +37,27 @@ def label(domain: DomainConfig) -> Column:
     return hit.cast("int")
 
 
+def _user_counts(views: DataFrame, users: DataFrame) -> DataFrame:
+    """(profile_id, content_id, _n): joined rows of views and users; null keys count apart."""
+    user_rows = users.groupBy("username").agg(F.count(F.lit(1)).alias("_u"))
+    return splittable_join(
+        views.select("profile_id", "content_id", "username"), user_rows, ["username"]
+    ).groupBy("profile_id", "content_id").agg(F.sum("_u").alias("_n"))
+
+
+def _item_rows(items: DataFrame) -> DataFrame:
+    return items.groupBy("content_id").agg(F.count(F.lit(1)).alias("_i"))
+
+
 def watch_counts(views: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """(profile_id, content_id, watch_count): joined rows of each pair, without joining the log.
+    """(profile_id, content_id, watch_count): joined rows of each pair.
 
-    The views are counted per profile, content and user, and each count is multiplied by
-    how many rows its user and its item have; these short tables are all that is joined.
-    Pairs with a null key have no count.
+    The views meet only how many rows their user has; a pair's sum is multiplied by how
+    many rows its item has. Pairs with a null key have no count.
     """
-    short = (
-        views.where(F.col("profile_id").isNotNull() & F.col("content_id").isNotNull())
-        .groupBy("profile_id", "content_id", "username").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    user_rows = users.groupBy("username").agg(F.count(F.lit(1)).alias("_u"))
-    item_rows = items.groupBy("content_id").agg(F.count(F.lit(1)).alias("_i"))
-    known = splittable_join(
-        splittable_join(short, user_rows, ["username"]), item_rows, ["content_id"]
-    )
-    return known.groupBy("profile_id", "content_id").agg(
-        F.sum(F.col("_n") * F.col("_u") * F.col("_i")).alias("watch_count")
+    known = views.where(F.col("profile_id").isNotNull() & F.col("content_id").isNotNull())
+    return splittable_join(_user_counts(known, users), _item_rows(items), ["content_id"]).select(
+        "profile_id", "content_id", (F.col("_n") * F.col("_i")).alias("watch_count")
     )
 
 
@@ -64,14 +67,29 @@ def labelled_views(
     """Joined distinct rows with watched share, watch count and label.
 
     ``users`` (by username) and ``items`` (by content_id, with content_duration) carry
-    any further columns and must be free of repeated rows.
+    any further columns and must be free of repeated rows. The number of rows of an item
+    comes with the item, so that the pairs need no join with the items for it.
     """
-    views = distinct_views(log)
-    counted = splittable_join(
-        views, watch_counts(views, users, items), ["profile_id", "content_id"], "left"
-    ).join(items, "content_id").join(users, "username")
+    views = distinct_views(log).where("username is not null and content_id is not null")
+    # The null-safe key keeps both uses of the views the same plan, which is then run once.
+    key = F.xxhash64("profile_id", "content_id")
+    counts = _user_counts(views, users).select(
+        F.col("profile_id").alias("_p"), F.col("content_id").alias("_c"), key.alias("_hash_of"),
+        F.when(F.col("profile_id").isNotNull(), F.col("_n")).alias("_n"),
+    )
+    views = views.withColumn("_hash", key)
+    counted = views.join(
+        counts,
+        F.col("profile_id").eqNullSafe(F.col("_p")) & (F.col("content_id") == F.col("_c"))
+        & (F.col("_hash") == F.col("_hash_of")),
+        "left",
+    ).drop("_p", "_c", "_hash", "_hash_of")
+    rows = splittable_join(items, _item_rows(items), ["content_id"])
+    joined = counted.join(users, "username").join(rows, "content_id").withColumn(
+        "watch_count", F.col("_n") * F.col("_i")
+    ).drop("_n", "_i")
     share = X.no_nan(F.col("duration")) / F.col("content_duration")
-    return counted.withColumn("share", X.no_nan(share)).withColumn("label", label(domain))
+    return joined.withColumn("share", X.no_nan(share)).withColumn("label", label(domain))
 
 
 def training_rows(

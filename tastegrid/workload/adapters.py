@@ -83,7 +83,11 @@ def catalogue_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watch_log_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form A: many profiles and contents, few repeats (lineitem through orders)."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # a fixed number of partitions: merged ones hold sorts and sums of a gigabyte in a task
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").repartition(
+        parts, "o_orderkey"
+    )
     names = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)

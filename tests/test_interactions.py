@@ -198,3 +198,25 @@ def test_class_distribution_and_weight(spark):
     got = {r.label: (r.n, r.percent) for r in S.class_distribution(rows).collect()}
     assert got == {0: (8, 80.0), 1: (2, 20.0)}
     assert S.positive_weight(rows).first()[0] == pytest.approx(2.0)
+
+
+def test_the_distinct_log_is_made_once(spark):
+    """The count and the labelled rows read the same shuffled views."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        users, items = tables(spark)
+        log = spark.createDataFrame(
+            [("u", "a", 1.0, 1), ("u", "a", 1.0, 1), ("u", "a", 2.0, 1), ("v", "b", 3.0, None),
+             ("v", "b", 4.0, None), (None, "b", 1.0, 1), ("u", None, 1.0, 1)], LOG)
+        rows = interactions.labelled_views(log, users, items, DOMAINS["all"])
+        got = sorted((r.username, r.duration, r.watch_count or 0) for r in rows.collect())
+        assert got == [("u", 1.0, 2), ("u", 2.0, 2), ("v", 3.0, 0), ("v", 4.0, 0)]
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "ReusedExchange" in plan.split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
