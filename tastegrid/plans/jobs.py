@@ -60,11 +60,13 @@ def catalogue_origin(spark: SparkSession, layout: Layout, domain: DomainConfig)
 
 
 def merged_catalogue(
-    spark: SparkSession, layout: Layout, domain: DomainConfig, stale: str = "rebuild"
+    spark: SparkSession, layout: Layout, domain: DomainConfig, stale: str = "rebuild",
+    now: Origin | None = None,
 ) -> DataFrame:
     """The domain's catalogue as one table, with its order as ``item_ord``.
 
-    A stored table serves as long as the files are those it was made from.
+    A stored table serves as long as the files are those it was made from. ``now``: the
+    files' print, where the caller has it; else they are listed for it.
     """
     def build() -> DataFrame:
         good, broken = C.read_catalogue(spark, layout.catalogue, domain)
@@ -73,7 +75,8 @@ def merged_catalogue(
         return placed.withColumnRenamed("position", "item_ord").drop("_at", "total", "source_file")
 
     return manifests.build_if_changed(
-        spark, layout.of(domain, "catalogue"), catalogue_origin(spark, layout, domain), build, stale
+        spark, layout.of(domain, "catalogue"), now or catalogue_origin(spark, layout, domain),
+        build, stale,
     )
 
 
@@ -88,13 +91,14 @@ def _stored(spark: SparkSession, features: Features, layout: Layout, domain: Dom
 
 
 def training_origin(
-    spark: SparkSession, layout: Layout, domain: DomainConfig, year: int
+    spark: SparkSession, layout: Layout, domain: DomainConfig, year: int,
+    catalogue: Origin | None = None,
 ) -> Origin:
     """What the training matrix depends on: all inputs, the domain and the year."""
     inputs = manifests.origin(
         spark, {"log": layout.log, "users": layout.users}, domain=domain, year=year
     )
-    return inputs | catalogue_origin(spark, layout, domain)
+    return inputs | (catalogue or catalogue_origin(spark, layout, domain))
 
 
 def build_training_set(
@@ -107,13 +111,14 @@ def build_training_set(
     from.
     """
     year = as_of_year or date.today().year
+    catalogue = catalogue_origin(spark, layout, domain)
 
     def build() -> DataFrame:
         log, report = logs.read_watch_log(spark, layout.log)
         report.write.mode("overwrite").parquet(layout.of(domain, "log_files"))
         fitted = feature_build.fit_features(
             tables.read_table(spark, layout.users),
-            merged_catalogue(spark, layout, domain, stale), domain, year,
+            merged_catalogue(spark, layout, domain, stale, catalogue), domain, year,
         )
         fitted.user_encoder.save(spark, layout.of(domain, "user_encoder"))
         fitted.item_encoder.save(spark, layout.of(domain, "item_encoder"))
@@ -122,7 +127,7 @@ def build_training_set(
 
     matrix = manifests.build_if_changed(
         spark, layout.of(domain, "training_matrix"),
-        training_origin(spark, layout, domain, year), build, stale,
+        training_origin(spark, layout, domain, year, catalogue), build, stale,
     )
     return matrix, [n for e in _encoders(spark, layout, domain) for n in e.feature_names]
 

@@ -67,3 +67,15 @@ def test_compact_log(spark, layout, sf_dir):
     n = A.watch_log_dense(spark, sf_dir).count()
     sizes = {r.part: r["count"] for r in parts.groupBy("part").count().collect()}
     assert sizes == {**{i: n // 5 for i in range(1, 5)}, 5: n - 4 * (n // 5)}
+
+
+def test_a_training_set_lists_the_catalogue_once_for_its_print(spark, layout, monkeypatch):
+    listed, whole = [], jobs.manifests.files_print
+
+    def seen(session, path, pattern="*"):
+        listed.append(path)
+        return whole(session, path, pattern)
+
+    monkeypatch.setattr(jobs.manifests, "files_print", seen)
+    jobs.build_training_set(spark, layout, DOMAINS["music"], 2025)
+    assert listed.count(layout.catalogue) == 1
