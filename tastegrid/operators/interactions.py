@@ -15,6 +15,8 @@ from tastegrid.functions import text as X
 from tastegrid.operators.joins import splittable_join
 
 ENCODED = ("idx", "val", "usable")
+#: Tasks that share the rows of one (profile, content) pair while they are counted.
+PAIR_PARTS = 16
 
 
 def distinct_views(log: DataFrame) -> DataFrame:
@@ -38,11 +40,18 @@ def label(domain: DomainConfig) -> Column:
 
 
 def _user_counts(views: DataFrame, users: DataFrame) -> DataFrame:
-    """(profile_id, content_id, _n): joined rows of views and users; null keys count apart."""
+    """(profile_id, content_id, _n): joined rows of views and users; null keys count apart.
+
+    The rows are shuffled before they are summed, so that no task holds this sum and the one
+    that makes the views distinct. A pair's rows go to up to ``PAIR_PARTS`` tasks.
+    """
+    pair = ["profile_id", "content_id"]
     user_rows = users.groupBy("username").agg(F.count(F.lit(1)).alias("_u"))
-    return splittable_join(
-        views.select("profile_id", "content_id", "username"), user_rows, ["username"]
-    ).groupBy("profile_id", "content_id").agg(F.sum("_u").alias("_n"))
+    part = F.pmod(F.xxhash64(*views.columns), F.lit(PAIR_PARTS)).cast("int")
+    rows = splittable_join(
+        views.select(*pair, "username", part.alias("_part")), user_rows, ["username"]
+    ).select(*pair, "_part", "_u")
+    return rows.repartition(*pair, "_part").groupBy(*pair).agg(F.sum("_u").alias("_n"))
 
 
 def _item_rows(items: DataFrame) -> DataFrame:

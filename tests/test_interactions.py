@@ -220,3 +220,21 @@ def test_the_distinct_log_is_made_once(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_task_holds_one_sum_of_the_log(spark):
+    """The distinct views and their counts are sums of different tasks, by a shuffle between."""
+    log = spark.range(2_000, numPartitions=4).select(
+        F.lit("u").alias("username"), F.lit("a").alias("content_id"),
+        (F.col("id") % 1_500).cast("double").alias("duration"),
+        F.lit(None).cast("bigint").alias("profile_id"))
+    users = spark.createDataFrame([("u", 1), ("u", 0)], "username string, sex int")
+    counts = interactions._user_counts(interactions.distinct_views(log), users)
+    assert [tuple(r) for r in counts.collect()] == [(None, "a", 3_000)]
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    steps = [line for line in plan.splitlines() if "Aggregate(" in line or "Exchange" in line]
+    sums = ["Exchange" not in line for line in steps]
+    assert not any(a and b for a, b in zip(sums, sums[1:], strict=False))
+    # one pair holds all rows: its rows are spread before they are summed
+    spread = [line for line in steps if "REPARTITION_BY_COL" in line]
+    assert len(spread) == 1 and "_part" in spread[0]
