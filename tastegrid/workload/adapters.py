@@ -83,21 +83,20 @@ def catalogue_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watch_log_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form A: many profiles and contents, few repeats (lineitem through orders)."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    # a fixed number of partitions: merged ones hold sorts and sums of a gigabyte in a task
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").repartition(
-        parts, "o_orderkey"
-    )
     names = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    # a fixed number of partitions: merged ones hold sorts and sums of a gigabyte in a task;
+    # names come with the orders, as a join of all lines by customer would be merged again
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = (
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
         .join(names, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("c_name").alias("username"),
-            F.col("l_partkey").cast("string").alias("content_id"),
-            F.col("l_quantity").alias("duration"),
-            F.col("o_custkey").alias("profile_id"),
-        )
+        .select("o_orderkey", "o_custkey", "c_name").repartition(parts, "o_orderkey")
+    )
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.col("c_name").alias("username"),
+        F.col("l_partkey").cast("string").alias("content_id"),
+        F.col("l_quantity").alias("duration"),
+        F.col("o_custkey").alias("profile_id"),
     )
 
 

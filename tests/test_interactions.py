@@ -8,6 +8,7 @@ from tastegrid.config import DOMAINS
 from tastegrid.operators import diagnostics, interactions, positions
 from tastegrid.operators import split as S
 from tastegrid.operators.joins import splittable_join
+from tastegrid.workload import adapters
 
 LOG = "username string, content_id string, duration double, profile_id bigint"
 
@@ -238,3 +239,29 @@ def test_a_task_holds_one_sum_of_the_log(spark):
     # one pair holds all rows: its rows are spread before they are summed
     spread = [line for line in steps if "REPARTITION_BY_COL" in line]
     assert len(spread) == 1 and "_part" in spread[0]
+
+
+def test_lines_are_joined_and_made_distinct_in_different_tasks(spark, tmp_path):
+    """Names too large to be sent along must not bring join, sums and lines into merged tasks."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for name, rows, schema in (
+        ("customer", [(1, "u"), (2, "v")], "c_custkey bigint, c_name string"),
+        ("orders", [(10, 1), (11, 2), (12, 3), (13, None)], "o_orderkey bigint, o_custkey bigint"),
+        ("lineitem", [(10, 5, 1.0), (10, 5, 1.0), (11, 6, 2.0), (12, 7, 1.0), (13, 7, 1.0)],
+         "l_orderkey bigint, l_partkey bigint, l_quantity double"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        views = interactions.distinct_views(adapters.watch_log_wide(spark, str(tmp_path)))
+        got = sorted(tuple(r) for r in views.collect())
+        assert got == [("u", "5", 1.0, 1), ("v", "6", 2.0, 2)]
+        plan = views._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        steps = [line for line in plan.splitlines() if "Aggregate(" in line or "Exchange" in line]
+        assert "Aggregate(" in steps[0] and "Exchange" in steps[1] and "Aggregate(" in steps[2]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
