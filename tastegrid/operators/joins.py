@@ -16,7 +16,8 @@ def splittable_join(
     A small side is broadcast by its measured size. Otherwise a hot key is split only if
     both sides come straight out of a shuffle, and a side aggregated by ``keys`` would
     not: it is partitioned already. Joining on the keys and their hash gives that side,
-    one short row per key, a shuffle of its own.
+    one short row per key, a shuffle of its own. A later sum by the keys gets its own, too,
+    and so shares no task with the join.
     """
     hashed = F.xxhash64(*keys)
     return (

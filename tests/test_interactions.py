@@ -265,3 +265,39 @@ def test_lines_are_joined_and_made_distinct_in_different_tasks(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_events_are_joined_and_made_distinct_in_different_tasks(spark, tmp_path):
+    """The dense log, too; a user that holds most events is split where it meets its name."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    spark.createDataFrame(
+        [(0, "u"), (1, "v"), (1, "w"), (None, "x")], "c_custkey bigint, c_name string"
+    ).write.parquet(str(tmp_path / "customer.parquet"))
+    content = F.concat(F.lit('{"k": '), (F.col("id") % 7).cast("string"), F.lit("}"))
+    user = (F.when(F.col("id") < 20_000, 0).when(F.col("id") < 20_100, 1)
+            .when(F.col("id") < 20_200, 2))  # 2 has no name, the last have no user
+    spark.range(20_300, numPartitions=8).select(
+        F.col("id").alias("event_id"), user.cast("bigint").alias("user_id"),
+        (F.col("id") % 5_000).cast("double").alias("value"), content.alias("props"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        views = interactions.distinct_views(adapters.watch_log_dense(spark, str(tmp_path)))
+        got = sorted(tuple(r) for r in views.collect())
+        assert got == sorted(
+            {("u", str(i % 7), float(i % 5_000), 0) for i in range(20_000)}
+            | {(n, str(i % 7), float(i % 5_000), 1) for i in range(20_000, 20_100) for n in "vw"}
+        )
+        plan = views._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        steps = [line for line in plan.splitlines() if "Aggregate(" in line or "Exchange" in line]
+        assert "Aggregate(" in steps[0] and "Exchange" in steps[1] and "Aggregate(" in steps[2]
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
