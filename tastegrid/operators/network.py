@@ -8,6 +8,8 @@ without knowing the shape of the network.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -58,17 +60,9 @@ def is_statistic(name: str) -> bool:
     return name.endswith(("bn_mean", "bn_var"))
 
 
-def _standardise(h: np.ndarray, eps: float):
+def _standardise(h: np.ndarray, eps: float) -> np.ndarray:
     """Each row by its own mean and deviation."""
-    mean = h.mean(axis=1, keepdims=True)
-    sd = np.sqrt(h.var(axis=1, keepdims=True) + eps)
-    return (h - mean) / sd, sd
-
-
-def _standardise_grad(grad: np.ndarray, z: np.ndarray, sd: np.ndarray) -> np.ndarray:
-    return (
-        grad - grad.mean(axis=1, keepdims=True) - z * (grad * z).mean(axis=1, keepdims=True)
-    ) / sd
+    return (h - h.mean(axis=1, keepdims=True)) / np.sqrt(h.var(axis=1, keepdims=True) + eps)
 
 
 class Waits(Exception):
@@ -78,6 +72,12 @@ class Waits(Exception):
 class Alone:
     """A block that is the whole batch."""
 
+    def __init__(self):
+        self.maps: dict[str, Maps] = {}
+
+    def knows(self, key: tuple) -> bool:
+        return True
+
     def merged(self, key: tuple, part: np.ndarray, merge) -> np.ndarray:
         return merge([part])
 
@@ -87,9 +87,13 @@ class Passes:
     is known of the whole batch reaches, and merges what the blocks say of the next step."""
 
     def __init__(self):
+        self.maps: dict[str, Maps] = {}
         self.known: dict[tuple, np.ndarray] = {}
         self.parts: dict[tuple, tuple] = {}
 
+    def knows(self, key: tuple) -> bool:
+        return key in self.known
+
     def merged(self, key: tuple, part: np.ndarray, merge) -> np.ndarray:
         if key not in self.known:
             if key in self.parts:
@@ -119,103 +123,306 @@ def _merged_moments(parts: list[np.ndarray]) -> np.ndarray:
     return np.stack([n, mean, sum(p[2] + p[0] * (p[1] - mean) ** 2 for p in parts)])
 
 
-def _batch_moments(h: np.ndarray, peers, key: tuple) -> tuple[float, np.ndarray, np.ndarray]:
-    """(rows, mean, sum of squared deviations) of the batch, merged from those of its blocks."""
-    mean = h.mean(axis=0) if len(h) else np.zeros(h.shape[1])
-    own = np.stack([np.full(h.shape[1], float(len(h))), mean, ((h - mean) ** 2).sum(axis=0)])
+def _batch_moments(
+    x: np.ndarray, weight: np.ndarray, peers, key: tuple
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """(rows, mean, sum of squared deviations) of the batch's ``weight @ x``, merged from those
+    of its blocks, each from the mean and the products of the block's columns."""
+    mean = x.mean(axis=1) if x.shape[1] else np.zeros(len(x))
+    off = x - mean[:, None]
+    square = np.maximum(((weight @ (off @ off.T)) * weight).sum(axis=1), 0.0)
+    own = np.stack([np.full(len(weight), float(x.shape[1])), weight @ mean, square])
     n, overall, square = peers.merged(key, own, _merged_moments)
     return n[0] or 1.0, overall, square
 
 
-def branch_logit(
-    x0, w: Weights, net: NetworkConfig, branch: str, layers: int, draws=None, tape=None,
-    peers=None,
-):
-    """Logit of one branch. With ``tape`` the pass keeps what the gradient needs; with
-    ``draws`` it drops units and normalises by the statistics of the batch, of which the
-    rows are one block among ``peers``."""
+def branch_logit(x0, w: Weights, net: NetworkConfig, branch: str, layers: int):
+    """Logit of one branch in evaluation mode, and the last layer's rows."""
     x, half = x0, x0.shape[1] // 2
     for layer in range(layers):
         at = f"{branch}.{layer}"
-        t = {"x": x}
         h = x @ w[f"{at}.w"].T
         if net.batch_norm:
-            if draws is not None:
-                t["bn_n"], mean, square = _batch_moments(h, peers, (branch, layer, "moments"))
-                t["bn_stats"] = (mean, square / max(t["bn_n"] - 1.0, 1.0))
-                t["bn_sd"] = np.sqrt(square / t["bn_n"] + BN_EPS)
-                z = (h - mean) / t["bn_sd"]
-            else:
-                z = (h - w[f"{at}.bn_mean"]) / np.sqrt(w[f"{at}.bn_var"] + BN_EPS)
-            t["bn_z"] = z
+            z = (h - w[f"{at}.bn_mean"]) / np.sqrt(w[f"{at}.bn_var"] + BN_EPS)
             h = z * w[f"{at}.bn_g"] + w[f"{at}.bn_b"]
-        z, t["ln_sd"] = _standardise(h, LN_EPS)
-        normed = z * w[f"{at}.ln_g"] + w[f"{at}.ln_b"]
-        mask = np.maximum(normed, 0.0)
+        normed = _standardise(h, LN_EPS) * w[f"{at}.ln_g"] + w[f"{at}.ln_b"]
         value = normed if net.normalise_cross else h
         if net.gated:
-            t["gate"] = sigmoid(h @ w[f"{at}.gate_w"].T + w[f"{at}.gate_b"])
-            value = h * t["gate"]
+            value = h * sigmoid(h @ w[f"{at}.gate_w"].T + w[f"{at}.gate_b"])
         cross = np.zeros_like(x)
-        cross[:, :half], cross[:, half:2 * half] = value, value * mask
+        cross[:, :half], cross[:, half:2 * half] = value, value * np.maximum(normed, 0.0)
         factor = x if (branch == "deep" and net.chain_deep) else x0
-        raw = factor * (cross + w[f"{at}.b"]) + x
-        bounded = np.clip(raw, -net.clip, net.clip)
-        norm = np.linalg.norm(bounded, axis=1, keepdims=True)
-        x = bounded / (norm + NORM_EPS)
-        t.update(h=h, ln_z=z, normed=normed, mask=mask, value=value, cross=cross,
-                 factor=factor, raw=raw, bounded=bounded, norm=norm)
-        if draws is not None and net.dropout > 0:
-            t["kept"] = (draws.uniform(at, x.shape[1]) >= net.dropout) / (1.0 - net.dropout)
-            x = x * t["kept"]
-        if tape is not None:
-            tape.append(t)
+        bounded = np.clip(factor * (cross + w[f"{at}.b"]) + x, -net.clip, net.clip)
+        x = bounded / (np.linalg.norm(bounded, axis=1, keepdims=True) + NORM_EPS)
     return x @ w[f"{branch}.fc_w"] + w[f"{branch}.fc_b"][0], x
 
 
-def branch_gradient(
-    grad_logit, last_x, w: Weights, net: NetworkConfig, branch: str, tape, out, peers, of: str
+# -- blocks of rows that share their zero columns ------------------------------
+
+# A column that is 0 in a row is 0 after every layer, as both terms of the rule have it as a
+# factor; it adds nothing to a projection and gets no gradient. One-hot rows have few others,
+# so a block of rows takes part with the columns that any of them has. Rows are columns here,
+# so that sums over features run along the rows, and a last 1 stands for all constants.
+
+
+@dataclass
+class Maps:
+    """A layer's linear maps of a row and 1: the projection after batch norm, the same less its
+    mean over units, the input of the gates, and the standardised projection."""
+
+    h: np.ndarray
+    centred: np.ndarray
+    gates: np.ndarray | None
+    z: np.ndarray | None
+
+    @classmethod
+    def of(cls, w: Weights, net: NetworkConfig, at: str, mean=None, var=None) -> Maps:
+        h, gates, z = np.pad(w[f"{at}.w"], ((0, 0), (0, 1))), None, None
+        if net.batch_norm:
+            sd = np.sqrt(var + BN_EPS)
+            h[:, -1] = -mean
+            z = h / sd[:, None]
+            h = z * w[f"{at}.bn_g"][:, None]
+            h[:, -1] += w[f"{at}.bn_b"]
+        if net.gated:
+            gates = w[f"{at}.gate_w"] @ h
+            gates[:, -1] += w[f"{at}.gate_b"]
+        return cls(h, h - h.mean(axis=0), gates, z)
+
+
+class Columns:
+    """The columns that a block's rows take part with, and the units that these read."""
+
+    def __init__(self, cols: np.ndarray, width: int):
+        self.cols, self.half = cols, width // 2
+        self.with_one = np.append(cols, width)
+        low, mid = cols[cols < self.half], cols[(cols >= self.half) & (cols < 2 * self.half)]
+        self.low, self.mid = low, mid - self.half
+        self.units = np.concatenate([self.low, self.mid])
+
+    def rows(self, maps: Maps, net: NetworkConfig) -> np.ndarray:
+        """The maps' rows that a layer needs: values, gates, and all units for their deviation."""
+        wanted = [maps.h[self.units]]
+        if net.gated:
+            wanted.append(maps.gates[self.units])
+        if len(self.normed(net)):
+            wanted.append(maps.centred)
+        return np.concatenate(wanted)[:, self.with_one]
+
+    def normed(self, net: NetworkConfig) -> np.ndarray:
+        """Units whose layer-normed projection enters the cross term."""
+        return self.units if net.normalise_cross and not net.gated else self.mid
+
+
+@dataclass
+class _Layer:
+    """What the gradient needs of a layer's forward pass."""
+
+    x: np.ndarray
+    value: np.ndarray
+    h: np.ndarray
+    gate: np.ndarray | None
+    sd: np.ndarray | None
+    ln_z: np.ndarray | None
+    mask: np.ndarray | None
+    through: np.ndarray | None
+    factor: np.ndarray
+    inside: np.ndarray | None
+    bounded: np.ndarray
+    norm: np.ndarray
+    kept: np.ndarray | None = None
+    maps: Maps | None = None
+    moments: tuple | None = None
+
+
+def _layer(
+    x: np.ndarray, x0: np.ndarray, c: Columns, rows: np.ndarray, w: Weights,
+    net: NetworkConfig, at: str, taped: bool,
+) -> tuple[np.ndarray, _Layer | None]:
+    """The next rows of a block (columns and 1 x rows), and what the gradient needs."""
+    s, n, n_low = len(c.cols), len(c.units), len(c.low)
+    y = rows @ x
+    h, gate, sd, ln_z, mask = y[:n], None, None, None, None
+    value, done = h, n
+    if net.gated:
+        gate, done = y[n:2 * n], 2 * n
+        np.negative(gate, out=gate)
+        np.exp(np.minimum(gate, 700.0, out=gate), out=gate)
+        gate += 1.0
+        np.divide(1.0, gate, out=gate)
+        value = h * gate if taped else np.multiply(h, gate, out=h)
+    units = c.normed(net)
+    if len(units):
+        centred = y[done:]
+        sd = np.sqrt(np.einsum("ij,ij->j", centred, centred) / c.half + LN_EPS)
+        ln_z = centred[units]
+        ln_z /= sd
+        normed = ln_z * w[f"{at}.ln_g"][units, None]
+        normed += w[f"{at}.ln_b"][units, None]
+        if len(units) == n and not net.gated and net.normalise_cross:
+            value = normed
+            normed = normed[n_low:]
+        mask = np.maximum(normed, 0.0)
+    chained = at.startswith("deep") and net.chain_deep
+    factor = x if chained else x0
+    out = np.zeros_like(x)
+    z = out[:s]
+    z[:n_low] = value[:n_low]
+    if n > n_low:
+        np.multiply(value[n_low:], mask, out=z[n_low:n])
+    z += w[f"{at}.b"][c.cols, None]
+    through = z + 1.0 if taped and chained else None
+    z *= factor[:s]
+    z += x[:s]
+    inside = None
+    if taped:
+        inside = np.abs(z) <= net.clip
+        inside = None if inside.all() else inside
+    np.minimum(np.maximum(z, -net.clip, out=z), net.clip, out=z)
+    norm = np.sqrt(np.einsum("ij,ij->j", z, z))
+    bounded = z.copy() if taped else z
+    z *= 1.0 / (norm + NORM_EPS)
+    out[s] = 1.0
+    if not taped:
+        return out, None
+    return out, _Layer(x, value, h, gate, sd, ln_z, mask, through, factor, inside, bounded, norm)
+
+
+def _block_logit(
+    x0: np.ndarray, c: Columns, w: Weights, net: NetworkConfig, branch: str, layers: int,
+    draws, tape: list[_Layer], peers,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Logit and last rows of one branch for a block of training rows; units are dropped, and
+    the statistics are those of the batch, of which the rows are one block among ``peers``."""
+    x, width = x0, w[f"{branch}.fc_w"].shape[0]
+    taped = not net.batch_norm or peers.knows((branch, layers - 1, "moments"))
+    for layer in range(layers):
+        at, moments = f"{branch}.{layer}", None
+        if net.batch_norm:
+            moments = _batch_moments(
+                x[:-1], w[f"{at}.w"][:, c.cols], peers, (branch, layer, "moments")
+            )
+        if at not in peers.maps:
+            stats = (moments[1], moments[2] / moments[0]) if moments else ()
+            peers.maps[at] = Maps.of(w, net, at, *stats)
+        maps = peers.maps[at]
+        x, t = _layer(x, x0, c, c.rows(maps, net), w, net, at, taped)
+        kept = None
+        if net.dropout > 0:
+            kept = draws.uniform(at, width)[:, c.cols].T >= net.dropout
+            kept = kept / (1.0 - net.dropout)
+            x[:-1] *= kept
+        if taped:
+            t.maps, t.moments, t.kept = maps, moments, kept
+            tape.append(t)
+    return w[f"{branch}.fc_w"][c.cols] @ x[:-1] + w[f"{branch}.fc_b"][0], x
+
+
+def _block_gradient(
+    grad_logit, last_x, c: Columns, w: Weights, net: NetworkConfig, branch: str,
+    tape: list[_Layer], out, peers, of: str,
 ):
-    """Add the branch's weight gradients to ``out``, last layer first; ``of`` names the loss."""
-    half = last_x.shape[1] // 2
-    out[f"{branch}.fc_w"] = last_x.T @ grad_logit
+    """Add the branch's weight gradients to ``out``, last layer first; ``of`` names the loss.
+
+    The gradient of a projection is a sum of few rows (values, gates, normed units, a mean) and
+    a multiple of the centred projection, which is a map of the layer's rows. So its
+    products with these are sums of products over the block's columns.
+    """
+    half, n_low, n, units = c.half, len(c.low), len(c.units), c.normed(net)
+
+    def put(name: str, at, found: np.ndarray) -> None:
+        out[name] = np.zeros_like(w[name])
+        out[name][at] = found
+
+    def by_unit(name: str, found: np.ndarray) -> None:
+        """A unit may be read by two columns."""
+        out[name] = np.zeros_like(w[name])
+        np.add.at(out[name], c.units if len(found) == n else c.mid, found)
+
+    put(f"{branch}.fc_w", c.cols, last_x[:-1] @ grad_logit)
     out[f"{branch}.fc_b"] = np.array([grad_logit.sum()])
-    grad = np.outer(grad_logit, w[f"{branch}.fc_w"])
+    grad = w[f"{branch}.fc_w"][c.cols, None] * grad_logit
     for layer in reversed(range(len(tape))):
         at, t = f"{branch}.{layer}", tape[layer]
-        if "kept" in t:
-            grad = grad * t["kept"]
-        size = t["norm"] + NORM_EPS
-        along = (grad * t["bounded"]).sum(axis=1, keepdims=True)
-        grad = grad / size - t["bounded"] * along / (np.maximum(t["norm"], NORM_EPS) * size**2)
-        grad = grad * (np.abs(t["raw"]) <= net.clip)
-        g_cross = grad * t["factor"]
-        out[f"{at}.b"] = g_cross.sum(axis=0)
-        g_value = g_cross[:, :half] + g_cross[:, half:2 * half] * t["mask"]
-        g_normed = g_cross[:, half:2 * half] * t["value"] * (t["normed"] > 0)
-        g_h = np.zeros_like(t["h"])
+        if t.kept is not None:
+            grad *= t.kept
+        size = t.norm + NORM_EPS
+        along = np.einsum("ij,ij->j", grad, t.bounded)
+        grad *= 1.0 / size
+        grad -= t.bounded * (along / (np.maximum(t.norm, NORM_EPS) * size**2))
+        if t.inside is not None:
+            grad *= t.inside
+        g_cross = grad * t.factor[:-1]
+        put(f"{at}.b", c.cols, g_cross.sum(axis=1))
+        g_value, g_normed = g_cross[:n], None
+        if n > n_low:
+            g_normed = g_value[n_low:] * t.value[n_low:]
+            g_normed *= t.mask > 0
+            g_value[n_low:] *= t.mask
+        # the parts of the projection's gradient: rows, and how they spread over the units
+        parts, spread = [], []
+        identity = np.zeros((half, n))
+        identity[c.units, np.arange(n)] = 1.0
         if net.gated:
-            pre = g_value * t["h"] * t["gate"] * (1 - t["gate"])
-            out[f"{at}.gate_w"], out[f"{at}.gate_b"] = pre.T @ t["h"], pre.sum(axis=0)
-            g_h += g_value * t["gate"] + pre @ w[f"{at}.gate_w"]
+            direct = g_value * t.gate
+            pre = direct * t.h
+            pre *= 1.0 - t.gate
+            by_unit(f"{at}.gate_w", (pre @ t.x.T) @ t.maps.h[:, c.with_one].T)
+            by_unit(f"{at}.gate_b", pre.sum(axis=1))
+            parts, spread = [direct, pre], [identity, w[f"{at}.gate_w"][c.units].T]
         elif net.normalise_cross:
-            g_normed = g_normed + g_value
+            whole = g_value.copy()
+            if g_normed is not None:
+                whole[n_low:] += g_normed
+            g_normed = whole
         else:
-            g_h += g_value
-        out[f"{at}.ln_g"], out[f"{at}.ln_b"] = (g_normed * t["ln_z"]).sum(0), g_normed.sum(0)
-        g_h += _standardise_grad(g_normed * w[f"{at}.ln_g"], t["ln_z"], t["ln_sd"])
+            parts, spread = [g_value], [identity]
+        centred = None
+        if len(units):
+            by_unit(f"{at}.ln_g", np.einsum("ij,ij->i", g_normed, t.ln_z))
+            by_unit(f"{at}.ln_b", g_normed.sum(axis=1))
+            g_normed *= w[f"{at}.ln_g"][units, None]
+            mean = g_normed.sum(axis=0)
+            mean /= -half * t.sd
+            centred = np.einsum("ij,ij->j", g_normed, t.ln_z)
+            centred /= half * t.sd**2
+            g_normed /= t.sd
+            parts += [g_normed, mean[None]]
+            spread += [identity[:, n - len(units):], np.ones((half, 1))]
+            centred = centred * t.x
+        else:
+            out[f"{at}.ln_g"], out[f"{at}.ln_b"] = np.zeros(half), np.zeros(half)
+        weight = w[f"{at}.w"][:, c.cols]
+        parts = np.concatenate(parts) if parts else np.zeros((0, grad.shape[1]))
+        spread = np.concatenate(spread, axis=1) if spread else np.zeros((half, 0))
+        products = spread @ (parts @ t.x.T)
+        if centred is not None:
+            to_units = t.maps.centred[:, c.with_one]
+            products -= to_units @ (centred @ t.x.T)
+        scale = np.ones(half)
         if net.batch_norm:
-            out[f"{at}.bn_g"], out[f"{at}.bn_b"] = (g_h * t["bn_z"]).sum(0), g_h.sum(0)
-            out[f"{at}.bn_mean"], out[f"{at}.bn_var"] = t["bn_stats"]
-            g_z, z = g_h * w[f"{at}.bn_g"], t["bn_z"]
+            z, (rows, mean, square) = t.maps.z[:, c.with_one], t.moments
+            gain, sd = w[f"{at}.bn_g"], np.sqrt(square / rows + BN_EPS)
+            out[f"{at}.bn_g"], out[f"{at}.bn_b"] = (products * z).sum(axis=1), products[:, -1].copy()
+            out[f"{at}.bn_mean"], out[f"{at}.bn_var"] = mean, square / max(rows - 1.0, 1.0)
             of_z, along_z = peers.merged(
-                (branch, layer, of), np.stack([g_z.sum(0), (g_z * z).sum(0)]), sum
+                (branch, layer, of),
+                np.stack([gain * out[f"{at}.bn_b"], gain * out[f"{at}.bn_g"]]), sum,
             )
-            g_h = (g_z - of_z / t["bn_n"] - z * along_z / t["bn_n"]) / t["bn_sd"]
-        out[f"{at}.w"] = g_h.T @ t["x"]
+            scale = gain / sd
+            back = z * (along_z / rows / sd)[:, None]
+            back[:, -1] += of_z / rows / sd
+            products = products * scale[:, None] - back @ (t.x @ t.x.T)
+        put(f"{at}.w", (slice(None), c.cols), products[:, :-1])
         if layer:
-            through = t["cross"] + w[f"{at}.b"] + 1.0 if net.chain_deep and branch == "deep" else 1.0
-            grad = grad * through + g_h @ w[f"{at}.w"]
+            if t.through is not None:
+                grad *= t.through
+            scaled = weight.T * scale
+            grad += (scaled @ spread) @ parts
+            if centred is not None:
+                grad -= (scaled @ to_units) @ centred
+            if net.batch_norm:
+                grad -= (weight.T @ back) @ t.x
 
 
 def scores(x: np.ndarray, w: Weights, net: NetworkConfig):
@@ -224,6 +431,25 @@ def scores(x: np.ndarray, w: Weights, net: NetworkConfig):
     return sigmoid((deep + shallow) * 0.5), sigmoid(deep), sigmoid(shallow)
 
 
+def alike(x: np.ndarray, least: int, most: int) -> Iterator[np.ndarray]:
+    """The rows' numbers in groups of rows that have few columns between them: in the order
+    of their nonzero columns, a group ends where these change, once it has ``least`` rows, or
+    at ``most`` rows."""
+    has = np.packbits(x != 0, axis=1)
+    order = np.lexsort(has.T[::-1])
+    changes = (has[order][1:] != has[order][:-1]).any(axis=1)
+    first = 0
+    for end in [*(np.flatnonzero(changes) + 1).tolist(), len(x)]:
+        while end - first > most:
+            yield order[first:first + most]
+            first += most
+        if end - first >= least:
+            yield order[first:end]
+            first = end
+    if first < len(x):
+        yield order[first:]
+
+
 class PairNetwork:
     """Joint scores of one user's pairs with a block of items, evaluation mode, any depth.
 
@@ -324,10 +550,13 @@ def loss_and_gradient_sums(
     both branches go as far as they get, and it ``Waits``."""
     peers = peers or Alone()
     tapes, logits, lasts, waits = {}, {}, {}, False
+    c = Columns(np.flatnonzero((x != 0).any(axis=0)), x.shape[1])
+    x0 = np.ones((len(c.cols) + 1, len(x)))
+    x0[:-1] = x.T[c.cols]
     for b, layers in branches(net):
         tapes[b] = []
         try:
-            logits[b], lasts[b] = branch_logit(x, w, net, b, layers, draws, tapes[b], peers)
+            logits[b], lasts[b] = _block_logit(x0, c, w, net, b, layers, draws, tapes[b], peers)
         except Waits:
             waits = True
     if waits:
@@ -346,7 +575,7 @@ def loss_and_gradient_sums(
         losses.append(loss(p))
         for of, grad, out in (("joint", (joint - y) * 0.5, of_joint), ("own", p - y, of_own)):
             try:
-                branch_gradient(weight * grad, lasts[b], w, net, b, tapes[b], out, peers, of)
+                _block_gradient(weight * grad, lasts[b], c, w, net, b, tapes[b], out, peers, of)
             except Waits:
                 waits = True
     if waits:

@@ -33,8 +33,9 @@ RANGE = 1 << 16
 #: Tasks of a barrier stage wait a second for each other's message, so a small batch is
 #: faster in one of them.
 STEP_ROWS, SHARE_ROWS = 1 << 16, 100_000_000
-#: Rows of a block of a batch that is read in blocks; the working arrays stay in the cache.
-PASS_ROWS = 512
+#: Rows of a block of a batch that is read in blocks; of those that are taken by themselves as
+#: they have other columns than the next ones.
+PASS_ROWS, ALIKE_ROWS = 2048, 1024
 _COUNTS = ("n", "joint", "deep", "shallow", "tp", "fp", "fn", "tn")
 _SUMS_DDL = (
     "range bigint, " + ", ".join(f"{c} double" for c in _COUNTS) + ", of_joint binary, of_own binary"
@@ -281,11 +282,19 @@ def _share_sums(
     net, size = domain.network, sum(a.size for a in w.values())
     passes = N.Alone() if share.whole() and tasks == 1 else N.Passes()
 
-    def one(block: pa.Table | None) -> np.ndarray:
-        x, y, keys = np.zeros((0, width)), np.zeros(0), np.zeros(0, np.int64)
-        if block is not None:
-            x = dense_block(block["idx"], block["val"], width)
-            y, keys = block["label"].to_numpy().astype(float), block["row_key"].to_numpy()
+    def parts(block: pa.Table | None) -> Iterator[tuple[np.ndarray, ...]]:
+        if block is None:
+            yield np.zeros((0, width)), np.zeros(0), np.zeros(0, np.int64)
+            return
+        x = dense_block(block["idx"], block["val"], width)
+        y, keys = block["label"].to_numpy().astype(float), block["row_key"].to_numpy()
+        if isinstance(passes, N.Alone):
+            yield x, y, keys
+            return
+        for at in N.alike(x, ALIKE_ROWS, max(PASS_ROWS, len(x))):
+            yield x[at], y[at], keys[at]
+
+    def one(x: np.ndarray, y: np.ndarray, keys: np.ndarray) -> np.ndarray:
         losses, *found, score = N.loss_and_gradient_sums(
             x, y, w, net, pos_weight, N.RowDraws(seed, keys), passes
         )
@@ -297,10 +306,11 @@ def _share_sums(
     while True:
         summed, waits = np.zeros(len(_COUNTS) + 2 * size), False
         for block in share.blocks() if share.n_held else [None]:
-            try:
-                summed += one(block)
-            except N.Waits:
-                waits = True
+            for part in parts(block):
+                try:
+                    summed += one(*part)
+                except N.Waits:
+                    waits = True
         if not waits:
             return summed
         passes.settle(gather)
@@ -322,6 +332,15 @@ def epoch_tasks(spark: SparkSession, n_rows: int, steps: int) -> int:
     return min(wanted, spark.sparkContext.defaultParallelism)
 
 
+def _dealt(rows: DataFrame, tasks: int) -> DataFrame:
+    """The rows in so many even shares, by batch, and those with the same features together."""
+    # a hash of many values: the numbers of the shares themselves would fall together
+    share = F.xxhash64(F.lit("share"), "row_key")
+    return rows.select("row_key", "idx", "val", "label", "batch").repartition(
+        tasks, share
+    ).sortWithinPartitions("batch", "idx")
+
+
 def epoch_pass(
     rows: DataFrame, w: N.Weights, optimiser: Adam, domain: DomainConfig, width: int,
     pos_weight: float, steps: int, seed: int, tasks: int = 1,
@@ -330,7 +349,8 @@ def epoch_pass(
     barrier stage: a job for the epoch, whatever its number of steps.
 
     Each task has a share of every batch and reads its rows in the order of the batches, in
-    blocks of ``domain.batch_rows`` at most, so it holds one block (``_Share``). In a step the tasks
+    blocks of ``domain.batch_rows`` at most, so it holds one block (``_Share``). Rows with the same
+    features follow each other, as a block costs by the columns that its rows have. In a step the tasks
     gather each other's gradient sums (and in a network with batch norm the moments of the
     whole batch, forwards and backwards) and all make the same update. How many ``tasks`` follows the rows of a batch
     (``epoch_tasks``), as every message goes to all of them. A lost task starts the epoch
@@ -378,10 +398,7 @@ def epoch_pass(
                 names=["kind", "name", "data"],
             )
 
-    share = F.pmod(F.xxhash64(F.lit("share"), "row_key"), F.lit(tasks))
-    dealt = rows.select("row_key", "idx", "val", "label", "batch").repartition(
-        tasks, share
-    ).sortWithinPartitions("batch")
+    dealt = _dealt(rows, tasks)
     found: dict[str, dict[str, np.ndarray]] = {
         k: {} for k in ("weight", "optimiser", "gradient", "total")
     }

@@ -91,3 +91,46 @@ def test_gradient_matches_differences(name, width):
             sides.append(N.loss_and_gradient(x, y, w, net, 1.7, SameDraws())[0])
         w[k][at] = kept
         assert grad[k][at] == pytest.approx((sides[0] - sides[1]) / 2e-6, abs=1e-6), k
+
+
+@pytest.mark.parametrize("name", list(VARIANTS))
+def test_blocks_take_part_with_the_columns_that_they_have(name, monkeypatch):
+    """One-hot rows: sums of blocks with few columns each are those of all rows in one block."""
+    net, width, rng = VARIANTS[name], 41, np.random.default_rng(5)
+    w = random_weights(width, net, 3)
+    x, y = np.zeros((120, width)), (rng.random(120) > 0.5).astype(float)
+    x[:, 0] = rng.normal(size=120)
+    for k in range(1, 119):  # the last row has no column at all
+        x[k, [1 + k % 20, 21 + k % 19]] = 1.0
+    x[119] = 0.0
+    losses, *wanted, scores = N.loss_and_gradient_sums(
+        x, y, w, net, 1.7, N.RowDraws(5, np.arange(120)))
+    seen, made = [], N.Columns
+    monkeypatch.setattr(N, "Columns", lambda cols, width: seen.append(len(cols)) or made(cols, width))
+    groups, passes = [*N.alike(x, 1, 50)], N.Passes()
+    assert sorted(np.concatenate(groups)) == list(range(120))
+    while True:
+        found, waits = [], False
+        for at in groups:
+            try:
+                found.append(N.loss_and_gradient_sums(
+                    x[at], y[at], w, net, 1.7, N.RowDraws(5, at), passes))
+            except N.Waits:
+                waits = True
+        if not waits:
+            break
+        passes.settle(lambda part: [part])
+    assert max(seen) <= 3
+    assert sum(f[0] for f in found) == pytest.approx(losses)
+    for of in (0, 1):
+        for k in w:
+            assert sum(f[1 + of][k] for f in found) == pytest.approx(wanted[of][k], abs=1e-9), k
+    assert np.concatenate([f[3] for f in found]) == pytest.approx(scores[np.concatenate(groups)])
+
+
+def test_alike_rows_come_together():
+    x = np.array([[1.0, 0, 0], [0, 2, 0], [3, 0, 0], [0, 0, 4], [0, 5, 0], [0, 0, 0]])
+    found = [sorted(g.tolist()) for g in N.alike(x, 1, 9)]
+    assert sorted(found) == [[0, 2], [1, 4], [3], [5]]
+    assert [len(g) for g in N.alike(x, 3, 9)] == [4, 2] and [*N.alike(x[:0], 1, 9)] == []
+    assert max(len(g) for g in N.alike(np.ones((7, 2)), 1, 3)) == 3

@@ -245,3 +245,35 @@ def test_flat_weights_round_trip():
     w = N.init_weights(5, DOMAINS["movie"].network, 2)
     back = T.unflatten(T.flatten(w), w)
     assert all(np.array_equal(back[k], w[k]) for k in w) and not math.isnan(T.flatten(w).sum())
+
+
+def test_shares_of_a_batch_are_even(spark):
+    rows = spark.range(8_000).selectExpr(
+        "id AS row_key", "array(int(id % 3)) AS idx", "array(1D) AS val", "1D AS label",
+        "int(id % 2) AS batch")
+    for tasks in (2, 5, 8):
+        dealt = T._dealt(rows, tasks)
+        assert dealt.rdd.getNumPartitions() == tasks
+        counts = [r[1] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(counts) == tasks and max(counts) < 1.2 * 8_000 / tasks
+    order = [(r.batch, r.idx) for r in T._dealt(rows, 1).collect()]
+    assert order == sorted(order)
+
+
+def test_a_block_is_cut_where_its_columns_change(monkeypatch):
+    """Rows in the order of their features take few columns at a time, whatever the width."""
+    config = dataclasses.replace(DOMAINS["all"], batch_rows=300)
+    rng, width = np.random.default_rng(6), 30
+    idx = [[0, 1 + k // 100] for k in range(1200)]
+    whole = pa.RecordBatch.from_pydict({
+        "row_key": np.arange(1200), "idx": pa.array(idx, pa.list_(pa.int32())),
+        "val": rng.normal(size=(1200, 2)).tolist(),
+        "label": (rng.random(1200) > 0.5).astype(float), "batch": np.zeros(1200, np.int32)})
+    w, seen, sums = N.init_weights(width, config.network, 1), [], N.loss_and_gradient_sums
+    monkeypatch.setattr(T, "ALIKE_ROWS", 100)
+    monkeypatch.setattr(
+        N, "loss_and_gradient_sums",
+        lambda x, *more: seen.append((x != 0).any(axis=0).sum()) or sums(x, *more))
+    found = T._share_sums(
+        next(T._steps(iter([whole]), 1, 300)), w, config, width, 1.3, 11, lambda part: [part], 1)
+    assert found[0] == 1200 and max(seen) == 2
