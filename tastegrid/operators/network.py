@@ -10,6 +10,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -451,73 +452,64 @@ def alike(x: np.ndarray, least: int, most: int) -> Iterator[np.ndarray]:
 
 
 class PairNetwork:
-    """Joint scores of one user's pairs with a block of items, evaluation mode, any depth.
+    """Joint scores of users' pairs with a block of items, evaluation mode, any depth.
 
-    The same rule as ``branch_logit``: columns are rows here, so that sums over them run
-    along the pairs; batch norm is part of the projection, and the items' share of the first
-    projection is made once for all users.
+    The same rule as ``branch_logit``, in blocks of pairs of users and of items that have the
+    same nonzero columns, or few between them. Batch norm is part of the projection.
     """
 
-    PAIRS = 512
+    #: Pairs of a block at most, whose working arrays stay in the cache; a block of fewer than
+    #: ``LEAST`` takes further items in, of other columns. Users that are brought together.
+    PAIRS, LEAST, USERS = 4096, 1024, 16
 
     def __init__(self, w: Weights, net: NetworkConfig, user_width: int, items: np.ndarray):
-        self.w, self.net, self.user_width = w, net, user_width
-        self.items = [np.ascontiguousarray(items[k:k + self.PAIRS].T)
-                      for k in range(0, len(items), self.PAIRS)]
-        self.layers = {}
-        for b, layers in branches(net):
-            for layer in range(layers):
-                at = f"{b}.{layer}"
-                scale, shift = np.ones(len(w[f"{at}.w"])), np.zeros(len(w[f"{at}.w"]))
-                if net.batch_norm:
-                    scale = w[f"{at}.bn_g"] / np.sqrt(w[f"{at}.bn_var"] + BN_EPS)
-                    shift = w[f"{at}.bn_b"] - w[f"{at}.bn_mean"] * scale
-                self.layers[at] = (w[f"{at}.w"] * scale[:, None], shift)
-        self.first = {b: [self.layers[f"{b}.0"][0][:, user_width:] @ x for x in self.items]
-                      for b, layers in branches(net) if layers}
-
-    def __call__(self, user: np.ndarray) -> np.ndarray:
-        own = {b: self.layers[f"{b}.0"][0][:, :self.user_width] @ user + self.layers[f"{b}.0"][1]
-               for b in self.first}
-        out = []
-        for k, items in enumerate(self.items):
-            x0 = np.empty((self.user_width + len(items), items.shape[1]))
-            x0[:self.user_width], x0[self.user_width:] = user[:, None], items
-            logits = [
-                self._logit(x0, b, layers, self.first[b][k] + own[b][:, None] if layers else None)
-                for b, layers in branches(self.net)
+        self.w, self.net, self.user_width, self.items = w, net, user_width, items
+        self.groups: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    @cached_property
+    def maps(self) -> dict[str, Maps]:
+        w, stats = self.w, ("bn_mean", "bn_var") if self.net.batch_norm else ()
+        return {
+            at: Maps.of(w, self.net, at, *[w[f"{at}.{k}"] for k in stats])
+            for b, layers in branches(self.net) for at in (f"{b}.{k}" for k in range(layers))
+        }
+
+    def _groups(self, n_users: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Groups of items for so many users: their numbers, and their columns."""
+        if n_users not in self.groups:
+            least, most = -(-self.LEAST // n_users), max(1, self.PAIRS // n_users)
+            self.groups[n_users] = [
+                (at, np.flatnonzero((self.items[at] != 0).any(axis=0)))
+                for at in alike(self.items, min(least, most), most)
             ]
-            out.append(sigmoid((logits[0] + logits[1]) * 0.5))
-        return np.concatenate(out)
-
-    def _logit(self, x0: np.ndarray, branch: str, layers: int, h: np.ndarray | None) -> np.ndarray:
-        w, net, half, x = self.w, self.net, len(x0) // 2, x0
-        for layer in range(layers):
-            at = f"{branch}.{layer}"
-            if layer:
-                weight, shift = self.layers[at]
-                h = weight @ x
-                h += shift[:, None]
-            normed = h - h.mean(axis=0)
-            normed /= np.sqrt((normed * normed).mean(axis=0) + LN_EPS)
-            normed *= w[f"{at}.ln_g"][:, None]
-            normed += w[f"{at}.ln_b"][:, None]
-            value = normed if net.normalise_cross else h
-            if net.gated:
-                gate = w[f"{at}.gate_w"] @ h
-                gate += w[f"{at}.gate_b"][:, None]
-                value = sigmoid(gate)
-                value *= h
-            z = np.zeros_like(x)
-            z[:half] = value
-            np.multiply(value, np.maximum(normed, 0.0), out=z[half:2 * half])
-            z += w[f"{at}.b"][:, None]
-            z *= x if (branch == "deep" and net.chain_deep) else x0
-            z += x
-            np.clip(z, -net.clip, net.clip, out=z)
-            z /= np.sqrt(np.einsum("ij,ij->j", z, z)) + NORM_EPS
-            x = z
-        return w[f"{branch}.fc_w"] @ x + w[f"{branch}.fc_b"][0]
+        return self.groups[n_users]
+
+    def __call__(self, users: np.ndarray) -> np.ndarray:
+        """Scores of the items for one user, or [users, items]."""
+        if users.ndim == 1:
+            return self(users[None])[0]
+        out = np.empty((len(users), len(self.items)))
+        for who in alike(users, self.USERS, self.PAIRS):
+            some = users[who]
+            own = np.flatnonzero((some != 0).any(axis=0))
+            for at, cols in self._groups(len(who)):
+                c = Columns(np.append(own, cols + self.user_width),
+                            self.user_width + self.items.shape[1])
+                x = np.ones((len(c.cols) + 1, len(who), len(at)))
+                x[:len(own)] = some[:, own].T[:, :, None]
+                x[len(own):-1] = self.items[np.ix_(at, cols)].T[:, None]
+                x = x.reshape(len(x), -1)
+                logits = [self._logit(x, c, b, layers) for b, layers in branches(self.net)]
+                out[np.ix_(who, at)] = sigmoid((logits[0] + logits[1]) * 0.5).reshape(
+                    len(who), len(at)
+                )
+        return out
+
+    def _logit(self, x0: np.ndarray, c: Columns, branch: str, layers: int) -> np.ndarray:
+        w, x = self.w, x0
+        for at in (f"{branch}.{layer}" for layer in range(layers)):
+            x, _ = _layer(x, x0, c, c.rows(self.maps[at], self.net), w, self.net, at, False)
+        return w[f"{branch}.fc_w"][c.cols] @ x[:-1] + w[f"{branch}.fc_b"][0]
 
 
 class RowDraws:

@@ -15,11 +15,12 @@ the same rows:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ TASK_PAIRS = 8_000_000
 BLOCK_LISTS = 256
 PIECE_ITEMS = 4096
 PIECE_CLASSES = 64
+#: Classes that a deep network takes at once, as it brings those together that are alike.
+DEEP_CLASSES = 512
 DENSE_CELLS = 2_000_000
 #: Digits that do not depend on how rows were blocked; ties beyond go to catalogue order.
 SCORE_PLACES = 12
@@ -103,10 +106,12 @@ class ItemBlock:
 
 @dataclass
 class SparseItems:
-    """Encoded items in catalogue order, as positions and values; one piece is dense at a time."""
+    """Encoded items, as positions and values; one piece is dense at a time. They are in
+    catalogue order, or else ``order`` has each one's number there."""
 
     table: pa.Table
     width: int
+    order: np.ndarray | None = None
 
     @classmethod
     def from_arrow(cls, table: pa.Table, width: int) -> SparseItems:
@@ -116,6 +121,15 @@ class SparseItems:
     def __len__(self) -> int:
         return self.table.num_rows
 
+    def alike(self) -> SparseItems:
+        """The items in the order of the columns that they have."""
+        if not len(self) or self.order is not None:
+            return self
+        has = [np.packbits(self.piece(k, k + PIECE_ITEMS).x != 0, axis=1)
+               for k in range(0, len(self), PIECE_ITEMS)]
+        order = np.lexsort(np.concatenate(has).T[::-1])
+        return SparseItems(self.table.take(pa.array(order)).combine_chunks(), self.width, order)
+
     def piece(self, start: int, end: int) -> ItemBlock:
         part = self.table.slice(start, end - start)
         return ItemBlock(
@@ -143,22 +157,25 @@ class _Side:
     largest: np.ndarray     # bound of |A| and of |C| per row
 
 
+def _simple(net: NetworkConfig) -> bool:
+    """Whether the pairs' scores come from products of the two sides."""
+    return max(net.deep_layers, net.shallow_layers) == 1 and not net.gated and not net.batch_norm
+
+
 class PairScorer:
     """Joint scores of profile rows against one item block.
 
     The projection of a pair is the sum of the two sides' projections. In a single-layer
     network a column that is 0 in a pair stays 0, and the value-part columns add up to
     matrix products of the sides; only the masked columns are visited one by one. No
-    dense pair row is built. Deeper networks share the first projection, too, and take a
-    user's pairs in blocks that stay in the processor's cache (``N.PairNetwork``).
+    dense pair row is built. Deeper networks take the pairs in blocks that have few columns
+    (``N.PairNetwork``).
     """
 
     def __init__(self, items: ItemBlock, user_width: int, weights: N.Weights, net: NetworkConfig):
         self.items, self.user_width, self.w, self.net = items, user_width, weights, net
         self.half = (user_width + items.x.shape[1]) // 2
-        self.simple = (
-            max(net.deep_layers, net.shallow_layers) == 1 and not net.gated and not net.batch_norm
-        )
+        self.simple = _simple(net)
         if not self.simple:
             self.deep = N.PairNetwork(weights, net, user_width, items.x)
             return
@@ -201,10 +218,10 @@ class PairScorer:
         if plain.any():
             deep, shallow = (self._simple_branch(users[plain], b) for b, _ in N.branches(self.net))
             joint[plain] = N.sigmoid((deep + shallow) * 0.5)
+        if not self.simple:
+            joint = self.deep(users)
+            plain[:] = True
         for row in np.flatnonzero(~plain):
-            if not self.simple:
-                joint[row] = self.deep(users[row])
-                continue
             pairs = np.hstack([np.tile(users[row], (len(self.items.x), 1)), self.items.x])
             joint[row] = N.scores(pairs, self.w, self.net)[0]
         return np.round(joint, SCORE_PLACES)
@@ -275,14 +292,17 @@ class PairScorer:
         return top / (np.sqrt(square) + N.NORM_EPS) + w[f"{branch}.fc_b"][0]
 
 
-def largest(scores: np.ndarray, n: int) -> np.ndarray:
-    """Positions of the ``n`` largest, ascending; of equal scores the first ones count."""
+def largest(scores: np.ndarray, n: int, rank: np.ndarray | None = None) -> np.ndarray:
+    """Positions of the ``n`` largest, ascending; of equal scores the first ones count, or
+    those that ``rank`` (a number per position) puts first."""
     if n >= len(scores):
         return np.arange(len(scores))
     limit = np.partition(scores, len(scores) - n)[len(scores) - n]
     above = np.flatnonzero(scores > limit)
-    at = np.flatnonzero(scores == limit)[: n - len(above)]
-    return np.sort(np.concatenate([above, at]))
+    at = np.flatnonzero(scores == limit)
+    if rank is not None:
+        at = at[np.argsort(rank[at])]
+    return np.sort(np.concatenate([above, at[: n - len(above)]]))
 
 
 def _scorers(
@@ -294,18 +314,22 @@ def _scorers(
 
 
 def _best_places(
-    users: np.ndarray, scorers: Iterator[tuple[int, PairScorer]], n: int
+    users: np.ndarray, scorers: Iterator[tuple[int, PairScorer]], n: int,
+    ranks: Callable[[], np.ndarray | None] = lambda: None,
 ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Places and scores of the best ``n`` items per user; the items come in catalogue order."""
+    """Places and scores of the best ``n`` items per user. The items come in catalogue order,
+    or else ``ranks`` gives that order for the places of all items that have come."""
     best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in users]
     for start, scorer in scorers:
-        for first in range(0, len(users), PIECE_CLASSES):
-            for p, scores in enumerate(scorer(users[first:first + PIECE_CLASSES]), first):
+        rank, some = ranks(), PIECE_CLASSES if scorer.simple else DEEP_CLASSES
+        for first in range(0, len(users), some):
+            for p, scores in enumerate(scorer(users[first:first + some]), first):
                 scores = np.where(np.isnan(scores), -np.inf, scores)
-                chosen = largest(scores, n)
+                own = None if rank is None else rank[start:start + len(scores)]
+                chosen = largest(scores, n, own)
                 at = np.concatenate([best[p][0], chosen + start])
                 scores = np.concatenate([best[p][1], scores[chosen]])
-                chosen = largest(scores, n)
+                chosen = largest(scores, n, None if rank is None else rank[at])
                 best[p] = (at[chosen], scores[chosen])
     return best
 
@@ -338,18 +362,34 @@ def _best_items(
     """The best ``n`` of ``items`` per class; a task holds one dense piece of each side."""
     if not len(items):
         return
+    if not _simple(net):
+        items = items.alike()
     rows = max(PIECE_CLASSES, DENSE_CELLS // max(user_width, 1))
     for some in (classes.slice(k, rows) for k in range(0, classes.num_rows, rows)):
-        users = dense_block(some["idx"], some["val"], user_width)
-        best = _best_places(users, _scorers(items, user_width, weights, net), n)
+        some, users = _users(some, user_width, net)
+        best = _best_places(
+            users, _scorers(items, user_width, weights, net), n, lambda: items.order
+        )
         yield from _best_rows(some, best, items.table.select(IDS))
 
 
+def _users(
+    classes: pa.Table, width: int, net: NetworkConfig
+) -> tuple[pa.Table, np.ndarray]:
+    """Classes and their dense rows; for a deep network in the order of the columns they have."""
+    users = dense_block(classes["idx"], classes["val"], width)
+    if _simple(net) or not len(users):
+        return classes, users
+    order = np.lexsort(np.packbits(users != 0, axis=1).T[::-1])
+    return classes.take(pa.array(order)), users[order]
+
+
 def _best_streamed(
     classes: pa.Table, batches: Iterator[pa.RecordBatch], weights: N.Weights,
     net: NetworkConfig, user_width: int, item_width: int, n: int,
 ) -> Iterator[pa.RecordBatch]:
-    """The same of items that come in catalogue order: of those gone by only ids are held."""
+    """The same of items that pass by: of those gone by only ids are held. The items come in
+    catalogue order, for a deep network in the order of the columns that they have."""
     ids: list[pa.Table] = []
 
     def scorers() -> Iterator[tuple[int, PairScorer]]:
@@ -362,8 +402,21 @@ def _best_streamed(
                 yield start + at, scorer
             start += len(items)
 
-    users = dense_block(classes["idx"], classes["val"], user_width)
-    best = _best_places(users, scorers(), n)
+    known: dict[int, np.ndarray] = {}
+
+    def ranks() -> np.ndarray | None:
+        if _simple(net):
+            return None
+        if len(ids) not in known:
+            known.clear()
+            order = pc.sort_indices(pa.concat_tables(ids), [
+                ("item_ord", "ascending"), ("content_id", "ascending")]).to_numpy()
+            known[len(ids)] = np.empty(len(order), np.int64)
+            known[len(ids)][order] = np.arange(len(order))
+        return known[len(ids)]
+
+    classes, users = _users(classes, user_width, net)
+    best = _best_places(users, scorers(), n, ranks)
     if ids:
         yield from _best_rows(classes, best, pa.concat_tables(ids).combine_chunks())
 
@@ -372,6 +425,8 @@ def _broadcast_plan(
     classes, items, weights, net, user_width, item_width, n, tasks
 ) -> DataFrame:
     block = SparseItems.from_arrow(items.toArrow(), item_width)
+    if not _simple(net):
+        block = block.alike()  # once, not in every task
     shared = classes.sparkSession.sparkContext.broadcast((block, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,7 +440,11 @@ def _broadcast_plan(
     # Classes are few bytes and much work: the number of tasks follows the pairs.
     layers = net.deep_layers + net.shallow_layers
     tasks = tasks or max(1, -(-classes.count() * len(block) * layers // (2 * TASK_PAIRS)))
-    return classes.repartition(tasks, *CLASS).mapInArrow(run, BEST_SCHEMA)
+    if _simple(net):
+        dealt = classes.repartition(tasks, *CLASS)
+    else:  # a block of pairs costs by the columns that it has
+        dealt = classes.repartitionByRange(tasks, "idx", *CLASS)
+    return dealt.mapInArrow(run, BEST_SCHEMA)
 
 
 def _streamed_plan(
@@ -399,9 +458,14 @@ def _streamed_plan(
         held, weights = shared.value
         yield from _best_streamed(held, batches, weights, net, user_width, item_width, n)
 
-    return items.repartition(blocks, "content_id").sortWithinPartitions(
-        "item_ord", "content_id"
-    ).mapInArrow(run, BEST_SCHEMA)
+    if _simple(net):
+        dealt = items.repartition(blocks, "content_id").sortWithinPartitions(
+            "item_ord", "content_id"
+        )
+    else:  # items that have the same columns pass by together
+        order = ("idx", "item_ord", "content_id")
+        dealt = items.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(run, BEST_SCHEMA)
 
 
 def _grid_plan(

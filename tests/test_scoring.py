@@ -169,3 +169,80 @@ def test_few_classes_stream_past_blocks_of_items(spark, frames, sides):
     pieces = S._best_streamed(
         held, iter(block.to_batches(max_chunksize=piece)), w, net, USER_WIDTH, ITEM_WIDTH, 8)
     assert pa.Table.from_batches(pieces).equals(pa.Table.from_batches(whole))
+
+
+@pytest.fixture(scope="module")
+def one_hot():
+    """Rows of few columns each, many of them equal: (users, items, wanted lists of 8)."""
+    rng, net = np.random.default_rng(9), NETS["all"]
+    users, items = np.zeros((40, 12)), np.zeros((600, 60))
+    for k, u in enumerate(users):
+        u[[0, 1 + k % 11]] = rng.normal(), 1.0
+    for k, i in enumerate(items):
+        i[[0, 1 + k % 20, 21 + k % 38]] = 1 + k % 4, 1.0, 1.0
+    w = N.init_weights(72, net, 8)
+    w = {k: v + rng.uniform(0.0, 0.3, v.shape) for k, v in w.items()}
+    wanted = []
+    for u in users:
+        pairs = np.hstack([np.tile(u, (600, 1)), items])
+        s = np.round(N.scores(pairs, w, net)[0], S.SCORE_PLACES)
+        order = (np.arange(600) * 7) % 600  # of the catalogue
+        wanted.append({(f"c{order[i]:03}", s[i]) for i in np.lexsort((order, -s))[:8]})
+    return users, items, w, wanted
+
+
+def as_lists(x):
+    return {"idx": pa.array([np.flatnonzero(r) for r in x], pa.list_(pa.int32())),
+            "val": pa.array([r[r != 0] for r in x], pa.list_(pa.float64()))}
+
+
+@pytest.mark.parametrize("streamed", [True, False])
+@pytest.mark.parametrize("piece", [50, 4096])
+def test_deep_lists_of_items_that_come_by_their_columns(one_hot, streamed, piece, monkeypatch):
+    """Equal scores go by catalogue order though items do not come in it."""
+    users, items, w, wanted = one_hot
+    monkeypatch.setattr(S, "PIECE_ITEMS", piece)
+    order = (np.arange(600) * 7) % 600
+    table = pa.table({"content_id": [f"c{k:03}" for k in order], "item_ord": order, **as_lists(items)})
+    held = pa.table({"class_a": np.arange(40), "class_b": np.arange(40), **as_lists(users)})
+    seen, logit = [], N.PairNetwork._logit
+
+    def counted(self, x0, c, branch, layers):
+        seen.append((branch, x0.shape[1], len(c.cols)))
+        return logit(self, x0, c, branch, layers)
+
+    monkeypatch.setattr(N.PairNetwork, "_logit", counted)
+    monkeypatch.setattr(N.PairNetwork, "LEAST", 1)
+    monkeypatch.setattr(N.PairNetwork, "USERS", 1)
+    if streamed:
+        by = S.SparseItems(table, 60).alike().table.combine_chunks()
+        found = S._best_streamed(held, iter(by.to_batches(max_chunksize=piece)), w, NETS["all"],
+                                 12, 60, 8)
+    else:
+        found = S._best_items(held, S.SparseItems.from_arrow(table, 60), w, NETS["all"], 12, 8)
+    got = {}
+    for r in pa.Table.from_batches(found).to_pylist():
+        got.setdefault(r["class_a"], set()).add((r["content_id"], r["score"]))
+    for k, best in enumerate(wanted):
+        assert {c for c, _ in got[k]} == {c for c, _ in best}
+        assert sorted(s for _, s in got[k]) == pytest.approx(sorted(s for _, s in best))
+    assert max(n for _, _, n in seen) <= 5  # of 72
+    for branch in ("deep", "shallow"):
+        assert sum(n for b, n, _ in seen if b == branch) == 40 * 600
+
+
+def test_deep_streamed_plan_gives_the_lists_of_the_broadcast_plan(spark, one_hot):
+    users, items, w, wanted = one_hot
+    order = (np.arange(600) * 7) % 600
+    classes = S.stored(spark.createDataFrame(
+        [(k, k, *sparse(u)) for k, u in enumerate(users)],
+        "class_a bigint, class_b bigint, idx array<int>, val array<double>"), "classes")
+    contents = spark.createDataFrame(
+        [(f"c{order[k]:03}", int(order[k]), *sparse(i)) for k, i in enumerate(items)],
+        "content_id string, item_ord bigint, idx array<int>, val array<double>")
+    for plan in ({}, {"max_item_bytes": 6_000, "tile_classes": 1_000}):
+        best = S.best_of_classes(classes, contents, w, NETS["all"], 12, 60, 8, **plan)
+        got = {}
+        for r in R.top_n(best, 8, by=S.CLASS).collect():
+            got.setdefault(r.class_a, set()).add(r.content_id)
+        assert [got[k] for k in range(40)] == [{c for c, _ in b} for b in wanted]
